@@ -6,18 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, sharding
+from . import bpe, linededup, sharding
 from .common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(sharding.write_shards(table(spark, sf_dir, "documents")))
 
 
+def op6_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op7_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op6_trie_bpe, op7_line_dedup)}
 
 ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE}
