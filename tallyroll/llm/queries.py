@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, sharding
+from . import bpe, linededup, pii, sharding
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(sharding.write_shards(table(spark, sf_dir, "documents")))
 
 
+def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -29,6 +33,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op6_trie_bpe, op7_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup)}
 
 ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE}
