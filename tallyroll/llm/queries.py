@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, pii, sharding
+from . import bpe, linededup, pii, sharding, warc
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup)}
+def op8_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"))).drop("url")
 
-ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc)}
+
+ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE, "op8_dictionary_warc": warc.ORACLE}
