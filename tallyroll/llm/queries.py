@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, pii, sharding, warc
+from . import bpe, linededup, pii, sharding, topk, warc
 from .common import table
 
 
+def op1_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(f"vec_id % {topk.QUERY_EVERY} = 0"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """The place of a public tokenizer's vocabulary file."""
     import public_tokenizers
@@ -37,6 +42,6 @@ def op8_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"))).drop("url")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_external_shuffle, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_threshold_top_k, op2_external_shuffle, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc)}
 
-ORACLES: dict[str, str] = {"op7_line_dedup": linededup.ORACLE, "op8_dictionary_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op1_threshold_top_k": topk.ORACLE, "op7_line_dedup": linededup.ORACLE, "op8_dictionary_warc": warc.ORACLE}
