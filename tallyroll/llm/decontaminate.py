@@ -21,26 +21,25 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, digest, lookup_join, stored, words
 
 # The masks; 1 marks a word that is hashed. Each hashes five words.
-MASKS = ("1101011", "11100101", "110010011")
+MASKS = ("110111", "11010011")
 #: The share of an item's words that a document has to hold at their places.
 OVERLAP = 0.8
 
 
-def _seeds(hashes: Column) -> Column:
-    """array<struct<seed,pos>> over all masks and places of an array of word hashes."""
-
-    def of(k: int, mask: str) -> Column:
-        at = [i for i, bit in enumerate(mask) if bit == "1"]
-        places = F.when(F.size(hashes) >= len(mask), F.sequence(F.lit(0), F.size(hashes) - len(mask))).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(F.xxhash64(F.lit(k), *[F.get(hashes, i + j) for j in at]).alias("seed"), i.alias("pos")))
-
-    return F.concat(*[of(k, mask) for k, mask in enumerate(MASKS)])
+def _with_seeds(df: DataFrame, words_col: str) -> DataFrame:
+    """One row a mask and place: the other columns, seed (null where the mask stands out over the end), pos."""
+    spots = sorted({i for mask in MASKS for i in _spots(mask)})
+    others = [c for c in df.columns if c != words_col]
+    hashed = df.select(*others, F.transform(words_col, lambda w: F.xxhash64(w)).alias("__hashes"))
+    # the hash i places on stands beside each hash, so that seeds are made in generated code
+    shifted = F.arrays_zip(*[F.slice("__hashes", i + 1, F.greatest(F.size("__hashes"), F.lit(1))).alias(f"h{i}") for i in spots])
+    placed = hashed.select(*others, F.posexplode(shifted).alias("pos", "__h"))
+    seeds = [F.when(F.col(f"__h.h{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"__h.h{i}") for i in _spots(mask)])) for k, mask in enumerate(MASKS)]
+    return placed.select(*others, "pos", F.explode(F.array(*seeds)).alias("seed"))
 
 
-def _with_seeds(df: DataFrame, words_col: str) -> DataFrame:
-    """One row a seed: the other columns, seed, pos."""
-    hashed = df.withColumn("__hashes", F.transform(words_col, lambda w: F.xxhash64(w))).drop(words_col)
-    return hashed.select(*[c for c in hashed.columns if c != "__hashes"], F.inline(_seeds(F.col("__hashes"))))
+def _spots(mask: str) -> list[int]:
+    return [i for i, bit in enumerate(mask) if bit == "1"]
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -53,13 +52,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text
     """Columns __doc (the whole row), ids (of the items with these words), matched, length and start (first word, may be negative) of each verified overlap."""
     items = _items(benchmark, item, item_text)
     rows = docs.select(F.struct("*").alias("__doc"), F.col(text).alias("__text")).withColumn("__key", digest(F.coalesce("__text", F.lit(""))))
-    seeds = _with_seeds(items.select("key", "words"), "words").select("seed", F.col("pos").alias("at"), F.col("key").alias("item_key"))
-    seeds = stored(seeds, "seeds")
+    seeds = _with_seeds(items.select("key", "words"), "words").where("seed IS NOT NULL")
     found = _with_seeds(rows.select("__key", words(F.col("__text")).alias("__words")), "__words")
     # a seed may belong to several items, so seeds are made unique for the lookup and spread again after it
-    by_seed = stored(seeds.groupBy("seed").agg(F.collect_list(F.struct("item_key", "at")).alias("places")), "seeds")
+    by_seed = stored(seeds.groupBy("seed").agg(F.collect_list(F.struct("key", F.col("pos").alias("at"))).alias("places")), "seeds")
     hits = lookup_join(found, by_seed, ["seed"], "inner", ["pos", "__key"])
-    hits = hits.select("__key", "pos", F.explode("places").alias("p")).select("__key", F.col("p.item_key").alias("key"), (F.col("pos") - F.col("p.at")).alias("start"))
+    hits = hits.select("__key", "pos", F.explode("places").alias("p")).select("__key", F.col("p.key").alias("key"), (F.col("pos") - F.col("p.at")).alias("start"))
     hits = stored(hits.distinct(), "hits")
     wanted = hits.join(F.broadcast(items) if items.count() <= BROADCAST_ROWS // 10 else items, "key").select("__key", "start", "ids", F.col("words").alias("__item"))
     by_text = stored(wanted.groupBy("__key").agg(F.collect_list(F.struct("start", "ids", "__item")).alias("__hits")), "wanted")
