@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licences, linededup, ordermin, pii, sharding, topk, warc
+from . import bpe, cotrain, decontaminate, licences, linededup, ordermin, pii, sharding, topk, warc
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.placed(sharding.write_shards(table(spark, sf_dir, "documents")))
 
 
+def op3_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +58,6 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_threshold_top_k, op2_external_shuffle, op4_spaced_seeds, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc, op9_order_minhash, op10_licence_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_threshold_top_k, op2_external_shuffle, op3_cotraining_quality, op4_spaced_seeds, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc, op9_order_minhash, op10_licence_scan)}
 
 ORACLES: dict[str, str] = {"op1_threshold_top_k": topk.ORACLE, "op4_spaced_seeds": decontaminate.ORACLE, "op7_line_dedup": linededup.ORACLE, "op8_dictionary_warc": warc.ORACLE}
