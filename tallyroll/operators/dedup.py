@@ -50,9 +50,9 @@ def supersede_copies(df: DataFrame, keys: list[str], rank: list[Column], id_col:
     """All rows, with superseded_by: the id of the row of the largest rank among those of equal content, null for that row itself."""
     named = [r.alias(f"r{i}") for i, r in enumerate(rank)]
     winner = df.groupBy(*keys).agg(F.max_by(id_col, F.struct(*named, F.col(id_col).alias("id"))).alias("__winner"))
-    # groups meet null-safely: a null key is a value like any other
-    on = [df[k].eqNullSafe(winner[k]) for k in keys]
-    return df.join(winner, on, "left").select(*[df[c] for c in df.columns], F.when(F.col("__winner") != df[id_col], F.col("__winner")).alias("superseded_by"))
+    winner = winner.select(*[F.col(k).alias(f"__{k}") for k in keys], "__winner")
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]  # a null key is a value like any other
+    return df.join(winner, on, "left").select(*df.columns, F.when(F.col("__winner") != F.col(id_col), F.col("__winner")).alias("superseded_by"))
 
 
 def keyless_kept(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
