@@ -23,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
+
 #: Encoded words a task remembers, texts it takes at a time, and symbols above which a word isn't remembered.
-REMEMBERED, TEXTS, LONG_WORD = 400_000, 256, 64
+REMEMBERED, TEXTS, LONG_WORD = 200_000, 256, 64
 
 
 def _byte_symbols() -> list[str]:
@@ -229,4 +231,4 @@ def _run(docs: DataFrame, path: str, key: str, text: str, schema: str, shape) ->
 
     names = [f.split(" ")[0] for f in schema.split(", ")]
     kinds = [{"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[f.split(" ")[1]] for f in schema.split(", ")[1:]]
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: Rows a lookup table may have to be broadcast; beyond it the salted join is used.
 BROADCAST_ROWS = 200_000
 SALTS = 16
+ARROW_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, in a session that hands Python workers at most ARROW_ROWS rows at a time: rows hold whole texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

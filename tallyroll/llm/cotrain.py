@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
+
 MAX_LABELLED, POOL = 4000, 4000
 ROUNDS, PER_ROUND = 5, 100
 #: Calibrated probability beyond which a view is certain.
@@ -196,7 +198,7 @@ def _sampled(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
             text, meta = _features(batch, 2)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(list(text), pa.list_(pa.float64())), pa.array(list(meta), pa.list_(pa.float64()))], names=["h", "y", "t", "m"])
 
-    got = rows.mapInArrow(run, "h long, y double, t array<double>, m array<double>").orderBy("h", "t").collect()
+    got = in_small_batches(rows).mapInArrow(run, "h long, y double, t array<double>, m array<double>").orderBy("h", "t").collect()
     if not got:
         return np.zeros((0, 18)), np.zeros((0, 4 + HOSTS + LANGS)), np.zeros(0), np.zeros(0, bool)
     return np.array([r[2] for r in got]), np.array([r[3] for r in got]), np.array([r[1] for r in got], float), np.array([r[0] % 4 == 0 for r in got])
@@ -233,7 +235,7 @@ def scored(docs: DataFrame, model: CoTrained, carry: Column, text: str = "text",
                 a, b, both = model.value.scores(*_features(part, 1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(a), pa.array(b), pa.array(both), pa.array(both >= keep)], names=["__doc", "p_text", "p_meta", "score", "keep"])
 
-    return rows.mapInArrow(run, out)
+    return in_small_batches(rows).mapInArrow(run, out)
 
 
 def report(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:

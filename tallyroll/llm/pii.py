@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
+
 Span = tuple[str, int, int]
 
 # The kinds in their order, and the base patterns.
@@ -367,7 +369,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)
 
 
 def redacted(text: str, spans: list[Span]) -> str:

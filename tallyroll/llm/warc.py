@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup_join, new_path, stored
+from .common import in_small_batches, lookup_join, new_path, stored
 
 #: Payloads of at least so many bytes are stored once.
 MIN_DEDUP_BYTES = 0
@@ -171,7 +171,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
                 records, size = records + 1, size + len(frame)
         yield pa.RecordBatch.from_pydict({"path": [path], "records": [records], "bytes": [size]})
 
-    manifest = rows.mapInArrow(write, "path string, records long, bytes long")
+    manifest = in_small_batches(rows).mapInArrow(write, "path string, records long, bytes long")
     return stored(manifest.withColumn("folder", F.lit(folder)), "manifest")
 
 
