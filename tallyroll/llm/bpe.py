@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import in_small_batches
 
 #: Encoded words a task remembers, texts it takes at a time, and symbols above which a word isn't remembered.
-REMEMBERED, TEXTS, LONG_WORD = 200_000, 256, 64
+REMEMBERED, TEXTS, LONG_WORD = 100_000, 256, 64
 
 
 def _byte_symbols() -> list[str]:
@@ -228,6 +228,8 @@ def _run(docs: DataFrame, path: str, key: str, text: str, schema: str, shape) ->
                 part = batch.slice(at, TEXTS)
                 done = [shape(*x) for x in encoder.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([d[i] for d in done], t) for i, t in enumerate(kinds))], names=names)
+        encoder.known.clear()  # the worker goes on to other tasks
+        encoder.pairs.clear()
 
     names = [f.split(" ")[0] for f in schema.split(", ")]
     kinds = [{"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[f.split(" ")[1]] for f in schema.split(", ")[1:]]
