@@ -89,7 +89,8 @@ def test_near_duplicates_match_brute_force(spark, docs, monkeypatch):
     assert sorted((str(r.doc_id), str(r.class_id)) for r in got.collect()) == want
     kept = ordermin.one_of_each(docs)
     assert kept.columns == docs.columns and kept.count() == len(set(roots))
-    monkeypatch.setattr(ordermin, "PAIRED", 4)  # large buckets are refined to the same classes
+    monkeypatch.setattr(ordermin, "PAIRED", 4)  # blocks and crowded buckets give the same classes
+    monkeypatch.setattr(ordermin, "CROWDED", 8)
     assert sorted((str(r.doc_id), str(r.class_id)) for r in ordermin.classes(docs).collect()) == want
 
 
