@@ -113,6 +113,27 @@ def test_banded_alignment_is_exact_within_its_band():
         assert ordermin.aligned(a, b) == pytest.approx(s if s >= 0.8 else 0.0)
 
 
+def test_sets_of_shingles_match_brute_force(monkeypatch):
+    rng, group, sets = np.random.default_rng(3), [], []
+    bases = [rng.choice(1 << 32, 40, replace=False) for _ in range(4)]
+    for i in range(120):
+        base = bases[i % 4]
+        some = np.unique(np.concatenate([base[rng.random(40) < 0.93], rng.choice(1 << 32, rng.integers(0, 6))])).astype(np.uint32)
+        sets.append(set(some.tolist()))
+        group.append((i % 3, bytes([i]), bytes([i % 7]), len(some), some.tobytes()))
+    for several in (True, False):
+        rows = group if several else [(0, *g[1:]) for g in group]
+        want = {(rows[i][1], rows[j][1]) for i in range(120) for j in range(i + 1, 120) if rows[i][2] != rows[j][2] and (not several or rows[i][0] != rows[j][0]) and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+        got = ordermin._alike(rows, 0.8)
+        assert want and len(got) == len(set(got)) and set(got) == want
+    # of texts with more shingles only the smallest come; similar ones aren't lost
+    monkeypatch.setattr(ordermin, "LEAST", 20)
+    monkeypatch.setattr(ordermin, "SLACK", 4 * (0.16 / 20) ** 0.5)
+    cut = [(*g[:4], g[4][:80]) for g in group]
+    want = {(group[i][1], group[j][1]) for i in range(120) for j in range(i + 1, 120) if group[i][2] != group[j][2] and group[i][0] != group[j][0] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    assert want <= set(ordermin._alike(cut, 0.8))
+
+
 def test_decontamination_tolerates_substitutions(spark):
     r = random.Random(5)
     items = [(k, " ".join(_words(r, n))) for k, n in enumerate((14, 20, 36, 59))] + [(9, None), (10, "too short"), (11, "")]
