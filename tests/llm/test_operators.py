@@ -94,6 +94,37 @@ def test_near_duplicates_match_brute_force(spark, docs, monkeypatch):
     assert sorted((str(r.doc_id), str(r.class_id)) for r in ordermin.classes(docs).collect()) == want
 
 
+def _labelled(text):
+    """The shingles of a text as (words, occurrence), without hashes."""
+    w, seen, out = ordermin.WORD.findall(text.lower()), {}, []
+    for i in range(max(1, len(w) - ordermin.WORDS + 1)):
+        s = tuple(w[i : i + ordermin.WORDS])
+        seen[s] = seen.get(s, -1) + 1
+        out.append((s, seen[s]))
+    return out
+
+
+def test_near_duplicates_with_repeats_on_one_side(spark):
+    r = random.Random(8)
+    rows, want = [], {}
+    for n in range(12):
+        base = _words(r, 300)
+        at, to = r.randrange(250), r.randrange(300)
+        again = base[:to] + base[at : at + 12] + base[to:]
+        rows += [(3 * n, " ".join(base), "a"), (3 * n + 1, " ".join(again), "a"), (3 * n + 2, " ".join(_words(r, 300)), "a")]
+        want |= {3 * n: 3 * n, 3 * n + 1: 3 * n, 3 * n + 2: 3 * n + 2}
+        a, b = (_labelled(" ".join(x)) for x in (base, again))
+        row = [0] * (len(b) + 1)
+        for v in a:
+            left = 0
+            for j, u in enumerate(b):
+                left, row[j + 1] = row[j + 1], left + 1 if u == v else max(row[j + 1], row[j])
+        x, y = (ordermin.shingles(t, ordermin.Words()) for t in (base, again))
+        assert len(set(a)) == len(a) and len(np.intersect1d(x, y)) == len(set(a) & set(b))
+        assert ordermin.aligned(x, y) == pytest.approx(row[-1] / (len(a) + len(b) - row[-1])) and ordermin.aligned(x, y) > 0.85
+    assert {x.doc_id: x.class_id for x in ordermin.classes(_frame(spark, rows)).collect()} == want
+
+
 def test_near_duplicates_of_nothing(spark, docs):
     assert ordermin.classes(docs.limit(0)).count() == 0
     assert ordermin.one_of_each(docs.withColumn("node", F.lit(1)).withColumn("root", F.lit(2)).limit(0)).columns[-2:] == ["node", "root"]
