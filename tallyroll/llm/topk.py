@@ -9,8 +9,11 @@ score so far. That score carries over from block to block.
 Queries are packed into blocks too and meet the vector blocks by an equi-join on the group that a block belongs to; tasks
 hold one block of either kind at a time.
 
+Rows with a component beyond +-LARGEST are packed into blocks of their own, of wider integers; scores that might pass a long
+are computed as Python integers and ranked by their bytes.
+
 Defined cases: components become floor(256 * x); vectors that are null, empty or hold null or non-finite components, and
-those with a null id or a component beyond +-LARGEST, whose scores might not fit a long, take no part; a shorter vector
+those with a null id, take no part; a score that doesn't fit a long is ranked exactly and given as null; a shorter vector
 counts as having zeros; a query's candidates are all rows with another id, repeated rows each by themselves; repeated query
 rows are one query, of the smallest vector; equal scores go to the smaller id; an empty table gives an empty result.
 """
@@ -18,7 +21,9 @@ rows are one query, of the smallest vector; equal scores go to the smaller id; a
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -42,47 +47,73 @@ def _packed(block: int):
     """Packs scan batches into blocks: the ids, the integer components row by row, and of each dimension the rows by ascending component."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, list[np.ndarray]]] = []
-        held = 0
+        # rows of components within LARGEST, and the others
+        kept: list[tuple[list[int], list[np.ndarray]]] = [([], []), ([], [])]
 
-        def out() -> pa.RecordBatch:
-            ids = np.concatenate([k[0] for k in kept])
-            rows = [r for k in kept for r in k[1]]
+        def out(ids: list[int], rows: list[np.ndarray]) -> pa.RecordBatch:
             d = max(map(len, rows))
-            matrix = np.zeros((len(rows), d), np.int32)
+            matrix = np.zeros((len(rows), d), rows[0].dtype)
             for m, r in zip(matrix, rows, strict=True):
                 m[: len(r)] = r
             lists = np.argsort(matrix, axis=0, kind="stable").T.astype(np.uint16)
-            return pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int32()), "d": pa.array([d], pa.int32()), "ids": [ids.tobytes()], "matrix": [matrix.tobytes()], "lists": [lists.tobytes()]})
+            return pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int32()), "d": pa.array([d], pa.int32()), "ids": [np.array(ids, np.int64).tobytes()], "matrix": [_bytes(matrix)], "lists": [lists.tobytes()]})
 
         for batch in batches:
             for at in range(0, batch.num_rows, block):
-                ids, rows = _rows(batch.slice(at, block))
-                while len(ids):
-                    room = block - held
-                    kept.append((ids[:room], rows[:room]))
-                    held += len(ids[:room])
-                    ids, rows = ids[room:], rows[room:]
-                    if held == block:
-                        yield out()
-                        kept, held = [], 0
-        if held:
-            yield out()
+                for i, r in zip(*_rows(batch.slice(at, block)), strict=True):
+                    ids, rows = kept[r.dtype == object]
+                    ids.append(i)
+                    rows.append(r)
+                    if len(ids) == block:
+                        yield out(ids, rows)
+                        ids.clear()
+                        rows.clear()
+        for ids, rows in kept:
+            if ids:
+                yield out(ids, rows)
 
     return pack
 
 
-def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The ids and scaled components of a batch's rows that take part."""
+def _bytes(matrix: np.ndarray) -> bytes:
+    """The components row by row: of four bytes each, or of eight or more where they are Python integers."""
+    if matrix.dtype != object:
+        return matrix.tobytes()
+    width = max(8, max(x.bit_length() for x in matrix.flat) // 8 + 1)
+    return b"".join(x.to_bytes(width, "little", signed=True) for x in matrix.flat)
+
+
+def _matrix(data: bytes, n: int, d: int) -> np.ndarray:
+    """What _bytes has written, as n rows of d components."""
+    if (width := len(data) // (n * d)) == 4:
+        return np.frombuffer(data, np.int32).reshape(n, d)
+    out = np.empty(n * d, object)
+    out[:] = [int.from_bytes(data[at : at + width], "little", signed=True) for at in range(0, len(data), width)]
+    return out.reshape(n, d)
+
+
+def _ordered(score: int) -> bytes:
+    """Bytes that sort as integers of any size do."""
+    size = score.bit_length() // 8 + 1
+    at = size if score >= 0 else -size
+    return (at + (1 << 31)).to_bytes(4, "big") + (score + (0 if score >= 0 else 1 << 8 * size)).to_bytes(size, "big")
+
+
+def _rows(batch: pa.RecordBatch) -> tuple[list[int], list[np.ndarray]]:
+    """The ids and scaled components of a batch's rows that take part, as Python integers where one is beyond LARGEST."""
     ids, rows = [], []
     for key, vector in zip(batch.column(0), batch.column(1), strict=True):
         if not (key.is_valid and vector.is_valid) or not len(vector.values):
             continue
-        v = np.floor(SCALE * vector.values.to_numpy(zero_copy_only=False).astype(np.float64))
-        if np.isfinite(v).all() and np.abs(v).max() <= LARGEST:
-            ids.append(key.as_py())
-            rows.append(v.astype(np.int32))
-    return np.array(ids, np.int64), rows
+        v = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
+        if not np.isfinite(v).all():
+            continue
+        ids.append(key.as_py())
+        if np.abs(v).max() <= LARGEST // SCALE:
+            rows.append(np.floor(SCALE * v).astype(np.int32))
+        else:  # doubles this large are integers already, and 256 times them might pass the largest double
+            rows.append(np.array([math.floor(SCALE * x) if abs(x) < 1 << 60 else SCALE * int(x) for x in v.tolist()], object))
+    return ids, rows
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -93,13 +124,14 @@ class Block:
     """A block of vectors with its per-dimension lists."""
 
     def __init__(self, n: int, d: int, ids: bytes, matrix: bytes, lists: bytes):
-        whole = np.frombuffer(matrix, np.int32).reshape(n, d)
+        self.whole = _matrix(matrix, n, d)
         self.ids = np.frombuffer(ids, np.int64)
-        # sums of products stay exact in doubles up to 2^53; beyond that, in longs
-        self.kind = np.float64 if d * int(np.abs(whole).max(initial=0)) < 1 << 26 else np.int64
-        self.rows = whole.astype(self.kind)
+        self.largest = int(np.abs(self.whole).max(initial=0))
+        # sums of products stay exact in doubles up to 2^53; beyond that, in longs; beyond those, in Python's integers
+        self.kind = object if self.whole.dtype == object else np.float64 if d * self.largest < 1 << 26 else np.int64
+        self.rows = self.whole.astype(self.kind)
         self.lists = np.frombuffer(lists, np.uint16).reshape(d, n)
-        self.values = np.take_along_axis(whole, self.lists.T, axis=0).T.astype(np.int64)
+        self.values = np.take_along_axis(self.whole, self.lists.T, axis=0).T.astype(object if self.kind is object else np.int64)
 
     def top(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
         """Adds the block's rows to the heap `best` of (score, -id) by the threshold algorithm; returns the depth it went to."""
@@ -107,10 +139,11 @@ class Block:
         width = min(d, len(query))
         dims = np.flatnonzero(query[:width])
         q = query[dims]
-        exact = self.kind is np.int64 or width * int(np.abs(q).max(initial=0)) >= 1 << 26
-        weights = np.zeros(d, np.int64 if exact else np.float64)
+        size = width * int(np.abs(q).max(initial=0))
+        kind = object if size * self.largest >= 1 << 62 or self.kind is object else np.int64 if size >= 1 << 26 else self.kind
+        weights = np.zeros(d, kind)
         weights[dims] = q
-        rows = self.rows.astype(np.int64) if exact and self.kind is not np.int64 else self.rows
+        rows = self.rows if kind is self.kind else self.whole.astype(kind)
         up = q > 0
         seen = np.zeros(n, bool)
         at, depth = 0, FIRST_DEPTH
@@ -124,24 +157,26 @@ class Block:
             else:
                 new, to = np.arange(n), n
             seen[new] = True
+            new = new[self.ids[new] != query_id]
             if len(new):
                 scores = rows[new] @ weights
                 if len(best) == k:
                     new = new[scores >= best[0][0]]
                     scores = scores[scores >= best[0][0]]
-                elif len(scores) > k + 1:
-                    least = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                elif len(scores) > k:
+                    least = np.partition(scores, len(scores) - k)[len(scores) - k]
                     new, scores = new[scores >= least], scores[scores >= least]
                 for i, s in zip(self.ids[new].tolist(), scores.tolist(), strict=True):
-                    if i != query_id:
-                        item = (int(s), -i)
-                        if len(best) < k:
-                            heapq.heappush(best, item)
-                        elif item > best[0]:
-                            heapq.heapreplace(best, item)
+                    item = (int(s), -i)
+                    if len(best) < k:
+                        heapq.heappush(best, item)
+                    elif item > best[0]:
+                        heapq.heapreplace(best, item)
             at, depth = to, 2 * to
             if len(best) == k and at < n:
-                bound = int(q[up] @ self.values[dims[up], n - at]) + int(q[~up] @ self.values[dims[~up], at - 1])
+                ends = np.concatenate([self.values[dims[up], n - at], self.values[dims[~up], at - 1]])
+                signed = np.concatenate([q[up], q[~up]])
+                bound = sum(map(mul, signed.tolist(), ends.tolist())) if kind is object else int(signed @ ends)
                 if bound < best[0][0]:
                     break
         return at
@@ -154,8 +189,8 @@ def _search(k: int):
         query_block, block_id, block, ids, queries, best = None, None, None, [], [], []
 
         def out() -> pa.RecordBatch:
-            found = [(q, -i, s) for q, heap in zip(ids, best, strict=True) for s, i in heap]
-            return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in range(3)], names=["query_id", "vec_id", "score"])
+            found = [(q, -i, s if -1 << 63 <= s < 1 << 63 else None, _ordered(s)) for q, heap in zip(ids, best, strict=True) for s, i in heap]
+            return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.binary() if c == 3 else pa.int64()) for c in range(4)], names=["query_id", "vec_id", "score", "order"])
 
         for batch in batches:
             for at in range(batch.num_rows):
@@ -165,7 +200,8 @@ def _search(k: int):
                         yield out()
                     query_block = cell("qb")
                     ids = np.frombuffer(cell("qids"), np.int64).tolist()
-                    queries = np.frombuffer(cell("qmatrix"), np.int32).reshape(len(ids), -1).astype(np.int64)
+                    queries = _matrix(cell("qmatrix"), len(ids), cell("qd"))
+                    queries = queries if queries.dtype == object else queries.astype(np.int64)
                     best = [[] for _ in ids]
                 if cell("block") != block_id:
                     block_id, block = cell("block"), Block(*map(cell, ("n", "d", "ids", "matrix", "lists")))
@@ -183,14 +219,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id
     shape = "n int, d int, ids binary, matrix binary, lists binary"
     blocks = stored(_vectors(vectors, key, vector).mapInArrow(_packed(block), shape).withColumn("block", F.monotonically_increasing_id()), "blocks")
     asked = _vectors(queries, key, vector).mapInArrow(_valid, "query_id long, v array<double>").groupBy("query_id").agg(F.min("v").alias("v"))
-    asked = asked.mapInArrow(_packed(query_block), shape).select(F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
+    asked = asked.mapInArrow(_packed(query_block), shape).select(F.col("d").alias("qd"), F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
     asked = stored(asked.withColumn("qb", F.monotonically_increasing_id()), "asked")
     groups = max(1, -(-(count := blocks.count()) // GROUP), min(count, 4 * spark.sparkContext.defaultParallelism))
     blocks = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
     asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
     # a merge join keeps the blocks that one query block meets together
-    found = asked.hint("merge").join(blocks, "group").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = asked.hint("merge").join(blocks, "group").mapInArrow(_search(k), "query_id long, vec_id long, score long, order binary")
+    order = Window.partitionBy("query_id").orderBy(F.desc("order"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -233,6 +233,26 @@ def test_top_k_matches_brute_force(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
 
 
+def test_top_k_keeps_neighbours_of_repeated_queries_and_large_components(spark):
+    r = np.random.default_rng(4)
+    # the query's id occurs three times, with the best scores
+    vectors = [(1, [float(s), 1.0]) for s in (99, 98, 97)] + [(10 + i, [float(s), 0.0]) for i, s in enumerate((50, 40, 30, 20, 10, 5, 4))]
+    # components beyond 2^18, beyond what 256 times a float holds, and such whose scores pass a long
+    vectors += [(30 + i, [float(x) for x in r.normal(size=2) * 10.0 ** (3 * i)]) for i in range(13)] + [(60, [1e308, -1e308]), (61, [-1e308, 1e308]), (62, [1.5e308, 3.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").coalesce(1)
+    whole = [(i, [int(256 * x // 1) if abs(x) < 1e15 else 256 * int(x) for x in v]) for i, v in vectors]
+    for block in (4, 2048):
+        for rows in (df.where("vec_id < 30"), df):
+            known = [w for w in whole if rows is df or w[0] < 30]
+            got = {(x.query_id, x.rank): (x.vec_id, x.score) for x in topk.top_k(rows, rows, block=block, query_block=3).collect()}
+            for q in {i for i, _ in known}:
+                v = min(u for i, u in known if i == q)
+                best = sorted((-sum(a * b for a, b in zip(v, u)), i) for i, u in known if i != q)[:5]
+                assert [got[q, k + 1] for k in range(len(best))] == [(i, -s if -(1 << 63) <= -s < 1 << 63 else None) for s, i in best]
+    sizes = sorted({s * (1 << b) + d for s in (-1, 1) for b in (0, 7, 8, 15, 63, 64, 2100) for d in (-1, 0, 1)} | {0})
+    assert [topk._ordered(s) for s in sizes] == sorted(topk._ordered(s) for s in sizes)
+
+
 def test_bpe_agrees_with_the_library(spark, docs):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(tokenizer_path())
