@@ -32,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,8 +5,12 @@ those at its other positions are ignored, so that a hit survives substitutions t
 hit fixes how the item lies over the document; around it, word by word, the overlap is verified: an item is found if at
 least OVERLAP of its words stand at their places. Everything runs as DataFrame operations.
 
+The masks lose nothing down to OVERLAP: LONG hits every way in which 10 words keep 8 or 15 keep 12, and each longer item is
+made of such stretches, one of which keeps its share; items of 8 and 9 words, which may lose one, are hit as well. Items of
+5 to 7 words have MIDDLE, and shorter ones, which may lose none, are hashed whole.
+
 Defined cases: words are runs of letters, marks and digits, lower-cased; null texts and texts without words match nothing;
-items shorter than the shortest mask have no seeds and match nothing; items with equal words are searched once and reported
+items of fewer words than `shortest` match nothing (the queries search all, from one word up); items with equal words are searched once and reported
 each; an item found at several places is reported once per document id, with its largest overlap and first such place; rows
 with equal ids count as one document for the report, and each for the filter; a null id is an id like any other; an empty
 table gives an empty result (or all documents, where there is no benchmark); other columns pass through untouched, whatever
@@ -22,43 +26,56 @@ from .common import BROADCAST_ROWS, digest, lookup_join, stored, words
 
 # The masks; 1 marks a word that is hashed. Each hashes five words.
 MASKS = ("110111", "11010011")
+LONG, MIDDLE = (*MASKS, "11111"), ("1111", "11011", "10111", "11101")
 #: The share of an item's words that a document has to hold at their places.
 OVERLAP = 0.8
+#: Words of the shortest item that is searched where a caller doesn't say.
+SHORTEST = 6
+
+
+def _masks(n: int) -> tuple[str, ...]:
+    """The masks for items of n words; the same from 8 up."""
+    return ("1" * n,) if n < 5 else MIDDLE if n < 8 else LONG
 
 
-def _with_seeds(df: DataFrame, words_col: str) -> DataFrame:
-    """One row a mask and place: the other columns, seed (null where the mask stands out over the end), pos."""
-    spots = sorted({i for mask in MASKS for i in _spots(mask)})
+def _with_seeds(df: DataFrame, words_col: str, masks: list[str]) -> DataFrame:
+    """One row a mask and place: the other columns, seed (null where the mask stands out over the end), mask, pos."""
+    spots = sorted({i for mask in masks for i in _spots(mask)})
     others = [c for c in df.columns if c != words_col]
     hashed = df.select(*others, F.transform(words_col, lambda w: F.xxhash64(w)).alias("__hashes"))
     # the hash i places on stands beside each hash, so that seeds are made in generated code
     shifted = F.arrays_zip(*[F.slice("__hashes", i + 1, F.greatest(F.size("__hashes"), F.lit(1))).alias(f"h{i}") for i in spots])
     placed = hashed.select(*others, F.posexplode(shifted).alias("pos", "__h"))
-    seeds = [F.when(F.col(f"__h.h{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"__h.h{i}") for i in _spots(mask)])) for k, mask in enumerate(MASKS)]
-    return placed.select(*others, "pos", F.explode(F.array(*seeds)).alias("seed"))
+    seeds = [F.when(F.col(f"__h.h{len(mask) - 1}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"__h.h{i}") for i in _spots(mask)])) for k, mask in enumerate(masks)]
+    return placed.select(*others, "pos", F.posexplode(F.array(*seeds)).alias("mask", "seed"))
 
 
 def _spots(mask: str) -> list[int]:
     return [i for i, bit in enumerate(mask) if bit == "1"]
 
 
-def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
+def _items(benchmark: DataFrame, item: str, text: str, shortest: int) -> DataFrame:
     """The distinct word sequences of the benchmark: item (the least id), ids (all), words."""
-    rows = benchmark.select(F.col(item).alias("id"), words(F.col(text)).alias("words")).where(F.size("words") >= min(map(len, MASKS)))
+    rows = benchmark.select(F.col(item).alias("id"), words(F.col(text)).alias("words")).where(F.size("words") >= max(1, shortest))
     return stored(rows.groupBy("words").agg(F.min("id").alias("item"), F.sort_array(F.collect_list("id")).alias("ids"), F.count("*").alias("n")).withColumn("key", digest(F.col("words"))), "items")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Columns __doc (the whole row), ids (of the items with these words), matched, length and start (first word, may be negative) of each verified overlap."""
-    items = _items(benchmark, item, item_text)
+def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text: str = "text", item: str = "item_id", item_text: str = "text", shortest: int = SHORTEST) -> DataFrame:
+    """Columns __doc (the whole row), ids (of the items with these words), matched, length and start (first word, may be negative) of each verified overlap; of items under 5 words, which match whole, the first of a document."""
+    items = _items(benchmark, item, item_text, shortest)
     rows = docs.select(F.struct("*").alias("__doc"), F.col(text).alias("__text")).withColumn("__key", digest(F.coalesce("__text", F.lit(""))))
-    seeds = _with_seeds(items.select("key", "words"), "words").where("seed IS NOT NULL")
-    found = _with_seeds(rows.select("__key", words(F.col("__text")).alias("__words")), "__words")
+    length = F.least(F.size("words"), F.lit(8))
+    lengths = [r[0] for r in items.select(length).distinct().collect()] or [8]
+    masks = sorted({mask for n in lengths for mask in _masks(n)})
+    own = F.create_map(*[F.lit(x) for n in lengths for x in (n, [masks.index(m) for m in _masks(n)])])
+    seeds = _with_seeds(items.select("key", "words", length.alias("n")), "words", masks).where(F.col("seed").isNotNull() & F.array_contains(own[F.col("n")], F.col("mask")))
+    found = _with_seeds(rows.select("__key", words(F.col("__text")).alias("__words")), "__words", masks)
     # a seed may belong to several items, so seeds are made unique for the lookup and spread again after it
-    by_seed = stored(seeds.groupBy("seed").agg(F.collect_list(F.struct("key", F.col("pos").alias("at"))).alias("places")), "seeds")
+    by_seed = stored(seeds.groupBy("seed").agg(F.collect_list(F.struct("key", F.col("pos").alias("at"), (F.col("n") < 5).alias("whole"))).alias("places")), "seeds")
     hits = lookup_join(found, by_seed, ["seed"], "inner", ["pos", "__key"])
-    hits = hits.select("__key", "pos", F.explode("places").alias("p")).select("__key", F.col("p.key").alias("key"), (F.col("pos") - F.col("p.at")).alias("start"))
-    hits = stored(hits.distinct(), "hits")
+    hits = hits.select("__key", "pos", F.explode("places").alias("p")).select("__key", F.col("p.key").alias("key"), (F.col("pos") - F.col("p.at")).alias("start"), "p.whole")
+    hits = hits.groupBy("__key", "key", F.when(~F.col("whole"), F.col("start")).alias("at")).agg(F.min("start").alias("start"))
+    hits = stored(hits.select("__key", "key", "start"), "hits")
     wanted = hits.join(F.broadcast(items) if items.count() <= BROADCAST_ROWS // 10 else items, "key").select("__key", "start", "ids", F.col("words").alias("__item"))
     by_text = stored(wanted.groupBy("__key").agg(F.collect_list(F.struct("start", "ids", "__item")).alias("__hits")), "wanted")
     both = lookup_join(rows, by_text, ["__key"], "inner", ["__doc"], bound=BROADCAST_ROWS // 20)
@@ -70,16 +87,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text
     return both.where(F.col("matched") >= F.col("length") * F.lit(share))
 
 
-def report(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, key: str = "doc_id") -> DataFrame:
+def report(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, key: str = "doc_id", shortest: int = SHORTEST) -> DataFrame:
     """doc_id, item_id, matched, length, start of every benchmark item found in a document."""
-    found = overlaps(docs, benchmark, share).select(F.col("__doc")[key].alias("doc_id"), F.explode(F.array_distinct("ids")).alias("item_id"), "matched", "length", "start")
+    found = overlaps(docs, benchmark, share, shortest=shortest).select(F.col("__doc")[key].alias("doc_id"), F.explode(F.array_distinct("ids")).alias("item_id"), "matched", "length", "start")
     best = F.min(F.struct((-F.col("matched")).alias("m"), "start", "length"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", (-F.col("b.m")).alias("matched"), F.col("b.length").alias("length"), F.col("b.start").alias("start"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text: str = "text") -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """The documents, in their own columns, that hold no benchmark item."""
-    bad = stored(overlaps(docs, benchmark, share, text).select(digest(F.coalesce(F.col("__doc")[text], F.lit(""))).alias("__key")).distinct(), "contaminated")
+    bad = stored(overlaps(docs, benchmark, share, text, shortest=shortest).select(digest(F.coalesce(F.col("__doc")[text], F.lit(""))).alias("__key")).distinct(), "contaminated")
     rows = docs.select(F.struct("*").alias("__doc"), digest(F.coalesce(F.col(text), F.lit(""))).alias("__key"))
     kept = lookup_join(rows, bad.withColumn("__bad", F.lit(True)), ["__key"], "left", ["__doc"]).where("__bad IS NULL")
     return kept.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])

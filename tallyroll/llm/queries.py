@@ -31,7 +31,7 @@ def op3_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def op5_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

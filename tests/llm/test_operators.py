@@ -186,6 +186,32 @@ def test_decontamination_tolerates_substitutions(spark):
     assert decontaminate.decontaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_decontamination_of_short_items_matches_brute_force(spark):
+    from itertools import combinations
+
+    r, items, texts = random.Random(6), [], []
+    for n in (*range(1, 11), 15):
+        item = [f"i{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(item)))
+        lost = [c for e in range(n // 5 + 2) for c in combinations(range(n), e)]
+        for c in lost if n < 11 else r.sample(lost, 150):
+            texts.append(" ".join(_words(r, 2) + ["zz" if j in c else w for j, w in enumerate(item)] + _words(r, 3)))
+    for k, item in items:  # items that stand out over an end, and twice in one text
+        w = item.split()
+        texts += [" ".join(w[k // 5 :] + ["end"]), " ".join(["begin"] + w[: k - k // 5]), f"a {item} b {item}"]
+    want = set()
+    for i, text in enumerate(texts):
+        w = text.split()
+        for k, item in items:
+            v = item.split()
+            places = [(-sum(0 <= j + at < len(w) and w[j + at] == x for j, x in enumerate(v)), at) for at in range(1 - len(v), len(w))]
+            if 5 * -min(places)[0] >= 4 * len(v):
+                want.add((i, k, -min(places)[0], min(places)[1]))
+    docs, bench = _frame(spark, [(i, t, "a") for i, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string")
+    assert {(x.doc_id, x.item_id, x.matched, x.start) for x in decontaminate.report(docs, bench, shortest=1).collect()} == want
+    assert {x.doc_id for x in decontaminate.decontaminated(docs, bench, shortest=1).collect()} == set(range(len(texts))) - {x[0] for x in want}
+
+
 def test_quality_learns_from_both_views(spark):
     r = random.Random(2)
     good = lambda: " ".join(_words(r, r.randrange(5, 90)))
