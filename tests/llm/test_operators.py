@@ -312,3 +312,27 @@ def test_licences_held_out(spark):
     held = licences.examples(99, 3)
     got = {x.doc_id: x.families for x in licences.scan(_frame(spark, [(i, f"some prose\n{t}\nmore", "a") for i, (t, _) in enumerate(held)] + [(-1, None, "a")])).collect()}
     assert np.mean([got[i] == ("" if k == licences.UNKNOWN else k) for i, (_, k) in enumerate(held)]) > 0.9 and got[-1] == ""
+
+
+def test_licences_wrapped_in_files():
+    mit = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    gpl = """it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+    predict = lambda t: licences.trained().predict(t)[0]
+    for mark in ("", "# ", " * ", "// "):
+        for text, family in ((mit, "MIT"), (gpl, "GPL-3.0")):
+            text = "some words\n\n" + "".join(mark + x + "\n" for x in text.splitlines())
+            got = licences.licences_of(text, predict)
+            assert {k for k, _, _ in got} == {family} and len(got) == (2 if family == "MIT" else 1)
+            assert all(text[a:b].startswith(mark) and "\n" in text[a:b] for _, a, b in got)
