@@ -10,8 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows a lookup table may have to be broadcast; beyond it the salted join is used.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes (as JSON) a lookup table may have to be broadcast; beyond either the salted join is used.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 SALTS = 16
 ARROW_ROWS = 500
 
@@ -21,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset and all runs on one machine (tests)."""
     if at := spark.conf.get("spark.checkpoint.dir", None):
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(at)
         return at
     if not (at := spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="spark-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(f"file://{own}")
@@ -56,13 +58,20 @@ def digest(*cols: Column) -> Column:
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(0x5EED), *cols).alias("b"))
 
 
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table is small enough to be broadcast; only tables of few rows are measured."""
+    if df.count() > rows:
+        return False
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, salt_by: list[str], bound: int = BROADCAST_ROWS) -> DataFrame:
-    """left join right, whose rows are unique by keys and already stored.
+    """left join right, whose rows are already stored.
 
-    Broadcasts right if it has at most `bound` rows. Otherwise copies each of its rows to SALTS salts, so that a key with
+    Broadcasts right if it has at most `bound` rows of at most BROADCAST_BYTES together. Otherwise copies each of its rows to SALTS salts, so that a key with
     a third of left's rows goes to SALTS tasks.
     """
-    if right.count() <= bound:
+    if small(right, bound):
         return left.join(F.broadcast(right), keys, how)
     salted = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     left = left.withColumn("__salt", F.pmod(F.xxhash64(*salt_by), F.lit(SALTS)).cast("int"))
