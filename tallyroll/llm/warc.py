@@ -1,6 +1,6 @@
 """WARC archives whose records are compressed one by one against a shared Zstandard dictionary.
 
-The dictionary is trained on archived records (a bounded sample, chosen by hash), embedded in a leading skippable frame of
+The dictionary is trained on archived records (a bounded sample of their beginnings, chosen by hash), embedded in a leading skippable frame of
 every archive file, as the WARC/Zstandard specification has it, and each record is a frame of its own. Of pages with equal
 payloads the one with the largest page_id is a response; the others are revisits that refer to it and carry no payload.
 
@@ -10,8 +10,8 @@ folder may be local, HDFS or an object store.
 
 Defined cases: a null html is an empty payload; a null url leaves out the target; pages with a null page_id are responses
 unless another page with the payload has an id; rows that repeat the largest page_id of their payload are all responses;
-every row becomes a record; if there are too few records to train a dictionary, files have none and records are plain
-frames; an empty table gives an empty result; other columns have no part in it.
+every row becomes a record; if there are too few records to train a dictionary (under LEAST_RECORDS), files have none and
+records are plain frames; an empty table gives an empty result; other columns have no part in it.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ from .common import in_small_batches, lookup_join, new_path, stored
 
 #: Payloads of at least so many bytes are stored once.
 MIN_DEDUP_BYTES = 0
-#: The sample that the dictionary is trained on: so many records, each of at most so many bytes, and the dictionary's size.
-SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 32_768, 65_536
+#: The sample that the dictionary is trained on: about so many records, so many characters of each, and the dictionary's size.
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 16_384, 65_536
+LEAST_RECORDS = 16
 LEVEL = 5
 DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the formats: magic numbers of the dictionary's skippable frame and of a Zstandard dictionary.
@@ -93,7 +94,7 @@ def trained_dictionary(records: list[bytes], size: int = DICTIONARY_BYTES) -> by
     """A dictionary from sample records, or nothing where they are too few to train one."""
     total = sum(map(len, records))
     try:
-        return zstandard.train_dictionary(min(size, total // 8), records, level=LEVEL).as_bytes() if len(records) >= 16 else b""
+        return zstandard.train_dictionary(min(size, total // 8), records, level=LEVEL).as_bytes() if len(records) >= LEAST_RECORDS else b""
     except zstandard.ZstdError:
         return b""
 
@@ -141,6 +142,13 @@ def decided(pages: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
     return joined.select("page_id", "url", "html", F.when(~F.col("keep").eqNullSafe(F.col("page_id")), F.col("keep")).alias("keep"))
 
 
+def _sample(pages: DataFrame) -> DataFrame:
+    """The beginnings of at most SAMPLE_ROWS pages, chosen by hash: a threshold leaves few on the way to the last step."""
+    sample = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.substring("html", 1, SAMPLE_CHARS).alias("html"), F.xxhash64("page_id", "url", "html").alias("h")).where("html IS NOT NULL")
+    share = min(1.0, 1.2 * SAMPLE_ROWS / max(1, pages.count()))
+    return sample.where(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("h", "html").limit(SAMPLE_ROWS).select("page_id", "url", "html")
+
+
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
     """Writes the pages' archives and returns their manifest: path, records, bytes."""
     spark = pages.sparkSession
@@ -148,8 +156,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     if ":/" not in folder:
         folder = f"file://{folder}"
     rows = decided(pages, min_bytes)
-    sample = pages.select("page_id", "url", "html").where(F.octet_length("html") <= SAMPLE_BYTES).orderBy(F.xxhash64("page_id", "html")).limit(SAMPLE_ROWS)
-    dictionary = spark.sparkContext.broadcast(trained_dictionary([record(r[0], r[1], r[2].encode(), None, False) for r in sample.collect()]))
+    dictionary = spark.sparkContext.broadcast(trained_dictionary([record(r[0], r[1], r[2].encode(), None, False) for r in _sample(pages).collect()]))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*(batch.column(i) for i in range(4)), strict=True))
@@ -162,7 +169,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
         known = zstandard.ZstdCompressionDict(dictionary.value) if dictionary.value else None
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_checksum=True)
         records = size = 0
-        with system.open_output_stream(path) as out:
+        with system.open_output_stream(path, compression=None) as out:  # the name ends in .zst, but its frames are made here
             out.write(head_frame(dictionary.value))
             for row in (r for part in ([first], rows) for r in part):
                 page_id, url, html, keep = (x.as_py() for x in row)
@@ -177,7 +184,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
 
 def read_archives(manifest: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to and url of every record of the manifest's archives."""
-    paths = manifest.select("path", "folder", "records").repartition(F.col("path"))
+    paths = manifest.select("path", "folder", "records").repartition(max(1, manifest.count()))  # a task an archive
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +192,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             for path, folder, records in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 system, _ = pafs.FileSystem.from_uri(folder)
                 found = 0
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     rows = map(parsed, read_records(stream))
                     while some := list(islice(rows, 1000)):
                         found += len(some)
