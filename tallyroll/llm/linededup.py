@@ -2,7 +2,7 @@
 
 Documents are grouped by host (column `source`). The number of a host's pages that hold a line, divided by the number of
 all its pages, is the line's ratio; lines whose ratio exceeds the threshold are boilerplate and are dropped from the pages
-of that host.
+of that host. A line that only one page holds repeats nowhere and is never boilerplate, however few pages its host has.
 
 Defined cases: lines are compared after removing surrounding spaces and are split at newlines only; blank lines are never
 boilerplate; a line repeated within a page counts once; rows count as pages even if they repeat or lack an id; a null host
@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from .common import lookup_join, stored
 
-#: A line goes if more than RATIO of its host's pages hold it, and at least MIN_PAGES pages do.
+#: A line goes if more than RATIO of its host's pages hold it, and at least MIN_PAGES pages do: one page alone repeats nothing.
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _lines(text: Column) -> Column:
@@ -36,7 +36,7 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     totals = stored(pages.groupBy("__host").agg(F.count("*").alias("__pages")), "hosts")
     lines = pages.select("__host", F.explode(F.array_distinct(F.transform(_lines(F.col("__text")), F.trim))).alias("__line")).where("__line <> ''")
     counts = (
-        lines.groupBy("__host", F.xxhash64("__line").alias("__h"), F.xxhash64(F.lit(1), "__line").alias("__h2"))
+        lines.groupBy("__host", F.xxhash64("__line").alias("__h"))  # 64 bits are enough among the lines of one host
         .agg(F.count("*").alias("__n"))
         .where(F.col("__n") >= min_pages)
     )
