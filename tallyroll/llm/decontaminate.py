@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, digest, lookup_join, stored, words
+from .common import digest, lookup_join, small, stored, words
 
 # The masks; 1 marks a word that is hashed. Each hashes five words.
 MASKS = ("110111", "11010011")
@@ -70,15 +70,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = OVERLAP, text
     own = F.create_map(*[F.lit(x) for n in lengths for x in (n, [masks.index(m) for m in _masks(n)])])
     seeds = _with_seeds(items.select("key", "words", length.alias("n")), "words", masks).where(F.col("seed").isNotNull() & F.array_contains(own[F.col("n")], F.col("mask")))
     found = _with_seeds(rows.select("__key", words(F.col("__text")).alias("__words")), "__words", masks)
-    # a seed may belong to several items, so seeds are made unique for the lookup and spread again after it
-    by_seed = stored(seeds.groupBy("seed").agg(F.collect_list(F.struct("key", F.col("pos").alias("at"), (F.col("n") < 5).alias("whole"))).alias("places")), "seeds")
-    hits = lookup_join(found, by_seed, ["seed"], "inner", ["pos", "__key"])
-    hits = hits.select("__key", "pos", F.explode("places").alias("p")).select("__key", F.col("p.key").alias("key"), (F.col("pos") - F.col("p.at")).alias("start"), "p.whole")
+    by_seed = stored(seeds.select("seed", "key", F.col("pos").alias("at"), (F.col("n") < 5).alias("whole")), "seeds")
+    hits = lookup_join(found, by_seed, ["seed"], "inner", ["pos", "__key"]).select("__key", "key", (F.col("pos") - F.col("at")).alias("start"), "whole")
     hits = hits.groupBy("__key", "key", F.when(~F.col("whole"), F.col("start")).alias("at")).agg(F.min("start").alias("start"))
     hits = stored(hits.select("__key", "key", "start"), "hits")
-    wanted = hits.join(F.broadcast(items) if items.count() <= BROADCAST_ROWS // 10 else items, "key").select("__key", "start", "ids", F.col("words").alias("__item"))
+    wanted = hits.join(F.broadcast(items) if small(items) else items, "key").select("__key", "start", "ids", F.col("words").alias("__item"))
     by_text = stored(wanted.groupBy("__key").agg(F.collect_list(F.struct("start", "ids", "__item")).alias("__hits")), "wanted")
-    both = lookup_join(rows, by_text, ["__key"], "inner", ["__doc"], bound=BROADCAST_ROWS // 20)
+    both = lookup_join(rows, by_text, ["__key"], "inner", ["__doc"])
     both = both.select("__doc", words(F.col("__text")).alias("__words"), F.explode("__hits").alias("h"))
     w, v, start = F.col("__words"), F.col("h.__item"), F.col("h.start")
     lo, hi = F.greatest(F.lit(0), -start), F.least(F.size(v), F.size(w) - start) - 1
