@@ -2,34 +2,35 @@
 
 The text view sees a document's characters, words and lines; the metadata view sees its host, language and length as
 recorded. Both are logistic regressions. They start from the labelled documents; in each round, each view labels those
-documents of an unlabelled pool that it is most certain about, and hands them to the other view's training set. Labelled
-documents that are held out calibrate each view's log-odds and then the combination of both, which scores all documents.
+unlabelled documents that it is most certain about, and hands them to the other view's training set. Labelled documents
+that are held out calibrate each view's log-odds and then the combination of both, which scores all documents.
 
-Models are fitted on bounded samples, chosen by hash: at most MAX_LABELLED labelled documents and POOL unlabelled ones.
-Scores cover every row and whole texts.
+Both views' features of every document are computed once, over whole texts, and stored; each round searches all unlabelled
+documents for the most certain ones, and the last step scores all, by column expressions. At most MAX_LABELLED labelled
+documents, chosen by hash, teach and calibrate; that is the only bound. Unlabelled documents of equal features count once.
 
 Defined cases: a null text is an empty one; null or unknown hosts, languages and lengths have features of their own;
 repeated labels of an id are averaged, a tie counts as good; labels of other values than 0 and 1, or without an id or a
-document, are left out; without labels of both kinds there is no model, and each score is the share of good labels (1 where
-there is none); rows with equal ids are scored each; an empty table gives an empty result; other columns pass through
-untouched, whatever their names.
+document, are left out; of documents with one labelled id, the one of the least features teaches; without labels of both
+kinds there is no model, and each score is the share of good labels (1 where there is none); rows with equal ids are scored
+each; an empty table gives an empty result; other columns pass through untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_small_batches
+from .common import in_small_batches, lookup_join, stored
 
-MAX_LABELLED, POOL = 4000, 4000
+MAX_LABELLED = 4000
 ROUNDS, PER_ROUND = 5, 100
 #: Calibrated probability beyond which a view is certain.
 CERTAIN = 0.97
@@ -37,6 +38,9 @@ CERTAIN = 0.97
 KEEP = 0.5
 MARKS = "!*#$%&|<>{}=@_~^\\/"
 HOSTS, LANGS = 64, 16
+TEXT_FEATURES, META_FEATURES = 18, 4
+#: Groups that the most certain documents of the tasks are ranked in before the driver sees them.
+GROUPS = 16
 
 
 def text_features(text: str) -> np.ndarray:
@@ -78,14 +82,20 @@ def text_features(text: str) -> np.ndarray:
     )
 
 
-def meta_features(host: str | None, lang: str | None, size: float | None) -> np.ndarray:
-    """The metadata view: hashed host and language, and the recorded length."""
-    out = np.zeros(3 + HOSTS + LANGS + 1)
-    out[0] = 1.0
-    out[1] = 0.0 if size is None or not math.isfinite(size) else math.log1p(max(0.0, size)) / 10
-    out[2] = float(size is None)
-    out[3 + (zlib.crc32(host.encode("utf-8", "surrogatepass")) % HOSTS if host is not None else HOSTS)] = 1.0
-    out[4 + HOSTS + (zlib.crc32(lang.encode("utf-8", "surrogatepass")) % LANGS if lang is not None else 0) - 1] += 1.0
+def meta_features(host: str | None, lang: str | None, size: float | None) -> list[float]:
+    """The metadata view: the recorded length, whether it is unknown, and the slots of the hashed host and language."""
+    known = size is not None and math.isfinite(size)
+    slot = lambda x, n: float(zlib.crc32(x.encode("utf-8", "surrogatepass")) % n if x is not None else n)
+    return [math.log1p(max(0.0, size)) / 10 if known else 0.0, float(not known), slot(host, HOSTS), slot(lang, LANGS)]
+
+
+def expanded(meta: np.ndarray) -> np.ndarray:
+    """Rows of meta_features as columns: a constant, both numbers, and one column a slot of host and language."""
+    out, rows = np.zeros((len(meta), 3 + HOSTS + 1 + LANGS + 1)), np.arange(len(meta))
+    out[:, 0] = 1.0
+    out[:, 1:3] = meta[:, :2]
+    out[rows, 3 + meta[:, 2].astype(int)] = 1.0
+    out[rows, 4 + HOSTS + meta[:, 3].astype(int)] = 1.0
     return out
 
 
@@ -141,109 +151,177 @@ class CoTrained:
     weights: np.ndarray
     rounds: list[tuple[int, int]]
 
-    def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self.text is None:
-            share = np.full(len(text), self.weights[0])
-            return share, share, share
-        a, b = self.text.log_odds(text), self.meta.log_odds(meta)
-        return _sigmoid(a), _sigmoid(b), _sigmoid(self.weights @ np.stack([np.ones(len(a)), a, b]))
+
+def _linear(view: View) -> tuple[np.ndarray, float]:
+    """Weights and constant of a view's log-odds before clipping and calibration."""
+    w = view.w / view.scale
+    return w, -float(view.mean @ w)
+
+
+Chosen = dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> CoTrained:
-    """Rounds of exchange between the views; `held` marks the labelled rows that calibrate."""
+def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, choose: Callable[[list[View], np.ndarray], Chosen], rounds: int = ROUNDS) -> CoTrained:
+    """Rounds of exchange between the views; `held` marks the labelled rows that calibrate.
+
+    choose(views, taken) gives of each view and class the keys and both kinds of features of the unlabelled documents that
+    the view is most certain about, without those whose keys are taken.
+    """
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)  # too few to hold any out: they calibrate what they taught
         if len(set(y)) < 2:
             return CoTrained(None, None, np.array([y.mean() if len(y) else 1.0]), [])
     calibrate = held if held.any() else ~held
-    own = [text[~held], meta[~held]]
-    pools, seen = [pool_text, pool_meta], [text[calibrate], meta[calibrate]]
+    whole = [text, expanded(meta)]
+    own, seen = [x[~held] for x in whole], [x[calibrate] for x in whole]
     extra_x, extra_y = [[], []], [[], []]
-    free = np.ones(len(pool_text), bool)
+    taken = np.zeros(0, np.int64)
     exchanged = []
     for r in range(rounds + 1):
         views = [View.learned(np.concatenate([own[v], *extra_x[v]]), np.concatenate([y[~held], *extra_y[v]]), seen[v], y[calibrate]) for v in (0, 1)]
-        if r == rounds or not free.any():
+        if r == rounds:
             break
-        given = []
-        for v in (0, 1):
-            p = np.where(free, _sigmoid(views[v].log_odds(pools[v])), 0.5)
-            good, bad = np.argsort(-p, kind="stable")[:per_round], np.argsort(p, kind="stable")[:per_round]
-            good, bad = good[p[good] >= CERTAIN], bad[p[bad] <= 1 - CERTAIN]
-            chosen = np.concatenate([good, bad])
-            extra_x[1 - v].append(pools[1 - v][chosen])
-            extra_y[1 - v].append(np.concatenate([np.ones(len(good)), np.zeros(len(bad))]))
-            given.append(chosen)
-        for chosen in given:
-            free[chosen] = False
-        exchanged.append((len(given[0]), len(given[1])))
+        chosen = choose(views, taken)
+        for (v, good), (_, t, m) in chosen.items():
+            extra_x[1 - v].append(expanded(m) if v == 0 else t)
+            extra_y[1 - v].append(np.full(len(t), float(good)))
+        taken = np.unique(np.concatenate([taken, *(c[0] for c in chosen.values())]))
+        exchanged.append(tuple(sum(len(c[0]) for (v, _), c in chosen.items() if v == view) for view in (0, 1)))
         if not any(exchanged[-1]):
             break
     a, b = (views[v].log_odds(seen[v]) for v in (0, 1))
     return CoTrained(*views, fitted(np.stack([np.ones(len(a)), a, b], 1), y[calibrate], ridge=0.05), exchanged)
 
 
-def _features(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both views of a batch whose columns from `at` on are text, host, lang, size."""
-    text = [text_features(t.as_py() or "") for t in batch.column(at)]
-    meta = [meta_features(*(x.as_py() for x in row)) for row in zip(*batch.columns[at + 1 : at + 4], strict=True)]
-    return np.stack(text) if text else np.zeros((0, 18)), np.stack(meta) if meta else np.zeros((0, 4 + HOSTS + LANGS))
+def most_certain(views: list[View], taken: np.ndarray, keys: np.ndarray, text: np.ndarray, meta: np.ndarray, n: int = PER_ROUND) -> dict[tuple[int, bool], tuple[np.ndarray, ...]]:
+    """Of each view and class: strength (calibrated log-odds), key and features of the n documents that it is most certain about."""
+    free = ~np.isin(keys, taken)
+    sure, out = math.log(CERTAIN / (1 - CERTAIN)), {}
+    for v, x in ((0, text), (1, expanded(meta))):
+        odds = views[v].log_odds(x)
+        for good in (True, False):
+            strength = odds if good else -odds
+            at = np.flatnonzero(free & (strength >= sure))
+            at = at[np.unique(keys[at], return_index=True)[1]]
+            at = at[np.lexsort((keys[at], -strength[at]))[:n]]
+            out[v, good] = strength[at], keys[at], text[at], meta[at]
+    return out
+
 
+def _lists(x: np.ndarray) -> pa.Array:
+    """Rows as Arrow lists of floats."""
+    return pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], np.ascontiguousarray(x, np.float32).ravel())
 
-def _sampled(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The features of a bounded sample: text, meta, y and whether held out."""
+
+def _rows(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64)
+
+
+def featured(docs: DataFrame, carry: list[str], key: str = "doc_id", text: str = "text", host: str = "source", lang: str = "lang", size: str = "n_chars") -> DataFrame:
+    """Stored: __doc (a struct of the columns `carry` of each row), __id, t and m (the features of both views)."""
+    own = [c for c in (text, host, lang, size) if c in docs.columns]
+    names = [*dict.fromkeys([*carry, key, *own])]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__doc"), F.col(key).alias("__id"), F.array(F.lit(0.0).cast("float")).alias("t"), F.array(F.lit(0.0).cast("float")).alias("m")).schema
+    at = {c: i for i, c in enumerate(names)}
+    whole = len(carry) == len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, meta = _features(batch, 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(list(text), pa.list_(pa.float64())), pa.array(list(meta), pa.list_(pa.float64()))], names=["h", "y", "t", "m"])
+            doc = batch.column(0)
+            cells = lambda c: doc.field(at[c]).to_pylist() if c in at else [None] * len(doc)  # noqa: B023, E731
+            number = lambda x: None if x is None else float(x)
+            word = lambda x: None if x is None else str(x)
+            t = np.array([text_features(x or "") for x in cells(text)]).reshape(-1, TEXT_FEATURES)
+            m = np.array([meta_features(word(h), word(g), number(n)) for h, g, n in zip(cells(host), cells(lang), cells(size), strict=True)]).reshape(-1, META_FEATURES)
+            kept = doc if whole else pa.StructArray.from_arrays([doc.field(at[c]) for c in carry], fields=[doc.type.field(at[c]) for c in carry])
+            yield pa.RecordBatch.from_arrays([kept, doc.field(at[key]), _lists(t), _lists(m)], names=["__doc", "__id", "t", "m"])
+
+    return stored(in_small_batches(rows).mapInArrow(run, out), "features")
+
+
+def _search(unlabelled: DataFrame, n: int) -> Callable[[list[View], np.ndarray], Chosen]:
+    """choose() over a stored table of key, t and m: tasks keep their n most certain, which are ranked in groups of keys."""
+
+    def choose(views: list[View], taken: np.ndarray) -> Chosen:
+        known = unlabelled.sparkSession.sparkContext.broadcast((views, taken))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[tuple[int, bool], tuple[np.ndarray, ...]] = {}
+            for batch in batches:
+                found = most_certain(*known.value, batch.column(0).to_numpy(), _rows(batch.column(1), TEXT_FEATURES), _rows(batch.column(2), META_FEATURES), n)
+                for k, new in found.items():
+                    both = [np.concatenate(x) for x in zip(best[k], new, strict=True)] if k in best else new
+                    at = np.unique(both[1], return_index=True)[1]
+                    at = at[np.lexsort((both[1][at], -both[0][at]))[:n]]
+                    best[k] = tuple(x[at] for x in both)
+            for (v, good), (strength, keys, t, m) in best.items():
+                yield pa.RecordBatch.from_arrays([pa.array([v] * len(keys), pa.int32()), pa.array([good] * len(keys), pa.bool_()), pa.array(strength), pa.array(keys), _lists(t), _lists(m)], names=["view", "good", "strength", "key", "t", "m"])
+
+        rows = unlabelled.mapInArrow(run, "view int, good boolean, strength double, key long, t array<float>, m array<float>")
+        group = F.pmod("key", F.lit(GROUPS)).alias("group")
+        rows = rows.groupBy("view", "good", group, "key").agg(F.max("strength").alias("strength"), F.max("t").alias("t"), F.max("m").alias("m"))
+        order = Window.partitionBy("view", "good", "group").orderBy(F.desc("strength"), "key")
+        some = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= n).collect()  # 4 * GROUPS * n at most
+        out: Chosen = {}
+        for v in (0, 1):
+            for good in (True, False):
+                top = sorted([(-r.strength, r.key, r.t, r.m) for r in some if (r.view, r.good) == (v, good)])[:n]
+                out[v, good] = np.array([x[1] for x in top], np.int64), np.array([x[2] for x in top], float).reshape(-1, TEXT_FEATURES), np.array([x[3] for x in top], float).reshape(-1, META_FEATURES)
+        return out
 
-    got = in_small_batches(rows).mapInArrow(run, "h long, y double, t array<double>, m array<double>").orderBy("h", "t").collect()
-    if not got:
-        return np.zeros((0, 18)), np.zeros((0, 4 + HOSTS + LANGS)), np.zeros(0), np.zeros(0, bool)
-    return np.array([r[2] for r in got]), np.array([r[3] for r in got]), np.array([r[1] for r in got], float), np.array([r[0] % 4 == 0 for r in got])
+    return choose
 
 
-def _view_columns(docs: DataFrame, text: str, host: str, lang: str, size: str) -> list:
-    own = set(docs.columns)
-    of = lambda c, kind: (F.col(c) if c in own else F.lit(None)).cast(kind)
-    return [of(text, "string").alias("__text"), of(host, "string").alias("__host"), of(lang, "string").alias("__lang"), of(size, "double").alias("__size")]
+def trained(features: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, per_round: int = PER_ROUND) -> CoTrained:
+    """Fits the classifier on featured() documents and labels."""
+    votes = labels.select(F.col(key).alias("__id"), F.col(label).cast("int").alias("y")).where("y IN (0, 1) AND __id IS NOT NULL").groupBy("__id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
+    votes = stored(votes.withColumn("h", F.xxhash64("__id")), "votes")
+    share = min(1.0, 1.5 * max_labelled / max(1, votes.count()))
+    sample = votes.where(F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("h", "__id").limit(max_labelled)
+    narrow = features.select("__id", "t", "m")
+    known = narrow.join(F.broadcast(sample), "__id").groupBy("h", "__id", "y").agg(F.min(F.struct("t", "m")).alias("x")).orderBy("h", "__id").collect()  # max_labelled at most
+    t = np.array([r.x.t for r in known], float).reshape(-1, TEXT_FEATURES)
+    m = np.array([r.x.m for r in known], float).reshape(-1, META_FEATURES)
+    others = lookup_join(narrow, votes.select("__id"), ["__id"], "left_anti", ["t"])
+    others = stored(others.select(F.xxhash64("t", "m").alias("key"), "t", "m"), "unlabelled")
+    return cotrain(t, m, np.array([r.y for r in known], float), np.array([r.h % 4 == 0 for r in known], bool), _search(others, per_round), rounds)
 
 
-def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", host: str = "source", lang: str = "lang", size: str = "n_chars", max_labelled: int = MAX_LABELLED, pool: int = POOL) -> CoTrained:
-    """Fits the classifier on bounded samples of labelled and unlabelled documents."""
-    votes = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where("y IN (0, 1) AND id IS NOT NULL").groupBy("id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
-    sample = votes.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(max_labelled)
-    views = _view_columns(docs, text, host, lang, size)
-    known = docs.select(F.col(key).alias("id"), *views).join(F.broadcast(sample), "id").dropDuplicates(["id"]).select("h", "y", "__text", "__host", "__lang", "__size")
-    t, m, y, held = _sampled(known)
-    others = docs.select(F.xxhash64(F.lit(7), F.col(key), F.crc32(F.coalesce(F.col(text), F.lit("")))).alias("h"), F.lit(-1.0).alias("y"), *views).orderBy("h").limit(pool)
-    pool_t, pool_m, _, _ = _sampled(others)
-    return cotrain(t, m, y, held, pool_t, pool_m)
+def _clipped(z: Column, limit: float) -> Column:
+    return F.greatest(F.least(z, F.lit(limit)), F.lit(-limit))
 
 
-def scored(docs: DataFrame, model: CoTrained, carry: Column, text: str = "text", host: str = "source", lang: str = "lang", size: str = "n_chars", keep: float = KEEP) -> DataFrame:
-    """Columns __doc (what `carry` is of each row), p_text, p_meta, score, keep."""
-    model = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(carry.alias("__doc"), *_view_columns(docs, text, host, lang, size))
-    out = rows.select("__doc").limit(0).withColumns({c: F.lit(0.0) for c in ("p_text", "p_meta", "score")}).withColumn("keep", F.lit(True)).schema
+def _odds(view: View, z: Column) -> Column:
+    return _clipped(z, 30.0) * F.lit(view.slope) + F.lit(view.offset)
+
+
+def _probability(z: Column) -> Column:
+    return 1 / (1 + F.exp(-_clipped(z, 40.0)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                a, b, both = model.value.scores(*_features(part, 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(a), pa.array(b), pa.array(both), pa.array(both >= keep)], names=["__doc", "p_text", "p_meta", "score", "keep"])
 
-    return in_small_batches(rows).mapInArrow(run, out)
+def scored(features: DataFrame, model: CoTrained, keep: float = KEEP) -> DataFrame:
+    """Columns __doc, p_text, p_meta, score, keep of featured() documents, by column expressions."""
+    if model.text is None:
+        share = F.lit(float(model.weights[0]))
+        return features.select("__doc", share.alias("p_text"), share.alias("p_meta"), share.alias("score"), (share >= keep).alias("keep"))
+    (w, c), (u, d) = _linear(model.text), _linear(model.meta)
+    slot = lambda i, first, n: F.element_at(F.array(*[F.lit(float(x)) for x in u[first : first + n]]), F.get("m", F.lit(i)).cast("int") + 1)
+    text = sum((F.get("t", F.lit(i)).cast("double") * float(x) for i, x in enumerate(w)), F.lit(c))
+    meta = F.lit(d + float(u[0])) + F.get("m", F.lit(0)).cast("double") * float(u[1]) + F.get("m", F.lit(1)).cast("double") * float(u[2]) + slot(2, 3, HOSTS + 1) + slot(3, 4 + HOSTS, LANGS + 1)
+    rows = features.select("__doc", _odds(model.text, text).alias("a"), _odds(model.meta, meta).alias("b"))
+    k = [F.lit(float(x)) for x in model.weights]
+    rows = rows.select("__doc", _probability(F.col("a")).alias("p_text"), _probability(F.col("b")).alias("p_meta"), _probability(k[0] + F.col("a") * k[1] + F.col("b") * k[2]).alias("score"))
+    return rows.withColumn("keep", F.col("score") >= keep)
 
 
 def report(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """doc_id, p_text, p_meta, score and keep of every document."""
-    return scored(docs, trained(docs, labels, key), F.col(key)).withColumnRenamed("__doc", "doc_id")
+    features = featured(docs, [key], key)
+    return scored(features, trained(features, labels, key)).select(F.col("__doc")[key].alias("doc_id"), "p_text", "p_meta", "score", "keep")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """The documents, in their own columns, that the classifier doesn't reject."""
-    done = scored(docs, trained(docs, labels), F.struct("*"), keep=keep).where("keep")
-    return done.select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
+    features = featured(docs, docs.columns)
+    return scored(features, trained(features, labels), keep).where("keep").select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
