@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, cotrain, decontaminate, licences, linededup, ordermin, pii, sharding, topk, warc
 from .common import table
 
 
 def op1_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings")
-    return topk.top_k(vectors, vectors.where(f"vec_id % {topk.QUERY_EVERY} = 0"))
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.QUERY_EVERY == 0)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

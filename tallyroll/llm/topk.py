@@ -6,16 +6,18 @@ its own is positive, the smallest where it is negative), scores each row it meet
 when the bound on unseen rows, the sum over dimensions of its component times the one last met, is below its kth best
 score so far. That score carries over from block to block.
 
-Queries are packed into blocks too and meet the vector blocks by an equi-join on the group that a block belongs to; tasks
-hold one block of either kind at a time.
+Queries are rows of the table. They are packed into blocks of their own, with the places of their rows, and meet the vector
+blocks by an equi-join on the group that a block belongs to; tasks hold one block of either kind at a time. Blocks
+hold their bounds at hand: one whose bound can't beat a query's kth best score is left out for that query.
 
 Rows with a component beyond +-LARGEST are packed into blocks of their own, of wider integers; scores that might pass a long
 are computed as Python integers and ranked by their bytes.
 
-Defined cases: components become floor(256 * x); vectors that are null, empty or hold null or non-finite components, and
-those with a null id, take no part; a score that doesn't fit a long is ranked exactly and given as null; a shorter vector
-counts as having zeros; a query's candidates are all rows with another id, repeated rows each by themselves; repeated query
-rows are one query, of the smallest vector; equal scores go to the smaller id; an empty table gives an empty result.
+Defined cases: components become floor(256 * x); vectors that are null or hold null or non-finite components, and those with
+a null id, take no part; an empty vector scores 0 with all; a score that doesn't fit a long is ranked exactly and given as
+null; a shorter vector counts as having zeros; a query's candidates are all rows but its own, also those with the same id;
+repeated query rows are queries each, with the same query_id; equal scores go to the smaller id; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from operator import mul
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -44,33 +46,49 @@ FIRST_DEPTH = 8
 
 
 def _packed(block: int):
-    """Packs scan batches into blocks: the ids, the integer components row by row, and of each dimension the rows by ascending component."""
+    """Packs scan batches (id, vector, whether asked) into blocks: the ids, which rows are queries, the integer components row by row, and of each dimension the rows by ascending component."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows of components within LARGEST, and the others
-        kept: list[tuple[list[int], list[np.ndarray]]] = [([], []), ([], [])]
+        kept: list[tuple[list[int], list[bool], list[np.ndarray]]] = [([], [], []), ([], [], [])]
 
-        def out(ids: list[int], rows: list[np.ndarray]) -> pa.RecordBatch:
-            d = max(map(len, rows))
+        def out(ids: list[int], asked: list[bool], rows: list[np.ndarray]) -> pa.RecordBatch:
+            d = max(1, *map(len, rows))
             matrix = np.zeros((len(rows), d), rows[0].dtype)
             for m, r in zip(matrix, rows, strict=True):
                 m[: len(r)] = r
             lists = np.argsort(matrix, axis=0, kind="stable").T.astype(np.uint16)
-            return pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int32()), "d": pa.array([d], pa.int32()), "ids": [np.array(ids, np.int64).tobytes()], "matrix": [_bytes(matrix)], "lists": [lists.tobytes()]})
+            return pa.RecordBatch.from_pydict({"n": pa.array([len(ids)], pa.int32()), "d": pa.array([d], pa.int32()), "ids": [np.array(ids, np.int64).tobytes()], "asked": [np.flatnonzero(asked).astype(np.int32).tobytes()], "matrix": [_bytes(matrix)], "lists": [lists.tobytes()]})
 
         for batch in batches:
             for at in range(0, batch.num_rows, block):
-                for i, r in zip(*_rows(batch.slice(at, block)), strict=True):
-                    ids, rows = kept[r.dtype == object]
-                    ids.append(i)
-                    rows.append(r)
-                    if len(ids) == block:
-                        yield out(ids, rows)
-                        ids.clear()
-                        rows.clear()
-        for ids, rows in kept:
-            if ids:
-                yield out(ids, rows)
+                for row in zip(*_rows(batch.slice(at, block)), strict=True):
+                    lists = kept[row[2].dtype == object]
+                    for cells, cell in zip(lists, row, strict=True):
+                        cells.append(cell)
+                    if len(lists[0]) == block:
+                        yield out(*lists)
+                        for cells in lists:
+                            cells.clear()
+        for lists in kept:
+            if lists[0]:
+                yield out(*lists)
+
+    return pack
+
+
+def _asked(size: int):
+    """Packs the queries of blocks into query blocks: their ids, their own blocks and places in these, and their components."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                cell = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
+                at, d = np.frombuffer(cell("asked"), np.int32), cell("d")
+                ids, matrix = np.frombuffer(cell("ids"), np.int64)[at], _matrix(cell("matrix"), cell("n"), d)[at]
+                for i in range(0, len(at), size):
+                    part = slice(i, i + size)
+                    yield pa.RecordBatch.from_pydict({"qd": pa.array([d], pa.int32()), "own": pa.array([cell("block")], pa.int64()), "qids": [ids[part].tobytes()], "places": [at[part].tobytes()], "qmatrix": [_bytes(matrix[part])]})
 
     return pack
 
@@ -99,25 +117,22 @@ def _ordered(score: int) -> bytes:
     return (at + (1 << 31)).to_bytes(4, "big") + (score + (0 if score >= 0 else 1 << 8 * size)).to_bytes(size, "big")
 
 
-def _rows(batch: pa.RecordBatch) -> tuple[list[int], list[np.ndarray]]:
-    """The ids and scaled components of a batch's rows that take part, as Python integers where one is beyond LARGEST."""
-    ids, rows = [], []
-    for key, vector in zip(batch.column(0), batch.column(1), strict=True):
-        if not (key.is_valid and vector.is_valid) or not len(vector.values):
+def _rows(batch: pa.RecordBatch) -> tuple[list[int], list[bool], list[np.ndarray]]:
+    """The ids, whether asked, and scaled components of a batch's rows that take part, as Python integers where one is beyond LARGEST."""
+    ids, asked, rows = [], [], []
+    for key, vector, query in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+        if not (key.is_valid and vector.is_valid):
             continue
         v = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
         if not np.isfinite(v).all():
             continue
         ids.append(key.as_py())
-        if np.abs(v).max() <= LARGEST // SCALE:
+        asked.append(query.as_py() is True)
+        if np.abs(v).max(initial=0) <= LARGEST // SCALE:
             rows.append(np.floor(SCALE * v).astype(np.int32))
         else:  # doubles this large are integers already, and 256 times them might pass the largest double
             rows.append(np.array([math.floor(SCALE * x) if abs(x) < 1 << 60 else SCALE * int(x) for x in v.tolist()], object))
-    return ids, rows
-
-
-def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"))
+    return ids, asked, rows
 
 
 class Block:
@@ -133,8 +148,8 @@ class Block:
         self.lists = np.frombuffer(lists, np.uint16).reshape(d, n)
         self.values = np.take_along_axis(self.whole, self.lists.T, axis=0).T.astype(object if self.kind is object else np.int64)
 
-    def top(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
-        """Adds the block's rows to the heap `best` of (score, -id) by the threshold algorithm; returns the depth it went to."""
+    def top(self, own: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
+        """Adds the block's rows but the one at place `own` (-1: none) to the heap `best` of (score, -id) by the threshold algorithm; returns the depth it went to."""
         n, d = self.rows.shape
         width = min(d, len(query))
         dims = np.flatnonzero(query[:width])
@@ -147,6 +162,15 @@ class Block:
         up = q > 0
         seen = np.zeros(n, bool)
         at, depth = 0, FIRST_DEPTH
+        signed = np.concatenate([q[up], q[~up]])
+
+        def bound(at: int) -> int:
+            """What rows that are not among the first `at` of any list can score at most."""
+            ends = np.concatenate([self.values[dims[up], n - max(1, at)], self.values[dims[~up], max(1, at) - 1]])
+            return sum(map(mul, signed.tolist(), ends.tolist())) if kind is object else int(signed @ ends)
+
+        if len(best) == k and bound(0) < best[0][0]:
+            return 0
         while at < n:
             to = min(depth, n)
             if len(dims):
@@ -157,7 +181,7 @@ class Block:
             else:
                 new, to = np.arange(n), n
             seen[new] = True
-            new = new[self.ids[new] != query_id]
+            new = new[new != own]
             if len(new):
                 scores = rows[new] @ weights
                 if len(best) == k:
@@ -173,12 +197,8 @@ class Block:
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
             at, depth = to, 2 * to
-            if len(best) == k and at < n:
-                ends = np.concatenate([self.values[dims[up], n - at], self.values[dims[~up], at - 1]])
-                signed = np.concatenate([q[up], q[~up]])
-                bound = sum(map(mul, signed.tolist(), ends.tolist())) if kind is object else int(signed @ ends)
-                if bound < best[0][0]:
-                    break
+            if len(best) == k and at < n and bound(at) < best[0][0]:
+                break
         return at
 
 
@@ -186,11 +206,11 @@ def _search(k: int):
     """Over joined rows of a query block and a vector block: the best of each query, kept over the blocks that a query block meets in a row."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_block, block_id, block, ids, queries, best = None, None, None, [], [], []
+        query_block, block_id, block, ids, places, own, queries, best = None, None, None, [], [], None, [], []
 
         def out() -> pa.RecordBatch:
-            found = [(q, -i, s if -1 << 63 <= s < 1 << 63 else None, _ordered(s)) for q, heap in zip(ids, best, strict=True) for s, i in heap]
-            return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.binary() if c == 3 else pa.int64()) for c in range(4)], names=["query_id", "vec_id", "score", "order"])
+            found = [(own, p, q, -i, s if -1 << 63 <= s < 1 << 63 else None, _ordered(s)) for p, q, heap in zip(places, ids, best, strict=True) for s, i in heap]
+            return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.binary() if c == 5 else pa.int64()) for c in range(6)], names=["own", "place", "query_id", "vec_id", "score", "order"])
 
         for batch in batches:
             for at in range(batch.num_rows):
@@ -199,50 +219,45 @@ def _search(k: int):
                     if best:
                         yield out()
                     query_block = cell("qb")
-                    ids = np.frombuffer(cell("qids"), np.int64).tolist()
+                    ids, places, own = np.frombuffer(cell("qids"), np.int64).tolist(), np.frombuffer(cell("places"), np.int32).tolist(), cell("own")
                     queries = _matrix(cell("qmatrix"), len(ids), cell("qd"))
                     queries = queries if queries.dtype == object else queries.astype(np.int64)
                     best = [[] for _ in ids]
                 if cell("block") != block_id:
                     block_id, block = cell("block"), Block(*map(cell, ("n", "d", "ids", "matrix", "lists")))
-                for q, v, heap in zip(ids, queries, best, strict=True):
-                    block.top(q, v, k, heap)
+                for p, v, heap in zip(places, queries, best, strict=True):
+                    block.top(p if block_id == own else -1, v, k, heap)
         if best:
             yield out()
 
     return search
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: of each query its k rows of the largest inner product."""
+def top_k(vectors: DataFrame, asked: Column, k: int = K, key: str = "vec_id", vector: str = "embedding", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: of each row where `asked` holds its k others of the largest inner product."""
     spark = vectors.sparkSession
-    shape = "n int, d int, ids binary, matrix binary, lists binary"
-    blocks = stored(_vectors(vectors, key, vector).mapInArrow(_packed(block), shape).withColumn("block", F.monotonically_increasing_id()), "blocks")
-    asked = _vectors(queries, key, vector).mapInArrow(_valid, "query_id long, v array<double>").groupBy("query_id").agg(F.min("v").alias("v"))
-    asked = asked.mapInArrow(_packed(query_block), shape).select(F.col("d").alias("qd"), F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
-    asked = stored(asked.withColumn("qb", F.monotonically_increasing_id()), "asked")
+    shape = "n int, d int, ids binary, asked binary, matrix binary, lists binary"
+    rows = vectors.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"), asked)
+    blocks = stored(rows.mapInArrow(_packed(block), shape).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    queries = blocks.where(F.octet_length("asked") > 0).select("block", "n", "d", "ids", "asked", "matrix")
+    queries = queries.mapInArrow(_asked(query_block), "qd int, own long, qids binary, places binary, qmatrix binary")
+    queries = stored(queries.withColumn("qb", F.monotonically_increasing_id()), "asked")
     groups = max(1, -(-(count := blocks.count()) // GROUP), min(count, 4 * spark.sparkContext.defaultParallelism))
-    blocks = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+    blocks = blocks.drop("asked").withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    queries = queries.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
     # a merge join keeps the blocks that one query block meets together
-    found = asked.hint("merge").join(blocks, "group").mapInArrow(_search(k), "query_id long, vec_id long, score long, order binary")
-    order = Window.partitionBy("query_id").orderBy(F.desc("order"), "vec_id")
+    found = queries.hint("merge").join(blocks, "group").mapInArrow(_search(k), "own long, place long, query_id long, vec_id long, score long, order binary")
+    order = Window.partitionBy("own", "place").orderBy(F.desc("order"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept = np.array([bool(len(_rows(batch.slice(i, 1))[0])) for i in range(batch.num_rows)], bool)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in batch.columns], names=["query_id", "v"])
-
-
 ORACLE = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0)
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.e) = 0 THEN 0 ELSE CAST(list_dot_product(q.e, c.e) AS BIGINT) END AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % {QUERY_EVERY} = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {K}
+FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {K}
 """
