@@ -1,11 +1,12 @@
 """Personal data by a semi-Markov conditional random field.
 
 Base patterns find plain e-mail addresses, IP addresses, card numbers and telephone numbers. The model adds those that are
-written otherwise ("jane at mail dot com", "10[.]0[.]0[.]7", "(743) 555-0199", "4111.1111.1111.1111"). Around each place
-that could start one, the text is cut into tokens; every run of up to MOST_TOKENS tokens that meets a kind's hard
-conditions is a candidate segment, scored by features of the whole span and its surroundings. Dynamic programming over
-segments of bounded length then chooses boundaries and kinds jointly; all else is single-token "other" segments. Weights
-come from maximising the conditional likelihood of seeded synthetic sentences, so they are the same everywhere.
+written otherwise ("jane at mail dot com", "10[.]0[.]0[.]7", "(743) 555-0199", "4111.1111.1111.1111"). The text is cut into
+tokens; every run of up to MOST_TOKENS tokens and SPAN characters that meets a kind's hard conditions is a candidate segment,
+scored by features of the whole span and its surroundings. Dynamic programming over segments of bounded length then chooses
+boundaries and kinds jointly; all else is single-token "other" segments. Each candidate holds one of the places that GATES
+find, so only the text within SPAN of such places is looked at; elsewhere all tokens are "other". Weights come from
+maximising the conditional likelihood of seeded synthetic sentences, so they are the same everywhere.
 
 Defined cases: a null text is an empty one and has no spans; whole texts are read, however long; spans of the model that
 overlap a base span are left out, base spans never are; rows with equal ids or texts are treated each; an empty table gives
@@ -38,10 +39,13 @@ CARD = re.compile(r"[0-9]([ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
-MOST_TOKENS = 16
-AROUND = 40
-DIGITS = re.compile(r"[0-9(+][0-9 ().\-/\[\]]{5,60}[0-9]")
-AT = re.compile(r"@|[\[({] ?at ?[\])}]|\bat [\w-]{1,40} ?(?:dot |[\[({] ?dot)", re.IGNORECASE)
+#: Bounds of a segment: a card written digit by digit has 37 tokens, an address of the longest local part and a usual domain 120 characters.
+MOST_TOKENS, SPAN = 40, 160
+# Every candidate of a number has a match of the first, every candidate of an address one of the second.
+GATES = (re.compile(rf"[0-9(+][0-9\s().\-/\[\]]{{5,{SPAN}}}[0-9]"), re.compile(r"@|[\[({]\s*(?:at|dot|\.)\s*[\])}]|\sdot\s", re.IGNORECASE))
+# Words that announce a telephone number, and common top-level domains.
+CUES = frozenset("call phone telephone tel mobile cell fax dial ring text contact reach number whatsapp sms hotline".split())
+DOMAINS = frozenset("com org net edu gov mil int info biz io co me tv us ca uk ie de at ch fr es pt it nl be dk se no fi pl cz ru ua jp cn in au nz br mx eu".split())
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
 
@@ -66,7 +70,7 @@ def base_spans(text: str) -> list[Span]:
             done = m.end()
         at = text.find("@", max(at + 1, done))
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m[0].split("."))):
             out.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 14 and 14 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -114,9 +118,8 @@ def _shape(span: str) -> str:
     return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "9", span))
 
 
-def features(kind: str, span: str, before: str, after: str, tokens: int) -> list[str]:
-    """Features of a whole segment of a kind between the tokens before and after it; kind "other" has single tokens."""
-    near = before.lower() if before.isalnum() else "." if before else "^"
+def features(kind: str, span: str, before: str, tokens: int, cue: str = "", joined: bool = False) -> list[str]:
+    """Features of a whole segment of a kind: of itself, the token and the last word before it, and whether digits go on beside it; kind "other" has single tokens."""
     if kind == "other":
         long = min(len(span), 20) if span[0].isdigit() else 0
         return [f"o:digits={long}", f"o:mark={span if not span[0].isalnum() else 'w'}"]
@@ -129,9 +132,11 @@ def features(kind: str, span: str, before: str, after: str, tokens: int) -> list
         f"{kind}:shape={shape if kind != 'email' else shape[:12]}",
         f"{kind}:runs={len(re.findall('9+', shape)) if kind != 'email' else 0}",
         f"{kind}:tokens={tokens}",
-        f"{kind}:before={near}",
+        f"{kind}:before={'9' if before.isdigit() else 'w' if before.isalnum() else before or '^'}",
+        f"{kind}:cue={cue.lower() in CUES}:{shape if kind == 'phone' else ''}",
+        *([f"email:domain={span.rpartition('.')[2].split()[-1].strip('])} ').lower() in DOMAINS}:{'dot' if re.search(r'[a-z] +dot +[a-z]', span, re.IGNORECASE) else ''}"] if kind == "email" else []),
         f"{kind}:start={shape[0]}",
-        f"{kind}:joined={bool(after[:1].isdigit() or before[-1:].isdigit() or after[:1] in ('-', '/', '+') or before[-1:] in ('-', '/', '+', '.'))}",
+        f"{kind}:joined={joined}",
     ]
 
 
@@ -141,25 +146,37 @@ Segment = tuple[int, int, str, list[str]]
 def segments(text: str, tokens: list[tuple[int, int]]) -> list[list[Segment]]:
     """By its end (number of tokens before it): the candidate segments (first token, end, kind, features)."""
     out: list[list[Segment]] = [[] for _ in range(len(tokens) + 1)]
-    word = lambda i: text[tokens[i][0] : tokens[i][1]] if 0 <= i < len(tokens) else ""
-    for i, (a, b) in enumerate(tokens):
-        out[i + 1].append((i, i + 1, "other", features("other", text[a:b], word(i - 1), word(i + 1), 1)))
-        first = text[a]
-        if not (first.isalnum() or first in "+("):
-            continue
+    said = [text[a:b] for a, b in tokens]
+    word = lambda i: said[i] if 0 <= i < len(said) else ""
+    # digits right beside a segment, or behind a mark that joins them to it
+    goes_on = lambda i, k: word(i).isdigit() or word(i) in ("-", "/", ".", "+") and word(k).isdigit()
+    ats = [i for i, w in enumerate(said) if w == "@" or w.lower() == "at"]
+    next_at = 0
+    for i, (a, _) in enumerate(tokens):
+        out[i + 1].append((i, i + 1, "other", features("other", said[i], word(i - 1), 1)))
+        first = said[i][0]
+        while next_at < len(ats) and ats[next_at] <= i:
+            next_at += 1
+        at = ats[next_at] if next_at < len(ats) else len(said)
         number = first in "+(0123456789"
-        for j in range(i + 2 if number else i + 3, min(len(tokens), i + MOST_TOKENS) + 1) if not number else range(i + 1, min(len(tokens), i + MOST_TOKENS) + 1):
+        if not number and not (first.isalnum() and at < i + MOST_TOKENS):
+            continue
+        cue = word(i - 1) if word(i - 1).isalnum() else word(i - 2)
+        left = goes_on(i - 1, i - 2)
+        for j in range(i + 1, min(len(tokens), i + MOST_TOKENS) + 1):
             c, d = tokens[j - 1]
-            last = text[c:d]
+            if d - a > SPAN or j - i > 1 and c - tokens[j - 2][1] > 2:
+                break
+            last = said[j - 1]
             if number and not (last.isdigit() or last in "+().-/[]"):
                 number = False
-            if d - a > 120 or j - i > 1 and c - tokens[j - 2][1] > 2:
-                break
-            if not (number and last.isdigit() or not number and last[-1].isalpha()):
+                if at >= i + MOST_TOKENS:
+                    break
+            if not (last.isdigit() if number else at < j - 1 and last[-1].isalpha()):
                 continue
             span = text[a:d]
             for kind in kinds_of(span):
-                out[j].append((i, j, kind, features(kind, span, word(i - 1), word(j), j - i)))
+                out[j].append((i, j, kind, features(kind, span, word(i - 1), j - i, cue, left or goes_on(j, j + 1))))
     return out
 
 
@@ -255,11 +272,13 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
     word = lambda: "".join(r.choice("abcdehilmnorstu") for _ in range(r.randint(2, 9)))
     number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
     name = lambda: r.choice([word(), f"{word()}.{word()}", f"{word()}{number(2)}", f"{word()}.{number(2)}"])
-    host = lambda: r.choice([[word(), "com"], [word(), "example", "com"], [word(), "org"], [word() + number(1), word(), "net"]])
+    end_of = lambda: r.choice(["com", "com", "org", "net", r.choice(sorted(DOMAINS))])
+    host = lambda: r.choice([[word(), end_of()], [word(), word(), end_of()], [word() + number(1), end_of()], [word(), "co", "uk"]])
     parts: list[tuple[str, str]] = []
+    cues = sorted(CUES)
     for _ in range(r.randint(1, 2)):
         parts += [(word(), "") for _ in range(r.randint(1, 4))]
-        what = r.randrange(14)
+        what = r.randrange(19)
         area, mid, end = str(r.randint(2, 9)) + number(2), number(3), number(4)
         if what == 0:
             parts.append((f"{name()}{r.choice([' at ', ' [at] ', '(at)', '[at]', ' (at) ', ' AT '])}{r.choice([' dot ', ' [dot] ', '(dot)', ' (dot) ', ' DOT ']).join(host())}", "email"))
@@ -272,7 +291,7 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
         elif what in (4, 5):
             parts.append((r.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "({}){}-{}", "1-{}-{}-{}", "({}) {} {}"]).format(area, mid, end), "phone"))
         elif what == 6:
-            parts += [(r.choice(["call", "phone", "tel", "mobile", "fax"]), ""), (r.choice(["{}{}{}", "{} {} {}", "0{} {}{}"]).format(area, mid, end), "phone")]
+            parts += [(r.choice(cues) + r.choice(["", "", ":", "."]), ""), (r.choice(["{}{}{}", "{} {} {}", "0{} {}{}", "({}) {}-{}", "{}-{}-{}", "{}.{}.{}"]).format(area, mid, end), "phone")]
         elif what == 7:
             parts.append((f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)} {r.randint(10, 23)}:{number(2)}", ""))
         elif what == 8:
@@ -285,6 +304,16 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
             parts.append((f"{number(3)}/{number(4)}/{number(3)}/{number(4)}", ""))
         elif what == 12:
             parts.append((f"{word()} dot {word()}", ""))
+        elif what == 13:
+            parts += [(r.choice([word(), "order", "account", "item", "ref"]) + r.choice(["", ":", " no."]), ""), (r.choice([area + mid + end, f"{area} {mid} {end}", f"0{area} {mid}{end}", number(10), number(12)]), "")]
+        elif what == 14:
+            parts.append((r.choice([f"{area}-{mid}-{end}-{number(2)}", f"{number(2)}-{area}-{mid}-{end}-{number(3)}", f"{area}.{mid}.{end}.{number(3)}.{number(2)}", f"{number(3)}/{area}-{mid}-{end}"]), ""))
+        elif what == 15:
+            parts.append((r.choice([f"{name()} at {r.choice(['the ', ''])}{word()} dot {word()} {word()}", f"{number(3)}-{number(1)}-{number(2)}-{number(6)}-{number(1)}", f"{number(1)}-{number(4)}-{number(4)}-{number(1)}"]), ""))
+        elif what == 16:
+            parts.append((r.choice([" . ", ". ", " - ", "/"]).join(_card(r)), "card"))
+        elif what == 17:
+            parts.append((r.choice([f"{number(1)}.{number(1)}.{number(2)}", f"v{number(1)}.{number(1)}.{number(1)}.{number(1)}", f"{number(3)} . {number(3)}", f"[{number(1)}] [{number(1)}] [{number(2)}]", f"{number(1)}.{number(1)}[.]{number(1)}"]), ""))
         else:
             parts.append((r.choice([f"{number(4)}, {number(4)}, {number(4)}", f"{number(3)} + {number(4)} + {number(4)}", f"{number(2)}/{number(2)}/{number(4)} {number(4)}"]), ""))
         parts += [(word(), "") for _ in range(r.randint(0, 3))]
@@ -298,7 +327,7 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
 
 
 @lru_cache(1)
-def trained(sentences: int = 500, rounds: int = 5, seed: int = 11) -> SemiCrf:
+def trained(sentences: int = 1000, rounds: int = 6, seed: int = 11) -> SemiCrf:
     """The model after `rounds` passes over `sentences` seeded synthetic sentences."""
     r, model, data = random.Random(seed), SemiCrf(), []
     for _ in range(sentences):
@@ -322,19 +351,28 @@ def trained(sentences: int = 500, rounds: int = 5, seed: int = 11) -> SemiCrf:
     return model
 
 
-def added_spans(text: str, model: SemiCrf) -> list[Span]:
-    """The model's spans over the whole text: it looks around every place where one could be."""
-    areas: list[list[int]] = []
-    for a, b in sorted([m.span() for m in DIGITS.finditer(text)] + [m.span() for m in AT.finditer(text)]):
-        a, b = max(0, a - AROUND), min(len(text), b + AROUND)
-        if areas and a <= areas[-1][1]:
-            areas[-1][1] = max(b, areas[-1][1])
+def _areas(text: str) -> list[tuple[int, int]]:
+    """What lies within SPAN of a gate, without cutting tokens; disjoint, by start."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted([m.span() for gate in GATES for m in gate.finditer(text)]):
+        a, b = max(0, a - SPAN), min(len(text), b + SPAN)
+        if out and a <= out[-1][1]:
+            a = out.pop()[0]
         else:
-            areas.append([a, b])
+            while 0 < a and text[a - 1].isalnum() and text[a].isalnum():
+                a -= 1
+        while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+            b += 1
+        if out and a <= out[-1][1]:
+            a = out.pop()[0]
+        out.append((a, b))
+    return out
+
+
+def added_spans(text: str, model: SemiCrf, areas: list[tuple[int, int]] | None = None) -> list[Span]:
+    """The model's spans over the whole text, or over given areas of it."""
     out: list[Span] = []
-    for a, b in areas:
-        while a > 0 and a > areas[0][0] - AROUND and text[a - 1].isalnum() and text[a].isalnum():
-            a -= 1
+    for a, b in _areas(text) if areas is None else areas:
         tokens = [m.span() for m in TOKEN.finditer(text, a, b)]
         ends = segments(text, tokens)
         if any(len(row) > 1 for row in ends):
@@ -350,24 +388,25 @@ def find(text: str, model: SemiCrf) -> tuple[list[Span], list[Span]]:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans and n_spans (all spans) of every document."""
     model = docs.sparkSession.sparkContext.broadcast(dict(trained().w))
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = SemiCrf()
         crf.w = model.value
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for text in batch.column(1):
                 base, spans = find(text.as_py(), crf)
                 for i, kind in enumerate(KINDS):
                     out[i].append(sum([s[0] == kind for s in base]))
                 out[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
                 out[5].append(joined(spans))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                out[6].append(len(spans))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out, kinds)], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"])
 
     return in_small_batches(rows).mapInArrow(run, schema)
 
