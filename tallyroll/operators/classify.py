@@ -1,10 +1,12 @@
 """The confidence classifier: who a record belongs to, how surely, and by which signals.
 
 Records meet a registry of entities by the forms of their names, an equi-join on exploded name forms; everything else is
-column expressions. The registry is small but not assumed so: Spark broadcasts it only under its own size limit.
+column expressions. The registry is small but not assumed so: Spark broadcasts it only under its own size limit. Its names
+and signals are normalised once, on its own side of the join.
 
-Registry columns: slug, kind, parent_slug, name_variants, cities, states, employers, occupations, strong_employers,
-strong_zips, negative_employers (arrays of strings), mrs_is_self, lone_city_state_is_weak (booleans).
+Registry columns: slug, kind, parent_slug (null for owners), position (among the relatives of an owner), name_variants,
+cities, states, employers, occupations, strong_employers, strong_zips, negative_employers (arrays of strings), mrs_is_self,
+lone_city_state_is_weak (booleans). An owner and those whose parent_slug names it are a household.
 """
 
 from __future__ import annotations
@@ -12,69 +14,108 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import initials_compatible, norm, normalize_name, token_start, zip_matches
+from ..functions.text import full_name, initials_compatible, norm, starts_token, with_name_parts, zip_matches
 
-REGISTRY = "slug string, kind string, parent_slug string, name_variants array<string>, cities array<string>, states array<string>, employers array<string>, occupations array<string>, strong_employers array<string>, strong_zips array<string>, negative_employers array<string>, mrs_is_self boolean, lone_city_state_is_weak boolean"
+REGISTRY = "slug string, kind string, parent_slug string, position int, name_variants array<string>, cities array<string>, states array<string>, employers array<string>, occupations array<string>, strong_employers array<string>, strong_zips array<string>, negative_employers array<string>, mrs_is_self boolean, lone_city_state_is_weak boolean"
+NEEDLES = ("employers", "occupations", "strong_employers", "negative_employers")
+SPLIT_NAME = ("contributor_first_name", "contributor_middle_name", "contributor_last_name", "contributor_suffix")
 
 
 def _list(col: str) -> Column:
     return F.coalesce(F.col(col), F.array().cast("array<string>"))
 
 
+def _variants(registry: DataFrame) -> DataFrame:
+    """A row per form of each name variant, with the entity's signals normalised: __form, __v (name parts), __at (which variant), __entity."""
+    signals = {c: F.transform(_list(c), lambda x: F.struct(x.alias("raw"), norm(x).alias("needle"))) for c in NEEDLES}
+    entity = F.struct(
+        "slug", "kind", "parent_slug", F.coalesce("position", F.lit(0)).alias("position"),
+        *[v.alias(c) for c, v in signals.items()],
+        F.transform(_list("cities"), norm).alias("cities"), F.transform(_list("states"), lambda s: F.upper(F.btrim(s))).alias("states"), _list("strong_zips").alias("strong_zips"),
+        F.coalesce("mrs_is_self", F.lit(False)).alias("mrs_is_self"), F.coalesce("lone_city_state_is_weak", F.lit(False)).alias("lone_city_state_is_weak"),
+    )
+    rows = registry.select(entity.alias("__entity"), _list("name_variants").alias("__list")).select("__entity", F.posexplode("__list").alias("__at", "__variant"))
+    rows = with_name_parts(rows, "__variant", "__v")
+    return rows.select("__entity", "__at", "__variant", "__v", F.explode("__v.forms").alias("__form"))
+
+
+def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True) -> DataFrame:
+    """Each record beside one entity of each household that its name fits: __record, __entity, __variant and __suffix_ok.
+
+    A variant fits if it shares a form of the name and the middle initials don't exclude each other; the first that also has
+    the same suffix is taken, else the first. The name as filed comes first; for entities that it doesn't fit, the name made
+    of the split fields is tried. Relatives, in their order, come before the owner but need the same suffix; without
+    `related`, records that fit a relative are left out. Records without a name, and those that fit nobody, are left out.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in records.columns])
+    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(own.alias("__record"), F.col(f"`{key}`").alias("__key"), F.col("contributor_name").alias("__name"))
+    rows = with_name_parts(rows, "__name", "__n")
+    tries = [F.struct(F.lit(0).alias("source"), F.col("__n").alias("n"))]
+    if all(c in records.columns for c in SPLIT_NAME):
+        rows = with_name_parts(rows.withColumn("__name", full_name(*[F.col("__record")[c] for c in SPLIT_NAME])), "__name", "__y")
+        tries.append(F.struct(F.lit(1).alias("source"), F.col("__y").alias("n")))
+    rows = rows.select("__record", "__key", F.explode(F.array(*tries)).alias("__try"))
+    rows = rows.select("__record", "__key", "__try", F.explode("__try.n.forms").alias("__form"))
+    both = rows.join(_variants(registry), "__form").where(initials_compatible(F.col("__try.n.initials"), F.col("__v.initials")))
+    suffix_ok = F.col("__try.n.suffix") == F.col("__v.suffix")
+    both = both.select("__key", "__record", "__entity", "__variant", suffix_ok.alias("__suffix_ok"), F.struct(F.col("__try.source").alias("s"), (~suffix_ok).alias("x"), F.col("__at").alias("a")).alias("__rank"))
+    household = F.coalesce("__entity.parent_slug", "__entity.slug")
+    kept = F.struct("__record", "__entity", "__variant", "__suffix_ok")
+    one = both.groupBy("__key", household.alias("__household"), F.col("__entity.slug").alias("__slug")).agg(F.min_by(kept, F.col("__rank")).alias("b"))
+    one = one.where(F.col("b.__entity.parent_slug").isNull() | F.col("b.__suffix_ok"))
+    order = F.struct(F.col("b.__entity.parent_slug").isNull().alias("o"), F.col("b.__entity.position").alias("p"), F.col("__slug").alias("s"))
+    best = one.groupBy("__key", "__household").agg(F.min_by("b", order).alias("b")).select("b.*")
+    return best if related else best.where(F.col("__entity.parent_slug").isNull())
+
+
 def _hits(hay: str, needles: str) -> Column:
-    return F.filter(_list(needles), lambda n: token_start(F.col(hay), n))
+    return F.transform(F.filter(F.col(f"__entity.{needles}"), lambda n: starts_token(F.col(hay), n["needle"])), lambda n: n["raw"])
 
 
 def _named(kind: str, hits: Column) -> Column:
     return F.transform(hits, lambda h: F.concat(F.lit(f"{kind}:"), h))
 
 
-def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id") -> DataFrame:
-    """Each record beside the one registry entry its name fits best: related entities before owners, full matches first.
+def tiers(matched: DataFrame) -> DataFrame:
+    """Adds status (CONFIRMED, PROBABLE or UNCERTAIN), status_reason and signals to candidates().
 
-    Columns of both, and suffix_ok. Records that fit nobody are left out. A suffix that the record and the variant both
-    have must agree for related entities.
+    A city together with its state is one signal. An address outside the documented ones contradicts unless there is a
+    strong signal: the pair of city and state, or the city alone where the record has no state; an entity without documented
+    cities has no address that agrees.
     """
-    r = records.withColumn("n", normalize_name(F.col("contributor_name"))).withColumn("form", F.explode("n.forms"))
-    v = registry.select("*", F.posexplode("name_variants").alias("variant_at", "variant")).withColumn("v", normalize_name(F.col("variant"))).withColumn("form", F.explode("v.forms"))
-    both = r.join(v, "form").where(initials_compatible(F.col("n.initials"), F.col("v.initials")))
-    both = both.withColumn("suffix_ok", (F.col("n.suffix") == F.col("v.suffix")) | (F.col("n.suffix") == "") | (F.col("v.suffix") == ""))
-    both = both.where((F.col("kind") == "owner") | F.col("suffix_ok"))
-    rank = F.struct((F.col("kind") == "owner").alias("o"), (~F.col("suffix_ok")).alias("s"), "variant_at", "slug")
-    kept = [*records.columns, *[c for c in registry.columns if c not in records.columns], "suffix_ok"]
-    best = both.groupBy(key).agg(F.min_by(F.struct(*kept), rank).alias("best"))
-    return best.select("best.*")
-
-
-def tiers(matched: DataFrame) -> DataFrame:
-    """Adds status (CONFIRMED, PROBABLE or UNCERTAIN), status_reason and signals to candidates."""
-    mrs = F.array_contains(F.split(norm(F.col("contributor_name")), " "), "mrs") & ~F.coalesce("mrs_is_self", F.lit(False))
-    negative = _hits("contributor_employer", "negative_employers")
-    strong_zip = F.filter(_list("strong_zips"), lambda z: zip_matches(F.col("contributor_zip"), z))
-    strong = F.concat(_named("strong_employer", _hits("contributor_employer", "strong_employers")), _named("strong_zip", F.slice(strong_zip, 1, 1)))
-    city, state = norm(F.col("contributor_city")), norm(F.col("contributor_state"))
-    here = F.exists(_list("cities"), lambda c: norm(c) == city) & F.exists(_list("states"), lambda s: norm(s) == state)
-    place = F.when(here & (city != ""), F.array(F.lit("city_state"))).otherwise(F.array().cast("array<string>"))
-    confirming = F.concat(_named("employer", _hits("contributor_employer", "employers")), _named("occupation", _hits("contributor_occupation", "occupations")), place)
-    elsewhere = (city != "") & (state != "") & (F.size(_list("cities")) > 0) & ~here & ~F.exists(_list("states"), lambda s: norm(s) == state)
-    rows = matched.withColumns({"__mrs": mrs, "__negative": _named("negative_employer", negative), "__strong": strong, "__confirming": confirming, "__elsewhere": elsewhere})
-    n, s = F.size("__confirming"), F.size("__strong")
-    lone = (n == 1) & F.array_contains("__confirming", "city_state") & F.coalesce("lone_city_state_is_weak", F.lit(False))
+    field = lambda c: F.coalesce(F.col(f"__record.contributor_{c}"), F.lit(""))
+    city, state = norm(field("city")), F.upper(F.btrim(field("state")))
+    rows = matched.withColumns({"__emp": norm(field("employer")), "__occ": norm(field("occupation")), "__city": city, "__state": state})
+    in_city, in_state = F.array_contains("__entity.cities", F.col("__city")), F.array_contains("__entity.states", F.col("__state"))
+    has_city, has_state = F.col("__city") != "", F.col("__state") != ""
+    zips = F.filter("__entity.strong_zips", lambda z: zip_matches(field("zip"), z))
+    zip_code = F.transform(F.slice(zips, 1, 1), lambda z: F.when(F.char_length(F.btrim(z)) > 5, F.btrim(z)).otherwise(F.left(F.btrim(field("zip")), F.lit(5))))
     none = F.array().cast("array<string>")
-    all_signals = F.concat("__strong", "__confirming")
+    place = F.when(has_city & has_state & in_city & in_state, F.array(F.concat(F.lit("city_state:"), "__city", F.lit("/"), "__state"))).otherwise(none)
+    rows = rows.withColumns({
+        "__mrs": F.array_contains(F.split(norm(field("name")), " "), "mrs") & ~F.col("__entity.mrs_is_self"),
+        "__negative": _named("negative_employer", _hits("__emp", "negative_employers")),
+        "__strong": F.concat(_named("strong_employer", _hits("__emp", "strong_employers")), _named("strong_zip", zip_code)),
+        "__confirming": F.concat(_named("employer", _hits("__emp", "employers")), _named("occupation", _hits("__occ", "occupations")), place),
+        "__elsewhere": has_city & ~F.when(has_state, in_city & in_state).otherwise(in_city),
+    })
+    n, s = F.size("__confirming"), F.size("__strong")
+    lone = (n == 1) & F.exists("__confirming", lambda x: F.startswith(x, F.lit("city_state:"))) & F.col("__entity.lone_city_state_is_weak")
+    all_signals, listed = F.concat("__strong", "__confirming"), lambda c: F.array_join(c, ", ")
+    outside = F.concat(F.lit(" (address outside documented residences: "), field("city"), F.lit("/"), field("state"), F.lit(")"))
     steps = [
-        (~F.col("suffix_ok"), "UNCERTAIN", "name suffix differs", none),
-        (F.col("__mrs"), "UNCERTAIN", "Mrs may be a spouse", F.array(F.lit("mrs_honorific"))),
-        (F.size("__negative") > 0, "UNCERTAIN", "negative employer", F.col("__negative")),
-        (F.col("__elsewhere") & (s == 0), "UNCERTAIN", "address contradicts", all_signals),
-        (s > 0, "CONFIRMED", "strong signal", all_signals),
-        (n >= 2, "CONFIRMED", "two or more signals", all_signals),
-        (lone, "UNCERTAIN", "city and state alone", all_signals),
-        (n == 1, "PROBABLE", "one signal", all_signals),
+        (~F.col("__suffix_ok"), "UNCERTAIN", F.lit("name suffix differs from the variants"), none),
+        (F.col("__mrs"), "UNCERTAIN", F.lit("Mrs may be a spouse"), F.array(F.lit("mrs_honorific"))),
+        (F.size("__negative") > 0, "UNCERTAIN", F.concat(F.lit("negative employer: "), listed("__negative")), F.col("__negative")),
+        (F.col("__elsewhere") & (s == 0), "UNCERTAIN", F.concat(F.lit("address contradicts"), outside), all_signals),
+        (s > 0, "CONFIRMED", F.concat(F.lit("strong signal: "), listed("__strong"), F.when(F.col("__elsewhere"), outside).otherwise("")), all_signals),
+        (n >= 2, "CONFIRMED", F.concat(F.lit("two or more signals: "), listed("__confirming")), all_signals),
+        (lone, "UNCERTAIN", F.lit("city and state alone"), all_signals),
+        (n == 1, "PROBABLE", F.concat(F.lit("one signal: "), listed("__confirming")), all_signals),
     ]
     chain = lambda i, other: _chain([(c[0], c[i]) for c in steps], other)
     out = rows.withColumns({"status": chain(1, F.lit("UNCERTAIN")), "status_reason": chain(2, F.lit("name only")), "signals": chain(3, none)})
-    return out.drop("__mrs", "__negative", "__strong", "__confirming", "__elsewhere")
+    return out.drop("__emp", "__occ", "__city", "__state", "__mrs", "__negative", "__strong", "__confirming", "__elsewhere")
 
 
 def _chain(steps: list[tuple[Column, Column | str]], other: Column) -> Column:
@@ -84,15 +125,13 @@ def _chain(steps: list[tuple[Column, Column | str]], other: Column) -> Column:
     return out.otherwise(other)
 
 
-def classify(records: DataFrame, registry: DataFrame, key: str = "record_id") -> DataFrame:
-    """Every record that fits an entity, with the entity's slug and kind, status, status_reason and signals."""
-    done = tiers(candidates(records, registry, key))
-    return done.select(*records.columns, F.col("slug").alias("entity_slug"), F.col("kind").alias("entity_kind"), F.col("parent_slug").alias("parent_owner_slug"), "status", "status_reason", "signals")
+ADDED = ("entity_slug", "entity_kind", "parent_owner_slug", "matched_variant", "status", "status_reason", "signals")
+
 
+def classify(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True) -> DataFrame:
+    """Every record that fits an entity, a row a household: its own columns, and the entity's slug, kind and owner, the variant that matched, status, status_reason and signals.
 
-def with_overrides(classified: DataFrame, overrides: DataFrame, key: str = "record_id") -> DataFrame:
-    """Manual attributions (key, entity_slug, verdict) win over the classifier; EXCLUDED drops the row."""
-    manual = overrides.select(key, "entity_slug", "verdict")
-    joined = classified.join(manual, [key, "entity_slug"], "left").where("verdict IS NULL OR verdict <> 'EXCLUDED'")
-    forced = F.col("verdict").isNotNull()
-    return joined.withColumns({"status": F.coalesce("verdict", "status"), "status_reason": F.when(forced, F.concat(F.lit("manual attribution ("), "verdict", F.lit(")"))).otherwise(F.col("status_reason")), "signals": F.when(forced, F.array(F.lit("manual_attribution"))).otherwise(F.col("signals"))}).drop("verdict")
+    Columns of records must not have the names of those that are added.
+    """
+    done = tiers(candidates(records, registry, key, related))
+    return done.select(*[F.col("__record")[c].alias(c) for c in records.columns], F.col("__entity.slug").alias("entity_slug"), F.col("__entity.kind").alias("entity_kind"), F.col("__entity.parent_slug").alias("parent_owner_slug"), F.col("__variant").alias("matched_variant"), "status", "status_reason", "signals")
