@@ -26,7 +26,8 @@ def first_by_native_id(df: DataFrame, key: str, order: list[Column], blank: str
     named = first_row_per_key(df.where(has), [key], order)
     if blank == "drop":
         return named
-    return named.unionByName(df.where(~has) if blank == "keep" else df.where(~has).orderBy(*order).limit(1))
+    blanks = df.where(~has)
+    return named.unionByName(blanks if blank == "keep" else first_row_per_key(blanks.withColumn("__one", F.lit(1)), ["__one"], order).drop("__one"))
 
 
 def numeric_rank(col: Column) -> Column:

@@ -12,21 +12,34 @@ def with_fallback(facts: DataFrame, names: DataFrame, keys: list[str], value: st
     return facts.join(found, keys, "left").withColumn(value, F.coalesce("__found", fallback)).drop("__found")
 
 
-def names_within(rows: DataFrame, text: Column, names: DataFrame, name: str) -> DataFrame:
-    """Rows beside every name that occurs in the text as a run of its words.
+#: Names up to which one pattern of all of them sifts the rows first.
+MOST_NAMES = 5_000
 
-    An equi-join on the text's words finds the names by their first word; a check of the whole name follows, so nothing is
-    compared with everything.
-    """
-    padded = F.concat(F.lit(" "), F.array_join(_words(text), " "), F.lit(" "))
-    left = rows.withColumn("__text", padded).withColumn("__word", F.explode(F.array_distinct(_words(text))))
-    right = names.withColumn("__words", _words(F.col(name))).where(F.size("__words") > 0).withColumn("__word", F.get("__words", F.lit(0)))
-    hit = F.contains(F.col("__text"), F.concat(F.lit(" "), F.array_join("__words", " "), F.lit(" ")))
-    return left.join(right, "__word").where(hit).drop("__text", "__word", "__words")
 
+def names_within(rows: DataFrame, text: Column, names: DataFrame, name: str) -> DataFrame:
+    """Rows beside every row of names whose name occurs anywhere in the text, letters of either case alike; blank names never do.
 
-def _words(col: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(col, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    The pieces of the text that have the length of some name meet the names in an equi-join, so nothing is compared with
+    everything. Of a small table of names, a pattern made of all leaves out the rows that hold none before that.
+    """
+    right = names.withColumn("__piece", F.lower(F.btrim(F.col(name)))).where("__piece <> ''")
+    known = sorted({r[0] for r in right.select("__piece").distinct().limit(MOST_NAMES + 1).collect()})
+    left = rows.withColumn("__text", F.lower(F.coalesce(text, F.lit(""))))
+    if not known:
+        return left.limit(0).join(right, F.lit(False)).drop("__text", "__piece")
+    if len(known) <= MOST_NAMES:
+        left = left.where(F.rlike("__text", F.lit("|".join(map(_quoted, known)))))
+        lengths = sorted({len(k) for k in known})
+    else:
+        lengths = sorted(r[0] for r in right.select(F.char_length("__piece")).distinct().collect())
+    size = F.char_length("__text")
+    places = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("__text"), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    pieces = F.array_distinct(F.flatten(F.array(*[places(n) for n in lengths])))
+    return left.withColumn("__piece", F.explode(pieces)).join(right, "__piece").drop("__text", "__piece")
+
+
+def _quoted(name: str) -> str:
+    return "\\Q" + name.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def prefix_compatible(rows: DataFrame, people: DataFrame, last: str, first: str) -> DataFrame:

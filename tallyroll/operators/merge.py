@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
@@ -58,6 +58,91 @@ def merged(current: DataFrame, incoming: DataFrame, keys: list[str], substance:
     return new.unionByName(stay).withColumn(id_col, F.col(id_col).cast("string")).unionByName(old)
 
 
+def adopted(current: DataFrame, incoming: DataFrame, order: Column, exact: tuple[str, ...] = ("recipient_committee_id", "date", "amount")) -> DataFrame:
+    """current, where rows from before submission ids existed take over the identity of the incoming row that they are.
+
+    Such a row has no sub_id, is keyed by its transaction id and agrees with the incoming row in owner, transaction id and the
+    columns `exact` (null equals null). An incoming row whose identity is stored already, or that fits several, adopts none;
+    of several that fit one row, the first in `order` adopts it. Both tables have record_uid, sub_id, transaction_id and
+    entity_slug.
+    """
+    keys = ["record_uid", "entity_slug"]
+    new = incoming.where(F.col("record_uid") != F.col("transaction_id")).join(current.select(*keys).distinct(), keys, "left_anti")
+    new = new.select("transaction_id", "entity_slug", *[F.col(c).alias(f"__{c}") for c in exact], F.col("record_uid").alias("__uid"), F.col("sub_id").alias("__sub"), order.alias("__order"))
+    old = current.where(blank_to_null(F.col("sub_id")).isNull() & (F.col("record_uid") == F.col("transaction_id")))
+    agree = [F.col(f"__{c}").eqNullSafe(F.col(c)) for c in exact]
+    pairs = new.join(old.select("transaction_id", "entity_slug", *exact, F.col("record_uid").alias("__old")), ["transaction_id", "entity_slug"])
+    for a in agree:
+        pairs = pairs.where(a)
+    # a stored row is unique by record_uid and owner, so an incoming row fits one at most; the first in order takes it
+    taken = pairs.groupBy(F.col("__old").alias("record_uid"), "entity_slug").agg(F.min_by(F.struct("__uid", "__sub"), F.col("__order")).alias("__take"))
+    rows = current.join(taken, keys, "left")
+    return rows.withColumns({"record_uid": F.coalesce("__take.__uid", "record_uid"), "sub_id": F.coalesce("__take.__sub", "sub_id")}).select(*current.columns)
+
+
+def in_rounds(incoming: DataFrame, keys: list[str], order: list[Column], most: int = 16) -> list[DataFrame]:
+    """A batch as batches that are unique by keys: the first rows of each identity, then the second ones, and so on.
+
+    Merged one after the other, each row sees the effect of those before it. Rows that repeat an earlier one entirely change
+    nothing and are left out. More than `most` versions of one identity are refused: such a batch is no batch.
+    """
+    rows = incoming.dropDuplicates().withColumn("__round", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    last = rows.agg(F.max("__round")).first()[0] or 0
+    if last > most:
+        raise ValueError(f"an identity occurs in {last} versions")
+    return [rows.where(F.col("__round") == r).drop("__round") for r in range(1, last + 1)]
+
+
+def carried(current: DataFrame, incoming: DataFrame, keys: list[str], curated: list[str]) -> DataFrame:
+    """incoming with the curated columns of current: replacing a row doesn't lose what people have written into it."""
+    kept = current.select(*keys, *[F.col(c).alias(f"__{c}") for c in curated])
+    rows = incoming.join(kept, keys, "left")
+    own = lambda c: F.coalesce(f"__{c}", c) if c in incoming.columns else F.col(f"__{c}")
+    return rows.withColumns({c: own(c) for c in curated}).drop(*[f"__{c}" for c in curated])
+
+
+def backfilled(current: DataFrame, raw: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """current with missing (null or blank) values of the columns taken from raw, which is unique by keys; what is there stays."""
+    found = raw.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+    missing = lambda c: F.col(c).isNull() | (F.btrim(F.col(c).cast("string")) == "")
+    rows = current.join(found, keys, "left")
+    return rows.withColumns({c: F.when(missing(c), F.coalesce(f"__{c}", c)).otherwise(F.col(c)) for c in columns}).select(*current.columns)
+
+
+def backlog(wanted: DataFrame, fetched: DataFrame, tombstones: DataFrame, key: str, at: str, now: Column, days: int, budget: int) -> tuple[DataFrame, DataFrame]:
+    """What to fetch in this run and what is deferred: keys without a tombstone that are stale (or were never fetched), the stalest first."""
+    due = wanted.select(key).distinct().join(tombstones.select(key), key, "left_anti").join(fetched.groupBy(key).agg(F.max(at).alias("last")), key, "left")
+    due = due.where(F.col("last").isNull() | (F.datediff(now, F.col("last")) >= days))
+    taken = due.orderBy(F.asc_nulls_first("last"), key).limit(budget)
+    return taken, due.join(taken.select(key), key, "left_anti")
+
+
+def tombstones_after(tombstones: DataFrame, failed: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """The tombstones after a run: those of keys that were fetched go, failed ones are added, older ones keep their record."""
+    return insert_ignore(tombstones.join(done.select(key), key, "left_anti"), failed, [key])
+
+
+def buckets_merged(base: DataFrame, buckets: list[DataFrame], slug: str = "entity_slug", owner: str = "parent_owner_slug") -> DataFrame:
+    """base with the households that the buckets have run replaced by the buckets' rows; refuses buckets that share one."""
+    house = F.coalesce(owner, slug)
+    parts = [b.select("*", house.alias("__house"), F.lit(i).alias("__bucket")) for i, b in enumerate(buckets)]
+    if not parts:
+        return base
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    if not rows.groupBy("__house").agg(F.countDistinct("__bucket").alias("n")).where("n > 1").isEmpty():
+        raise ValueError("two buckets hold one household")
+    ran = rows.select("__house").distinct()
+    return base.withColumn("__house", house).join(ran, "__house", "left_anti").select(*base.columns).unionByName(rows.select(*base.columns))
+
+
+def collisions_repaired(queue: DataFrame, resolutions: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The queue without items that are gone for good (a resolution stands), and the resolutions whose item is gone."""
+    keys = [key, "entity_slug"]
+    return queue.join(resolutions.select(*keys).distinct(), keys, "left_anti"), resolutions.join(queue.select(*keys).distinct(), keys, "left_anti")
+
+
 def upsert(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows win over current ones of the same keys."""
     return current.join(incoming.select(*keys).distinct(), keys, "left_anti").select(*current.columns).unionByName(incoming.select(*current.columns))

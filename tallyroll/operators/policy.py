@@ -34,10 +34,13 @@ def with_sponsors(resolved: DataFrame, sponsors: DataFrame) -> DataFrame:
 
 
 def with_committees(resolved: DataFrame, memberships: DataFrame, bill_committees: DataFrame) -> DataFrame:
-    """A row per donation, member and committee of the same congress, with the sorted list of the bills referred to it."""
-    keys = [*resolved.columns, "thomas_id"]
-    joined = resolved.join(memberships, "bioguide").join(bill_committees, ["thomas_id", "congress"])
-    return joined.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    """A row per donation, member and committee of the same congress, with the sorted list of the bills referred to it.
+
+    Bills are listed once a committee, before they meet the donations; a seat held twice counts once.
+    """
+    bills = bill_committees.groupBy("thomas_id", "congress").agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    seats = memberships.select("bioguide", "thomas_id", "congress").distinct().join(bills, ["thomas_id", "congress"])
+    return resolved.join(seats.drop("congress"), "bioguide")
 
 
 def vote_rollup(votes: DataFrame, by: str) -> DataFrame:

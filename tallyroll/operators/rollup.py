@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.money import MONEY, ratio
 
 
+MOST_DEALT = 100_000
+
+
 def dollars(amount: Column) -> Column:
     """An exact sum, given as a double."""
     return F.coalesce(F.sum(amount.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
@@ -54,7 +57,9 @@ def two_level_arg_max(df: DataFrame, outer: str, inner: str, amount: str) -> Dat
 
 
 def round_robin(df: DataFrame, weight: list[Column], buckets: int, out: str = "bucket") -> DataFrame:
-    """Deals a small driver table out to buckets by descending weight. One task orders it: for registries, not for facts."""
+    """Deals a registry out to buckets by descending weight. One task orders it, so tables of more than MOST_DEALT rows are refused."""
+    if df.count() > MOST_DEALT:
+        raise ValueError(f"more than {MOST_DEALT} rows to deal out")
     return df.withColumn(out, F.pmod(F.row_number().over(Window.orderBy(*weight)) - 1, F.lit(buckets)).cast("int"))
 
 
