@@ -11,35 +11,72 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.merge import duplicate_identities, merged
 
 
-def merge_stream(incoming: DataFrame, root: str, checkpoint: str, keys: list[str], substance: dict[str, str], id_col: str, pick: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Merges each micro-batch into the newest version under root (v=<batch>), then moves on. Late rows are never dropped.
+#: Parts that state is cut into by a hash of its keys; a micro-batch writes those that its keys fall into.
+BUCKETS = 64
+
+
+def _versions(spark: SparkSession, root: str, before: int | None = None) -> dict[int, int]:
+    """The version that holds each bucket of the newest finished state (older than `before`, if given)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    names = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
+    done = [int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    done = [v for v in done if before is None or v < before]
+    if not done:
+        return {}
+    rows = spark.read.schema("bucket int, version long").json(f"{root}/versions/v={max(done)}").collect()  # a row a bucket
+    return {r.bucket: r.version for r in rows}
+
+
+def _read(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame:
+    return spark.read.parquet(*[f"{root}/data/v={v}/bucket={b}" for b, v in sorted(versions.items())])
 
-    A batch that runs again overwrites its own version from the one before it, so a restart changes nothing. `pick` makes a
-    batch unique by keys; without it, a batch with an identity twice is refused.
-    """
 
-    def version(spark: SparkSession, batch: int) -> str | None:
-        jvm = spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(root)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return None
-        done = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("v=")]
-        older = [int(p.getName()[2:]) for p in done if int(p.getName()[2:]) < batch and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return f"{root}/v={max(older)}" if older else None
+def state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest state under root, or the one before a version; null where there is none."""
+    versions = _versions(spark, root, before)
+    return _read(spark, root, versions) if versions else None
+
+
+def merge_stream(incoming: DataFrame, root: str, checkpoint: str, keys: list[str], substance: dict[str, str], id_col: str, pick: Callable[[DataFrame], DataFrame] | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Merges each micro-batch into the state under root, then moves on. Late rows are never dropped.
+
+    State is cut into buckets by a hash of the keys. A batch reads and writes only the buckets that its keys fall into, as
+    data/v=<batch>/bucket=<n>, and then names the version of every bucket in versions/v=<batch>. A batch that runs again
+    overwrites its own version from those before it, so a restart changes nothing; buckets that no newer version names may be
+    removed. `pick` makes a batch unique by keys; without it, a batch with an identity twice is refused. The number of
+    buckets is fixed with the first batch.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = pick(batch) if pick else batch
-        if not pick and not duplicate_identities(rows, keys).isEmpty():
-            raise ValueError("a batch holds an identity twice")
-        if before := version(spark, number):
-            table = spark.read.parquet(before)
-            live = table.where("superseded_by IS NULL").drop("superseded_by")
-            state = merged(live, rows, keys, substance, F.lit(number), id_col).unionByName(table.where("superseded_by IS NOT NULL"))
-        else:
-            state = rows.withColumn(id_col, F.col(id_col).cast("string")).withColumn("superseded_by", F.lit(None).cast("string"))
-        state.write.mode("overwrite").parquet(f"{root}/v={number}")
+        rows = (pick(batch) if pick else batch).withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        try:
+            if not pick and not duplicate_identities(rows, keys).isEmpty():
+                raise ValueError("a batch holds an identity twice")
+            versions = _versions(spark, root, number)
+            touched = sorted(r[0] for r in rows.select("__bucket").distinct().collect())  # `buckets` numbers at most
+            if not touched:
+                return
+            plain = rows.drop("__bucket")
+            if known := {b: versions[b] for b in touched if b in versions}:
+                table = _read(spark, root, known)
+                live = table.where("superseded_by IS NULL").drop("superseded_by")
+                after = merged(live, plain, keys, substance, F.lit(number), id_col).unionByName(table.where("superseded_by IS NOT NULL"))
+            else:
+                after = plain.withColumn(id_col, F.col(id_col).cast("string")).withColumn("superseded_by", F.lit(None).cast("string"))
+            # a superseded row stays in the bucket of the row that replaced it
+            own = [F.coalesce("superseded_by", k) if k == id_col else F.col(k) for k in keys]
+            key_types = {k: batch.schema[k].dataType for k in keys}
+            bucket = F.pmod(F.xxhash64(*[o.cast(key_types[k]) for o, k in zip(own, keys, strict=True)]), F.lit(buckets)).cast("int")
+            after.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/v={number}")
+            names = [(b, v) for b, v in (versions | dict.fromkeys(touched, number)).items()]
+            spark.createDataFrame(names, "bucket int, version long").coalesce(1).write.mode("overwrite").json(f"{root}/versions/v={number}")
+        finally:
+            rows.unpersist()
 
     return incoming.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(step).start()
 
