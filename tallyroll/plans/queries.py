@@ -6,6 +6,7 @@ UNCERTAIN), suppliers for committees, parts for candidates, line items for the l
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, money, text
 from ..operators import checks, classify, dedup, lookup, merge, policy, rollup
+from . import cases
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -211,22 +213,20 @@ def insert_ignore(spark, sf):
     return merge.insert_ignore(*_upserts(spark, sf), ["c_custkey"])
 
 
-# policy: suppliers are legislators (by nation), parts are bills, events are votes
+# policy: suppliers are legislators (the customer of their number is their candidate), parts are bills, events are votes
 
-_RESOLVED = f"(SELECT d.*, s_suppkey AS bioguide FROM {PUB} d JOIN customer ON c_custkey = entity JOIN supplier ON s_nationkey = c_nationkey AND s_suppkey % 10 = c_custkey % 10)"
-_SPONSORS = "(SELECT DISTINCT l_suppkey AS bioguide, l_partkey AS bill FROM lineitem WHERE l_linenumber = 1 AND l_quantity > 49)"
-_VOTES = "(SELECT event_id AS vote_id, CAST(ts AS DATE) AS vote_date, user_id % 100 + 1 AS bioguide, CASE WHEN event_type = 'click' THEN 'Yea' ELSE 'Nay' END AS position FROM events WHERE event_id % 50 = 0)"
+_RESOLVED = f"(SELECT d.*, s_suppkey AS bioguide FROM {PUB} d JOIN customer ON c_custkey = entity JOIN supplier ON s_suppkey = c_custkey)"
+_SPONSORS = "(SELECT DISTINCT l_suppkey AS bioguide, l_partkey AS bill FROM lineitem)"
+_VOTES = "(SELECT event_id AS vote_id, CAST(ts AS DATE) AS vote_date, user_id % 100 + 1 AS bioguide, CASE WHEN event_type = 'click' THEN 'Yea' ELSE 'Nay' END AS position FROM events)"
 
 
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
-    people = _people(spark, sf)
-    seats = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    cross = people.join(seats, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("s_suppkey") % 10 == F.col("entity") % 10)).select(F.col("entity").alias("candidate_id"), F.col("s_suppkey").alias("bioguide"))
+    cross = _people(spark, sf).join(_t(spark, sf, "supplier"), F.col("s_suppkey") == F.col("entity")).select(F.col("entity").alias("candidate_id"), F.col("s_suppkey").alias("bioguide"))
     return policy.resolved_donations(_published(spark, sf).withColumn("recipient_candidate_id", F.col("entity")), cross)
 
 
 def _vote_rows(spark: SparkSession, sf: str) -> DataFrame:
-    votes = _t(spark, sf, "events").where("event_id % 50 = 0")
+    votes = _t(spark, sf, "events")
     positions = votes.select(F.col("event_id").alias("vote_id"), (F.col("user_id") % 100 + 1).alias("bioguide"), F.when(F.col("event_type") == "click", "Yea").otherwise("Nay").alias("position"))
     return policy.with_votes(_resolved(spark, sf), positions, votes.select(F.col("event_id").alias("vote_id"), F.col("ts").cast("date").alias("vote_date")))
 
@@ -238,16 +238,16 @@ def policy_votes(spark, sf):
 
 @query(f"SELECT txn, bioguide, bill FROM {_RESOLVED} JOIN {_SPONSORS} USING (bioguide)")
 def policy_sponsors(spark, sf):
-    sponsors = _t(spark, sf, "lineitem").where("l_linenumber = 1 AND l_quantity > 49").select(F.col("l_suppkey").alias("bioguide"), F.col("l_partkey").alias("bill")).distinct()
+    sponsors = _t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("bioguide"), F.col("l_partkey").alias("bill")).distinct()
     return policy.with_sponsors(_resolved(spark, sf), sponsors).select("txn", "bioguide", "bill")
 
 
 @query(f"""SELECT txn, bioguide, thomas_id, string_agg(DISTINCT CAST(bill_id AS VARCHAR), ',' ORDER BY CAST(bill_id AS VARCHAR)) AS bill_ids
 FROM {_RESOLVED} JOIN (SELECT s_suppkey AS bioguide, s_suppkey % 5 AS thomas_id, s_suppkey % 3 AS congress FROM supplier) m USING (bioguide)
-JOIN (SELECT p_partkey AS bill_id, p_partkey % 5 AS thomas_id, p_partkey % 3 AS congress FROM part WHERE p_size = 1) b USING (thomas_id, congress) GROUP BY 1, 2, 3""")
+JOIN (SELECT p_partkey AS bill_id, p_partkey % 5 AS thomas_id, p_partkey % 3 AS congress FROM part) b USING (thomas_id, congress) GROUP BY 1, 2, 3""")
 def policy_committee(spark, sf):
     seats = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("bioguide"), (F.col("s_suppkey") % 5).alias("thomas_id"), (F.col("s_suppkey") % 3).alias("congress"))
-    bills = _t(spark, sf, "part").where("p_size = 1").select(F.col("p_partkey").cast("string").alias("bill_id"), (F.col("p_partkey") % 5).alias("thomas_id"), (F.col("p_partkey") % 3).alias("congress"))
+    bills = _t(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("bill_id"), (F.col("p_partkey") % 5).alias("thomas_id"), (F.col("p_partkey") % 3).alias("congress"))
     gifts = _resolved(spark, sf).select("txn", "bioguide")
     return policy.with_committees(gifts, seats, bills)
 
@@ -278,10 +278,10 @@ def brief_rollup(spark, sf):
     return policy.brief_rollup(_vote_rows(spark, sf), "bioguide", "txn")
 
 
-@query("SELECT p_partkey, n_name FROM part JOIN nation ON (' ' || array_to_string(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}]+'), ' ') || ' ') LIKE ('% ' || lower(n_name) || ' %') UNION ALL SELECT p_partkey, w FROM part, (VALUES ('red'), ('blue'), ('steel')) t(w) WHERE (' ' || array_to_string(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}]+'), ' ') || ' ') LIKE ('% ' || w || ' %')")
+@query("SELECT p_partkey, name FROM part JOIN (SELECT n_name AS name FROM nation UNION ALL SELECT * FROM (VALUES ('red'), ('UE'), ('teel'), ('an'), ('')) t(w)) ON name <> '' AND lower(p_name) LIKE '%' || lower(name) || '%'")
 def theta_surname(spark, sf):
-    names = _t(spark, sf, "nation").select("n_name").union(spark.createDataFrame([("red",), ("blue",), ("steel",)], "n_name string"))
-    return lookup.names_within(_t(spark, sf, "part").select("p_partkey", "p_name"), F.col("p_name"), names, "n_name").select("p_partkey", "n_name")
+    names = _t(spark, sf, "nation").select(F.col("n_name").alias("name")).union(spark.createDataFrame([("red",), ("UE",), ("teel",), ("an",), ("",)], "name string"))
+    return lookup.names_within(_t(spark, sf, "part").select("p_partkey", "p_name"), F.col("p_name"), names, "name").select("p_partkey", "name")
 
 
 @query("SELECT o_orderkey, coalesce(c_name, 'customer ' || o_custkey) AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey")
@@ -320,9 +320,9 @@ def queue_stats(spark, sf):
     return rollup.queue_stats(_donations(spark, sf), queue, "entity").orderBy(F.desc("open"), F.desc_nulls_last("ratio"), "entity")
 
 
-@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def set_difference(spark, sf):
-    return lookup.missing(_t(spark, sf, "customer").select("c_custkey").distinct(), _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return lookup.missing(_t(spark, sf, "customer").select("c_custkey").distinct(), _t(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("SELECT user_id, count(DISTINCT event_type) AS buckets FROM events GROUP BY 1 HAVING count(DISTINCT event_type) > 1")
@@ -338,16 +338,53 @@ def candidate_top_committee(spark, sf):
 @query("""SELECT l_suppkey, count(DISTINCT o_custkey) AS owners, min(year(CAST(o_orderdate AS DATE))) AS first_cycle, max(year(CAST(o_orderdate AS DATE))) AS last_cycle, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
 string_agg(DISTINCT CAST(year(CAST(o_orderdate AS DATE)) AS VARCHAR), ',' ORDER BY CAST(year(CAST(o_orderdate AS DATE)) AS VARCHAR)) AS cycles FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")
 def recipient_rollup(spark, sf):
-    rows = _t(spark, sf, "lineitem").join(_t(spark, sf, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).withColumn("y", F.year(F.col("o_orderdate").cast("date")))
-    return rows.groupBy("l_suppkey").agg(F.countDistinct("o_custkey").alias("owners"), F.min("y").alias("first_cycle"), F.max("y").alias("last_cycle"), rollup.dollars(F.col("l_extendedprice")).alias("total_amount"), rollup.listed(F.col("y").cast("string")).alias("cycles"))
+    rows = _t(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", F.col("l_extendedprice").cast(money.MONEY).alias("usd")).join(_t(spark, sf, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    # sums by supplier, owner and year first: what is counted and listed afterwards is a row each
+    cells = rows.groupBy("l_suppkey", "o_custkey", F.year(F.col("o_orderdate").cast("date")).alias("y")).agg(F.sum("usd").alias("usd"))
+    owners = cells.groupBy("l_suppkey", "o_custkey").agg(F.min("y").alias("a"), F.max("y").alias("b"), F.collect_set("y").alias("ys"), F.sum("usd").alias("usd"))
+    out = owners.groupBy("l_suppkey").agg(F.count("*").alias("owners"), F.min("a").alias("first_cycle"), F.max("b").alias("last_cycle"), F.sum("usd").cast("double").alias("total_amount"), F.array_distinct(F.flatten(F.collect_set("ys"))).alias("ys"))
+    return out.select("l_suppkey", "owners", "first_cycle", "last_cycle", "total_amount", F.array_join(F.array_sort("ys"), ",").alias("cycles"))
 
 
-@query("""SELECT c_custkey, trim(CASE c_custkey % 3 WHEN 0 THEN 'ann m stone' WHEN 1 THEN 'ann stone' ELSE 'ann stone-field,ann stone field,ann stone,ann field' END) AS forms, CASE c_custkey % 3 WHEN 1 THEN 'jr' ELSE '' END AS suffix, '' AS initials FROM customer WHERE c_custkey % 3 > 0
-UNION ALL SELECT c_custkey, 'ann stone', '', 'm' FROM customer WHERE c_custkey % 3 = 0""")
+# names of customers: a first and a last name that follow from the key, written in one of twelve ways
+_FIRST, _LAST = ("Ann", "BOB", "Cara", "deb", "Émile"), ("Stone", "FIELD", "o'Hara", "Vale", "Nakamura", "Weiß", "Li")
+_NAME_FORMS = [  # how it is written, then suffix, initials, and the forms: f first, l last, m another last name
+    ("{f} {l}", "", "", ("{f} {l}",)),
+    ("{l}, {f}", "", "", ("{f} {l}",)),
+    ("Mrs. {f} Q. {l}", "", "q", ("{f} {l}",)),
+    ("{l}, {f} R  Jr.", "jr", "r", ("{f} {l}",)),
+    ("{f} {l}-Moor", "", "", ("{f} {l}-moor", "{f} moor-{l}", "{f} {l} moor", "{f} moor {l}")),
+    ("{l}-Moor-Fen, {f}", "", "", ("{f} {l}-moor-fen", "{f} fen-moor-{l}", "{f} {l} moor fen", "{f} fen moor {l}")),
+    ("{f} V. {l}", "", "v", ("{f} {l}",)),
+    ("{f} {l} V", "v", "", ("{f} {l}",)),
+    ("{f} Marie B. C. {l} III", "iii", "b,c", ("{f} marie {l}",)),
+    ("{l}, Dr. {f}, Sr", "sr", "", ("{f} {l}",)),
+    ("{l}", "", "", ("{l}",)),
+    ("Hon.  Mr ", "", "", ()),
+]
+
+
+def _case(by: str, values, quote: str = "'") -> str:
+    return f"CASE {by} " + " ".join(f"WHEN {i} THEN {quote}{v.replace(chr(39), chr(39) * 2)}{quote}" for i, v in enumerate(values)) + " END"
+
+
+def _filled(template: str, lower: bool) -> str:
+    """SQL that fills a template with the names f and l."""
+    fields = {"f": "f", "l": "l"} if not lower else {"f": "lower(f)", "l": "lower(l)"}
+    parts = [fields[x[1]] if x in ("{f}", "{l}") else "'" + x.replace("'", "''") + "'" for x in re.split(r"({[fl]})", template) if x]
+    return " || ".join(parts) or "''"
+
+
+_NAMED = f"(SELECT c_custkey, c_custkey % {len(_NAME_FORMS)} AS way, {_case(f'c_custkey % {len(_FIRST)}', _FIRST)} AS f, {_case(f'(c_custkey // 3) % {len(_LAST)}', _LAST)} AS l FROM customer)"
+
+
+@query(f"""SELECT c_custkey, CASE way {' '.join(f"WHEN {i} THEN {' || chr(44) || '.join(_filled(x, True) for x in forms) or chr(39) * 2}" for i, (_, _, _, forms) in enumerate(_NAME_FORMS))} END AS forms,
+{_case('way', [x[1] for x in _NAME_FORMS])} AS suffix, {_case('way', [x[2] for x in _NAME_FORMS])} AS initials FROM {_NAMED}""")
 def normalize_names(spark, sf):
-    raw = F.when(F.col("c_custkey") % 3 == 0, "Mrs. Ann M. Stone").when(F.col("c_custkey") % 3 == 1, "STONE, Ann  Jr.").otherwise("Ann Stone-Field")
-    n = _t(spark, sf, "customer").select("c_custkey", text.normalize_name(raw).alias("n"))
-    return n.select("c_custkey", F.array_join("n.forms", ",").alias("forms"), F.col("n.suffix").alias("suffix"), F.array_join("n.initials", ",").alias("initials"))
+    k, pick = F.col("c_custkey"), lambda by, values: F.element_at(F.array(*map(F.lit, values)), by.cast("int") + 1)
+    people = _t(spark, sf, "customer").select(k, pick(k % len(_FIRST), _FIRST).alias("f"), pick(F.floor(k / 3) % len(_LAST), _LAST).alias("l"), pick(k % len(_NAME_FORMS), [x[0] for x in _NAME_FORMS]).alias("t"))
+    people = people.withColumn("name", F.replace(F.replace("t", F.lit("{f}"), F.col("f")), F.lit("{l}"), F.col("l")))
+    return text.with_name_parts(people, "name", "n").select("c_custkey", F.array_join("n.forms", ",").alias("forms"), F.col("n.suffix").alias("suffix"), F.array_join("n.initials", ",").alias("initials"))
 
 
 @query(r"SELECT p_partkey, regexp_matches(lower(p_type), '\bst') AS hit FROM part")
@@ -361,34 +398,12 @@ def zip_match(spark, sf):
     return _t(spark, sf, "customer").select("c_custkey", text.zip_matches(z, F.lit("00077")).alias("short_hit"), text.zip_matches(z, F.lit("000771234")).alias("long_hit"))
 
 
-def _registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [
-            ("stone", "owner", None, ["Ann Stone"], ["Springfield"], ["IL"], ["Acme"], ["Engineer"], ["Stone Holdings"], ["12345"], ["Rival"], False, True),
-            ("field", "owner", None, ["Bob Field"], ["Riverton"], ["WY"], ["Borealis"], [], [], [], [], False, False),
-            ("field-spouse", "spouse", "field", ["Cara Field"], ["Riverton"], ["WY"], [], ["Teacher"], [], [], [], False, False),
-        ],
-        classify.REGISTRY,
-    )
-
-
-@query("""WITH r AS (SELECT o_orderkey, CASE o_custkey % 4 WHEN 0 THEN 'stone' WHEN 1 THEN 'field' WHEN 2 THEN 'field-spouse' END AS slug, o_orderkey % 6 AS e, o_orderkey % 5 AS w FROM orders WHERE o_custkey % 4 < 3),
-s AS (SELECT *, slug = 'stone' AND e = 1 AS neg, slug = 'stone' AND e = 2 AS strong, CAST((slug = 'stone' AND e IN (0, 5)) OR (slug = 'field' AND e = 3) AS INT) AS emp,
-CAST((slug = 'stone' AND w IN (1)) OR (slug LIKE 'field%' AND w = 2) AS INT) AS place, (slug = 'stone' AND w = 2) OR (slug LIKE 'field%' AND w = 1) OR w = 3 AS away FROM r)
-SELECT slug AS entity_slug, CASE WHEN neg THEN 'UNCERTAIN' WHEN away AND NOT strong THEN 'UNCERTAIN' WHEN strong THEN 'CONFIRMED' WHEN emp + place >= 2 THEN 'CONFIRMED' WHEN emp + place = 1 AND place = 1 AND slug = 'stone' THEN 'UNCERTAIN' WHEN emp + place = 1 THEN 'PROBABLE' ELSE 'UNCERTAIN' END AS status, count(*) AS n FROM s GROUP BY ALL""")
+@query(f"""SELECT o_orderkey, entity_slug, status, signals FROM orders JOIN (VALUES {cases.answers()}) a(case_id, entity_slug, status, signals) ON case_id = o_orderkey % {len(cases.CASES)}""")
 def classify_tiers(spark, sf):
-    """The whole classifier over records that are made from orders."""
-    who, e, w = F.col("o_custkey") % 4, F.col("o_orderkey") % 6, F.col("o_orderkey") % 5
-    records = _t(spark, sf, "orders").select(
-        F.monotonically_increasing_id().alias("record_id"),
-        F.when(who == 0, "STONE, ANN").when(who == 1, "Bob Field").when(who == 2, "Cara Field").otherwise("Dora Unknown").alias("contributor_name"),
-        F.when(e == 0, "Acme Inc").when(e == 1, "Rival Corp").when(e == 2, "Stone Holdings LLC").when(e == 3, "Borealis").when(e == 4, "Pacme").otherwise("The Acme").alias("contributor_employer"),
-        F.lit("").alias("contributor_occupation"),
-        F.when(w == 1, "Springfield").when(w == 2, "Riverton").when(w == 3, "Elsewhere").otherwise("").alias("contributor_city"),
-        F.when(w == 1, "IL").when(w == 2, "WY").when(w == 3, "TX").otherwise("").alias("contributor_state"),
-        F.lit("99999").alias("contributor_zip"),
-    )
-    return classify.classify(records, _registry(spark)).groupBy("entity_slug", "status").agg(F.count("*").alias("n"))
+    """The whole classifier over an order each as a record, written as one of the cases; the answers come from the rules by hand."""
+    n = len(cases.CASES)
+    records = _t(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % n).cast("int").alias("case_id")).join(F.broadcast(cases.records(spark)), "case_id")
+    return classify.classify(records, cases.registry(spark), "o_orderkey").select("o_orderkey", "entity_slug", "status", F.array_join("signals", ",").alias("signals"))
 
 
 @query("SELECT o_orderkey, round(CAST(o_totalprice AS DOUBLE) * coalesce((SELECT f FROM (VALUES " + ", ".join(f"({y}, CAST({money.CPI[money.BASE_YEAR] / v!r} AS DOUBLE))" for y, v in money.CPI.items()) + ") t(y, f) WHERE y = year(CAST(o_orderdate AS DATE))), 1), 4) AS adjusted FROM orders")
@@ -447,11 +462,12 @@ def freshness(spark, sf):
     return report(runs, _t(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("date").alias("date")), "user_id", F.lit(NOW).cast("date"))
 
 
-@query("SELECT count(*) FILTER (o_orderkey % 100 = 0) AS missing, count(*) FILTER (o_orderkey % 100 = 7) AS drifted, 0 AS duplicate FROM orders")
+@query("""WITH u AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 100 = 0 THEN '' WHEN o_orderkey % 100 = 7 THEN 'd' || o_orderkey WHEN o_orderkey % 20 = 3 THEN 'same' || (o_orderkey // 100) ELSE CAST(o_orderkey AS VARCHAR) END AS uid FROM orders)
+SELECT count(*) FILTER (uid = '') AS missing, count(*) FILTER (uid <> '' AND uid <> CAST(k AS VARCHAR)) AS drifted, (SELECT sum(n - 1)::BIGINT FROM (SELECT count(*) AS n FROM u WHERE uid <> '' GROUP BY uid)) AS duplicate FROM u""")
 def integrity_identity(spark, sf):
     k = F.col("o_orderkey")
-    rows = _t(spark, sf, "orders").select(k, F.when(k % 100 == 0, "").when(k % 100 == 7, F.concat(F.lit("d"), k)).otherwise(k.cast("string")).alias("uid"))
-    return checks.identity(rows, "uid", k, [])
+    uid = F.when(k % 100 == 0, "").when(k % 100 == 7, F.concat(F.lit("d"), k)).when(k % 20 == 3, F.concat(F.lit("same"), F.floor(k / 100))).otherwise(k.cast("string"))
+    return checks.identity(_t(spark, sf, "orders").select(k, uid.alias("uid")), "uid", k, [])
 
 
 @query("SELECT (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 = 0 AND c_custkey % 5 <> 0) AS stale_open, (SELECT count(*) FROM customer WHERE c_custkey % 15 = 0) AS orphan_verdicts")
@@ -469,3 +485,6 @@ def reason_histogram(spark, sf):
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderdate IS NOT NULL ORDER BY 2 DESC, 1 LIMIT 20", ("date",))
 def recent_feed(spark, sf):
     return _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")).where("date IS NOT NULL").orderBy(F.desc("date"), "o_orderkey").limit(20)
+
+
+from . import ingest, summaries  # noqa: E402, F401  their queries join those above
