@@ -81,14 +81,30 @@ def _asked(size: int):
     """Packs the queries of blocks into query blocks: their ids, their own blocks and places in these, and their components."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list[tuple[int, int, int, np.ndarray]]] = [[], []]
+
+        def out(rows: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+            d = max(len(r[3]) for r in rows)
+            matrix = np.zeros((len(rows), d), rows[0][3].dtype)
+            for m, r in zip(matrix, rows, strict=True):
+                m[: len(r[3])] = r[3]
+            ids, own, places = (np.array([r[i] for r in rows], np.int64).tobytes() for i in range(3))
+            return pa.RecordBatch.from_pydict({"qd": pa.array([d], pa.int32()), "own": [own], "qids": [ids], "places": [places], "qmatrix": [_bytes(matrix)]})
+
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = lambda c: batch.column(c)[row].as_py()  # noqa: B023, E731
-                at, d = np.frombuffer(cell("asked"), np.int32), cell("d")
-                ids, matrix = np.frombuffer(cell("ids"), np.int64)[at], _matrix(cell("matrix"), cell("n"), d)[at]
-                for i in range(0, len(at), size):
-                    part = slice(i, i + size)
-                    yield pa.RecordBatch.from_pydict({"qd": pa.array([d], pa.int32()), "own": pa.array([cell("block")], pa.int64()), "qids": [ids[part].tobytes()], "places": [at[part].tobytes()], "qmatrix": [_bytes(matrix[part])]})
+                at, block = np.frombuffer(cell("asked"), np.int32), cell("block")
+                matrix = _matrix(cell("matrix"), cell("n"), cell("d"))[at]
+                rows = kept[matrix.dtype == object]
+                for i, place, r in zip(np.frombuffer(cell("ids"), np.int64)[at].tolist(), at.tolist(), matrix, strict=True):
+                    rows.append((i, block, place, r))
+                    if len(rows) == size:
+                        yield out(rows)
+                        rows.clear()
+        for rows in kept:
+            if rows:
+                yield out(rows)
 
     return pack
 
@@ -148,6 +164,13 @@ class Block:
         self.lists = np.frombuffer(lists, np.uint16).reshape(d, n)
         self.values = np.take_along_axis(self.whole, self.lists.T, axis=0).T.astype(object if self.kind is object else np.int64)
 
+    def bounds(self, up: np.ndarray, down: np.ndarray) -> np.ndarray | None:
+        """What any row can score at most with each query, given the queries' positive and negative parts; None where doubles aren't exact."""
+        width = min(up.shape[1], len(self.values))
+        if self.kind is not np.float64 or width * self.largest * max(up.max(initial=0), -down.min(initial=0)) >= 1 << 53:
+            return None
+        return up[:, :width] @ self.values[:width, -1] + down[:, :width] @ self.values[:width, 0]
+
     def top(self, own: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> int:
         """Adds the block's rows but the one at place `own` (-1: none) to the heap `best` of (score, -id) by the threshold algorithm; returns the depth it went to."""
         n, d = self.rows.shape
@@ -162,15 +185,6 @@ class Block:
         up = q > 0
         seen = np.zeros(n, bool)
         at, depth = 0, FIRST_DEPTH
-        signed = np.concatenate([q[up], q[~up]])
-
-        def bound(at: int) -> int:
-            """What rows that are not among the first `at` of any list can score at most."""
-            ends = np.concatenate([self.values[dims[up], n - max(1, at)], self.values[dims[~up], max(1, at) - 1]])
-            return sum(map(mul, signed.tolist(), ends.tolist())) if kind is object else int(signed @ ends)
-
-        if len(best) == k and bound(0) < best[0][0]:
-            return 0
         while at < n:
             to = min(depth, n)
             if len(dims):
@@ -197,8 +211,12 @@ class Block:
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
             at, depth = to, 2 * to
-            if len(best) == k and at < n and bound(at) < best[0][0]:
-                break
+            if len(best) == k and at < n:
+                ends = np.concatenate([self.values[dims[up], n - at], self.values[dims[~up], at - 1]])
+                signed = np.concatenate([q[up], q[~up]])
+                bound = sum(map(mul, signed.tolist(), ends.tolist())) if kind is object else int(signed @ ends)
+                if bound < best[0][0]:
+                    break
         return at
 
 
@@ -206,10 +224,10 @@ def _search(k: int):
     """Over joined rows of a query block and a vector block: the best of each query, kept over the blocks that a query block meets in a row."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_block, block_id, block, ids, places, own, queries, best = None, None, None, [], [], None, [], []
+        query_block, block_id, block, ids, places, own, queries, parts, best = None, None, None, [], [], [], [], None, []
 
         def out() -> pa.RecordBatch:
-            found = [(own, p, q, -i, s if -1 << 63 <= s < 1 << 63 else None, _ordered(s)) for p, q, heap in zip(places, ids, best, strict=True) for s, i in heap]
+            found = [(o, p, q, -i, s if -1 << 63 <= s < 1 << 63 else None, _ordered(s)) for o, p, q, heap in zip(own, places, ids, best, strict=True) for s, i in heap]
             return pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.binary() if c == 5 else pa.int64()) for c in range(6)], names=["own", "place", "query_id", "vec_id", "score", "order"])
 
         for batch in batches:
@@ -219,14 +237,18 @@ def _search(k: int):
                     if best:
                         yield out()
                     query_block = cell("qb")
-                    ids, places, own = np.frombuffer(cell("qids"), np.int64).tolist(), np.frombuffer(cell("places"), np.int32).tolist(), cell("own")
+                    ids, places, own = (np.frombuffer(cell(c), np.int64).tolist() for c in ("qids", "places", "own"))
                     queries = _matrix(cell("qmatrix"), len(ids), cell("qd"))
                     queries = queries if queries.dtype == object else queries.astype(np.int64)
+                    # numbers that doubles can't hold are left to top() itself
+                    parts = None if queries.dtype == object else (np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64))
                     best = [[] for _ in ids]
                 if cell("block") != block_id:
                     block_id, block = cell("block"), Block(*map(cell, ("n", "d", "ids", "matrix", "lists")))
-                for p, v, heap in zip(places, queries, best, strict=True):
-                    block.top(p if block_id == own else -1, v, k, heap)
+                bounds = block.bounds(*parts) if parts else None
+                for n, (o, p, v, heap) in enumerate(zip(own, places, queries, best, strict=True)):
+                    if bounds is None or len(heap) < k or bounds[n] >= heap[0][0]:
+                        block.top(p if block_id == o else -1, v, k, heap)
         if best:
             yield out()
 
@@ -240,7 +262,7 @@ def top_k(vectors: DataFrame, asked: Column, k: int = K, key: str = "vec_id", ve
     rows = vectors.select(F.col(key).cast("long"), F.col(vector).cast("array<double>"), asked)
     blocks = stored(rows.mapInArrow(_packed(block), shape).withColumn("block", F.monotonically_increasing_id()), "blocks")
     queries = blocks.where(F.octet_length("asked") > 0).select("block", "n", "d", "ids", "asked", "matrix")
-    queries = queries.mapInArrow(_asked(query_block), "qd int, own long, qids binary, places binary, qmatrix binary")
+    queries = queries.mapInArrow(_asked(query_block), "qd int, own binary, qids binary, places binary, qmatrix binary")
     queries = stored(queries.withColumn("qb", F.monotonically_increasing_id()), "asked")
     groups = max(1, -(-(count := blocks.count()) // GROUP), min(count, 4 * spark.sparkContext.defaultParallelism))
     blocks = blocks.drop("asked").withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
