@@ -43,3 +43,20 @@ def totals_agree(a: DataFrame, b: DataFrame, amount: str, cent: float = 0.01) ->
     """One row: whether two tables have equal counts and sums within a cent."""
     of = lambda d, x: d.agg(F.count("*").alias(f"n_{x}"), F.coalesce(F.sum(F.col(amount).cast("decimal(18,2)")), F.lit(0)).alias(f"usd_{x}"))
     return of(a, "a").join(of(b, "b")).withColumn("same", (F.col("n_a") == F.col("n_b")) & (F.abs(F.col("usd_a") - F.col("usd_b")) <= cent))
+
+
+def orphaned_verdicts(queue: DataFrame, resolutions: DataFrame, keys: list[str]) -> DataFrame:
+    """Queue items that carry a resolution which the durable table lacks: the next rebuild of the queue would reopen them."""
+    return queue.where("resolution IS NOT NULL").join(resolutions.select(*keys).distinct(), keys, "left_anti")
+
+
+def wide(decisions: DataFrame, donations: DataFrame, keys: list[str]) -> DataFrame:
+    """Overrides, verdicts or queue items (by their keys) that stand for more than one live row, with the number of rows: each governs all of them."""
+    live = donations.where("superseded_by IS NULL").groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return decisions.join(live, keys)
+
+
+def differing_positions(positions: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
+    """Positions of one table that differ from those of another, or are in one only: the two readings of a roll call agree where this is empty."""
+    both = positions.select(*keys, F.col("position").alias("a")).join(expected.select(*keys, F.col("position").alias("b")), keys, "full")
+    return both.where(~F.col("a").eqNullSafe(F.col("b")))

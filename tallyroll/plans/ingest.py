@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import money, text
-from ..operators import attribution, classify, merge
+from ..functions import links, money, text
+from ..operators import attribution, checks, classify, merge
 from ..sources import federal, legislation, states
+from ..streaming import incremental
 from . import cases
 from .queries import _t, query
 
@@ -375,3 +376,50 @@ def split_fields(spark, sf):
     place = F.when(c % 3 == 0, F.concat(F.lit("Town, fl "), zip9)).when(c % 3 == 1, F.concat(F.lit("New Town FL "), F.left(zip9, F.lit(5)))).otherwise("nowhere at all")
     rows = o.select(k, text.last_first_names(name).alias("n"), text.city_state_zip(place).alias("p"), text.zip5(zip9).alias("zip5"))
     return rows.select("o_orderkey", "n.last", "n.first", "n.middle", "p.city", "p.state", "zip5")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN o_orderkey % 3 > 0 THEN 'https://cal-access.sos.ca.gov/PDFGen/pdfgen.prg?filingid=' || o_custkey || '&amendid=0' END WHEN 1 THEN 'https://data.ny.gov/resource/4j2b-6a2j.json?trans_number=' || o_orderkey END AS filing_url,
+CASE o_orderkey % 4 WHEN 1 THEN 'https://data.ny.gov/d/4j2b-6a2j' WHEN 2 THEN 'https://seethemoney.az.gov/' END AS dataset_url, CASE WHEN o_orderkey % 2 = 0 THEN 'https://www.fec.gov/data/filings/?file_number=' || o_custkey END AS federal FROM orders""")
+def record_links(spark, sf):
+    """Pages of records and of data; none without the id that they need."""
+    o, k, c, _, _ = _orders(spark, sf)
+    source = F.when(k % 4 == 0, "cal-access").when(k % 4 == 1, "NYSBOE").when(k % 4 == 2, "AZ-SOS").otherwise("?")
+    rows = o.select(k, links.source_links(source, F.when(k % 3 > 0, c.cast("string")).otherwise(""), k.cast("string")).alias("l"), links.federal_filing(F.when(k % 2 == 0, F.concat(c, F.lit(" "))).otherwise("n/a")).alias("federal"))
+    return rows.select("o_orderkey", "l.*", "federal")
+
+
+@query("""SELECT o_custkey, n, status FROM (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1 HAVING count(*) > 1) JOIN (SELECT c_custkey AS o_custkey, CASE c_custkey % 2 WHEN 0 THEN 'EXCLUDED' ELSE 'CONFIRMED' END AS status FROM customer WHERE c_custkey % 3 = 0) USING (o_custkey)""")
+def wide_overrides(spark, sf):
+    """Overrides that govern more than one live row."""
+    k = F.col("c_custkey")
+    over = _t(spark, sf, "customer").where(k % 3 == 0).select(k.alias("o_custkey"), F.when(k % 2 == 0, "EXCLUDED").otherwise("CONFIRMED").alias("status"))
+    rows = _t(spark, sf, "orders").select("o_custkey", F.when(F.col("o_orderstatus") == "P", "x").alias("superseded_by"))
+    return checks.wide(over, rows, ["o_custkey"])
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 > 0")
+def orphaned_verdicts(spark, sf):
+    """Verdicts that stand on the queue alone."""
+    k = F.col("c_custkey")
+    people = _t(spark, sf, "customer").select(k)
+    return checks.orphaned_verdicts(people.withColumn("resolution", F.when(k % 2 == 0, "DISCARDED")), people.where(k % 3 == 0), ["c_custkey"]).select("c_custkey")
+
+
+@query("""WITH w AS (SELECT c_custkey, DATE '2001-01-01' AS last_run FROM customer UNION ALL SELECT user_id, CAST(ts AS DATE) FROM events WHERE event_id % 3 > 0 AND event_id % 5 > 0)
+SELECT c_custkey, max(last_run) AS last_run, greatest(max(last_run) - 550, DATE '2000-01-01') AS min_date FROM w GROUP BY 1""", ("last_run", "min_date"))
+def watermarks(spark, sf):
+    """Where each entity was last read, and where its next run starts: runs from stored files or cut short move nothing."""
+    start = _t(spark, sf, "customer").select("c_custkey", F.lit("2001-01-01").cast("date").alias("last_run"))
+    e = F.col("event_id")
+    runs = _t(spark, sf, "events").select(F.col("user_id").alias("c_custkey"), F.col("ts").cast("date").alias("run_date"), (e % 3 == 0).alias("from_raw"), F.when(e % 5 == 0, True).alias("truncated"))
+    after = incremental.watermarks_after(start, runs, "c_custkey")
+    return after.join(incremental.read_from(after, "c_custkey"), "c_custkey")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'Nay' WHEN event_id % 4 = 1 THEN 'Yea' END AS a, CASE WHEN event_id % 4 IN (0, 2) THEN 'Yea' END AS b FROM events WHERE event_id % 4 < 3")
+def roll_call_differences(spark, sf):
+    """Positions in which two readings of a roll call differ."""
+    e = F.col("event_id")
+    rows = _t(spark, sf, "events").select(e)
+    one = rows.where(e % 4 != 2).withColumn("position", F.when(e % 4 == 0, "Nay").otherwise("Yea"))
+    return checks.differing_positions(one, rows.where(e % 4 != 1).withColumn("position", F.lit("Yea")), ["event_id"])

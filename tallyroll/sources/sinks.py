@@ -29,6 +29,37 @@ def export_json(df: DataFrame, path: str, by: str | None = None) -> None:
     (out.partitionBy(by) if by else out).json(path)
 
 
+def export_payload(sections: dict[str, DataFrame], root: str, about: dict[str, str], chunks: dict[str, str] | None = None) -> None:
+    """A payload as folders of JSON lines, one a section, and `_meta` with what it is about and the rows of each section.
+
+    chunks names the column by which a section is cut into folders that readers load one by one. Texts are guarded as for
+    spreadsheets only where sections are exported as CSV; JSON keeps them as they are.
+    """
+    counts = {}
+    for name, df in sections.items():
+        out = df.write.mode("overwrite")
+        (out.partitionBy(chunks[name]) if chunks and name in chunks else out).json(f"{root}/{name}")
+        counts[name] = df.sparkSession.read.json(f"{root}/{name}").count() if df.columns else 0
+    spark = next(iter(sections.values())).sparkSession
+    rows = [(k, v) for k, v in about.items()] + [(f"rows.{k}", str(n)) for k, n in counts.items()]
+    spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{root}/_meta")
+
+
+#: Columns of an entity's export, in their order.
+ALL_COLUMNS = (
+    "transaction_id", "entity_slug", "entity_kind", "parent_owner_slug", "status", "status_reason", "signals_matched", "contributor_name_raw", "contributor_employer_raw", "contributor_occupation_raw", "contributor_city", "contributor_state", "contributor_zip",
+    "recipient_committee_id", "recipient_committee_name", "recipient_candidate_id", "recipient_candidate_name", "recipient_party", "recipient_office", "amount", "date", "election_cycle", "report_type", "filing_id", "raw_payload_path", "ingested_at",
+)
+
+
+def export_entities(donations: DataFrame, path: str) -> None:
+    """A folder an entity with its published rows that count, newest first, in fixed columns; lists become JSON."""
+    from ..operators.rollup import published
+
+    rows = published(donations).withColumn("signals_matched", F.to_json("signals_matched")).select(*ALL_COLUMNS, F.col("entity_slug").alias("entity"))
+    guarded(rows).repartition("entity").sortWithinPartitions("entity", F.desc("date"), "transaction_id").write.mode("overwrite").option("header", True).partitionBy("entity").csv(path)
+
+
 def snapshot(df: DataFrame, root: str, run_id: str) -> str:
     """An immutable version of a table, before it changes."""
     df.write.mode("errorifexists").parquet(path := f"{root}/v={run_id}")

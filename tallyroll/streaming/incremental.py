@@ -90,6 +90,18 @@ def freshness(runs: DataFrame, donations: DataFrame, key: str, now: Column, days
     return both.select(key, age.alias("run_age_days"), F.datediff(now, F.col("newest")).alias("newest_age_days"), (~F.coalesce(age < days, F.lit(False))).alias("stale"))
 
 
+def watermarks_after(watermarks: DataFrame, runs: DataFrame, key: str) -> DataFrame:
+    """key and last_run after some runs (key, run_date, from_raw, truncated): a run that read only stored files, or stopped early, moves no watermark; none moves back."""
+    done = runs.where(~F.coalesce("from_raw", F.lit(False)) & ~F.coalesce("truncated", F.lit(False))).select(key, F.col("run_date").alias("last_run"))
+    return watermarks.select(key, "last_run").unionByName(done).groupBy(key).agg(F.max("last_run").alias("last_run"))
+
+
+def read_from(watermarks: DataFrame, key: str, days: int = 550, floor: str = "2000-01-01") -> DataFrame:
+    """key and min_date: where the next run of each key starts to read: so many days before its watermark, the floor where there is none."""
+    start = F.lit(floor).cast("date")
+    return watermarks.select(key, F.coalesce(F.greatest(F.date_sub("last_run", days), start), start).alias("min_date"))
+
+
 def trailing_window(rows: DataFrame, date: str, watermark: Column, days: int = 550) -> DataFrame:
     """The rows that an incremental run reads again: filings arrive late, and the merge makes the overlap harmless."""
     return rows.where(F.col(date) >= F.greatest(F.date_sub(watermark, days), F.lit("2000-01-01").cast("date")))

@@ -243,3 +243,21 @@ def test_guards_and_small_parts(spark, tmp_path):
     sinks.export_json(donations, str(tmp_path / "json"), "entity_slug")
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3 and spark.read.json(str(tmp_path / "json")).count() == 3
     assert spark.read.parquet(sinks.snapshot(donations, str(tmp_path / "snap"), "r1")).count() == 3
+
+
+def test_payloads_and_entity_exports(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    names = {c: "string" for c in sinks.ALL_COLUMNS} | {"amount": "decimal(18,2)", "date": "date", "election_cycle": "int", "signals_matched": "array<string>"}
+    base = dict.fromkeys(names) | {"entity_slug": "a", "status": "CONFIRMED", "signals_matched": ["x"], "contributor_name_raw": "=1+1"}
+    schema = T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in names.items()) + ", counted boolean")
+    rows = [base | {"transaction_id": t, "date": d, "counted": c, "status": s} for t, d, c, s in (("1", "2020-01-01", True, "CONFIRMED"), ("2", "2021-01-01", True, "PROBABLE"), ("3", "2021-01-01", False, "PROBABLE"), ("4", "2021-01-01", True, "UNCERTAIN"))]
+    import datetime
+
+    df = spark.createDataFrame([tuple(datetime.date.fromisoformat(r[k]) if k == "date" else r[k] for k in [*names, "counted"]) for r in rows], schema)
+    sinks.export_entities(df, str(tmp_path / "entities"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "entities" / "entity=a"))
+    assert back.columns == list(sinks.ALL_COLUMNS) and [(r.transaction_id, r.contributor_name_raw, r.signals_matched) for r in back.collect()] == [("2", "'=1+1", '["x"]'), ("1", "'=1+1", '["x"]')]
+    sinks.export_payload({"owners": df.select("entity_slug", "amount"), "rows": df.select("status", "date")}, str(tmp_path / "payload"), {"about": "test"}, {"rows": "status"})
+    assert {r.name: r.value for r in spark.read.json(str(tmp_path / "payload" / "_meta")).collect()} == {"about": "test", "rows.owners": "4", "rows.rows": "4"}
+    assert os.path.isdir(tmp_path / "payload" / "rows" / "status=CONFIRMED")
