@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rollup import dollars
+from .rollup import dollars, tier_measures
 
 
 def single_candidate(designation: Column, candidate_ids: Column) -> Column:
@@ -13,8 +13,13 @@ def single_candidate(designation: Column, candidate_ids: Column) -> Column:
     return designation.isin("P", "A") & F.coalesce(F.json_array_length(candidate_ids) == 1, F.lit(False))
 
 
-def resolved_donations(donations: DataFrame, crosswalk: DataFrame, committees: DataFrame | None = None) -> DataFrame:
-    """Donations beside the legislators they reach, with join_tier: "direct" by candidate id and, if committees are given, "indirect" by a committee of one candidate."""
+def resolved_donations(donations: DataFrame, crosswalk: DataFrame, committees: DataFrame | None = None, counted_only: bool = True) -> DataFrame:
+    """Donations beside the legislators they reach, with join_tier: "direct" by candidate id and, if committees are given, "indirect" by a committee of one candidate.
+
+    Rows that a column `counted` says are copies of another one are left out, unless counted_only is False.
+    """
+    if counted_only and "counted" in donations.columns:
+        donations = donations.where(F.coalesce("counted", F.lit(True)))
     direct = donations.join(crosswalk, F.col("recipient_candidate_id") == F.col("candidate_id")).withColumn("join_tier", F.lit("direct"))
     if committees is None:
         return direct
@@ -45,7 +50,7 @@ def with_committees(resolved: DataFrame, memberships: DataFrame, bill_committees
 
 def vote_rollup(votes: DataFrame, by: str) -> DataFrame:
     """Counts a gift once for each of its vote rows."""
-    return votes.groupBy(by).agg(F.count("*").alias("rows"), dollars(F.col("amount")).alias("total_amount"), F.count_if(F.col("position") == "Yea").alias("yea"), F.count_if(F.col("position") == "Nay").alias("nay"), F.countDistinct("bioguide").alias("legislators"))
+    return votes.groupBy(by).agg(F.count("*").alias("rows"), dollars(F.col("amount")).alias("total_amount"), F.count_if(F.col("position") == "Yea").alias("yea"), F.count_if(F.col("position") == "Nay").alias("nay"), F.countDistinct("bioguide").alias("legislators"), *(tier_measures(F.col("status"), F.col("amount"), ("CONFIRMED", "PROBABLE")) if "status" in votes.columns else []))
 
 
 def brief_rollup(votes: DataFrame, by: str, gift: str) -> DataFrame:

@@ -183,6 +183,12 @@ def adjudicated(queue: DataFrame) -> DataFrame:
     return queue.groupBy("entity_slug").agg(F.count("*").alias("items"), F.count("resolution").alias("settled"), F.round(ratio(F.count("resolution") * 100.0, F.count("*")), 1).alias("percent"))
 
 
+def run_totals(runs: DataFrame) -> DataFrame:
+    """One row: what all runs read and asked for."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return runs.agg(F.count("*").alias("n_runs"), F.min("started_at").alias("earliest_run"), F.max("started_at").alias("latest_run"), total("records_fetched").alias("total_records_fetched"), total("api_calls").alias("total_api_calls"), F.count_if(F.coalesce("dry_run", F.lit(False))).alias("n_dry_runs"))
+
+
 # -- legislation
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import links, money, text
-from ..operators import attribution, checks, classify, merge
+from ..operators import attribution, checks, classify, merge, reports
 from ..sources import federal, legislation, states
 from ..streaming import incremental
 from . import cases
@@ -423,3 +423,63 @@ def roll_call_differences(spark, sf):
     rows = _t(spark, sf, "events").select(e)
     one = rows.where(e % 4 != 2).withColumn("position", F.when(e % 4 == 0, "Nay").otherwise("Yea"))
     return checks.differing_positions(one, rows.where(e % 4 != 1).withColumn("position", F.lit("Yea")), ["event_id"])
+
+
+_OWNERS = [("field", None, ["Ann Field", "FIELD, ANN", "Field, Bob J."]), ("stone", None, ["Kenneth Stone", "Stone"]), ("kin", "field", ["Zoe Vale"])]
+_ASKERS = "slug string, parent_slug string, name_variants array<string>"
+
+
+@query("""WITH p AS (SELECT o_orderkey, ['ann', 'bob', 'ken', 'kenneth', 'zoe', ''][o_orderkey % 6 + 1] AS f, CASE o_custkey % 3 WHEN 0 THEN 'field' WHEN 1 THEN 'stone' ELSE 'vale' END AS l FROM orders)
+SELECT 'NY' AS source, o_orderkey, l AS owner_slug FROM p WHERE (l = 'field' AND f IN ('ann', 'bob')) OR (l = 'stone' AND f = 'kenneth') UNION ALL
+SELECT 'WA', o_orderkey, l FROM p WHERE (l = 'field' AND f IN ('ann', 'bob')) OR (l = 'stone' AND f = 'kenneth') UNION ALL
+SELECT 'AZ', o_orderkey, l FROM p WHERE (l = 'field' AND f IN ('ann', 'bob', '')) OR (l = 'stone' AND f IN ('ken', 'kenneth', ''))""")
+def source_predicates(spark, sf):
+    """What the sources that are searched by name would give: by parts (NY), by prefix (WA), by compatible first names (AZ)."""
+    o, k, c, _, _ = _orders(spark, sf)
+    first = F.element_at(F.array(*map(F.lit, ("Ann", "BOB", "Ken", "Kenneth", "Zoe", ""))), (k % 6).cast("int") + 1)
+    last = F.when(c % 3 == 0, "FIELD").when(c % 3 == 1, "Stone").otherwise("Vale")
+    registry = spark.createDataFrame(_OWNERS, _ASKERS)
+    ny = states.asked_by_parts(o.select(k, last.alias("flng_ent_last_name"), first.alias("flng_ent_first_name")), registry)
+    wa = states.asked_by_prefix(o.select(k, F.concat(last, F.lit(" "), first, F.when(first != "", " Q").otherwise("")).alias("contributor_name")), registry)
+    az = states.asked_by_entity(o.select(k, F.concat(last, F.lit(", "), first).alias("EntityLastName")), registry)
+    return ny.select(F.lit("NY").alias("source"), "o_orderkey", "owner_slug").union(wa.select(F.lit("WA"), "o_orderkey", "owner_slug")).union(az.select(F.lit("AZ"), "o_orderkey", "owner_slug"))
+
+
+@query("SELECT * FROM (VALUES ('field', 'Ann Field'), ('field', 'FIELD, ANN'), ('field', 'Field, Bob J.'), ('stone', 'Kenneth Stone'), ('stone', 'Stone'), ('kin', 'Zoe Vale')) t(slug, variant)")
+def name_variants(spark, sf):
+    """Variants that differ in punctuation and case only are asked for once."""
+    more = [("field", None, ["Ann Field", "ann  field.", "FIELD, ANN", "Field Ann", "Field, Bob J.", "Field Bob J", " . "]), *_OWNERS[1:]]
+    return states.distinct_variants(spark.createDataFrame(more, _ASKERS))
+
+
+@query("""WITH v AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS a FROM orders) SELECT outcome, count(*) AS n, CAST(sum(a) AS DOUBLE) AS total FROM (SELECT a, CASE WHEN k % 10 = 0 THEN 'inserted' WHEN k % 10 = 1 THEN 'kept' WHEN k % 5 = 2 OR k % 7 = 3 OR k % 11 = 4 THEN 'superseded' ELSE 'unchanged' END AS outcome FROM v) GROUP BY 1""")
+def merge_state_outcomes(spark, sf):
+    """State rows know no collision: any change of substance supersedes, even of all of it."""
+    k, usd = F.col("o_orderkey"), F.col("o_totalprice").cast(money.MONEY)
+    row = _t(spark, sf, "orders").select(k.alias("state_txn_id"), usd.alias("amount"), F.col("o_orderdate").cast("date").cast("string").alias("date"), F.col("o_custkey").cast("string").alias("recipient_filer_id"), F.lit(None).cast("string").alias("source_filing_id"))
+    t = F.col("state_txn_id")
+    new = row.where(t % 10 != 1).withColumns({"amount": F.when(t % 5 == 2, F.col("amount") + 1).otherwise(F.col("amount")).cast(money.MONEY), "recipient_filer_id": F.when(t % 7 == 3, "X").otherwise(F.col("recipient_filer_id")), "source_filing_id": F.when(t % 11 == 4, "F").otherwise("")})
+    events = merge.merge_events(row.where(t % 10 != 0), new, ["state_txn_id"], {"amount": "money", "date": "text", "recipient_filer_id": "text", "source_filing_id": "text"})
+    usd = F.coalesce("cur.amount", "inc.amount")
+    return events.groupBy("outcome").agg(F.count("*").alias("n"), F.sum(usd).cast("double").alias("total"))
+
+
+@query("SELECT count(*) AS n_runs, CAST(min(ts) AS DATE) AS earliest_run, CAST(max(ts) AS DATE) AS latest_run, sum(event_id % 9)::BIGINT AS total_records_fetched, 0::BIGINT AS total_api_calls, count(*) FILTER (event_id % 7 = 0) AS n_dry_runs FROM events", ("earliest_run", "latest_run"))
+def run_totals(spark, sf):
+    e = F.col("event_id")
+    runs = _t(spark, sf, "events").select(F.col("ts").cast("date").alias("started_at"), (e % 9).alias("records_fetched"), F.lit(None).cast("long").alias("api_calls"), F.when(e % 7 == 0, True).alias("dry_run"))
+    return reports.run_totals(runs)
+
+
+@query("SELECT s AS o_orderstatus, n AS n_a, n - CASE s WHEN 'F' THEN 1 ELSE 0 END AS n_b, s <> 'F' AS same FROM (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)")
+def export_freshness(spark, sf):
+    """Whether an export still agrees with the table, by count and dollars to the cent: one lacks a row."""
+    orders = _t(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.col("o_totalprice").cast(money.MONEY).alias("amount"))
+    out = None
+    for s in ("F", "O", "P"):
+        table = orders.where(F.col("o_orderstatus") == s)
+        first = table.agg(F.min("o_orderkey")).first()[0]
+        export = table.where(F.col("o_orderkey") != first) if s == "F" else table
+        row = checks.totals_agree(table, export, "amount").select(F.lit(s).alias("o_orderstatus"), "n_a", "n_b", "same")
+        out = row if out is None else out.union(row)
+    return out

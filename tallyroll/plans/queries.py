@@ -220,6 +220,9 @@ _SPONSORS = "(SELECT DISTINCT l_suppkey AS bioguide, l_partkey AS bill FROM line
 _VOTES = "(SELECT event_id AS vote_id, CAST(ts AS DATE) AS vote_date, user_id % 100 + 1 AS bioguide, CASE WHEN event_type = 'click' THEN 'Yea' ELSE 'Nay' END AS position FROM events)"
 
 
+_VOTE_TIERS = ", ".join(f"count(*) FILTER (status = '{t}') AS n_{t.lower()}, CAST(coalesce(sum(amount) FILTER (status = '{t}'), 0) AS DOUBLE) AS usd_{t.lower()}" for t in ("CONFIRMED", "PROBABLE"))
+
+
 def _resolved(spark: SparkSession, sf: str) -> DataFrame:
     cross = _people(spark, sf).join(_t(spark, sf, "supplier"), F.col("s_suppkey") == F.col("entity")).select(F.col("entity").alias("candidate_id"), F.col("s_suppkey").alias("bioguide"))
     return policy.resolved_donations(_published(spark, sf).withColumn("recipient_candidate_id", F.col("entity")), cross)
@@ -267,7 +270,7 @@ def join_tiers(spark, sf):
     return policy.resolved_donations(d, x, c).groupBy("join_tier").agg(F.count("*").alias("n"), F.countDistinct("bioguide").alias("legislators"))
 
 
-@query(f"SELECT bioguide, count(*) AS rows, {USD} AS total_amount, count(*) FILTER (position = 'Yea') AS yea, count(*) FILTER (position = 'Nay') AS nay, count(DISTINCT bioguide) AS legislators FROM {_RESOLVED} JOIN {_VOTES} USING (bioguide) GROUP BY 1")
+@query(f"SELECT bioguide, count(*) AS rows, {USD} AS total_amount, count(*) FILTER (position = 'Yea') AS yea, count(*) FILTER (position = 'Nay') AS nay, count(DISTINCT bioguide) AS legislators, {_VOTE_TIERS} FROM {_RESOLVED} JOIN {_VOTES} USING (bioguide) GROUP BY 1")
 def vote_rollup(spark, sf):
     rows = policy.vote_rollup(_vote_rows(spark, sf).withColumn("by", F.col("bioguide")), "by")
     return rows.withColumnRenamed("by", "bioguide")

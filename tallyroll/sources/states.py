@@ -333,6 +333,43 @@ SOURCES: dict[str, Source] = {
 }
 
 
+def owner_names(registry: DataFrame) -> DataFrame:
+    """owner_slug, last and first (lower case, the first given name) of each variant of an owner that has both."""
+    variants = registry.where("parent_slug IS NULL").select(F.col("slug").alias("owner_slug"), F.explode("name_variants").alias("v"))
+    rows = variants.select("owner_slug", text.last_first_names(F.col("v")).alias("n")).select("owner_slug", F.lower("n.last").alias("last"), F.lower("n.first").alias("first"))
+    return rows.where("last <> '' AND first <> ''").distinct()
+
+
+def distinct_variants(registry: DataFrame) -> DataFrame:
+    """slug and variant of each name worth asking for: of those that differ in case, periods, commas and spaces only, the first."""
+    rows = registry.select("slug", F.posexplode("name_variants").alias("at", "variant")).withColumn("key", text.norm(F.col("variant"))).where("key <> ''")
+    return rows.groupBy("slug", "key").agg(F.min_by("variant", "at").alias("variant")).select("slug", "variant")
+
+
+def asked_by_parts(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows of the NY file beside each owner one of whose last names and one of whose first names they have, not necessarily of one variant."""
+    names, c = owner_names(registry), getter(rows)
+    keyed = rows.withColumns({"__last": F.lower(c("flng_ent_last_name")), "__first": F.lower(c("flng_ent_first_name"))})
+    lasts, firsts = names.select("owner_slug", F.col("last").alias("__last")).distinct(), names.select("owner_slug", F.col("first").alias("__first")).distinct()
+    return keyed.join(lasts, "__last").join(firsts, ["owner_slug", "__first"], "left_semi").drop("__last", "__first").select(*rows.columns, "owner_slug")
+
+
+def asked_by_prefix(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """Rows of the WA file beside each owner with a name that the contributor's begins with, as "LAST FIRST"."""
+    names, name = owner_names(registry), F.lower(getter(rows)("contributor_name"))
+    keyed = rows.withColumns({"__name": name, "__last": F.regexp_extract(name, r"^(\S+)", 1)})
+    right = names.select("owner_slug", F.concat_ws(" ", "last", "first").alias("__start"), F.regexp_extract("last", r"^(\S+)", 1).alias("__last"))
+    return keyed.join(right, "__last").where(F.startswith("__name", "__start")).select(*rows.columns, "owner_slug").distinct()
+
+
+def asked_by_entity(entities: DataFrame, registry: DataFrame, column: str = "EntityLastName") -> DataFrame:
+    """AZ entities beside each owner of the same last name whose first name begins with theirs or the other way round; a missing first name fits."""
+    n = text.last_first_names(F.col(column))
+    keyed = entities.withColumns({"last": F.lower(n["last"]), "__first": F.lower(n["first"])})
+    fits = (F.col("__first") == "") | F.startswith("__first", "first") | F.startswith("first", "__first")
+    return keyed.join(owner_names(registry), "last").where(fits).select(*entities.columns, "owner_slug").distinct()
+
+
 def is_person(rows: DataFrame) -> Column:
     """Whether a row of the MD file is a person's: by type code, else by type."""
     c = getter(rows)
