@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.links import federal_filing
 from ..functions.money import MONEY, cpi_adjusted, ratio
+from ..functions.text import committee_bucket, party_bucket
 from .rollup import dollars, listed, tier_measures, top_per_group, two_level_arg_max
 
 TIERS = ("CONFIRMED", "PROBABLE")
@@ -20,6 +22,14 @@ def with_real(donations: DataFrame) -> DataFrame:
     return donations.withColumns({"owner": F.coalesce("parent_owner_slug", "entity_slug"), "amount_real": cpi_adjusted(F.col("amount"), F.coalesce("election_cycle", F.year("date")))})
 
 
+def display_rows(donations: DataFrame) -> DataFrame:
+    """Rows as pages show them: dollars of the base year to the cent, the party's bucket, the kind of committee, and the page of the filing where its number is known."""
+    rows = with_real(donations)
+    return rows.withColumns({
+        "amount_real": F.round("amount_real", 2), "party": party_bucket(F.col("party")), "recipient_type": committee_bucket(F.col("committee_type")), "filing_url": federal_filing(F.col("filing_id")),
+    })
+
+
 def _real() -> Column:
     return F.round(F.sum("amount_real"), 2)
 

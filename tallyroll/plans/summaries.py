@@ -59,6 +59,13 @@ def household_members(spark, sf):
     return reports.household_members(gifts(spark, sf))
 
 
+@query(f"""SELECT txn, owner, round(amount_real, 2) AS amount_real, party, CASE txn % 3 WHEN 0 THEN 'Candidate' WHEN 1 THEN 'PAC' ELSE 'Other' END AS recipient_type, CASE WHEN txn % 4 > 0 THEN 'https://www.fec.gov/data/filings/?file_number=' || txn END AS filing_url FROM {_GIFTS}""")
+def display_rows(spark, sf):
+    t = F.col("txn")
+    rows = gifts(spark, sf).withColumns({"committee_type": F.when(t % 3 == 0, " s").when(t % 3 == 1, "W"), "filing_id": F.when(t % 4 > 0, t.cast("string")).otherwise("FEC-PRE2006-NOID")})
+    return reports.display_rows(rows).select("txn", "owner", "amount_real", "party", "recipient_type", "filing_url")
+
+
 @query(f"SELECT entity_slug, entity_kind, count(*) AS n_total, CAST(sum(amount) AS DOUBLE) AS total_amount, {_TIERS} FROM {_GIFTS} WHERE owner = 'e10' GROUP BY ALL")
 def household_view(spark, sf):
     return reports.household_view(gifts(spark, sf), "e10")
