@@ -625,3 +625,55 @@ def test_licences_defined_cases(spark):
     got = licences.scan(docs).collect()
     assert sorted((str(x.doc_id), x.families, x.n_paragraphs) for x in got) == [("1", "Apache-2.0,MIT", 2), ("1", "Apache-2.0,MIT", 2), ("2", "", 0), ("None", "MIT", 1)]
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+def test_decontamination_defined_cases(spark):
+    r = random.Random(51)
+    item = " ".join(_words(r, 20))
+    long = " ".join(_words(r, 60_000))
+    # the item twice in one text, the second time whole; at the end of a very long text; in rows that repeat; with a null id
+    rows = [(1, " ".join(["zz", *item.split()[1:]]) + f" gap {item} gap {item}", "a"), (2, f"{long} {item}", "a"), (3, item, "a"), (3, item, "a"), (None, item, "a"), (4, long, "a")]
+    docs = _frame(spark, rows).withColumns({"key": F.lit(1), "words": F.lit("x"), "seed": F.lit(2), "start": F.lit(3)})
+    bench = spark.createDataFrame([(1, item, 0), (2, item, 0), (3, None, 0)], "item_id long, text string, pos int")
+    got = sorted((str(x.doc_id), x.item_id, x.matched, x.start) for x in decontaminate.report(docs, bench).collect())
+    assert got == sorted((str(d), i, 20, s) for d, s in ((1, 21), (2, 60_000), (3, 0), (None, 0)) for i in (1, 2))
+    assert [x.doc_id for x in decontaminate.decontaminated(docs, bench).select(*docs.columns).collect()] == [4]
+    assert decontaminate.report(docs.limit(0), bench).count() == 0 and decontaminate.report(docs, bench.limit(0)).count() == 0
+
+
+def test_bpe_defined_cases(spark):
+    docs = _frame(spark, [(1, "same text", "a"), (1, "same text", "a"), (None, "other", None), (2, None, None), (3, "", "b")]).withColumns({"key": F.lit(1), "ids": F.lit("x"), "n_tokens": F.lit(2)})
+    got = bpe.digests(docs, tokenizer_path()).collect()
+    assert sorted((str(x.doc_id), x.n_tokens > 0) for x in got) == [("1", True), ("1", True), ("2", False), ("3", False), ("None", True)]
+    assert len({x.ids_sha256 for x in got if x.doc_id == 1}) == 1 and bpe.digests(docs.limit(0), tokenizer_path()).count() == 0
+    back = {x.doc_id: x for x in bpe.encodings(docs, tokenizer_path()).collect()}
+    assert back[2].ids == [] and back[3].decoded == "" and " ".join(x.removesuffix("</w>") for x in back[None].decoded.split()) == "other"
+
+
+def test_line_dedup_matches_brute_force(spark):
+    r = random.Random(61)
+    rows = []
+    for i in range(400):
+        host = r.choice(["a", "b", "c", "d", None, ""])
+        lines = [f"line {r.randrange(60)}" for _ in range(r.randrange(0, 8))] + r.choice([[], [" Menu "], ["Menu"], ["", "  "]])
+        r.shuffle(lines)
+        rows.append((i if i % 50 else None, r.choice(["\n".join(lines)] * 9 + [None]), host))
+    rows += [(1000 + i, "tie\nown " + str(i) if i < 2 else f"own {i}", "tied") for i in range(20)] + [(2000, "long\n" * 50_000, "c"), rows[1], rows[1]]
+    pages, counts = {}, {}
+    for _, text, host in rows:
+        pages[host] = pages.get(host, 0) + 1
+        for line in {x.strip(" ") for x in (text or "").split("\n")} - {""}:
+            counts[host, line] = counts.get((host, line), 0) + 1
+    bad = {k for k, n in counts.items() if n >= 2 and n > pages[k[0]] * 0.1}
+    assert bad and ("tied", "tie") not in bad  # two of twenty pages are a tenth, not more
+    want = []
+    for i, text, host in rows:
+        lines = [] if text is None else text.split("\n")
+        kept = [x for x in lines if (host, x.strip(" ")) not in bad]
+        want.append((str(i), None if text is None else "\n".join(kept), len(lines), len(lines) - len(kept)))
+    docs = _frame(spark, rows).withColumns({"__n": F.lit(1), "line": F.lit("x")}).repartition(3)
+    got = [(str(x.doc_id), x.text, x.n_lines, x.n_dropped) for x in linededup.report(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    clean = linededup.drop_boilerplate(docs)
+    assert clean.columns == docs.columns and sorted(map(str, (x.text for x in clean.collect()))) == sorted(str(w[1]) for w in want)
+    assert linededup.report(docs.limit(0)).count() == 0
