@@ -34,7 +34,7 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     """One row per host that has any: __host, __bad (the hashes of its boilerplate lines, at most the lines of 1/ratio pages)."""
     pages = docs.select(_host(F.col(host)).alias("__host"), F.col(text).alias("__text"))
     totals = stored(pages.groupBy("__host").agg(F.count("*").alias("__pages")), "hosts")
-    lines = pages.select("__host", F.explode(F.array_distinct(F.transform(_lines(F.col("__text")), F.trim))).alias("__line")).where("__line <> ''")
+    lines = pages.select("__host", F.explode(F.array_distinct(F.transform(_lines(F.col("__text")), lambda line: F.trim(line)))).alias("__line")).where("__line <> ''")
     counts = (
         lines.groupBy("__host", F.xxhash64("__line").alias("__h"))  # 64 bits are enough among the lines of one host
         .agg(F.count("*").alias("__n"))
