@@ -163,7 +163,7 @@ class Encoder:
         """Of each text: the number of its tokens, its ids joined by spaces and the decoded text."""
         parts = []
         for text in texts:
-            if "<|" in text:
+            if any(s in text for s in self.special):
                 parts.append([w for i, piece in enumerate(self.cut(text)) for w in (self.words(piece) if i % 2 == 0 else [("", piece)])])
             else:
                 parts.append(self.words(text))
