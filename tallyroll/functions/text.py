@@ -117,11 +117,6 @@ def last_first_names(col: Column, comma: bool = True) -> Column:
     return F.when(F.contains(raw, F.lit(",")), divided).otherwise(plain)
 
 
-def like(col: Column, pattern: str) -> Column:
-    """SQL LIKE as embedded databases have it: letters of either case are the same."""
-    return F.ilike(col, F.lit(pattern))
-
-
 def name_party_office(col: Column) -> Column:
     """struct<name, party, office> of "Name (PARTY)(OFFICE)"; text without both codes at its end is all name."""
     raw = clean(col)

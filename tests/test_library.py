@@ -261,3 +261,16 @@ def test_payloads_and_entity_exports(spark, tmp_path):
     sinks.export_payload({"owners": df.select("entity_slug", "amount"), "rows": df.select("status", "date")}, str(tmp_path / "payload"), {"about": "test"}, {"rows": "status"})
     assert {r.name: r.value for r in spark.read.json(str(tmp_path / "payload" / "_meta")).collect()} == {"about": "test", "rows.owners": "4", "rows.rows": "4"}
     assert os.path.isdir(tmp_path / "payload" / "rows" / "status=CONFIRMED")
+
+
+def test_landed_bills_and_filings(spark, tmp_path):
+    bill = {"congress": 115, "type": "HR", "number": 7, "title": "T", "laws": ["x"], "latestAction": {"text": "Passed", "actionDate": "2018-01-02"}, "sponsors": [{"bioguideId": "A1"}]}
+    (tmp_path / "bill.json").write_text(json.dumps({"bill": bill, "cosponsors": [{"bioguideId": "A1"}, {"bioguideId": "B2"}], "committees": [{"systemCode": "hsju00", "chamber": "House", "name": "Judiciary"}]}, indent=1))
+    bills = legislation.read_bills(spark, str(tmp_path / "bill.json"))
+    row = legislation.bill_rows(bills).first()
+    assert (row.bill_id, row.enacted, row.latest_action, row.congress_dot_gov_url) == ("115-hr-7", True, "Passed", "https://www.congress.gov/bill/115th-congress/house-bill/7")
+    assert sorted((r.bioguide_id, r.role) for r in legislation.sponsor_rows(bills).collect()) == [("A1", "sponsor"), ("B2", "cosponsor")]
+    assert [(r.thomas_id, r.chamber) for r in legislation.bill_committee_rows(bills).collect()] == [("HSJU", "house")]
+    (tmp_path / "filing.json").write_text(json.dumps({"response": {"results": [{"file_number": 12, "is_amended": True, "amendment_chain": [1, 2], "cycle": 0, "election_year": 2020}, {"file_number": 13}]}}))
+    rows = {r.file_number: r for r in federal.filing_rows(federal.read_pages(spark, str(tmp_path / "filing.json"), federal.FILING)).collect()}
+    assert (rows["12"].cycle, rows["12"].is_amended, rows["12"].amendment_chain, rows["13"].is_amended, rows["13"].amendment_chain) == (2020, True, '["1","2"]', False, "[]")
