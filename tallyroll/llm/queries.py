@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annulus, bpe, cotrain, decontaminate, filteraudit, licences, linededup, ordermin, pii, sharding, topk, warc
+from . import annulus, bpe, cotrain, decontaminate, filteraudit, licences, linededup, mixing, ordermin, pii, sharding, topk, warc
 from .common import table
 
 
@@ -62,10 +62,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op13_annulus_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annulus.clusters(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_threshold_top_k, op2_external_shuffle, op3_cotraining_quality, op4_spaced_seeds, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc, op9_order_minhash, op10_licence_scan, op11_filter_audit, op13_annulus_clusters)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_threshold_top_k, op2_external_shuffle, op3_cotraining_quality, op4_spaced_seeds, op5_semi_markov_pii, op6_trie_bpe, op7_line_dedup, op8_dictionary_warc, op9_order_minhash, op10_licence_scan, op11_filter_audit, op12_splitting_tree_mix, op13_annulus_clusters)}
 
 ORACLES: dict[str, str] = {"op1_threshold_top_k": topk.ORACLE, "op4_spaced_seeds": decontaminate.ORACLE, "op7_line_dedup": linededup.ORACLE, "op8_dictionary_warc": warc.ORACLE, "op11_filter_audit": filteraudit.ORACLE, "op13_annulus_clusters": annulus.ORACLE}
