@@ -126,9 +126,16 @@ def name_party_office(col: Column) -> Column:
     return F.struct(part(1, raw).alias("name"), part(2, F.lit("")).alias("party"), part(3, F.lit("")).alias("office"))
 
 
+# The names of parties.
+PARTIES = {"DEM": ("DEM", "DEMOCRAT", "DEMOCRATIC"), "REP": ("REP", "REPUBLICAN", "GOP"), "IND": ("IND", "INDEPENDENT"), "LIB": ("LIB", "LIBERTARIAN"), "GRE": ("GRE", "GREEN")}
+
+
 def party_bucket(col: Column) -> Column:
-    p = F.upper(F.btrim(F.coalesce(col, F.lit(""))))
-    return F.when(p.isin("D", "DEM", "DEMOCRAT", "DEMOCRATIC", "DFL"), "DEM").when(p.isin("R", "REP", "REPUBLICAN"), "REP").otherwise("OTH")
+    """One of five parties by name or code, else OTH; single letters are no codes of it."""
+    p, out = F.upper(F.btrim(F.coalesce(col, F.lit("")))), F
+    for party, names in PARTIES.items():
+        out = out.when(p.isin(*names), party)
+    return out.otherwise("OTH")
 
 
 # The committee-type letters of federal filings.

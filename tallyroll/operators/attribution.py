@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classify import classify
+from .dedup import first_row_per_key
 from .merge import record_uid, upsert
 
 PUBLISHED = ("CONFIRMED", "PROBABLE")
@@ -23,8 +24,9 @@ def household() -> Column:
 
 
 def _verdicts(overrides: DataFrame, key: str) -> DataFrame:
-    """The overrides, unique by key and owner: __key, __owner, __verdict."""
-    return overrides.groupBy(F.col(key).alias("__key"), F.col("entity_slug").alias("__owner")).agg(F.max_by("verdict", F.col("verdict") == "EXCLUDED").alias("__verdict"))
+    """The overrides, unique by key and owner: __key, __owner, __verdict. EXCLUDED goes before CONFIRMED, and that before PROBABLE."""
+    rank = F.struct((F.col("verdict") == "EXCLUDED").alias("x"), (F.col("verdict") == "CONFIRMED").alias("c"), "verdict")
+    return overrides.groupBy(F.col(key).alias("__key"), F.col("entity_slug").alias("__owner")).agg(F.max(rank)["verdict"].alias("__verdict"))
 
 
 def _with_verdicts(rows: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
@@ -86,7 +88,7 @@ def reclassified_in_place(donations: DataFrame, registry: DataFrame, overrides:
     live = live.withColumn("__row", F.concat_ws("\0", key, household()))
     scored = classify(stored_records(live, "__row").withColumn("__house", F.element_at(F.split("__row", "\0"), -1)), registry, "__row")
     scored = scored.where(F.col("__house") == household()).select("__row", F.struct("status", "status_reason", "signals").alias("__new"))
-    rows = live.join(scored.dropDuplicates(["__row"]), "__row", "left")
+    rows = live.join(scored.groupBy("__row").agg(F.min("__new").alias("__new")), "__row", "left")
     settled = _verdicts(overrides, txn)
     rows = rows.join(settled, (F.col(txn) == F.col("__key")) & (household() == F.col("__owner")), "left")
     discarded = resolutions.where("resolution = 'DISCARDED'").select(F.col(txn).alias("__txn"), F.col("entity_slug").alias("__slug"), F.lit(True).alias("__discarded")).distinct()
@@ -170,7 +172,7 @@ def burndown(queue: DataFrame, resolutions: DataFrame, raw: DataFrame, registry:
     raw: record columns of the classifier, transaction_id, sub_id, entity_slug (whose files hold it) and amount.
     """
     items = open_items(queue, resolutions).select("transaction_id", "entity_slug", "reason").distinct()
-    legs = raw.withColumn("record_uid", record_uid(F.col("sub_id"), F.col("transaction_id"))).dropDuplicates(["record_uid", "entity_slug"])
+    legs = first_row_per_key(raw.withColumn("record_uid", record_uid(F.col("sub_id"), F.col("transaction_id"))), ["record_uid", "entity_slug"], [])
     legs = legs.join(items.select("transaction_id", F.col("entity_slug")).distinct(), ["transaction_id", "entity_slug"], "left_semi")
     legs = legs.withColumn("__leg", F.concat_ws("\0", "record_uid", "entity_slug"))
     # an owner's item that fits a relative isn't the owner's; a relative's item is judged as if the relative had no household

@@ -46,9 +46,11 @@ def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id",
     the same suffix is taken, else the first. The name as filed comes first; for entities that it doesn't fit, the name made
     of the split fields is tried. Relatives, in their order, come before the owner but need the same suffix; without
     `related`, records that fit a relative are left out. Records without a name, and those that fit nobody, are left out.
+    Records that share a key (or have none) but differ are records each; those that are equal in all columns are one.
     """
     own = F.struct(*[F.col(f"`{c}`") for c in records.columns])
-    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(own.alias("__record"), F.col(f"`{key}`").alias("__key"), F.col("contributor_name").alias("__name"))
+    plain = [F.col(f"`{f.name}`") for f in records.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(own.alias("__record"), F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(*plain).alias("h")).alias("__key"), F.col("contributor_name").alias("__name"))
     rows = with_name_parts(rows, "__name", "__n")
     tries = [F.struct(F.lit(0).alias("source"), F.col("__n").alias("n"))]
     if all(c in records.columns for c in SPLIT_NAME):

@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _tie(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The row itself as the last key: equal ranks are settled by contents, not by chance."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [F.xxhash64(*own).alias("tie")] if (own := [c for c in columns if "map<" not in kinds[c]]) else []
+
+
 def best_row_per_key(df: DataFrame, keys: list[str], rank: list[Column]) -> DataFrame:
     """The row of the largest rank tuple of each key: an aggregation with map-side combine, no window, no sort of the groups."""
     others = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)])).alias("best"))
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], *_tie(df, others))).alias("best"))
     return best.select(*keys, "best.*").select(*df.columns)
 
 
 def first_row_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The row that comes first in an explicit order."""
     others = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(order)])).alias("best"))
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(order)], *_tie(df, others))).alias("best"))
     return best.select(*keys, "best.*").select(*df.columns)
 
 

@@ -52,15 +52,19 @@ def components(edges: DataFrame, scope: str, a: str, b: str) -> DataFrame:
         rows = after
 
 
-def _sequence(incoming: DataFrame, columns: list[str]) -> DataFrame:
-    """incoming as versions: rows that equal the one before them of their identity in all that decides are counted with it (repeats)."""
+def _rows(incoming: DataFrame, columns: list[str]) -> DataFrame:
+    """incoming as rows of the fold: what decides, and the place in the sequence."""
     decides = F.struct(F.coalesce(blank_to_null(F.col("sub_id")), F.lit("")).alias("s"), F.col("transaction_id").alias("t"), *[_plain(F.col(c), k).alias(c) for c, k in SUBSTANCE.items()])
     place = F.struct("__order.*", F.xxhash64(*columns).alias("tie"))
-    rows = incoming.select(F.struct(*columns).alias("row"), "record_uid", "transaction_id", "entity_slug", decides.alias("decides"), place.alias("place"))
-    own = Window.partitionBy("entity_slug", "record_uid").orderBy("place")
-    rows = rows.withColumn("new", (~F.col("decides").eqNullSafe(F.lag("decides").over(own))).cast("int")).withColumn("run", F.sum("new").over(own))
-    runs = rows.groupBy("entity_slug", "record_uid", "run").agg(F.min("place").alias("place"), F.min_by(F.struct("row", "transaction_id"), "place").alias("first"), (F.count("*") - 1).alias("repeats"))
-    return runs.select("entity_slug", "record_uid", F.col("first.transaction_id").alias("transaction_id"), "place", F.col("first.row").alias("row"), "repeats")
+    return incoming.select(F.struct(*columns).alias("row"), "record_uid", "transaction_id", "entity_slug", decides.alias("decides"), place.alias("place"))
+
+
+def _versions(rows: DataFrame) -> DataFrame:
+    """A group's rows in sequence, where rows that equal the one right before them in all that decides are counted with it (repeats)."""
+    own = Window.partitionBy("entity_slug", "grp").orderBy("place")
+    runs = rows.withColumn("new", (~F.col("decides").eqNullSafe(F.lag("decides").over(own))).cast("int")).withColumn("run", F.sum("new").over(own))
+    runs = runs.groupBy("entity_slug", "grp", "run").agg(F.min("place").alias("place"), F.min_by("row", "place").alias("row"), (F.count("*") - 1).alias("repeats"))
+    return runs.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list(F.struct("place", "row", "repeats"))).alias("versions"))
 
 
 def _step(at: Column):
@@ -119,19 +123,18 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     """
     columns = current.columns
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
-    versions = _sequence(with_identity(incoming.withColumn("__order", place), current, "__order").where(_named()), columns)
+    rows = _rows(with_identity(incoming.withColumn("__order", place), current, "__order").where(_named()), columns)
     keys = ["entity_slug", "record_uid", "transaction_id"]
-    new = versions.select(*keys).distinct()
+    new = rows.select(*keys).distinct()
     live = current.where("superseded_by IS NULL")
     by_uid = live.join(new.select("entity_slug", "record_uid").distinct(), ["entity_slug", "record_uid"], "left_semi")
     by_txn = live.where(F.col("record_uid") == F.col("transaction_id")).join(new.select("entity_slug", "transaction_id").distinct(), ["entity_slug", "transaction_id"], "left_semi")
     edges = new.unionByName(by_uid.select(*keys)).unionByName(by_txn.select(*keys)).distinct()
     groups = components(edges, "entity_slug", "record_uid", "transaction_id")
     mine = live.join(groups, keys).groupBy("entity_slug", "grp").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("live"))
-    arriving = versions.join(groups, keys).groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list(F.struct("place", "row", "repeats"))).alias("versions"))
-    both = arriving.join(mine, ["entity_slug", "grp"], "left")
+    both = _versions(rows.join(groups, keys)).join(mine, ["entity_slug", "grp"], "left")
     row_type = current.select(F.struct(*columns).alias("r")).schema["r"].dataType.simpleString()
-    place_type = versions.schema["place"].dataType.simpleString()
+    place_type = rows.schema["place"].dataType.simpleString()
     none = F.array().cast(f"array<{row_type}>")
     events = F.array().cast(f"array<struct<place:{place_type},record_uid:string,transaction_id:string,outcome:string,reason:string,adopted:boolean,repeats:bigint>>")
     begin = F.struct(F.coalesce("live", none).alias("live"), none.alias("old"), events.alias("events"))
@@ -140,7 +143,7 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
 
 def with_identity(incoming: DataFrame, current: DataFrame, *more: str) -> DataFrame:
     """incoming in current's columns and types, each row under its identity; columns that it lacks are null."""
-    rows = incoming.withColumn("record_uid", record_uid(F.col("sub_id"), F.col("transaction_id")))
+    rows = incoming.withColumn("record_uid", record_uid(F.col("sub_id") if "sub_id" in incoming.columns else F.lit(None).cast("string"), F.col("transaction_id")))
     return rows.select(*[(F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in current.schema.fields], *more)
 
 
@@ -160,6 +163,6 @@ def state_after(current: DataFrame, done: DataFrame) -> DataFrame:
 def events_of(incoming: DataFrame, done: DataFrame) -> DataFrame:
     """What became of each version of the batch: entity_slug, record_uid, transaction_id, outcome, reason, adopted, repeats (equal rows right after it, which change nothing). Rows without identity are `keyless`: nothing is written of them."""
     rows = done.select("entity_slug", F.explode("events").alias("e")).select("entity_slug", "e.record_uid", "e.transaction_id", "e.outcome", "e.reason", "e.adopted", "e.repeats")
-    loose = incoming.withColumn("record_uid", record_uid(F.col("sub_id"), F.col("transaction_id"))).where(~_named())
+    loose = with_identity(incoming, incoming.withColumn("record_uid", F.lit("")).limit(0)).where(~_named())
     none = loose.groupBy("entity_slug", "record_uid", "transaction_id").agg(F.count("*").alias("n"))
     return rows.unionByName(none.select("entity_slug", "record_uid", "transaction_id", F.lit("keyless").alias("outcome"), F.lit("no identity").alias("reason"), F.lit(False).alias("adopted"), (F.col("n") - 1).alias("repeats")))

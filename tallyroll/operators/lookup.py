@@ -12,34 +12,35 @@ def with_fallback(facts: DataFrame, names: DataFrame, keys: list[str], value: st
     return facts.join(found, keys, "left").withColumn(value, F.coalesce("__found", fallback)).drop("__found")
 
 
-#: Names up to which one pattern of all of them sifts the rows first.
-MOST_NAMES = 5_000
+#: Characters of the pieces by which names are looked for; shorter names are pieces themselves.
+GRAM = 3
+
+
+def _grams(text: Column, sizes: tuple[int, ...]) -> Column:
+    """The distinct pieces of a text of these sizes."""
+    none = F.array().cast("array<string>")
+    n = F.char_length(text)
+    of = lambda size: F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substring(text, i, F.lit(size)))).otherwise(none)
+    return F.array_distinct(F.flatten(F.array(*map(of, sizes))))
 
 
 def names_within(rows: DataFrame, text: Column, names: DataFrame, name: str) -> DataFrame:
     """Rows beside every row of names whose name occurs anywhere in the text, letters of either case alike; blank names never do.
 
-    The pieces of the text that have the length of some name meet the names in an equi-join, so nothing is compared with
-    everything. Of a small table of names, a pattern made of all leaves out the rows that hold none before that.
+    Each name is filed under the one of its pieces of GRAM characters that the fewest texts have. The pieces of the texts,
+    each text once however many rows have it, meet these in an equi-join; only where one meets is the whole name looked
+    for. However many names there are, nothing is compared with everything.
     """
     right = names.withColumn("__piece", F.lower(F.btrim(F.col(name)))).where("__piece <> ''")
-    known = sorted({r[0] for r in right.select("__piece").distinct().limit(MOST_NAMES + 1).collect()})
     left = rows.withColumn("__text", F.lower(F.coalesce(text, F.lit(""))))
-    if not known:
-        return left.limit(0).join(right, F.lit(False)).drop("__text", "__piece")
-    if len(known) <= MOST_NAMES:
-        left = left.where(F.rlike("__text", F.lit("|".join(map(_quoted, known)))))
-        lengths = sorted({len(k) for k in known})
-    else:
-        lengths = sorted(r[0] for r in right.select(F.char_length("__piece")).distinct().collect())
-    size = F.char_length("__text")
-    places = lambda n: F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("__text"), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    pieces = F.array_distinct(F.flatten(F.array(*[places(n) for n in lengths])))
-    return left.withColumn("__piece", F.explode(pieces)).join(right, "__piece").drop("__text", "__piece")
-
-
-def _quoted(name: str) -> str:
-    return "\\Q" + name.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    own = right.select("__piece").distinct()
+    pieces = own.select("__piece", F.explode(_grams(F.col("__piece"), (GRAM,))).alias("__gram")).unionByName(own.where(F.char_length("__piece") < GRAM).withColumn("__gram", F.col("__piece")))
+    texts = left.select("__text").distinct()
+    found = texts.select("__text", F.explode(_grams(F.col("__text"), tuple(range(1, GRAM + 1)))).alias("__gram"))
+    counts = found.join(pieces.select("__gram").distinct(), "__gram", "left_semi").groupBy("__gram").agg(F.count("*").alias("n"))
+    filed = pieces.join(counts, "__gram").groupBy("__piece").agg(F.min(F.struct("n", "__gram")).alias("rarest"))
+    pairs = found.join(filed.select("__piece", F.col("rarest.__gram").alias("__gram")), "__gram").where(F.contains("__text", "__piece")).select("__text", "__piece")
+    return left.join(pairs, "__text").join(right, "__piece").drop("__text", "__piece")
 
 
 def prefix_compatible(rows: DataFrame, people: DataFrame, last: str, first: str) -> DataFrame:

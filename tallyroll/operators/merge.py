@@ -28,10 +28,13 @@ def merge_events(current: DataFrame, incoming: DataFrame, keys: list[str], subst
     """What becomes of each row of either side, both unique by keys: columns keys, cur, inc (whole rows) and outcome.
 
     outcome: kept (only current), inserted (only incoming), collision (two submission ids, or both guard columns differ),
-    superseded (something of substance differs) or unchanged. substance maps columns to "money" or "text".
+    superseded (something of substance differs) or unchanged. substance maps columns to "money" or "text". An incoming row
+    without one of the keys is an error: it would be added again by each batch.
     """
     cur = current.select(*keys, F.struct(*current.columns).alias("cur"))
-    inc = incoming.select(*keys, F.struct(*incoming.columns).alias("inc"))
+    nameless = F.raise_error(F.lit(f"a record without {' or '.join(keys)} can't be merged"))
+    named = [F.coalesce(F.col(k), nameless.cast(incoming.schema[k].dataType)).alias(k) for k in keys]
+    inc = incoming.select(*named, F.struct(*incoming.columns).alias("inc"))
     both = cur.join(inc, keys, "full")
     c, i = lambda n: F.col(f"cur.{n}"), lambda n: F.col(f"inc.{n}")
     same = {n: _same(c(n), i(n), kind) for n, kind in substance.items()}

@@ -39,13 +39,15 @@ def with_sponsors(resolved: DataFrame, sponsors: DataFrame) -> DataFrame:
 
 
 def with_committees(resolved: DataFrame, memberships: DataFrame, bill_committees: DataFrame) -> DataFrame:
-    """A row per donation, member and committee of the same congress, with the sorted list of the bills referred to it.
+    """A row per donation, member and committee, with the sorted list of the bills that were referred to it in a congress of the membership.
 
-    Bills are listed once a committee, before they meet the donations; a seat held twice counts once.
+    Bills are listed once a seat, before they meet the donations; seats of one member in several congresses are one row with the
+    bills of all of them.
     """
-    bills = bill_committees.groupBy("thomas_id", "congress").agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    bills = bill_committees.groupBy("thomas_id", "congress").agg(F.collect_set("bill_id").alias("__bills"))
     seats = memberships.select("bioguide", "thomas_id", "congress").distinct().join(bills, ["thomas_id", "congress"])
-    return resolved.join(seats.drop("congress"), "bioguide")
+    listed = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__bills")))), ",")
+    return resolved.join(seats.groupBy("bioguide", "thomas_id").agg(listed.alias("bill_ids")), "bioguide")
 
 
 def vote_rollup(votes: DataFrame, by: str) -> DataFrame:

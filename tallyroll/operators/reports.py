@@ -161,25 +161,27 @@ def coverage_matrix(owners: DataFrame, jurisdictions: DataFrame, runs: DataFrame
 # -- audits
 
 # Employers that name none.
-GENERIC_EMPLOYERS = ("", "RETIRED", "SELF", "SELF-EMPLOYED", "SELF EMPLOYED", "NONE", "N/A", "NOT EMPLOYED", "HOMEMAKER", "INFORMATION REQUESTED")
+GENERIC_EMPLOYERS = ("self", "self-employed", "self employed", "selfemployed", "retired", "not employed", "unemployed", "n/a", "none", "homemaker", "housewife", "house wife", "house-wife", "investor", "private investor")
 
 
-def by_signal_field(donations: DataFrame, status: str, field: str, least: int = 1) -> DataFrame:
-    """Rows of one tier per owner and value of a field (employer, ZIP): counts, dollars and cities, most rows first; generic employers go."""
+def by_signal_field(donations: DataFrame, status: str, field: str, least: int = 1, blank: bool = True) -> DataFrame:
+    """Rows of one tier per owner and value of a field (employer, ZIP): counts, dollars and cities, most rows first. blank: whether rows without a value are one of the values."""
     value = F.upper(F.btrim(F.coalesce(field, F.lit(""))))
-    rows = donations.where(F.col("status") == status).withColumn("value", value).where(~F.col("value").isin(*GENERIC_EMPLOYERS))
+    rows = donations.where(F.col("status") == status).withColumn("value", value)
+    rows = rows if blank else rows.where("value <> ''")
     sums = rows.groupBy("entity_slug", "value").agg(F.count("*").alias("n"), dollars(F.col("amount")).alias("total_amount"), listed(F.col("contributor_city")).alias("cities"))
     return sums.where(F.col("n") >= least).orderBy("entity_slug", F.desc("n"), "value")
 
 
 def suggestions(donations: DataFrame, registry: DataFrame, least: int = 2) -> DataFrame:
-    """Employers of PROBABLE rows that no signal of the owner names yet: what could become one, once somebody has looked."""
+    """Employers of PROBABLE rows that no signal of the owner names yet: what could become one, once somebody has looked. Generic ones name nobody; an owner without an entry has no signals."""
     from .classify import NEEDLES
     from ..functions.text import norm, starts_token
 
-    found = by_signal_field(donations, "PROBABLE", "contributor_employer", least)
+    found = by_signal_field(donations, "PROBABLE", "contributor_employer", least, blank=False)
+    found = found.where(~F.lower("value").isin(*GENERIC_EMPLOYERS))
     known = registry.select(F.col("slug").alias("entity_slug"), F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in NEEDLES if c != "occupations"]).alias("__known"))
-    rows = found.join(known, "entity_slug")
+    rows = found.join(known, "entity_slug", "left").withColumn("__known", F.coalesce("__known", F.array().cast("array<string>")))
     return rows.where(~F.exists("__known", lambda k: starts_token(norm(F.col("value")), norm(k)))).drop("__known")
 
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY, ratio
+from .shared import stored
 
 
-MOST_DEALT = 100_000
 
 
 def dollars(amount: Column) -> Column:
@@ -56,11 +56,22 @@ def two_level_arg_max(df: DataFrame, outer: str, inner: str, amount: str) -> Dat
     return best.select(outer, F.col("b.k").alias(inner), (-F.col("b.t")).cast("double").alias("total_amount"))
 
 
+def ranked(df: DataFrame, order: list[Column], out: str = "place") -> DataFrame:
+    """df with each row's place (from 0) in the order, which names each row.
+
+    Rows are put into ranges, kept as they are; the ranges' row counts, one number each, give where a range begins. No
+    task sees more than its own range.
+    """
+    ranged = stored(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = {r["__range"]: r["count"] for r in ranged.groupBy("__range").count().collect()}  # a row a range
+    before = F.array(*[F.lit(sum(n for other, n in counts.items() if other < k)).cast("long") for k in range(max(counts, default=0) + 1)])
+    local = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return ranged.withColumn(out, F.element_at(before, F.col("__range") + 1) + local - 1).select(*df.columns, out)
+
+
 def round_robin(df: DataFrame, weight: list[Column], buckets: int, out: str = "bucket") -> DataFrame:
-    """Deals a registry out to buckets by descending weight. One task orders it, so tables of more than MOST_DEALT rows are refused."""
-    if df.count() > MOST_DEALT:
-        raise ValueError(f"more than {MOST_DEALT} rows to deal out")
-    return df.withColumn(out, F.pmod(F.row_number().over(Window.orderBy(*weight)) - 1, F.lit(buckets)).cast("int"))
+    """Deals a registry out to buckets by descending weight: the first row to the first bucket, the next to the next, and around."""
+    return ranked(df, weight, "__place").withColumn(out, F.pmod("__place", F.lit(buckets)).cast("int")).drop("__place")
 
 
 def keep_recent_or_newest(df: DataFrame, group: str, date: str, now: Column, days: int) -> DataFrame:

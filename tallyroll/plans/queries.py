@@ -246,10 +246,13 @@ def policy_sponsors(spark, sf):
 
 
 @query(f"""SELECT txn, bioguide, thomas_id, string_agg(DISTINCT CAST(bill_id AS VARCHAR), ',' ORDER BY CAST(bill_id AS VARCHAR)) AS bill_ids
-FROM {_RESOLVED} JOIN (SELECT s_suppkey AS bioguide, s_suppkey % 5 AS thomas_id, s_suppkey % 3 AS congress FROM supplier) m USING (bioguide)
+FROM {_RESOLVED} JOIN (SELECT s_suppkey AS bioguide, s_suppkey % 5 AS thomas_id, s_suppkey % 3 AS congress FROM supplier UNION ALL SELECT s_suppkey, s_suppkey % 5, (s_suppkey + 1) % 3 FROM supplier WHERE s_suppkey % 4 = 0) m USING (bioguide)
 JOIN (SELECT p_partkey AS bill_id, p_partkey % 5 AS thomas_id, p_partkey % 3 AS congress FROM part) b USING (thomas_id, congress) GROUP BY 1, 2, 3""")
 def policy_committee(spark, sf):
-    seats = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("bioguide"), (F.col("s_suppkey") % 5).alias("thomas_id"), (F.col("s_suppkey") % 3).alias("congress"))
+    """One member in four has a seat in a second congress."""
+    k = F.col("s_suppkey")
+    terms = F.when(k % 4 == 0, F.array(k % 3, (k + 1) % 3)).otherwise(F.array(k % 3))
+    seats = _t(spark, sf, "supplier").select(k.alias("bioguide"), (k % 5).alias("thomas_id"), F.explode(terms).alias("congress"))
     bills = _t(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("bill_id"), (F.col("p_partkey") % 5).alias("thomas_id"), (F.col("p_partkey") % 3).alias("congress"))
     gifts = _resolved(spark, sf).select("txn", "bioguide")
     return policy.with_committees(gifts, seats, bills)
@@ -490,4 +493,4 @@ def recent_feed(spark, sf):
     return _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")).where("date IS NOT NULL").orderBy(F.desc("date"), "o_orderkey").limit(20)
 
 
-from . import ingest, summaries  # noqa: E402, F401  their queries join those above
+from . import ingest, runs, summaries  # noqa: E402, F401  their queries join those above

@@ -12,7 +12,7 @@ from .queries import _t, query
 
 _K = "o_custkey"
 _KIND = ("X", "q", "H", "?", "")
-_PARTY = ("DEM", "Republican", "DFL", "Green", "R")
+_PARTY = ("DEM", "Republican", "gop ", "Green", "R", "Independent", "LIB", "DFL")
 
 
 def _at(values: tuple[str, ...], by: str) -> str:
@@ -23,7 +23,7 @@ _CPI = "coalesce((SELECT f FROM (VALUES " + ", ".join(f"({y}, CAST({money.CPI[mo
 #: orders as contributions: entity e<n>, owner the multiple of five at or below it, one committee in eleven unknown.
 _GIFTS = f"""(SELECT *, CAST(amount AS DOUBLE) * {_CPI} AS amount_real FROM (SELECT o_orderkey AS txn, 'e' || {_K} AS entity_slug, 'e' || ({_K} - {_K} % 5) AS owner, CASE WHEN {_K} % 5 = 0 THEN 'owner' WHEN {_K} % 5 = 1 THEN 'spouse' ELSE 'child' END AS entity_kind,
 CASE WHEN {_K} % 5 > 0 THEN 'e' || ({_K} - {_K} % 5) END AS parent_owner_slug, CASE o_orderstatus WHEN 'F' THEN 'CONFIRMED' ELSE 'PROBABLE' END AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS date,
-CAST(year(CAST(o_orderdate AS DATE)) + year(CAST(o_orderdate AS DATE)) % 2 AS INTEGER) AS cycle, CASE o_orderkey % 5 WHEN 0 THEN 'DEM' WHEN 1 THEN 'REP' WHEN 2 THEN 'DEM' WHEN 3 THEN 'OTH' ELSE 'REP' END AS party,
+CAST(year(CAST(o_orderdate AS DATE)) + year(CAST(o_orderdate AS DATE)) % 2 AS INTEGER) AS cycle, CASE o_orderkey % 8 WHEN 0 THEN 'DEM' WHEN 1 THEN 'REP' WHEN 2 THEN 'REP' WHEN 3 THEN 'GRE' WHEN 5 THEN 'IND' WHEN 6 THEN 'LIB' ELSE 'OTH' END AS party,
 CASE WHEN o_orderkey % 11 > 0 THEN 'C' || (o_custkey * 7 + o_orderkey) % 40 END AS committee_id, CASE o_orderkey % 5 WHEN 0 THEN 'Party' WHEN 1 THEN 'PAC' WHEN 2 THEN 'Candidate' ELSE 'Other' END AS recipient_type FROM orders WHERE o_orderstatus <> 'P'))"""
 
 
@@ -37,7 +37,7 @@ def gifts(spark: SparkSession, sf: str) -> DataFrame:
         o.alias("txn"), F.concat(F.lit("e"), k).alias("entity_slug"), F.when(k % 5 == 0, "owner").when(k % 5 == 1, "spouse").otherwise("child").alias("entity_kind"), F.when(k % 5 > 0, house).alias("parent_owner_slug"),
         F.when(F.col("o_orderstatus") == "F", "CONFIRMED").otherwise("PROBABLE").alias("status"), F.col("o_totalprice").cast(money.MONEY).alias("amount"), date.alias("date"), (F.year(date) + F.year(date) % 2).cast("int").alias("election_cycle"),
         party_bucket(pick(_PARTY)).alias("party"), committee.alias("committee_id"), F.concat(F.lit("Committee "), committee).alias("committee_name"), committee_bucket(pick(_KIND)).alias("recipient_type"),
-        F.concat(F.lit("Employer "), o % 7).alias("contributor_employer"), F.concat(F.lit("City "), k % 3).alias("contributor_city"),
+        F.when(o % 7 == 6, "Homemaker ").when(o % 7 == 5, "InVestor").otherwise(F.concat(F.lit("Employer "), o % 7)).alias("contributor_employer"), F.concat(F.lit("City "), k % 3).alias("contributor_city"),
     )
 
 
@@ -146,14 +146,15 @@ def coverage_matrix(spark, sf):
     return reports.coverage_matrix(owners, runs.select("jurisdiction").union(opted.select("jurisdiction")).distinct(), runs, opted).select("owner_slug", "jurisdiction", "state", "scanned")
 
 
-@query("""SELECT entity_slug, upper('Employer ' || txn % 7) AS value, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total_amount, 'City ' || any_value(c) AS cities FROM (SELECT 'e' || o_custkey AS entity_slug, o_orderkey AS txn, o_custkey % 3 AS c,
+@query("""SELECT entity_slug, CASE txn % 7 WHEN 6 THEN 'HOMEMAKER' WHEN 5 THEN 'INVESTOR' ELSE 'EMPLOYER ' || txn % 7 END AS value, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total_amount, 'City ' || any_value(c) AS cities FROM (SELECT 'e' || o_custkey AS entity_slug, o_orderkey AS txn, o_custkey % 3 AS c,
 CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders WHERE o_orderstatus = 'O') GROUP BY 1, 2 HAVING count(*) >= 2""")
 def audit_by_employer(spark, sf):
     return reports.by_signal_field(gifts(spark, sf), "PROBABLE", "contributor_employer", 2)
 
 
-@query("""SELECT entity_slug, 'EMPLOYER ' || e AS value, n FROM (SELECT 'e' || o_custkey AS entity_slug, o_custkey, o_orderkey % 7 AS e, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL HAVING count(*) >= 2) WHERE o_custkey % 3 <> 0 AND e <> o_custkey % 7""")
+@query("""SELECT entity_slug, 'EMPLOYER ' || e AS value, n FROM (SELECT 'e' || o_custkey AS entity_slug, o_custkey, o_orderkey % 7 AS e, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL HAVING count(*) >= 2) WHERE e < 5 AND (o_custkey % 3 = 0 OR e <> o_custkey % 7)""")
 def audit_suggestions(spark, sf):
+    """Generic employers name nobody; a third of the owners have no entry in the registry."""
     k = F.col("c_custkey")
     none = F.array().cast("array<string>")
     registry = _t(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.concat(F.lit("e"), k).alias("slug"), F.array(F.concat(F.lit("employer "), k % 7)).alias("employers"), none.alias("strong_employers"), none.alias("negative_employers"))

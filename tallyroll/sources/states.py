@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, text
 from ..functions.money import money
 from ..operators.dedup import best_row_per_key, first_by_native_id, numeric_rank
+from .archives import read_members
 
 #: Gives the cleaned text of a raw column, '' where the file has no such column.
 Get = Callable[[str], Column]
@@ -108,6 +109,11 @@ class Source:
         rows = rows.toDF(*[c.removeprefix("﻿") for c in rows.columns])
         return rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")).withColumn("_at", F.monotonically_increasing_id())
 
+    def read_archive(self, spark: SparkSession, path: str, members: str) -> DataFrame:
+        """The raw rows of an archive's members, or of a folder of archives: as read(), each member a task."""
+        names = {"sep": "sep", "quote": "quote", "encoding": "encoding"}
+        return read_members(spark, path, members, **{names[k]: v for k, v in self.options.items() if k in names})
+
     def prepared(self, rows: DataFrame) -> DataFrame:
         return self.prepare(rows, getter(rows, self.null_word)) if self.prepare else rows
 
