@@ -54,65 +54,61 @@ def components(edges: DataFrame, scope: str, a: str, b: str) -> DataFrame:
 
 def _rows(incoming: DataFrame, columns: list[str]) -> DataFrame:
     """incoming as rows of the fold: what decides, and the place in the sequence."""
-    decides = F.struct(F.coalesce(blank_to_null(F.col("sub_id")), F.lit("")).alias("s"), F.col("transaction_id").alias("t"), *[_plain(F.col(c), k).alias(c) for c, k in SUBSTANCE.items()])
     place = F.struct("__order.*", F.xxhash64(*columns).alias("tie"))
-    return incoming.select(F.struct(*columns).alias("row"), "record_uid", "transaction_id", "entity_slug", decides.alias("decides"), place.alias("place"))
+    return incoming.select(F.struct(*columns).alias("row"), "record_uid", "transaction_id", "entity_slug", *_decisive(), place.alias("place"))
+
+
+def _decisive() -> list[Column]:
+    """The columns that decide, once as they are compared and once as they are."""
+    plain = F.array(*[_plain(F.col(c), k) for c, k in SUBSTANCE.items()])
+    return [blank_to_null(F.col("sub_id")).alias("sub"), plain.alias("plain"), F.struct(*BRIDGE).alias("exact")]
 
 
 def _versions(rows: DataFrame) -> DataFrame:
     """A group's rows in sequence, where rows that equal the one right before them in all that decides are counted with it (repeats)."""
     own = Window.partitionBy("entity_slug", "grp").orderBy("place")
-    runs = rows.withColumn("new", (~F.col("decides").eqNullSafe(F.lag("decides").over(own))).cast("int")).withColumn("run", F.sum("new").over(own))
-    runs = runs.groupBy("entity_slug", "grp", "run").agg(F.min("place").alias("place"), F.min_by("row", "place").alias("row"), (F.count("*") - 1).alias("repeats"))
-    return runs.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list(F.struct("place", "row", "repeats"))).alias("versions"))
-
-
-def _step(at: Column):
-    """How a group's state takes the next version."""
-
-    def changed(old: Column, new: Column) -> Column:
-        return F.array_compact(F.array(*[F.when(_plain(old[c], k) != _plain(new[c], k), F.lit(c)) for c, k in SUBSTANCE.items()]))
-
-    def step(state: Column, version: Column) -> Column:
-        row = version["row"]
-        uid, txn = row["record_uid"], row["transaction_id"]
-        hit = F.get(F.filter(state["live"], lambda s: s["record_uid"] == uid), F.lit(0))
-        exact = lambda s: [s[c].eqNullSafe(row[c]) for c in BRIDGE]
-        legacy = F.filter(state["live"], lambda s: (s["transaction_id"] == txn) & (s["record_uid"] == txn) & blank_to_null(s["sub_id"]).isNull() & exact(s)[0] & exact(s)[1] & exact(s)[2])
-        bridged = let(F.when(uid != txn, legacy), lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
-
-        def with_stored(old: Column) -> Column:
-            adopted = old["adopted"]
-            mine = F.when(adopted, old["row"].withField("record_uid", uid).withField("sub_id", row["sub_id"])).otherwise(old["row"])
-            return let(mine, lambda m: decide(m, adopted))
-
-        def decide(mine: Column, adopted: Column) -> Column:
-            return let(changed(mine, row), lambda differs: settle(mine, adopted, differs))
-
-        def settle(mine: Column, adopted: Column, differs: Column) -> Column:
-            a, b = blank_to_null(mine["sub_id"]), blank_to_null(row["sub_id"])
-            collision = F.coalesce(a != b, F.lit(False)) | (F.array_contains(differs, GUARD[0]) & F.array_contains(differs, GUARD[1]))
-            outcome = F.when(mine["record_uid"].isNull(), "inserted").when(collision, "collision").when(F.size(differs) > 0, "superseded").otherwise("unchanged")
-            return let(outcome, lambda o: after(mine, adopted, differs, o))
-
-        def after(mine: Column, adopted: Column, differs: Column, outcome: Column) -> Column:
-            replaced = outcome == "superseded"
-            others = F.filter(state["live"], lambda s: (s["record_uid"] != uid) & ~(adopted & (s["record_uid"] == txn)))
-            reason = F.when(replaced, F.concat(F.lit("restated: "), F.array_join(differs, ", "))).when(outcome == "collision", F.concat(F.lit("not a restatement: "), F.array_join(differs, ", ")))
-            number = F.size(state["old"]) + 1
-            name = F.concat(txn, F.lit("~superseded~"), at, F.when(number > 1, F.concat(F.lit("~"), number.cast("string"))).otherwise(""))
-            kept = mine.withField("transaction_id", name).withField("record_uid", name).withField("status", F.lit("SUPERSEDED")).withField("superseded_by", txn).withField("superseded_reason", reason)
-            event = F.struct(version["place"].alias("place"), uid.alias("record_uid"), txn.alias("transaction_id"), outcome.alias("outcome"), reason.alias("reason"), adopted.alias("adopted"), version["repeats"].alias("repeats"))
-            return F.struct(
-                F.array_append(others, F.when(replaced | (outcome == "inserted"), row).otherwise(mine)).alias("live"),
-                F.when(replaced, F.array_append(state["old"], kept)).otherwise(state["old"]).alias("old"),
-                F.array_append(state["events"], event).alias("events"),
-            )
-
-        old = F.struct(F.coalesce(hit, bridged).alias("row"), (hit["record_uid"].isNull() & bridged["record_uid"].isNotNull()).alias("adopted"))
-        return let(old, with_stored)
-
-    return step
+    decides = F.struct("record_uid", "transaction_id", "sub", "plain", "exact")
+    runs = rows.withColumn("decides", decides).withColumn("new", (~F.col("decides").eqNullSafe(F.lag("decides").over(own))).cast("int")).withColumn("run", F.sum("new").over(own))
+    first = F.struct("row", "record_uid", "transaction_id", "sub", "plain", "exact")
+    runs = runs.groupBy("entity_slug", "grp", "run").agg(F.min("place").alias("place"), F.min_by(first, "place").alias("v"), (F.count("*") - 1).alias("repeats"))
+    return runs.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list(F.struct("place", "v", "repeats"))).alias("versions"))
+
+
+def _step(state: Column, version: Column) -> Column:
+    """How a group's live rows take the next version; rows are named by their places: stored ones from -1 down, versions from 0 up."""
+    uid, txn = version["uid"], version["txn"]
+    live = state["live"]
+    legacy = F.filter(live, lambda s: (s["txn"] == txn) & (s["uid"] == txn) & s["sub"].isNull() & s["exact"].eqNullSafe(version["exact"]))
+    old = let(
+        F.get(F.filter(live, lambda s: s["uid"] == uid), F.lit(0)),
+        lambda hit: F.when(hit.isNotNull(), F.struct(hit.alias("s"), F.lit(False).alias("adopted"))).otherwise(
+            let(F.when(uid != txn, legacy), lambda found: F.when(F.size(found) == 1, F.struct(F.get(found, F.lit(0)).alias("s"), F.lit(True).alias("adopted")))),
+        ),
+    )
+
+    def decide(had: Column) -> Column:
+        mine, names = had["s"], F.array(*map(F.lit, SUBSTANCE))
+        differs = F.when(had.isNotNull(), F.filter(names, lambda n, i: F.get(mine["plain"], i) != F.get(version["plain"], i)))
+        return let(differs, lambda d: settle(had, d))
+
+    def settle(had: Column, differs: Column) -> Column:
+        sub = F.when(had["adopted"], version["sub"]).otherwise(had["s"]["sub"])
+        collision = F.coalesce(sub != version["sub"], F.lit(False)) | (F.array_contains(differs, GUARD[0]) & F.array_contains(differs, GUARD[1]))
+        outcome = F.when(had.isNull(), "inserted").when(collision, "collision").when(F.size(differs) > 0, "superseded").otherwise("unchanged")
+        return let(outcome, lambda o: after(had, differs, sub, o))
+
+    def after(had: Column, differs: Column, sub: Column, outcome: Column) -> Column:
+        adopted, mine = F.coalesce(had["adopted"], F.lit(False)), had["s"]
+        others = F.filter(live, lambda s: (s["uid"] != uid) & ~(adopted & (s["uid"] == txn)))
+        stays = F.struct(uid.alias("uid"), mine["txn"].alias("txn"), sub.alias("sub"), mine["plain"].alias("plain"), mine["exact"].alias("exact"), mine["at"].alias("at"))
+        comes = F.struct(uid.alias("uid"), txn.alias("txn"), version["sub"].alias("sub"), version["plain"].alias("plain"), version["exact"].alias("exact"), version["at"].alias("at"))
+        replaced = outcome == "superseded"
+        number = state["gone"] + replaced.cast("int")
+        event = F.struct(outcome.alias("outcome"), differs.alias("differs"), adopted.alias("adopted"), F.when(replaced, mine["at"]).alias("old"), sub.alias("old_sub"), number.alias("number"))
+        taken = F.when(replaced | (outcome == "inserted"), comes).otherwise(stays)
+        return F.struct(F.array_append(others, taken).alias("live"), F.array_append(state["events"], event).alias("events"), number.alias("gone"))
+
+    return let(old, decide)
 
 
 def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Column) -> DataFrame:
@@ -121,7 +117,7 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     incoming has current's columns but those that the state adds (record_uid, superseded_by, superseded_reason); order puts
     it in sequence, rows that tie go by their contents. Use it through `state_after` and `events_of`; persist it to use both.
     """
-    columns = current.columns
+    columns, at = current.columns, at.cast("string")
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     rows = _rows(with_identity(incoming.withColumn("__order", place), current, "__order").where(_named()), columns)
     keys = ["entity_slug", "record_uid", "transaction_id"]
@@ -131,14 +127,40 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     by_txn = live.where(F.col("record_uid") == F.col("transaction_id")).join(new.select("entity_slug", "transaction_id").distinct(), ["entity_slug", "transaction_id"], "left_semi")
     edges = new.unionByName(by_uid.select(*keys)).unionByName(by_txn.select(*keys)).distinct()
     groups = components(edges, "entity_slug", "record_uid", "transaction_id")
-    mine = live.join(groups, keys).groupBy("entity_slug", "grp").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("live"))
-    both = _versions(rows.join(groups, keys)).join(mine, ["entity_slug", "grp"], "left")
-    row_type = current.select(F.struct(*columns).alias("r")).schema["r"].dataType.simpleString()
-    place_type = rows.schema["place"].dataType.simpleString()
-    none = F.array().cast(f"array<{row_type}>")
-    events = F.array().cast(f"array<struct<place:{place_type},record_uid:string,transaction_id:string,outcome:string,reason:string,adopted:boolean,repeats:bigint>>")
-    begin = F.struct(F.coalesce("live", none).alias("live"), none.alias("old"), events.alias("events"))
-    return both.select("entity_slug", "grp", F.aggregate("versions", begin, _step(at.cast("string"))).alias("s")).select("entity_slug", "grp", "s.*")
+    stored_rows = live.join(groups, keys).select("entity_slug", "grp", F.struct(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "record_uid", "transaction_id", *_decisive()).alias("v"))
+    both = _versions(rows.join(groups, keys)).join(stored_rows.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list("v"), asc=True).alias("mine")), ["entity_slug", "grp"], "left")
+
+    exact = rows.schema["exact"].dataType.simpleString()
+    live_type = f"array<struct<uid:string,txn:string,sub:string,plain:array<string>,exact:{exact},at:int>>"
+    event_type = "array<struct<outcome:string,differs:array<string>,adopted:boolean,old:int,old_sub:string,number:int>>"
+    narrow = lambda v, i: F.struct(v["record_uid"].alias("uid"), v["transaction_id"].alias("txn"), v["sub"].alias("sub"), v["plain"].alias("plain"), v["exact"].alias("exact"), i.cast("int").alias("at"))
+    begin = F.struct(F.coalesce(F.transform("mine", lambda v, i: narrow(v, -1 - i)), F.array()).cast(live_type).alias("live"), F.array().cast(event_type).alias("events"), F.lit(0).alias("gone"))
+    done = both.withColumn("s", F.aggregate(F.transform("versions", lambda x, i: narrow(x["v"], i)), begin, _step))
+
+    def row(at: Column) -> Column:
+        return F.when(at < 0, F.get(F.col("mine"), -1 - at)["row"]).otherwise(F.get(F.col("versions"), at)["v"]["row"])
+
+    def archived(e: Column, i: Column) -> Column:
+        txn = F.get(F.col("versions"), i)["v"]["transaction_id"]
+        name = F.concat(txn, F.lit("~superseded~"), at, F.when(e["number"] > 1, F.concat(F.lit("~"), e["number"].cast("string"))).otherwise(""))
+        return F.when(e["outcome"] == "superseded", row(e["old"]).withField("transaction_id", name).withField("record_uid", name).withField("sub_id", e["old_sub"]).withField("status", F.lit("SUPERSEDED")).withField("superseded_by", txn).withField("superseded_reason", _reason(e)))
+
+    def event(e: Column, i: Column) -> Column:
+        x = F.get(F.col("versions"), i)
+        return F.struct(x["place"].alias("place"), x["v"]["record_uid"].alias("record_uid"), x["v"]["transaction_id"].alias("transaction_id"), e["outcome"].alias("outcome"), _reason(e).alias("reason"), e["adopted"].alias("adopted"), x["repeats"].alias("repeats"))
+
+    return done.select(
+        "entity_slug",
+        "grp",
+        F.transform("s.live", lambda l: let(row(l["at"]), lambda r: F.when(r["record_uid"] == l["uid"], r).otherwise(r.withField("record_uid", l["uid"]).withField("sub_id", l["sub"])))).alias("live"),
+        F.array_compact(F.transform("s.events", archived)).alias("old"),
+        F.transform("s.events", event).alias("events"),
+    )
+
+
+def _reason(e: Column) -> Column:
+    listed = F.array_join(e["differs"], ", ")
+    return F.when(e["outcome"] == "superseded", F.concat(F.lit("restated: "), listed)).when(e["outcome"] == "collision", F.concat(F.lit("not a restatement: "), listed))
 
 
 def with_identity(incoming: DataFrame, current: DataFrame, *more: str) -> DataFrame:
