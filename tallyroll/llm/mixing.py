@@ -235,8 +235,10 @@ def texts(mix: DataFrame, docs: DataFrame, seed: int = SEED, key: str = "doc_id"
     """The mix's spans with their texts: the span's words, each with the spaces behind it."""
     own = docs.select(F.xxhash64(F.lit(seed), F.col(key), F.coalesce(F.col(text), F.lit("")), F.col(source)).alias("h"), F.col(text).alias("text"))
     pieces = F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    span = F.array_join(F.slice(pieces, (F.col("from") + 1).cast("int"), F.col("words").cast("int")), "")
-    return mix.join(own.dropDuplicates(["h"]), "h").withColumn("text", span)
+    # the spans of a document meet its text once, so that it is cut into words once
+    spans = mix.groupBy("h", "start").agg(F.collect_list(F.struct(*mix.columns)).alias("spans")).join(own.dropDuplicates(["h"]), "h")
+    cut = _let(pieces, lambda p: F.transform("spans", lambda s: F.struct(s.alias("span"), F.array_join(F.slice(p, (s["from"] + 1).cast("int"), s["words"].cast("int")), "").alias("text"))))
+    return spans.select(F.explode(cut).alias("c")).select("c.span.*", "c.text")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
