@@ -33,7 +33,7 @@ SHARDS, SEED = 16, 71_993
 WEIGHTS, MOST_PASSES = (5, 2, 1), 2
 SHARE = 1.5
 #: Words of a block, of a bucket of documents that are placed together, and of a cell that is shuffled at once.
-BLOCK, BUCKET_WORDS, CELL_WORDS = 2048, 8 << 20, 32 << 20
+BLOCK, BUCKET_WORDS, CELL_WORDS = 2048, 1 << 20, 32 << 20
 #: Sources whose quotas are split in one row, and equal rows that are placed as one.
 GROUP, RUN = 4096, 1 << 16
 #: Rounds of swaps of a permutation of blocks.
