@@ -19,9 +19,11 @@ import hashlib
 import math
 import random
 import re
-from collections import defaultdict
+from bisect import bisect_left
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,11 +96,10 @@ WHOLE_IP = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 NUMBER = re.compile(r"[0-9+(][0-9 ().\-/]*[0-9]")
 
 
-def kinds_of(span: str) -> list[str]:
-    """The kinds whose hard conditions the whole span meets."""
+def number_kinds(span: str, n: int) -> list[str]:
+    """The kinds whose hard conditions a span of n digits, spaces and marks meets."""
     out = []
-    n = len(_digits(span))
-    if n == len(re.sub(r"[\s().\-/+\[\]]", "", span)):
+    if 4 <= n <= 19:
         if 10 <= n <= 15 and NUMBER.fullmatch(span):
             out.append("phone")
         if 14 <= n <= 19 and "(" not in span and "+" not in span and NUMBER.fullmatch(span) and luhn(_digits(span)):
@@ -107,19 +108,32 @@ def kinds_of(span: str) -> list[str]:
             plain = re.sub(r"\s*[\[(]?\s*\.\s*[\])]?\s*", ".", span)
             if WHOLE_IP.fullmatch(plain) and all(int(p) <= 255 for p in plain.split(".")):
                 out.append("ip")
-    elif len(marks := MARK_AT.findall(span)) == 1 and span[0].isalnum() and span[-1].isalpha():
+    return out
+
+
+def kinds_of(span: str) -> list[str]:
+    """The kinds whose hard conditions the whole span meets."""
+    out = []
+    n = len(_digits(span))
+    if n == len(re.sub(r"[\s().\-/+\[\]]", "", span)):
+        return number_kinds(span, n)
+    if len(marks := MARK_AT.findall(span)) == 1 and span[0].isalnum() and span[-1].isalpha():
         plain = MARK_DOT.sub(".", MARK_AT.sub("@", span))
         if WHOLE_EMAIL.fullmatch(plain) and plain != span and (marks[0].strip().lower() != "at" or MARK_DOT.search(span)):
             out.append("email")
     return out
 
 
+NINES = str.maketrans("012345678", "9" * 9)
+
+
 def _shape(span: str) -> str:
-    return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]", "9", span))
+    shape = span.translate(NINES)
+    return shape if shape.isascii() and shape.lower() == shape.upper() else re.sub(r"[^\W\d_]+", "a", shape)
 
 
-def features(kind: str, span: str, before: str, tokens: int, cue: str = "", joined: bool = False) -> list[str]:
-    """Features of a whole segment of a kind: of itself, the token and the last word before it, and whether digits go on beside it; kind "other" has single tokens."""
+def features(kind: str, span: str, before: str, tokens: int, cue: str = "", joined: bool = False, beside: str = "") -> list[str]:
+    """Features of a whole segment of a kind: of itself, the token and the last word before it, whether digits go on beside it, and the runs of digits around it on its line; kind "other" has single tokens."""
     if kind == "other":
         long = min(len(span), 20) if span[0].isdigit() else 0
         return [f"o:digits={long}", f"o:mark={span if not span[0].isalnum() else 'w'}"]
@@ -137,50 +151,88 @@ def features(kind: str, span: str, before: str, tokens: int, cue: str = "", join
         *([f"email:domain={span.rpartition('.')[2].split()[-1].strip('])} ').lower() in DOMAINS}:{'dot' if re.search(r'[a-z] +dot +[a-z]', span, re.IGNORECASE) else ''}"] if kind == "email" else []),
         f"{kind}:start={shape[0]}",
         f"{kind}:joined={joined}",
+        f"{kind}:beside={beside}",
+        f"{kind}:beside={beside}:{cue.lower() in CUES}:{shape[0]}",
     ]
 
 
-Segment = tuple[int, int, str, list[str]]
+def _beside(text: str, start: int, end: int) -> str:
+    """How many runs of digits stand before and behind a span, on its line and within NEAR characters, up to two each."""
+    left, right = text[max(0, start - NEAR) : start].rpartition("\n")[2], text[end : end + NEAR].partition("\n")[0]
+    return f"{min(2, len(RUN.findall(left)))}{min(2, len(RUN.findall(right)))}"
 
 
-def segments(text: str, tokens: list[tuple[int, int]]) -> list[list[Segment]]:
-    """By its end (number of tokens before it): the candidate segments (first token, end, kind, features)."""
-    out: list[list[Segment]] = [[] for _ in range(len(tokens) + 1)]
-    said = [text[a:b] for a, b in tokens]
-    word = lambda i: said[i] if 0 <= i < len(said) else ""
+def _plain_features(kind: str, text: str, a: int, b: int, before: str, tokens: int, cue: str, joined: bool) -> list[str]:
+    """What a segment is learned from."""
+    return features(kind, text[a:b], before, tokens, cue, joined, _beside(text, a, b))
+
+
+#: Characters around a span in which runs of digits are counted.
+NEAR = 24
+RUN = re.compile(r"[0-9]+")
+Segment = tuple[int, int, str, object]
+
+
+def segment_rows(text: str, tokens: list[tuple[int, int]], weigh=_plain_features) -> Iterator[list[Segment]]:
+    """By its end, from one token on: the candidate segments (first token, end, kind, what `weigh` makes of it).
+
+    Rows come as soon as all segments with their end are known, so that no more than MOST_TOKENS of them are held.
+    """
+    rows: deque[list[Segment]] = deque([[] for _ in range(MOST_TOKENS + 1)])
+    n = len(tokens)
+    word = lambda i: text[tokens[i][0] : tokens[i][1]] if 0 <= i < n else ""
     # digits right beside a segment, or behind a mark that joins them to it
     goes_on = lambda i, k: word(i).isdigit() or word(i) in ("-", "/", ".", "+") and word(k).isdigit()
-    ats = [i for i, w in enumerate(said) if w == "@" or w.lower() == "at"]
-    next_at = 0
+    ats = deque(i for i, (a, b) in enumerate(tokens) if b - a <= 2 and text[a:b].lower() in ("@", "at"))
     for i, (a, _) in enumerate(tokens):
-        out[i + 1].append((i, i + 1, "other", features("other", said[i], word(i - 1), 1)))
-        first = said[i][0]
-        while next_at < len(ats) and ats[next_at] <= i:
-            next_at += 1
-        at = ats[next_at] if next_at < len(ats) else len(said)
+        first_word, before = word(i), word(i - 1)
+        rows[0].append((i, i + 1, "other", weigh("other", text, a, tokens[i][1], before, 1, "", False)))
+        first = first_word[0]
+        while ats and ats[0] <= i:
+            ats.popleft()
+        at = ats[0] if ats else n + MOST_TOKENS
         number = first in "+(0123456789"
-        if not number and not (first.isalnum() and at < i + MOST_TOKENS):
-            continue
-        cue = word(i - 1) if word(i - 1).isalnum() else word(i - 2)
-        left = goes_on(i - 1, i - 2)
-        for j in range(i + 1, min(len(tokens), i + MOST_TOKENS) + 1):
-            c, d = tokens[j - 1]
-            if d - a > SPAN or j - i > 1 and c - tokens[j - 2][1] > 2:
-                break
-            last = said[j - 1]
-            if number and not (last.isdigit() or last in "+().-/[]"):
-                number = False
-                if at >= i + MOST_TOKENS:
+        if number or (first.isalnum() and at < i + MOST_TOKENS):
+            cue = before if before.isalnum() else word(i - 2)
+            left, digits, dots = None, 0, 0
+            for j in range(i + 1, min(n, i + MOST_TOKENS) + 1):
+                c, d = tokens[j - 1]
+                if d - a > SPAN or j - i > 1 and c - tokens[j - 2][1] > 2:
                     break
-            if not (last.isdigit() if number else at < j - 1 and last[-1].isalpha()):
-                continue
-            span = text[a:d]
-            for kind in kinds_of(span):
-                out[j].append((i, j, kind, features(kind, span, word(i - 1), j - i, cue, left or goes_on(j, j + 1))))
-    return out
+                last = text[c:d]
+                if number and not (last.isdigit() and last.isascii() or last in "+().-/[]"):
+                    number = False
+                    if at >= i + MOST_TOKENS:
+                        break
+                if number:
+                    if not last.isdigit():
+                        dots += last == "."
+                        continue
+                    digits += d - c
+                    if digits > 19 and at >= i + MOST_TOKENS:
+                        break  # more than any kind has
+                    if digits < 10 and dots != 3:
+                        continue
+                    found = number_kinds(text[a:d], digits)
+                elif at < j - 1 and last[-1].isalpha():
+                    found = kinds_of(text[a:d])
+                else:
+                    continue
+                for kind in found:
+                    left = goes_on(i - 1, i - 2) if left is None else left
+                    rows[j - i - 1].append((i, j, kind, weigh(kind, text, a, d, before, j - i, cue, left or goes_on(j, j + 1))))
+        yield rows.popleft()
+        rows.append([])
+
+
+def segments(text: str, tokens: list[tuple[int, int]]) -> list[list[Segment]]:
+    """All rows of a short text, with their features; there is none before the first token."""
+    return [[], *segment_rows(text, tokens)]
 
 
 LABELS = ("other", *KINDS)
+#: Scores that are kept at once.
+KNOWN = 200_000
 
 
 class SemiCrf:
@@ -191,27 +243,55 @@ class SemiCrf:
         get = self.w.get
         return sum([get(f, 0.0) for f in s[3]])
 
-    def best(self, ends: list[list[Segment]]) -> list[Segment]:
-        """The best segmentation by dynamic programming over (end, kind of the last segment)."""
+    def weigher(self):
+        """The score of a segment as it comes, kept by all that its features depend on."""
+        known: dict[tuple, float] = {}
         get = self.w.get
-        top: list[dict[str, tuple[float, Segment | None, str]]] = [{"^": (0.0, None, "")}]
-        for j in range(1, len(ends)):
-            row: dict[str, tuple[float, Segment | None, str]] = {}
-            for s in ends[j]:
-                own = self._score(s)
-                for before, (v, _, _) in top[s[0]].items():
-                    v += own + get(f"{before}>{s[2]}", 0.0)
-                    if s[2] not in row or v > row[s[2]][0]:
-                        row[s[2]] = (v, s, before)
-            top.append(row)
-        out, j = [], len(ends) - 1
-        if not j:
-            return out
-        kind = max(top[j], key=lambda k: (top[j][k][0], k))
+
+        def weigh(kind: str, text: str, a: int, b: int, before: str, tokens: int, cue: str, joined: bool) -> float:
+            span = text[a:b]
+            if kind == "other":
+                key = ("other", min(b - a, 20) if span[0].isdigit() else 0, span if not span[0].isalnum() else "w")
+            else:
+                kept = span if kind == "email" else _shape(span)
+                key = (kind, kept, "9" if before.isdigit() else "w" if before.isalnum() else before, tokens, cue.lower() in CUES, joined, _beside(text, a, b))
+            if (score := known.get(key)) is None:
+                if len(known) > KNOWN:
+                    known.clear()
+                own = features(kind, span, before, tokens, cue, joined, key[-1] if kind != "other" else "")
+                score = known[key] = sum([get(f, 0.0) for f in own])
+            return score
+
+        return weigh
+
+    def best(self, rows: Iterator[list[Segment]], n: int) -> list[tuple[int, int, str]]:
+        """The segments of the best segmentation that are of a kind, by dynamic programming over (end, kind of the last segment).
+
+        Of the values only the last MOST_TOKENS ends are held; what leads back is two bytes for each end and kind.
+        """
+        link = {(b, k): self.w.get(f"{b}>{k}", 0.0) for b in ("^", *LABELS) for k in LABELS}
+        place = {k: i for i, k in enumerate(LABELS)}
+        lengths, befores = bytearray(len(LABELS) * (n + 1)), bytearray(len(LABELS) * (n + 1))
+        top: deque[dict[str, float]] = deque([{"^": 0.0}], MOST_TOKENS)
+        for j, row in enumerate(rows, 1):
+            found: dict[str, tuple[float, int, str]] = {}
+            for i, _, kind, own in row:
+                for before, v in top[i - j].items():
+                    v += own + link[before, kind]
+                    if kind not in found or v > found[kind][0]:
+                        found[kind] = (v, j - i, before)
+            for kind, (_, length, before) in found.items():
+                at = j * len(LABELS) + place[kind]
+                lengths[at], befores[at] = length, place.get(before, 0)
+            top.append({k: v for k, (v, _, _) in found.items()})
+        out, j = [], n
+        kind = max(top[-1], key=lambda k: (top[-1][k], k)) if n else ""
         while j:
-            _, s, before = top[j][kind]
-            out.append(s)
-            j, kind = s[0], before
+            at = j * len(LABELS) + place[kind]
+            i, before = j - lengths[at], LABELS[befores[at]]
+            if kind != "other":
+                out.append((i, j, kind))
+            j, kind = i, before
         return out[::-1]
 
     def learn(self, ends: list[list[Segment]], gold: list[Segment], rate: float) -> None:
@@ -278,7 +358,7 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
     cues = sorted(CUES)
     for _ in range(r.randint(1, 2)):
         parts += [(word(), "") for _ in range(r.randint(1, 4))]
-        what = r.randrange(19)
+        what = r.randrange(25)
         area, mid, end = str(r.randint(2, 9)) + number(2), number(3), number(4)
         if what == 0:
             parts.append((f"{name()}{r.choice([' at ', ' [at] ', '(at)', '[at]', ' (at) ', ' AT '])}{r.choice([' dot ', ' [dot] ', '(dot)', ' (dot) ', ' DOT ']).join(host())}", "email"))
@@ -314,6 +394,17 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
             parts.append((r.choice([" . ", ". ", " - ", "/"]).join(_card(r)), "card"))
         elif what == 17:
             parts.append((r.choice([f"{number(1)}.{number(1)}.{number(2)}", f"v{number(1)}.{number(1)}.{number(1)}.{number(1)}", f"{number(3)} . {number(3)}", f"[{number(1)}] [{number(1)}] [{number(2)}]", f"{number(1)}.{number(1)}[.]{number(1)}"]), ""))
+        elif what in (18, 19):
+            mark, most = r.choice([" ", " ", "  ", "\t", ", ", "; ", " | ", ".", "-"]), r.choice([1, 1, 2, 3, 4, 4, 5, 6])
+            parts.append((mark.join(number(r.randint(1, most)) for _ in range(r.randint(5, 24))), ""))
+        elif what == 20:
+            parts.append((r.choice([f"{r.randint(1990, 2030)} {number(3)} {number(3)} {number(4)}", f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)} {number(3)} {number(4)} {number(2)}", f"{number(2)}:{number(2)}:{number(2)},{number(3)} INFO {number(4)} {number(4)} {number(3)}", f"{number(4)}\t{number(4)}\t{number(4)}\t{number(4)}", " ".join(str(r.randint(1990, 2030)) for _ in range(r.randint(3, 6)))]), ""))
+        elif what == 21:
+            parts.append((r.choice([f"{number(4)} {number(4)} {number(4)} {number(4)}", f"{number(3)} {number(3)} {number(4)} {number(4)}", f"{number(4)} {number(3)} {number(4)}", f"{number(2)} {number(4)} {number(4)} {number(2)}", f"{area} {mid} {end}"]), ""))
+        elif what == 22:
+            parts += [(number(r.randint(1, 3)), ""), (r.choice([word(), word() + ","]), ""), (r.choice(["({}) {}-{}", "{}-{}-{}"]).format(area, mid, end), "phone"), (r.choice([word(), number(2), ""]), "")]
+        elif what == 23:
+            parts.append((" ".join(f"{number(r.randint(1, 3))}.{number(r.randint(1, 3))}" for _ in range(r.randint(3, 9))), ""))
         else:
             parts.append((r.choice([f"{number(4)}, {number(4)}, {number(4)}", f"{number(3)} + {number(4)} + {number(4)}", f"{number(2)}/{number(2)}/{number(4)} {number(4)}"]), ""))
         parts += [(word(), "") for _ in range(r.randint(0, 3))]
@@ -327,7 +418,7 @@ def _sentence(r: random.Random) -> tuple[str, list[Span]]:
 
 
 @lru_cache(1)
-def trained(sentences: int = 1000, rounds: int = 6, seed: int = 11) -> SemiCrf:
+def trained(sentences: int = 1500, rounds: int = 6, seed: int = 11) -> SemiCrf:
     """The model after `rounds` passes over `sentences` seeded synthetic sentences."""
     r, model, data = random.Random(seed), SemiCrf(), []
     for _ in range(sentences):
@@ -369,21 +460,21 @@ def _areas(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def added_spans(text: str, model: SemiCrf, areas: list[tuple[int, int]] | None = None) -> list[Span]:
+def added_spans(text: str, model: SemiCrf, areas: list[tuple[int, int]] | None = None, weigh=None) -> list[Span]:
     """The model's spans over the whole text, or over given areas of it."""
     out: list[Span] = []
+    weigh = weigh or model.weigher()
     for a, b in _areas(text) if areas is None else areas:
         tokens = [m.span() for m in TOKEN.finditer(text, a, b)]
-        ends = segments(text, tokens)
-        if any(len(row) > 1 for row in ends):
-            out += [(s[2], tokens[s[0]][0], tokens[s[1] - 1][1]) for s in model.best(ends) if s[2] != "other"]
+        out += [(kind, tokens[i][0], tokens[j - 1][1]) for i, j, kind in model.best(segment_rows(text, tokens, weigh), len(tokens))]
     return out
 
 
-def find(text: str, model: SemiCrf) -> tuple[list[Span], list[Span]]:
-    """The base spans, and all spans."""
+def find(text: str, model: SemiCrf, weigh=None) -> tuple[list[Span], list[Span]]:
+    """The base spans, and all spans: those of the model that overlap none of the base."""
     base = base_spans(text)
-    more = [s for s in added_spans(text, model) if not any(s[1] < b and a < s[2] for _, a, b in base)]
+    starts, ends = [s[1] for s in base], list(accumulate((s[2] for s in base), max))
+    more = [s for s in added_spans(text, model, None, weigh) if not (k := bisect_left(starts, s[2])) or ends[k - 1] <= s[1]]
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -396,10 +487,11 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = SemiCrf()
         crf.w = model.value
+        weigh = crf.weigher()
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for text in batch.column(1):
-                base, spans = find(text.as_py(), crf)
+                base, spans = find(text.as_py(), crf, weigh)
                 for i, kind in enumerate(KINDS):
                     out[i].append(sum([s[0] == kind for s in base]))
                 out[4].append(hashlib.sha256(joined(base).encode()).hexdigest())
