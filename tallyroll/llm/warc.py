@@ -43,29 +43,31 @@ DATE = "2024-01-01T00:00:00Z"
 # Fixed values of the formats: magic numbers of the dictionary's skippable frame and of a Zstandard dictionary.
 SKIPPABLE, DICTIONARY_MAGIC = 0x184D2A5D, b"\x37\xa4\x30\xec"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CHUNK = 1 << 20
+#: Bytes that are read at once: what a frame leaves of them is copied for the next one.
+CHUNK = 1 << 16
 
 
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, ordinal: str = "") -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{ordinal}')}>"
+def record_id(page_id: int | None, digest: str, place: int) -> str:
+    """An id of its own for each row: by its page, its payload and its place in the scan."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{place}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC record; a revisit keeps the payload's digest and length but not the payload."""
+def record(page_id: int | None, url: str | None, payload: bytes, place: int = 0, kept: tuple[int, int] | None = None) -> bytes:
+    """One WARC record; kept (page and place of the response with the payload) makes it a revisit, which has the payload's digest and length but not the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    body = http if revisit else http + payload
+    body, digest = http if kept else http + payload, payload_digest(payload)
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Type: {'revisit' if kept else 'response'}",
+        f"WARC-Record-ID: {record_id(page_id, digest, place)}",
         f"WARC-Date: {DATE}",
         *([f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~-._')}"] if url is not None else []),
-        f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
-        *([f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Refers-To-Page: {refers_to}"] if revisit else []),
+        f"WARC-Payload-Digest: sha1:{digest}",
+        *([f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(kept[0], digest, kept[1])}", f"WARC-Refers-To-Page: {kept[0]}"] if kept else []),
         *([f"WARC-Page: {page_id}"] if page_id is not None else []),
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(body)}",
@@ -133,13 +135,19 @@ def read_records(stream) -> Iterator[bytes]:
 
 
 def decided(pages: DataFrame, min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
-    """page_id, url, html and keep: the page_id of the response with the payload, null if that is this row."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+    """page_id, url, html, place (in the scan), keep and keep_place: page_id and place of the response with the payload, null if that is this row.
+
+    pages should come from files, whose rows keep their places when they are read again.
+    """
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("place"))
     rows = rows.withColumn("digest", F.sha1("html"))
-    same = rows.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("keep"), F.min("page_id").alias("least"), F.count("*").alias("n"), F.count("page_id").alias("ids"))
-    same = stored(same.where("n > 1 AND (least < keep OR ids < n) AND keep IS NOT NULL").select("digest", "keep"), "payloads")
+    first = F.max(F.struct("page_id", (-F.col("place")).alias("p")))
+    same = rows.where(F.octet_length("html") >= min_bytes).groupBy("digest").agg(first.alias("k"), F.min("page_id").alias("least"), F.count("*").alias("n"), F.count("page_id").alias("ids"))
+    keep = F.col("k.page_id")
+    same = stored(same.where((F.col("n") > 1) & keep.isNotNull() & ((F.col("least") < keep) | (F.col("ids") < F.col("n")))).select("digest", keep.alias("keep"), (-F.col("k.p")).alias("keep_place")), "payloads")
     joined = lookup_join(rows, same, ["digest"], "left", ["page_id", "url"])
-    return joined.select("page_id", "url", "html", F.when(~F.col("keep").eqNullSafe(F.col("page_id")), F.col("keep")).alias("keep"))
+    other = ~F.col("keep").eqNullSafe(F.col("page_id"))
+    return joined.select("page_id", "url", "html", "place", F.when(other, F.col("keep")).alias("keep"), F.when(other, F.col("keep_place")).alias("keep_place"))
 
 
 def _sample(pages: DataFrame) -> DataFrame:
@@ -153,13 +161,15 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
     """Writes the pages' archives and returns their manifest: path, records, bytes."""
     spark = pages.sparkSession
     folder = folder or new_path(spark, "warc")
-    if ":/" not in folder:
-        folder = f"file://{folder}"
+    if ":/" not in folder:  # in the file system that Spark's own writers would use
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    folder = folder if "://" in folder else folder.replace(":/", ":///", 1)
     rows = decided(pages, min_bytes)
-    dictionary = spark.sparkContext.broadcast(trained_dictionary([record(r[0], r[1], r[2].encode(), None, False) for r in _sample(pages).collect()]))
+    dictionary = spark.sparkContext.broadcast(trained_dictionary([record(r[0], r[1], r[2].encode()) for r in _sample(pages).collect()]))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for batch in batches for row in zip(*(batch.column(i) for i in range(4)), strict=True))
+        rows = (row for batch in batches for row in zip(*(batch.column(i) for i in range(6)), strict=True))
         first = next(rows, None)
         if first is None:
             return
@@ -172,8 +182,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
         with system.open_output_stream(path, compression=None) as out:  # the name ends in .zst, but its frames are made here
             out.write(head_frame(dictionary.value))
             for row in (r for part in ([first], rows) for r in part):
-                page_id, url, html, keep = (x.as_py() for x in row)
-                frame = compressor.compress(record(page_id, url, html.encode("utf-8", "surrogatepass"), keep, keep is not None))
+                page_id, url, html, place, *kept = (x.as_py() for x in row)
+                frame = compressor.compress(record(page_id, url, html.encode("utf-8", "surrogatepass"), place, tuple(kept) if kept[0] is not None else None))
                 out.write(frame)
                 records, size = records + 1, size + len(frame)
         yield pa.RecordBatch.from_pydict({"path": [path], "records": [records], "bytes": [size]})

@@ -527,6 +527,29 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
 
 
+def test_warc_record_ids_are_unique_and_refer_to_responses(spark):
+    """Also of rows that repeat a page or have no id, in a folder named without a file system."""
+    import tempfile
+
+    rows = [(1, "u", "same"), (1, "u", "same"), (1, "u", "other"), (None, None, "same"), (None, None, "same"), (None, None, "x"), (0, "v", "same"), (0, "v", "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = tempfile.mkdtemp(prefix="spark-")
+    pages.write.mode("overwrite").parquet(f"{path}/pages")
+    manifest = warc.write_archives(spark.read.parquet(f"{path}/pages"), f"{path}/archives").collect()
+    ids, refers = {}, []
+    for m in manifest:
+        assert m.folder.startswith("file:///")
+        with open(m.path, "rb") as f:
+            for data in warc.read_records(f):
+                fields = dict(x.split(": ", 1) for x in data.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:])
+                assert fields["WARC-Record-ID"] not in ids
+                ids[fields["WARC-Record-ID"]] = (fields["WARC-Type"], fields.get("WARC-Page"), fields["WARC-Payload-Digest"])
+                if fields["WARC-Type"] == "revisit":
+                    refers.append((fields["WARC-Refers-To"], fields["WARC-Payload-Digest"]))
+    assert len(ids) == len(rows) and len(refers) == 4
+    assert all(ids[i] == ("response", "1", digest) for i, digest in refers)
+
+
 def test_licences_held_out(spark):
     held = licences.examples(99, 3)
     got = {x.doc_id: x.families for x in licences.scan(_frame(spark, [(i, f"some prose\n{t}\nmore", "a") for i, (t, _) in enumerate(held)] + [(-1, None, "a")])).collect()}
