@@ -45,6 +45,14 @@ def totals_agree(a: DataFrame, b: DataFrame, amount: str, cent: float = 0.01) ->
     return of(a, "a").join(of(b, "b")).withColumn("same", (F.col("n_a") == F.col("n_b")) & (F.abs(F.col("usd_a") - F.col("usd_b")) <= cent))
 
 
+def exports_agree(table: DataFrame, written: DataFrame, by: str, amount: str, cent: float = 0.01) -> DataFrame:
+    """Per section of an export: rows and dollars of the table (n_a, usd_a) and of what was written (n_b, usd_b), and whether they are the same; one scan of either, a section that only one side has is not."""
+    of = lambda d, x: d.groupBy(by).agg(F.count("*").alias(f"n_{x}"), F.coalesce(F.sum(F.col(amount).cast("decimal(18,2)")), F.lit(0)).alias(f"usd_{x}"))
+    both = of(table, "a").join(of(written, "b"), by, "full").na.fill(0, ["n_a", "n_b"])
+    near = F.abs(F.coalesce("usd_a", F.lit(0)) - F.coalesce("usd_b", F.lit(0))) <= cent
+    return both.withColumn("same", (F.col("n_a") == F.col("n_b")) & near)
+
+
 def orphaned_verdicts(queue: DataFrame, resolutions: DataFrame, keys: list[str]) -> DataFrame:
     """Queue items that carry a resolution which the durable table lacks: the next rebuild of the queue would reopen them."""
     return queue.where("resolution IS NOT NULL").join(resolutions.select(*keys).distinct(), keys, "left_anti")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import links, money, text
 from ..operators import attribution, checks, classify, merge, reports
-from ..sources import federal, legislation, states
+from ..sources import federal, legislation, sinks, states
 from ..streaming import incremental
 from . import cases
 from .queries import _t, query
@@ -107,12 +109,12 @@ def surname_funnel(spark, sf):
 _STATUS = "CASE o_orderstatus WHEN 'F' THEN 'CONFIRMED' WHEN 'O' THEN 'PROBABLE' ELSE 'UNCERTAIN' END"
 
 
-@query(f"""SELECT CASE WHEN o_orderkey % 6 = 0 THEN 'S' || o_orderkey ELSE 'T' || o_orderkey END AS transaction_id, CASE WHEN o_orderkey % 5 = 0 THEN 'T' || o_orderkey ELSE 'S' || o_orderkey END AS record_uid,
+@query(f"""SELECT CASE WHEN o_orderkey % 30 = 0 THEN '' WHEN o_orderkey % 6 = 0 THEN 'S' || o_orderkey ELSE 'T' || o_orderkey END AS transaction_id, CASE WHEN o_orderkey % 30 = 0 THEN '' WHEN o_orderkey % 5 = 0 THEN 'T' || o_orderkey ELSE 'S' || o_orderkey END AS record_uid,
 CASE WHEN o_orderkey % 4 = 0 THEN coalesce(nullif('nested ' || o_custkey % 3, 'nested 0'), '') ELSE 'flat' END AS recipient_committee_name, CASE WHEN o_orderkey % 4 = 0 THEN 'DEM' END AS recipient_party, CASE WHEN o_orderkey % 9 > 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS amount,
 CASE WHEN o_orderkey % 7 > 0 THEN {_D} END AS date, CASE o_orderkey % 3 WHEN 0 THEN 'N' || o_orderkey WHEN 1 THEN 'R' || o_orderkey ELSE 'FEC-PRE2006-NOID' END AS filing_id, CASE WHEN o_orderkey % 2 = 0 THEN 'Q' WHEN o_orderkey % 4 = 0 THEN 'N' END AS recipient_committee_type
-FROM orders WHERE o_orderkey % 30 > 0""", ("date",))
+FROM orders""", ("date",))
 def federal_projection(spark, sf):
-    """Records as rows of the table of donations: nested and flat committees, missing ids, amounts and dates."""
+    """Records as rows of the table of donations: nested and flat committees, missing ids (some have none at all), amounts and dates."""
     o, k, c, d, usd = _orders(spark, sf)
     none = F.lit(None).cast("string")
     committee = F.when(k % 4 == 0, F.struct(F.when(c % 3 > 0, F.concat(F.lit("nested "), c % 3)).alias("name"), F.lit("DEM").alias("party"), F.lit("N").alias("committee_type")))
@@ -122,7 +124,7 @@ def federal_projection(spark, sf):
         "is_individual": F.lit(True), "two_year_transaction_period": F.lit(2000), "_path": F.lit("p"), "signals": F.array().cast("array<string>"), "entity_slug": F.lit("e"), "entity_kind": F.lit("owner"), "parent_owner_slug": none, "status": F.lit("PROBABLE"), "status_reason": none,
     }
     names = [f.strip().split(" ")[0] for f in federal.CONTRIBUTION.replace("committee struct<name: string, party: string, committee_type: string>", "committee x").replace("\n", " ").split(",")]
-    rows = o.where("o_orderkey % 30 > 0").select(*[given.get(n, none).alias(n) for n in dict.fromkeys([*names, *given])])
+    rows = o.select(*[given.get(n, none).alias(n) for n in dict.fromkeys([*names, *given])])
     out = federal.donation_row(rows, F.lit("now"))
     return out.select("transaction_id", "record_uid", "recipient_committee_name", "recipient_party", F.col("amount").cast("double").alias("amount"), "date", "filing_id", "recipient_committee_type")
 
@@ -345,9 +347,10 @@ def _bills(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""SELECT bioguide_id, full_name, current_party, n_ids, n_terms, congress FROM (SELECT 'L' || s_suppkey AS bioguide_id, CASE WHEN s_suppkey % 2 = 0 THEN 'Full ' || s_suppkey ELSE 'Ann ' || s_name END AS full_name, 'new' AS current_party, 2 AS n_ids, 2 AS n_terms, CAST(115 AS INTEGER) AS congress FROM supplier WHERE s_suppkey % 3 > 0)
+UNION ALL SELECT 'L' || s_suppkey, 'Other', 'wrong', 1, 1, 115 FROM supplier WHERE s_suppkey % 3 = 0
 UNION ALL SELECT 'H' || s_suppkey, 'Old', 'old', 1, 1, 102 FROM supplier WHERE s_suppkey % 3 > 0""")
 def legislator_crosswalk(spark, sf):
-    """People of both files once, with the identity of the current one; people without a candidate id go."""
+    """People of both files once, with the identity of the current one; those without a candidate id there are as the older file has them, those without any go."""
     k = F.col("s_suppkey")
     none = F.lit(None).cast("string")
     term = lambda kind, start, party: F.struct(F.lit(kind).alias("type"), F.lit(start).alias("start"), none.alias("end"), F.lit("OH").alias("state"), none.alias("district"), F.lit(party).alias("party"))
@@ -362,8 +365,7 @@ def legislator_crosswalk(spark, sf):
     people, ids, terms = legislation.crosswalk(current, older)
     n_ids, n_terms = ids.groupBy("bioguide_id").agg(F.count("*").cast("int").alias("n_ids")), terms.groupBy("bioguide_id").agg(F.count("*").cast("int").alias("n_terms"), F.max("congress").alias("congress"))
     known = people.join(n_ids, "bioguide_id").join(n_terms, "bioguide_id")
-    # people whom only the older file gives an id are in the result as that file has them; the query leaves them out
-    return known.where("full_name <> 'Other'").select("bioguide_id", "full_name", F.when(F.col("bioguide_id").startswith("H"), F.col("current_party")).otherwise("new").alias("current_party"), "n_ids", "n_terms", "congress")
+    return known.select("bioguide_id", "full_name", "current_party", "n_ids", "n_terms", "congress")
 
 
 @query(f"""SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'Field' || o_custkey WHEN o_custkey % 3 = 1 THEN 'Field' || o_custkey ELSE 'Solo' END AS last, CASE o_custkey % 3 WHEN 0 THEN 'Ann' WHEN 1 THEN 'Ann' ELSE '' END AS first, CASE o_custkey % 3 WHEN 0 THEN 'B C' WHEN 1 THEN 'B' ELSE '' END AS middle,
@@ -445,11 +447,15 @@ def source_predicates(spark, sf):
     return ny.select(F.lit("NY").alias("source"), "o_orderkey", "owner_slug").union(wa.select(F.lit("WA"), "o_orderkey", "owner_slug")).union(az.select(F.lit("AZ"), "o_orderkey", "owner_slug"))
 
 
-@query("SELECT * FROM (VALUES ('field', 'Ann Field'), ('field', 'FIELD, ANN'), ('field', 'Field, Bob J.'), ('stone', 'Kenneth Stone'), ('stone', 'Stone'), ('kin', 'Zoe Vale')) t(slug, variant)")
+@query("""SELECT 'e' || c_custkey AS slug, 'Ann ' || c_name AS variant FROM customer WHERE c_custkey % 4 > 0 UNION ALL SELECT 'e' || c_custkey, c_name || ', Ann' FROM customer WHERE c_custkey % 3 = 0""")
 def name_variants(spark, sf):
-    """Variants that differ in punctuation and case only are asked for once."""
-    more = [("field", None, ["Ann Field", "ann  field.", "FIELD, ANN", "Field Ann", "Field, Bob J.", "Field Bob J", " . "]), *_OWNERS[1:]]
-    return states.distinct_variants(spark.createDataFrame(more, _ASKERS))
+    """Variants that differ in punctuation and case only are asked for once; blank ones and those of entities without names never."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    plain = F.concat(F.lit("Ann "), name)
+    same = F.array(plain, F.lower(F.concat(F.lit("ann  "), name, F.lit("."))), F.upper(plain))
+    turned = F.when(k % 3 == 0, F.array(F.concat(name, F.lit(", Ann")), F.upper(F.concat(name, F.lit(" ANN"))))).otherwise(F.array(F.lit(" . ")))
+    variants = F.concat(F.when(k % 4 > 0, same).otherwise(F.array(F.lit(None).cast("string"), F.lit(""))), turned)
+    return states.distinct_variants(_t(spark, sf, "customer").select(F.concat(F.lit("e"), k).alias("slug"), F.lit(None).cast("string").alias("parent_slug"), variants.alias("name_variants")))
 
 
 @query("""WITH v AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS a FROM orders) SELECT outcome, count(*) AS n, CAST(sum(a) AS DOUBLE) AS total FROM (SELECT a, CASE WHEN k % 10 = 0 THEN 'inserted' WHEN k % 10 = 1 THEN 'kept' WHEN k % 5 = 2 OR k % 7 = 3 OR k % 11 = 4 THEN 'superseded' ELSE 'unchanged' END AS outcome FROM v) GROUP BY 1""")
@@ -473,13 +479,11 @@ def run_totals(spark, sf):
 
 @query("SELECT s AS o_orderstatus, n AS n_a, n - CASE s WHEN 'F' THEN 1 ELSE 0 END AS n_b, s <> 'F' AS same FROM (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)")
 def export_freshness(spark, sf):
-    """Whether an export still agrees with the table, by count and dollars to the cent: one lacks a row."""
+    """Whether exports, written and read back, still agree with the table by count and dollars to the cent: the one of F was written before its first row came."""
+    from ..operators.shared import folder
+
     orders = _t(spark, sf, "orders").select("o_orderstatus", "o_orderkey", F.col("o_totalprice").cast(money.MONEY).alias("amount"))
-    out = None
-    for s in ("F", "O", "P"):
-        table = orders.where(F.col("o_orderstatus") == s)
-        first = table.agg(F.min("o_orderkey")).first()[0]
-        export = table.where(F.col("o_orderkey") != first) if s == "F" else table
-        row = checks.totals_agree(table, export, "amount").select(F.lit(s).alias("o_orderstatus"), "n_a", "n_b", "same")
-        out = row if out is None else out.union(row)
-    return out
+    least = orders.where("o_orderstatus = 'F'").agg(F.min("o_orderkey").alias("least"))
+    then = orders.join(F.broadcast(least), (F.col("o_orderstatus") == "F") & (F.col("o_orderkey") == F.col("least")), "left_anti")
+    written = sinks.export_counted(then, f"{folder(spark)}/export-{uuid.uuid4().hex}", "o_orderstatus", "amount")
+    return checks.exports_agree(orders, written, "o_orderstatus", "amount").select("o_orderstatus", "n_a", "n_b", "same")

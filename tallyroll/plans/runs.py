@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import fold
+from ..operators import classify, fold
 from ..operators.shared import folder
-from ..streaming import runs, store
+from ..sources import federal
+from ..streaming import flow, runs, store
 from .queries import _t, query
 
 #: Versions of gifts: from a user's every fourth event on, and in half of all after it, the gift has a submission id.
@@ -126,3 +127,59 @@ def households_rebuilt(spark, sf):
     new = fold.with_identity(mine.where("o_orderkey % 2 = 0").withColumn("status", F.lit("again")).withColumn("sub_id", F.lit(None).cast("string")), schema)
     runs.households_replaced(spark, root, 1, mine.select("entity_slug").distinct(), new)
     return runs.state(spark, root).select(F.col("transaction_id").cast("long").alias("o_orderkey"), "entity_slug", "status")
+
+
+_FLOW = """(SELECT *, CASE WHEN txn <> '' AND o % 17 = 1 THEN 'CONFIRMED' WHEN o % 3 = 0 AND o % 2 = 0 THEN 'CONFIRMED' WHEN o % 3 = 0 OR o % 2 = 0 THEN 'PROBABLE' ELSE 'UNCERTAIN' END AS status FROM (
+SELECT o, usd, txn, CASE WHEN k < 25 THEN 'n' || k WHEN txn <> '' AND o % 17 = 1 THEN 'n0' END AS slug FROM (
+  SELECT o_orderkey AS o, o_custkey % 30 AS k, CASE WHEN o_orderkey % 50 = 0 THEN '' WHEN o_orderkey % 50 = 1 THEN 'S' || o_orderkey ELSE 'T' || o_orderkey END AS txn, CAST(o_totalprice AS DECIMAL(18,2)) AS usd FROM orders))
+WHERE slug IS NOT NULL AND (txn = '' OR o % 17 > 0))"""
+
+
+@query(f"""WITH a AS {_FLOW}, f AS (SELECT * FROM a WHERE txn <> ''), g AS (SELECT * FROM f WHERE status <> 'UNCERTAIN' AND o % 11 > 0 AND o % 13 > 0)
+SELECT 'live' AS part, txn AS transaction_id, slug AS entity_slug, status, CAST(usd + CASE WHEN o % 7 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS amount FROM g
+UNION ALL SELECT 'old', txn, slug, 'SUPERSEDED', CAST(usd AS DOUBLE) FROM g WHERE o % 7 = 0
+UNION ALL SELECT 'queue', txn, slug, 'UNCERTAIN', NULL FROM f WHERE status = 'UNCERTAIN' AND o % 19 > 0
+UNION ALL SELECT 'ledger ' || k, NULL, slug, s, CAST(count(*) FILTER (CASE s WHEN 'no amount' THEN txn <> '' AND status <> 'UNCERTAIN' AND o % 11 = 0 AND o % 13 > 0 WHEN 'no provenance' THEN txn <> '' AND status <> 'UNCERTAIN' AND o % 13 = 0 ELSE status = s END) AS DOUBLE)
+  FROM a, (VALUES (0), (1)) r(k), (VALUES ('CONFIRMED'), ('PROBABLE'), ('UNCERTAIN'), ('no amount'), ('no provenance')) t(s) GROUP BY k, slug, s
+UNION ALL SELECT 'events ' || outcome, NULL, NULL, NULL, CAST(n AS DOUBLE) FROM (SELECT 'inserted' AS outcome, count(*) AS n FROM g UNION ALL SELECT 'superseded', count(*) FROM g WHERE o % 7 = 0 UNION ALL SELECT 'unchanged', count(*) FROM g WHERE o % 7 > 0)""")
+def federal_flow(spark, sf):
+    """Two runs from landed records to state, events, queue and ledger; one record in seven is restated in the second."""
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    n = c % 30
+    txn = F.when(o % 50 < 2, " ").otherwise(F.concat(F.lit("T"), o))
+    none = F.lit(None).cast("string")
+    known = F.coalesce(F.nullif(F.btrim(txn), F.lit("")), F.when(o % 50 == 1, F.concat(F.lit("S"), o)))
+    orders = _t(spark, sf, "orders")
+
+    def landed(run: int) -> DataFrame:
+        usd = F.col("o_totalprice").cast("decimal(18,2)") + F.when((o % 7 == 0) & F.lit(run == 1), 1).otherwise(0)
+        given = {
+            "transaction_id": txn, "sub_id": F.when(o % 50 == 1, F.concat(F.lit("S"), o)), "contributor_name": F.concat(F.lit("Ann N"), n), "contributor_employer": F.when(o % 3 == 0, F.concat(F.lit("Acme "), n)), "contributor_city": F.when(o % 2 == 0, F.concat(F.lit("Town"), n)), "contributor_state": F.when(o % 2 == 0, "OH"),
+            "contribution_receipt_amount": F.when(o % 11 > 0, usd.cast("string")), "contribution_receipt_date": F.when(o % 13 > 0, F.col("o_orderdate").cast("date").cast("string")), "file_number": F.lit("7"), "committee_id": F.lit("C1"), "is_individual": F.lit(True), "two_year_transaction_period": F.lit(2000),
+            "committee": F.lit(None).cast("struct<name: string, party: string, committee_type: string>"), "_path": F.lit(f"run{run}/page.json"), "_at": F.lit(0),
+        }
+        names = [f.strip().split(" ")[0] for f in federal.CONTRIBUTION.replace("committee struct<name: string, party: string, committee_type: string>", "committee x").replace("\n", " ").split(",")]
+        return orders.select(*[given.get(x, none).alias(x) for x in dict.fromkeys([*names, *given])])
+
+    words = lambda *x: F.array(*x).cast("array<string>")
+    k = F.col("n_nationkey")
+    registry = _t(spark, sf, "nation").select(
+        F.concat(F.lit("n"), k).alias("slug"), F.lit("owner").alias("kind"), none.alias("parent_slug"), F.lit(0).alias("position"), words(F.concat(F.lit("Ann N"), k)).alias("name_variants"), words(F.concat(F.lit("Town"), k)).alias("cities"), words(F.lit("OH")).alias("states"), words(F.concat(F.lit("Acme "), k, F.lit(" "))).alias("employers"),
+        *[words().alias(x) for x in ("occupations", "strong_employers", "strong_zips", "negative_employers")], F.lit(False).alias("mrs_is_self"), F.lit(False).alias("lone_city_state_is_weak"),
+    )
+    registry = spark.createDataFrame([], classify.REGISTRY).unionByName(registry)
+    slug = F.concat(F.lit("n"), F.when(n < 25, n).otherwise(0))
+    overrides = orders.where(known.isNotNull() & (o % 17 < 2)).select(known.alias("transaction_id"), slug.alias("entity_slug"), F.when(o % 17 == 0, "EXCLUDED").otherwise("CONFIRMED").alias("verdict"))
+    resolutions = orders.where(known.isNotNull() & (o % 19 == 0)).select(known.alias("transaction_id"), slug.alias("entity_slug"), F.lit("DISCARDED").alias("resolution"))
+    root = _root(spark, "federal")
+    for run in range(2):
+        flow.federal_run(spark, root, run, landed(run), registry, overrides, resolutions, F.lit(f"t{run}"), buckets=8)
+    state, queue = runs.state(spark, root), store.read(spark, root, runs.QUEUE)
+    usd = F.col("amount").cast("double")
+    shown = state.select(F.when(F.col("superseded_by").isNull(), "live").otherwise("old").alias("part"), F.coalesce("superseded_by", "transaction_id").alias("transaction_id"), "entity_slug", "status", usd.alias("amount"))
+    shown = shown.unionByName(queue.select(F.lit("queue").alias("part"), "transaction_id", "entity_slug", F.lit("UNCERTAIN").alias("status"), F.lit(None).cast("double").alias("amount")))
+    kinds = {"CONFIRMED": "confirmed", "PROBABLE": "probable", "UNCERTAIN": "uncertain", "no amount": "no_amount", "no provenance": "no_provenance"}
+    lines = F.inline(F.array(*[F.struct(F.lit(s).alias("status"), F.col(x).cast("double").alias("amount")) for s, x in kinds.items()]))
+    ledger = store.read(spark, root, flow.LEDGER).select(F.concat(F.lit("ledger "), "run").alias("part"), none.alias("transaction_id"), F.col("household").alias("entity_slug"), lines)
+    events = store.read(spark, root, runs.EVENTS).groupBy("outcome").agg(F.count("*").cast("double").alias("amount"))
+    return shown.unionByName(ledger).unionByName(events.select(F.concat(F.lit("events "), "outcome").alias("part"), none.alias("transaction_id"), none.alias("entity_slug"), none.alias("status"), "amount"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import csv_guard
 
@@ -29,17 +32,48 @@ def export_json(df: DataFrame, path: str, by: str | None = None) -> None:
     (out.partitionBy(by) if by else out).json(path)
 
 
+def _counted(df: DataFrame, amount: str | None = None) -> tuple[DataFrame, Observation]:
+    """df, and what is counted of it while it is written: rows, cents and a digest of all rows (a sum, in which their order has no part)."""
+    seen = Observation(f"export-{uuid.uuid4().hex}")
+    cents = F.sum(F.round(F.col(amount).cast("decimal(18,4)") * 100).cast("decimal(38,0)")) if amount else F.lit(0).cast("decimal(38,0)")
+    digest = F.sum(F.xxhash64(*[F.col(f"`{c}`").cast("string") if "map<" not in t else F.to_json(F.col(f"`{c}`")) for c, t in df.dtypes]).cast("decimal(38,0)"))
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(cents, F.lit(0)).alias("cents"), F.coalesce(digest, F.lit(0)).alias("digest")), seen
+
+
+def export_counted(df: DataFrame, root: str, by: str, amount: str) -> DataFrame:
+    """Writes an export (JSON lines, a folder a section) with a manifest that is taken while it is written, and reads it back."""
+    rows, seen = _counted(df, amount)
+    rows.write.mode("overwrite").partitionBy(by).json(f"{root}/data")
+    found = seen.get
+    df.sparkSession.createDataFrame([(found["rows"], str(found["cents"]), str(found["digest"]))], "rows long, cents string, digest string").coalesce(1).write.mode("overwrite").json(f"{root}/manifest")
+    return read_export(df.sparkSession, root, df.schema)
+
+
+def read_export(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """An export's rows, in the columns of the table that it was made of."""
+    return spark.read.schema(schema).json(f"{root}/data").select(*schema.names)
+
+
+def whole(spark: SparkSession, root: str, schema: StructType, amount: str) -> bool:
+    """Whether an export still holds what its manifest says: rows, cents and digest."""
+    rows, seen = _counted(read_export(spark, root, schema), amount)
+    rows.write.format("noop").mode("overwrite").save()
+    said, found = spark.read.schema("rows long, cents string, digest string").json(f"{root}/manifest").first(), seen.get
+    return (said.rows, said.cents, said.digest) == (found["rows"], str(found["cents"]), str(found["digest"]))
+
+
 def export_payload(sections: dict[str, DataFrame], root: str, about: dict[str, str], chunks: dict[str, str] | None = None) -> None:
-    """A payload as folders of JSON lines, one a section, and `_meta` with what it is about and the rows of each section.
+    """A payload as folders of JSON lines, one a section, and `_meta` with what it is about and the rows of each section, counted while they are written.
 
     chunks names the column by which a section is cut into folders that readers load one by one. Texts are guarded as for
     spreadsheets only where sections are exported as CSV; JSON keeps them as they are.
     """
     counts = {}
     for name, df in sections.items():
-        out = df.write.mode("overwrite")
+        rows, seen = _counted(df)
+        out = rows.write.mode("overwrite")
         (out.partitionBy(chunks[name]) if chunks and name in chunks else out).json(f"{root}/{name}")
-        counts[name] = df.sparkSession.read.json(f"{root}/{name}").count() if df.columns else 0
+        counts[name] = seen.get["rows"]
     spark = next(iter(sections.values())).sparkSession
     rows = [(k, v) for k, v in about.items()] + [(f"rows.{k}", str(n)) for k, n in counts.items()]
     spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{root}/_meta")

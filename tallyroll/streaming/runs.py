@@ -50,12 +50,13 @@ def with_counted(rows: DataFrame) -> DataFrame:
     return out.withColumn("counted", F.when(live, F.col("counted")).otherwise(F.lit(True)))
 
 
-def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame, records: DataFrame, order: list[Column], at: Column, queue: DataFrame | None = None, ran: DataFrame | None = None, buckets: int = BUCKETS, files: int = 1, steps: Sequence[Step] = ()) -> None:
+def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame, records: DataFrame, order: list[Column], at: Column, queue: DataFrame | None = None, ran: DataFrame | None = None, buckets: int = BUCKETS, files: int = 1, steps: Sequence[Step] = (), more: dict[str, Write] | None = None) -> None:
     """One run's records folded into the state, and all that follows from them, published together.
 
     schema: a frame, possibly empty, in the columns of state. records: classified records in these columns (identity and
     supersession are worked out here). queue: review items, of which those that aren't there yet are added (transaction_id, entity_slug, reason).
-    ran: what the run has read (key, run_date, from_raw, truncated); watermarks move with the commit and only then.
+    ran: what the run has read (key, run_date, from_raw, truncated); watermarks move with the commit and only then. more:
+    further tables of the run.
     """
     buckets = _own_buckets(spark, root, STATE, version, buckets)
     rows = with_identity(records, schema).where("record_uid IS NOT NULL AND transaction_id IS NOT NULL AND entity_slug IS NOT NULL")
@@ -74,7 +75,8 @@ def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame,
     done = folded(current, records, order, at).persist()
     try:
         after = state_after(current, done)
-        writes = {STATE: Write(_with_txn(after), STATE_KEYS, "replace", buckets, files, tuple(sorted(touched)))}
+        writes = dict(more or {})
+        writes[STATE] = Write(_with_txn(after), STATE_KEYS, "replace", buckets, files, tuple(sorted(touched)))
         writes[EVENTS] = Write(events_of(records, done).withColumn("run", F.lit(version).cast("long")), ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
         writes[IDENTITIES] = Write(fresh, ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
         places = after.select(household().alias("household"), bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets).alias("place")).distinct()
