@@ -102,6 +102,52 @@ def recipients(donations: DataFrame) -> DataFrame:
     )
 
 
+#: What each section of a payload is keyed by.
+SECTIONS = {"league": (), "owner": ("owner",), "cell": ("owner", "election_cycle", "party"), "recipient": ("committee_id",)}
+
+
+def payload(donations: DataFrame) -> DataFrame:
+    """All sections of a dashboard's payload from one scan: section, its keys (owner, election_cycle, party, committee_id), n, total_amount, confirmed_amount, earliest_date, latest_date, and how many members, recipients, owners and cycles there are.
+
+    The first sums are by all keys together; grouping sets over these pair the keys, and pairs are counted instead of
+    distinct values: an owner has as many recipients as there are pairs of them. Counts that a section doesn't have are null.
+    """
+    usd = F.col("amount").cast(MONEY)
+    keys = ["owner", "entity_slug", "committee_id", "election_cycle", "party"]
+    sums = [F.count("*").alias("n"), F.sum(usd).alias("usd"), F.sum(F.when(F.col("status") == "CONFIRMED", usd)).alias("sure"), F.min("date").alias("first"), F.max("date").alias("last")]
+    rows = donations.withColumn("owner", F.coalesce("parent_owner_slug", "entity_slug")).withColumn("committee_id", F.coalesce("committee_id", F.lit("_unknown")))
+    cells = rows.groupBy(*keys).agg(*sums)
+    pairs = (("owner", "entity_slug"), ("owner", "committee_id"), ("owner", "election_cycle"), ("owner", "election_cycle", "party"), ("committee_id", "election_cycle"), ("owner",), ("election_cycle",))
+    again = [F.sum("n").alias("n"), F.sum("usd").alias("usd"), F.sum("sure").alias("sure"), F.min("first").alias("first"), F.max("last").alias("last")]
+    paired = cells.groupingSets([list(p) for p in pairs], *keys).agg(F.grouping_id().alias("set"), *again)
+    number = {p: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in p) for p in pairs}
+    none, no_sum = F.lit(None).cast("string"), {"n": F.lit(0).cast("long"), "usd": F.lit(None), "sure": F.lit(None)}
+
+    def counted(section: str, what: str | None = None, value: Column | None = None, summed: bool = False) -> Column:
+        own = [F.col(k).cast("string").alias(k) if k in SECTIONS[section] else none.alias(k) for k in ("owner", "election_cycle", "party", "committee_id")]
+        totals = [(F.col(k) if summed else no_sum[k].cast(paired.schema[k].dataType)).alias(k) for k in ("n", "usd", "sure")]
+        counts = [F.when(F.lit(c == what), F.lit(1) if value is None else value.cast("int")).cast("long").alias(c) for c in ("members", "recipients", "owners", "cycles")]
+        return F.struct(F.lit(section).alias("section"), *own, *totals, "first", "last", *counts)
+
+    gives = {
+        pairs[0]: [counted("owner", "members", F.col("entity_slug") != F.col("owner"))],
+        pairs[1]: [counted("owner", "recipients", summed=True), counted("recipient", "owners", summed=True)],
+        pairs[2]: [counted("owner", "cycles")],
+        pairs[3]: [counted("cell", summed=True)],
+        pairs[4]: [counted("recipient", "cycles")],
+        pairs[5]: [counted("league", "owners", summed=True)],
+        pairs[6]: [counted("league", "cycles")],
+    }
+    lines = F
+    for pair, structs in gives.items():
+        lines = lines.when(F.col("set") == number[pair], F.array(*structs))
+    by = ["section", "owner", "election_cycle", "party", "committee_id"]
+    out = paired.select(F.inline(lines)).groupBy(*by).agg(
+        F.sum("n").alias("n"), F.sum("usd").cast("double").alias("total_amount"), F.coalesce(F.sum("sure"), F.lit(0)).cast("double").alias("confirmed_amount"), F.min("first").alias("earliest_date"), F.max("last").alias("latest_date"), *[F.sum(c).alias(c) for c in ("members", "recipients", "owners", "cycles")],
+    )
+    return out.withColumn("election_cycle", F.col("election_cycle").cast("int"))
+
+
 def candidate_top_committee(donations: DataFrame) -> DataFrame:
     return two_level_arg_max(donations, "candidate_id", "committee_id", "amount")
 

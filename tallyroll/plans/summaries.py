@@ -191,3 +191,17 @@ def legislation_coverage(spark, sf):
 @query("SELECT user_id AS bioguide, count(*) AS positions FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY 1")
 def missing_voters(spark, sf):
     return reports.missing_voters(_t(spark, sf, "events").select(F.col("user_id").alias("bioguide")), _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("bioguide")))
+
+
+_SUMS = "count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total_amount, CAST(coalesce(sum(amount) FILTER (status = 'CONFIRMED'), 0) AS DOUBLE) AS confirmed_amount, min(date) AS earliest_date, max(date) AS latest_date"
+_NONE = "CAST(NULL AS BIGINT)"
+
+
+@query(f"""WITH g AS (SELECT * REPLACE (coalesce(committee_id, '_unknown') AS committee_id) FROM {_GIFTS})
+SELECT 'league' AS section, CAST(NULL AS VARCHAR) AS owner, CAST(NULL AS INTEGER) AS election_cycle, CAST(NULL AS VARCHAR) AS party, CAST(NULL AS VARCHAR) AS committee_id, {_SUMS}, {_NONE} AS members, {_NONE} AS recipients, count(DISTINCT owner) AS owners, count(DISTINCT cycle) AS cycles FROM g
+UNION ALL SELECT 'owner', owner, NULL, NULL, NULL, {_SUMS}, count(DISTINCT entity_slug) FILTER (entity_slug <> owner), count(DISTINCT committee_id), NULL, count(DISTINCT cycle) FROM g GROUP BY owner
+UNION ALL SELECT 'cell', owner, cycle, party, NULL, {_SUMS}, NULL, NULL, NULL, NULL FROM g GROUP BY owner, cycle, party
+UNION ALL SELECT 'recipient', NULL, NULL, NULL, committee_id, {_SUMS}, NULL, NULL, count(DISTINCT owner), count(DISTINCT cycle) FROM g GROUP BY committee_id""", ("earliest_date", "latest_date"))
+def payload_sections(spark, sf):
+    """League, owners, their cells by cycle and party, and recipients, from one scan."""
+    return reports.payload(gifts(spark, sf))

@@ -17,7 +17,7 @@ from ..operators.attribution import household
 from ..operators.dedup import counted_flag
 from ..operators.fold import events_of, folded, state_after, with_identity
 from .incremental import watermarks_after
-from .store import Step, Write, bucket_of, commit, parts, read
+from .store import Part, Step, Write, bucket_of, commit, parts, read
 
 STATE, EVENTS, QUEUE, WATERMARKS, IDENTITIES, PLACES = "state", "events", "queue", "watermarks", "identities", "places"
 STATE_KEYS = ("entity_slug", "__txn")
@@ -35,8 +35,8 @@ def _with_txn(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__txn", F.coalesce("superseded_by", "transaction_id"))
 
 
-def _own_buckets(spark: SparkSession, root: str, table: str, version: int, otherwise: int) -> int:
-    return next((p.buckets for p in parts(spark, root, before=version) if p.table == table), otherwise)
+def _own_buckets(named: list[Part], table: str, otherwise: int) -> int:
+    return next((p.buckets for p in named if p.table == table), otherwise)
 
 
 def with_counted(rows: DataFrame) -> DataFrame:
@@ -58,19 +58,20 @@ def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame,
     ran: what the run has read (key, run_date, from_raw, truncated); watermarks move with the commit and only then. more:
     further tables of the run.
     """
-    buckets = _own_buckets(spark, root, STATE, version, buckets)
+    named = parts(spark, root, before=version)
+    buckets = _own_buckets(named, STATE, buckets)
     rows = with_identity(records, schema).where("record_uid IS NOT NULL AND transaction_id IS NOT NULL AND entity_slug IS NOT NULL")
     where = bucket_of(["entity_slug", "transaction_id"], buckets)
     touched = set(_touched(rows, where))
     # submission ids that are stored under another transaction id lead to its bucket
-    named = rows.where("record_uid <> transaction_id").select("entity_slug", "record_uid", "transaction_id").distinct()
-    index = _touched(named, bucket_of(["entity_slug", "record_uid"], INDEX_BUCKETS))
-    known = read(spark, root, IDENTITIES, index, before=version)
-    fresh = named
+    ids = rows.where("record_uid <> transaction_id").select("entity_slug", "record_uid", "transaction_id").distinct()
+    index = _touched(ids, bucket_of(["entity_slug", "record_uid"], INDEX_BUCKETS))
+    known = read(spark, root, IDENTITIES, index, named=named)
+    fresh = ids
     if known is not None:
-        touched |= set(_touched(known.join(named.select("entity_slug", "record_uid").distinct(), ["entity_slug", "record_uid"]), where))
-        fresh = named.join(known, ["entity_slug", "record_uid", "transaction_id"], "left_anti")
-    current = read(spark, root, STATE, touched, steps, before=version) if touched else None
+        touched |= set(_touched(known.join(ids.select("entity_slug", "record_uid").distinct(), ["entity_slug", "record_uid"]), where))
+        fresh = ids.join(known, ["entity_slug", "record_uid", "transaction_id"], "left_anti")
+    current = read(spark, root, STATE, touched, steps, named=named) if touched else None
     current = schema.where(F.lit(False)) if current is None else current.select(*schema.columns)
     done = folded(current, records, order, at).persist()
     try:
@@ -80,20 +81,20 @@ def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame,
         writes[EVENTS] = Write(events_of(records, done).withColumn("run", F.lit(version).cast("long")), ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
         writes[IDENTITIES] = Write(fresh, ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
         places = after.select(household().alias("household"), bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets).alias("place")).distinct()
-        if (old := read(spark, root, PLACES, before=version)) is not None:
+        if (old := read(spark, root, PLACES, named=named)) is not None:
             places = places.join(old, ["household", "place"], "left_anti")
         writes[PLACES] = Write(places, ("household",), "append", INDEX_BUCKETS)
         if queue is not None:
             keys = ["transaction_id", "entity_slug"]
             items = queue.select(*keys, "reason").dropDuplicates(keys)
-            if (there := read(spark, root, QUEUE, _touched(items, bucket_of(keys, INDEX_BUCKETS)), before=version)) is not None:
+            if (there := read(spark, root, QUEUE, _touched(items, bucket_of(keys, INDEX_BUCKETS)), named=named)) is not None:
                 items = items.join(there.select(*keys).distinct(), keys, "left_anti")
             writes[QUEUE] = Write(items.withColumn("resolution", F.lit(None).cast("string")), tuple(keys), "append", INDEX_BUCKETS)
         if ran is not None:
-            before = read(spark, root, WATERMARKS, before=version)
+            before = read(spark, root, WATERMARKS, named=named)
             before = ran.select("key", F.col("run_date").alias("last_run")).where(F.lit(False)) if before is None else before.select("key", "last_run")
             writes[WATERMARKS] = Write(watermarks_after(before, ran, "key"), ("key",), "whole")
-        commit(spark, root, version, writes, {STATE: len(steps)})
+        commit(spark, root, version, writes, {STATE: len(steps)}, named)
     finally:
         done.unpersist()
 
@@ -110,12 +111,13 @@ def households_replaced(spark: SparkSession, root: str, version: int, slugs: Dat
     Only the buckets that hold the households, or take the new rows, are read and written; open review items of these
     households are replaced by those of `queue` in the same version. The new rows' submission ids are noted as well.
     """
-    buckets = _own_buckets(spark, root, STATE, version, BUCKETS)
+    named = parts(spark, root, before=version)
+    buckets = _own_buckets(named, STATE, BUCKETS)
     houses = slugs.select(F.col("entity_slug").alias("household")).distinct()
-    places = read(spark, root, PLACES, before=version)
+    places = read(spark, root, PLACES, named=named)
     held = [] if places is None else _touched(places.join(houses, "household", "left_semi"), F.col("place"))
     touched = sorted({*held, *_touched(rows, bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets))})
-    current = read(spark, root, STATE, touched, steps, before=version)
+    current = read(spark, root, STATE, touched, steps, named=named)
     current = rows.where(F.lit(False)) if current is None else current.drop("__txn", "bucket")
     others = current.withColumn("household", household()).join(houses, "household", "left_anti").select(*current.columns)
     new = rows.select(*current.columns)
@@ -124,18 +126,18 @@ def households_replaced(spark: SparkSession, root: str, version: int, slugs: Dat
     own = new.select(household().alias("household"), bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets).alias("place")).distinct()
     writes[PLACES] = Write(own if places is None else own.join(places, ["household", "place"], "left_anti"), ("household",), "append", INDEX_BUCKETS)
     fresh = new.where("superseded_by IS NULL AND record_uid <> transaction_id").select("entity_slug", "record_uid", "transaction_id").distinct()
-    if (known := read(spark, root, IDENTITIES, before=version)) is not None:
+    if (known := read(spark, root, IDENTITIES, named=named)) is not None:
         fresh = fresh.join(known, ["entity_slug", "record_uid", "transaction_id"], "left_anti")
     writes[IDENTITIES] = Write(fresh, ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
     if queue is not None:
-        there = read(spark, root, QUEUE, before=version)
+        there = read(spark, root, QUEUE, named=named)
         items = queue.select("transaction_id", "entity_slug", "reason").dropDuplicates(["transaction_id", "entity_slug"]).withColumn("resolution", F.lit(None).cast("string"))
         if there is not None:
             mine = there.join(slugs.select("entity_slug").distinct().withColumn("__mine", F.lit(True)), "entity_slug", "left")
             stay = mine.where("__mine IS NULL OR resolution IS NOT NULL").select("transaction_id", "entity_slug", "reason", "resolution")
             items = stay.unionByName(items.join(stay.select("transaction_id", "entity_slug"), ["transaction_id", "entity_slug"], "left_anti"))
         writes[QUEUE] = Write(items, ("transaction_id", "entity_slug"), "whole", INDEX_BUCKETS)
-    commit(spark, root, version, writes, {STATE: len(steps)})
+    commit(spark, root, version, writes, {STATE: len(steps)}, named)
     return touched
 
 

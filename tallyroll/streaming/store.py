@@ -103,10 +103,10 @@ def parts(spark: SparkSession, root: str, before: int | None = None, version: in
     return [Part(**r.asDict()) for v in newest for r in spark.read.schema(PART).json(f"{root}/manifests/v={v}").collect()]
 
 
-def read(spark: SparkSession, root: str, table: str, buckets: Iterable[int] | None = None, steps: Sequence[Step] = (), before: int | None = None, version: int | None = None) -> DataFrame | None:
-    """A table as the newest manifest has it, or some of its buckets; parts of older schemas are migrated. None where it has no parts."""
+def read(spark: SparkSession, root: str, table: str, buckets: Iterable[int] | None = None, steps: Sequence[Step] = (), before: int | None = None, version: int | None = None, named: list[Part] | None = None) -> DataFrame | None:
+    """A table as the newest manifest (or `named`, if it was read before) has it, or some of its buckets; parts of older schemas are migrated. None where it has no parts."""
     wanted = None if buckets is None else set(buckets)
-    own = [p for p in parts(spark, root, before, version) if p.table == table and (wanted is None or p.bucket in wanted)]
+    own = [p for p in (parts(spark, root, before, version) if named is None else named) if p.table == table and (wanted is None or p.bucket in wanted)]
     out = None
     for written in sorted({p.steps for p in own}):
         paths = [f"{root}/data/{table}/v={p.version}/bucket={p.bucket}" for p in own if p.steps == written]
@@ -125,13 +125,13 @@ def _written(spark: SparkSession, root: str, table: str, version: int, write: Wr
     return sorted(int(n.removeprefix("bucket=")) for n in _names(spark, path) if n.startswith("bucket="))
 
 
-def commit(spark: SparkSession, root: str, version: int, writes: dict[str, Write], steps: dict[str, int] | None = None) -> None:
+def commit(spark: SparkSession, root: str, version: int, writes: dict[str, Write], steps: dict[str, int] | None = None, named: list[Part] | None = None) -> None:
     """Writes the tables under the version and publishes them. steps: how many migration steps a table's rows have behind them.
 
     The parts of the version before stay, but for those that `replace` and `whole` give up. A version is written from those
     before it, so a run that is repeated gives the same.
     """
-    kept = parts(spark, root, before=version)
+    kept = parts(spark, root, before=version) if named is None else list(named)
     for table, write in writes.items():
         found = _written(spark, root, table, version, write)
         if write.kind == "whole":

@@ -28,3 +28,20 @@ def test_a_payload_knows_its_rows(spark, tmp_path):
     sinks.export_payload({"rows": df, "none": df.limit(0)}, f"file://{tmp_path}/p", {"name": "x"}, {"rows": "k"})
     meta = {r.name: r.value for r in spark.read.json(f"file://{tmp_path}/p/_meta").collect()}
     assert meta == {"name": "x", "rows.rows": "10", "rows.none": "0"}
+
+
+def test_a_payload_is_one_scan(spark, tmp_path):
+    from tallyroll.operators import reports
+
+    rows = [(f"e{k % 3}", "e0" if k % 3 == 1 else None, None if k % 4 == 0 else f"C{k % 5}", 2000 + 2 * (k % 2), "DEM" if k % 2 else "REP", "CONFIRMED" if k % 3 else "PROBABLE", k) for k in range(40)]
+    df = spark.createDataFrame(rows, "entity_slug string, parent_owner_slug string, committee_id string, election_cycle int, party string, status string, amount int").withColumn("date", F.lit("2020-01-01").cast("date"))
+    df.write.parquet(f"{tmp_path}/gifts")
+    out = reports.payload(spark.read.parquet(f"{tmp_path}/gifts"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    got = {(r.section, r.owner, r.election_cycle, r.party, r.committee_id): r for r in out.collect()}
+    league = got["league", None, None, None, None]
+    assert (league.n, league.total_amount, league.owners, league.cycles, league.members) == (40, 780.0, 2, 2, None)
+    home = got["owner", "e0", None, None, None]
+    assert (home.members, home.recipients, home.cycles) == (1, 6, 2) and home.n == sum(1 for r in rows if r[0] != "e2")
+    assert got["recipient", None, None, None, "_unknown"].n == 10 and got["recipient", None, None, None, "C1"].owners == 2
+    assert reports.payload(spark.read.parquet(f"{tmp_path}/gifts").limit(0)).count() == 0
