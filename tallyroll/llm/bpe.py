@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import in_small_batches
 
 #: Encoded words a task remembers, texts it takes at a time, and symbols above which a word isn't remembered.
-REMEMBERED, TEXTS, LONG_WORD = 100_000, 256, 64
+REMEMBERED, TEXTS, LONG_WORD = 300_000, 256, 64
 
 
 def _byte_symbols() -> list[str]:
@@ -168,7 +168,7 @@ class Encoder:
             else:
                 parts.append(self.words(text))
         known = self.known
-        new = {w for words in parts for w in words if w not in known}
+        new = set().union(*parts) - known.keys()
         here = {w: (str(self.special[w[1]]), 1, w[1]) for w in new if isinstance(w, tuple)}
         here |= self.encode_words({w for w in new if isinstance(w, str)})
         if len(known) + len(here) > REMEMBERED:
