@@ -29,8 +29,8 @@ MASKS = 1 << len(FILTERS)
 DUPLICATE = 1 << FILTERS.index("E")
 #: Bytes of text that the chains of a scan partition hold before they are sent on.
 HELD_BYTES = 64 << 20
-#: Bytes of all texts for each partition that rows are routed to.
-ROUTE_BYTES = 128 << 20
+#: Bytes of all texts for each partition that rows are routed to, and partitions at most: beyond, they grow and are sorted on disk.
+ROUTE_BYTES, MOST_ROUTES = 32 << 20, 20_000
 
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 SYMBOLS = b"#$%&*|"
@@ -132,7 +132,7 @@ def masks(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str =
     own = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.xxhash64(own).alias("mark"), own.cast("binary").alias("text"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    routes = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // ROUTE_BYTES))
+    routes = min(MOST_ROUTES, max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // ROUTE_BYTES)))
     routed: RDD = rows.rdd.mapPartitions(_scanned(held)).repartitionAndSortWithinPartitions(routes, lambda mark: mark)
     kind = rows.schema["id"].dataType.simpleString()
     return docs.sparkSession.createDataFrame(routed.mapPartitions(_settled), f"id {kind}, part string, mask int, rows long", verifySchema=False)
