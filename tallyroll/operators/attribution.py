@@ -29,11 +29,6 @@ def _verdicts(overrides: DataFrame, key: str) -> DataFrame:
     return overrides.groupBy(F.col(key).alias("__key"), F.col("entity_slug").alias("__owner")).agg(F.max(rank)["verdict"].alias("__verdict"))
 
 
-def _with_verdicts(rows: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
-    on = [F.col(key) == F.col("__key"), household() == F.col("__owner")]
-    return rows.join(_verdicts(overrides, key), on, "left").where("__verdict IS NULL OR __verdict <> 'EXCLUDED'")
-
-
 def _reason(verdict: str = "__verdict") -> Column:
     return F.concat(F.lit("manual attribution ("), verdict, F.lit(")"))
 
@@ -53,11 +48,15 @@ def federal_overrides(records: DataFrame, classified: DataFrame, overrides: Data
     return left.unionByName(forced.select(*left.columns))
 
 
-def state_overrides(classified: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
-    """classify()'s rows under overrides, as state runs take them: only records that the classifier kept can be forced; they keep its signals and slug."""
-    rows = _with_verdicts(classified, overrides, key)
-    forced = F.col("__verdict").isin(*PUBLISHED)
-    return rows.withColumns({"status": F.when(forced, F.col("__verdict")).otherwise(F.col("status")), "status_reason": F.when(forced, _reason()).otherwise(F.col("status_reason"))}).select(*classified.columns)
+def state_overrides(classified: DataFrame, overrides: DataFrame, key: str, excluded: bool = False) -> DataFrame:
+    """classify()'s rows under overrides, as state runs take them: only records that the classifier kept can be forced; they keep its signals and slug.
+
+    EXCLUDED drops a row, or, with `excluded`, leaves it there under that status, to be counted.
+    """
+    rows = classified.join(_verdicts(overrides, key), [F.col(key) == F.col("__key"), household() == F.col("__owner")], "left")
+    rows = rows if excluded else rows.where("__verdict IS NULL OR __verdict <> 'EXCLUDED'")
+    settled = F.col("__verdict").isNotNull()
+    return rows.withColumns({"status": F.when(settled, F.col("__verdict")).otherwise(F.col("status")), "status_reason": F.when(settled, _reason()).otherwise(F.col("status_reason"))}).select(*classified.columns)
 
 
 def queued(rows: DataFrame, resolutions: DataFrame, key: str) -> DataFrame:

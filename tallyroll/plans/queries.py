@@ -493,4 +493,4 @@ def recent_feed(spark, sf):
     return _t(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date")).where("date IS NOT NULL").orderBy(F.desc("date"), "o_orderkey").limit(20)
 
 
-from . import ingest, runs, summaries  # noqa: E402, F401  their queries join those above
+from . import flows, ingest, runs, summaries  # noqa: E402, F401  their queries join those above

@@ -134,8 +134,8 @@ class Source:
             return best_row_per_key(rows.withColumns(keys), list(keys), rank).drop(*keys)
         return first_by_native_id(rows.withColumn("__own", self.tran_id(c)), "__own", place, self.blank_ids).drop("__own")
 
-    def project(self, rows: DataFrame) -> DataFrame:
-        """The canonical record of each row."""
+    def project(self, rows: DataFrame, *more: str) -> DataFrame:
+        """The canonical record of each row, and the columns `more` of the row itself."""
         c = getter(rows, self.null_word)
         get = lambda part, k: part[k](c) if k in part else F.lit("")
         date = self.parse_date(self.date(c))
@@ -155,6 +155,7 @@ class Source:
             money(self.amount(c)).alias("amount"),
             date.alias("date"),
             dates.state_cycle(date, self.stated_year(c) if self.stated_year else None).alias("election_cycle"),
+            *more,
         )
 
     def bundle(self, rows: DataFrame, recipients: DataFrame | None = None) -> DataFrame:
