@@ -58,3 +58,71 @@ def vote_rollup(votes: DataFrame, by: str) -> DataFrame:
 def brief_rollup(votes: DataFrame, by: str, gift: str) -> DataFrame:
     """Counts a gift once, however many votes it meets."""
     return votes.select(by, gift, "amount").dropDuplicates([by, gift]).groupBy(by).agg(F.count("*").alias("gifts"), dollars(F.col("amount")).alias("total_amount"))
+
+
+# -- reports: who gave to those who vote on, sponsor or sit in a committee over a list of bills
+
+
+_GIFT = {
+    "owner_slug": "entity_slug", "transaction_id": "transaction_id", "amount": "amount", "donation_date": "date", "donation_status": "status", "recipient_committee_name": "recipient_committee_name",
+    "recipient_candidate_id": "recipient_candidate_id", "recipient_candidate_name": "recipient_candidate_name", "join_tier": "join_tier", "bioguide": "bioguide",
+}
+PUBLISHED = ("CONFIRMED", "PROBABLE")
+
+
+def _gifts(resolved: DataFrame, statuses: tuple[str, ...]) -> DataFrame:
+    return resolved.where(F.col("status").isin(*statuses)).select(*[F.col(v).alias(k) for k, v in _GIFT.items()])
+
+
+def _dressed(rows: DataFrame, entities: DataFrame, legislators: DataFrame, *more: str) -> DataFrame:
+    """rows with the owner's name and team, where they are known, and the legislator's name, party and state, the largest gifts first."""
+    owners = entities.select(F.col("slug").alias("owner_slug"), F.col("name").alias("owner_name"), F.col("team").alias("owner_team"))
+    people = legislators.select("bioguide", F.col("full_name").alias("legislator_name"), F.col("current_party").alias("legislator_party"), F.col("current_state").alias("legislator_state"))
+    out = rows.join(people, "bioguide").join(owners, "owner_slug", "left").withColumnRenamed("bioguide", "legislator_bioguide")
+    first = ["owner_slug", "owner_name", "owner_team", *[k for k in _GIFT if k not in ("owner_slug", "bioguide")], "legislator_bioguide", "legislator_name", "legislator_party", "legislator_state"]
+    return out.select(*first, *more).orderBy(F.desc("amount"), "donation_date", "transaction_id", "legislator_bioguide", *more)
+
+
+def vote_report(resolved: DataFrame, bills: DataFrame, votes: DataFrame, positions: DataFrame, entities: DataFrame, legislators: DataFrame, statuses: tuple[str, ...] = PUBLISHED) -> DataFrame:
+    """A row per gift and recorded vote of its legislator on one of the bills, with the signed days from gift to vote.
+
+    resolved: resolved_donations(); bills: bill_id; votes: vote_id, bill_id, chamber, vote_date, question, result,
+    source_url; positions: vote_id, bioguide, position; entities: slug, name, team; legislators: bioguide, full_name,
+    current_party, current_state. No bills give no rows. The votes on the bills are found before they meet the gifts.
+    """
+    asked = votes.join(bills.select("bill_id").distinct(), "bill_id", "left_semi").select(*[F.col(c).alias(f"vote_{c.removeprefix('vote_')}") for c in ("vote_id", "bill_id", "chamber", "vote_date", "question", "result", "source_url")])
+    cast = positions.select("bioguide", "vote_id", F.col("position").alias("legislator_position")).join(asked, "vote_id")
+    rows = _gifts(resolved, statuses).join(cast, "bioguide").withColumn("days_before_vote", F.datediff("vote_date", "donation_date"))
+    return _dressed(rows, entities, legislators, *asked.columns, "legislator_position", "days_before_vote")
+
+
+def sponsor_report(resolved: DataFrame, bills: DataFrame, sponsors: DataFrame, entities: DataFrame, legislators: DataFrame, statuses: tuple[str, ...] = PUBLISHED) -> DataFrame:
+    """A row per gift and sponsorship of one of the bills by its legislator. sponsors: bill_id, bioguide, role."""
+    asked = sponsors.join(bills.select("bill_id").distinct(), "bill_id", "left_semi").select("bioguide", "bill_id", F.col("role").alias("sponsor_role"))
+    return _dressed(_gifts(resolved, statuses).join(asked, "bioguide"), entities, legislators, "bill_id", "sponsor_role")
+
+
+def committee_report(resolved: DataFrame, bills: DataFrame, bill_committees: DataFrame, committees: DataFrame, memberships: DataFrame, entities: DataFrame, legislators: DataFrame, statuses: tuple[str, ...] = PUBLISHED) -> DataFrame:
+    """A row per gift, committee and member, with the sorted list of the bills that the committee holds.
+
+    Memberships are those of one congress, so only bills of the congress of the committee's row count. bills: bill_id,
+    congress; bill_committees: bill_id, thomas_id; committees: thomas_id, name, congress; memberships: thomas_id, bioguide,
+    title. A member who is listed twice in a committee has one row, under the first title.
+    """
+    held = bill_committees.select("bill_id", "thomas_id").join(bills.select("bill_id", "congress").distinct(), "bill_id").join(committees.select("thomas_id", "congress", F.col("name").alias("committee_name")), ["thomas_id", "congress"])
+    held = held.groupBy("thomas_id", "committee_name").agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    seats = memberships.groupBy("thomas_id", "bioguide").agg(F.min("title").alias("member_title"))
+    rows = _gifts(resolved, statuses).join(seats.join(held, "thomas_id"), "bioguide").withColumnRenamed("thomas_id", "committee_id")
+    return _dressed(rows, entities, legislators, "committee_id", "committee_name", "member_title", "bill_ids")
+
+
+def report_owners(rows: DataFrame) -> DataFrame:
+    """Per owner of a vote report: rows, dollars by tier of the join and by the member's position, and how many legislators; the most dollars first."""
+    position = F.lower(F.coalesce("legislator_position", F.lit("")))
+    indirect = F.coalesce(F.startswith("join_tier", F.lit("indirect")), F.lit(False))
+    # a level of sums by legislator first, so that counting them copies no row
+    sums = rows.groupBy("owner_slug", "legislator_bioguide").agg(
+        F.max(F.struct("owner_name", "owner_team")).alias("o"), F.count("*").alias("n"), *[F.sum(F.when(c, F.col("amount").cast("decimal(18,2)"))).alias(k) for k, c in {"total": F.lit(True), "direct": ~indirect, "indirect": indirect, "yea": position == "yea", "nay": position == "nay"}.items()]
+    )
+    out = sums.groupBy("owner_slug").agg(F.max("o").alias("o"), F.sum("n").alias("n_donations"), *[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(k) for k, c in {"total_amount": "total", "direct_amount": "direct", "indirect_authorized_amount": "indirect", "to_yea_amount": "yea", "to_nay_amount": "nay"}.items()], F.count("legislator_bioguide").alias("n_legislators"))
+    return out.select("owner_slug", "o.owner_name", "o.owner_team", *[c for c in out.columns if c not in ("owner_slug", "o")]).orderBy(F.desc("total_amount"), "owner_slug")

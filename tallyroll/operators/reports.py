@@ -34,25 +34,37 @@ def _real() -> Column:
     return F.round(F.sum("amount_real"), 2)
 
 
-def _sum_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("amount").cast(MONEY))), F.lit(0)).cast("double")
-
-
 def by_party(rows: DataFrame, key: str, *inner: str, amount: str = "amount") -> DataFrame:
     """key and `cells`: a sorted array of the inner keys and dollars, one entry each; what a JSON payload makes a map of."""
     sums = rows.groupBy(key, *inner).agg(dollars(F.col(amount)).alias("usd"), F.count("*").alias("n"))
     return sums.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*inner, "usd", "n"))).alias("cells"))
 
 
+def _sums(rows: DataFrame) -> DataFrame:
+    """Sums by all that is counted: rows of one entity, committee and cycle are one, so that distinct counts on top of it copy few rows."""
+    usd, own = F.col("amount").cast(MONEY), F.col("entity_slug") == F.col("owner")
+    when = lambda c, v: F.sum(F.when(c, v))
+    return rows.withColumn("committee_id", F.coalesce("committee_id", F.lit("_unknown"))).groupBy("owner", "entity_slug", "committee_id", "election_cycle").agg(
+        F.count("*").alias("n"), F.sum(usd).alias("usd"), F.sum("amount_real").alias("real"), F.min("date").alias("first"), F.max("date").alias("last"),
+        *[F.count_if(F.col("status") == t).alias(f"n_{t.lower()}") for t in TIERS], *[when(F.col("status") == t, usd).alias(f"usd_{t.lower()}") for t in TIERS],
+    ).withColumn("own", own)
+
+
+def _tiers_of_sums() -> list[Column]:
+    """tier_measures of _sums()."""
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return [x for t in TIERS for x in (zero(f"n_{t.lower()}").alias(f"n_{t.lower()}"), zero(f"usd_{t.lower()}").cast("double").alias(f"usd_{t.lower()}"))]
+
+
 def owner_summary(donations: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """One row an owner: totals of the household and of the owner alone, tiers by count and by dollars, reach, dates, runs."""
-    rows = with_real(donations)
-    own = F.col("entity_slug") == F.col("owner")
-    out = rows.groupBy("owner").agg(
-        F.count("*").alias("n_total"), dollars(F.col("amount")).alias("total_amount"), _real().alias("total_amount_real"), *tier_measures(F.col("status"), F.col("amount"), TIERS),
-        F.count_if(own).alias("n_owner_only"), _sum_if(own).alias("owner_only_amount"), F.round(F.sum(F.when(own, F.col("amount_real")).otherwise(0.0)), 2).alias("owner_only_amount_real"),
-        F.countDistinct(F.when(~own, F.col("entity_slug"))).alias("household_members"), F.countDistinct(F.coalesce("committee_id", F.lit("_unknown"))).alias("distinct_recipients"),
-        F.countDistinct("election_cycle").alias("n_cycles"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"),
+    own = F.col("own")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    out = _sums(with_real(donations)).groupBy("owner").agg(
+        F.sum("n").alias("n_total"), zero(F.sum("usd")).cast("double").alias("total_amount"), F.round(F.sum("real"), 2).alias("total_amount_real"), *_tiers_of_sums(),
+        zero(F.sum(F.when(own, F.col("n")))).alias("n_owner_only"), zero(F.sum(F.when(own, F.col("usd")))).cast("double").alias("owner_only_amount"), F.round(zero(F.sum(F.when(own, F.col("real")))), 2).alias("owner_only_amount_real"),
+        F.countDistinct(F.when(~own, F.col("entity_slug"))).alias("household_members"), F.countDistinct("committee_id").alias("distinct_recipients"),
+        F.countDistinct("election_cycle").alias("n_cycles"), F.min("first").alias("earliest_date"), F.max("last").alias("latest_date"),
     )
     if runs is None:
         return out
@@ -84,10 +96,9 @@ def top_recipients(donations: DataFrame, n: int = 8, by: str = "owner") -> DataF
 
 def league(donations: DataFrame) -> DataFrame:
     """One row: what all owners gave together."""
-    rows = with_real(donations)
-    return rows.agg(
-        F.count("*").alias("n_donations"), dollars(F.col("amount")).alias("total_amount"), F.coalesce(_real(), F.lit(0.0)).alias("total_amount_real"), *tier_measures(F.col("status"), F.col("amount"), TIERS),
-        F.countDistinct("owner").alias("n_owners"), F.countDistinct("election_cycle").alias("n_cycles"), F.min("date").alias("earliest_date"), F.max("date").alias("latest_date"),
+    return _sums(with_real(donations)).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_donations"), F.coalesce(F.sum("usd"), F.lit(0)).cast("double").alias("total_amount"), F.coalesce(F.round(F.sum("real"), 2), F.lit(0.0)).alias("total_amount_real"), *_tiers_of_sums(),
+        F.countDistinct("owner").alias("n_owners"), F.countDistinct("election_cycle").alias("n_cycles"), F.min("first").alias("earliest_date"), F.max("last").alias("latest_date"),
     )
 
 
@@ -231,6 +242,67 @@ def suggestions(donations: DataFrame, registry: DataFrame, least: int = 2) -> Da
     return rows.where(~F.exists("__known", lambda k: starts_token(norm(F.col("value")), norm(k)))).drop("__known")
 
 
+#: Tables of an audit: tier and field.
+AUDIT = {"probable_by_employer": ("PROBABLE", "contributor_employer"), "probable_by_zip": ("PROBABLE", "contributor_zip"), "confirmed_by_zip": ("CONFIRMED", "contributor_zip")}
+
+
+def audit_tables(donations: DataFrame, queue: DataFrame, n: int = 10) -> DataFrame:
+    """All owners' audit tables from one scan of donations: entity_slug, section, rank, value, n, cities, states and employers, the n most frequent values of each.
+
+    Sections: AUDIT (rows of a tier by employer as filed, or by ZIP code where there is one) and queue_reasons (open
+    items). cities, states and employers are sorted, distinct and joined by commas.
+    """
+    text = lambda c: F.coalesce(c, F.lit(""))
+    cells = F.array(*[F.struct(F.lit(k).alias("section"), F.lit(tier).alias("tier"), text(field).alias("value")) for k, (tier, field) in AUDIT.items()])
+    rows = donations.select("entity_slug", "status", "contributor_city", "contributor_state", "contributor_employer", F.inline(cells)).where("status = tier AND (value <> '' OR section = 'probable_by_employer')")
+    by = ["entity_slug", "section", "value"]
+    lists = {"cities": "contributor_city", "states": "contributor_state", "employers": "contributor_employer"}
+    # distinct combinations first: the lists are of few values, the rows may be many
+    sums = rows.groupBy(*by, *lists.values()).agg(F.count("*").alias("n")).groupBy(*by).agg(F.sum("n").alias("n"), *[listed(F.col(c)).alias(k) for k, c in lists.items()])
+    reasons = queue.where("resolution IS NULL").groupBy("entity_slug", F.lit("queue_reasons").alias("section"), text("reason").alias("value")).agg(F.count("*").alias("n"))
+    both = sums.unionByName(reasons, allowMissingColumns=True)
+    return top_per_group(both, ["entity_slug", "section"], [F.desc("n"), F.col("value")], n).select("entity_slug", "section", "rank", "value", "n", *lists)
+
+
+def audit_counts(donations: DataFrame, queue: DataFrame, runs: DataFrame, registry: DataFrame) -> DataFrame:
+    """A row for each owner of the registry: rows by tier, open items, and when the last run was done (null where there was none)."""
+    owners = registry.where("parent_slug IS NULL").select(F.col("slug").alias("entity_slug")).distinct()
+    tiers = donations.groupBy("entity_slug").agg(*[F.count_if(F.col("status") == t).alias(t.lower()) for t in TIERS])
+    items = queue.where("resolution IS NULL").groupBy("entity_slug").agg(F.count("*").alias("uncertain_open"))
+    last = runs.groupBy("entity_slug").agg(F.max("completed_at").alias("last_run"))
+    out = owners.join(tiers, "entity_slug", "left").join(items, "entity_slug", "left").join(last, "entity_slug", "left")
+    return out.na.fill(0, [t.lower() for t in TIERS] + ["uncertain_open"])
+
+
+def audit_suggestions(tables: DataFrame, registry: DataFrame, least: int = 2) -> DataFrame:
+    """What the audit's tables suggest to look at: entity_slug, suggestion, value and n. Nobody's signals change by it.
+
+    promote_employer: an employer of PROBABLE rows that holds a documented, but not a strong one; add_zip: a ZIP code of
+    CONFIRMED rows that isn't among the strong ones; review_employer: an employer that no signal names, neither generic nor
+    negative: perhaps another person of the same name; check_city: one of the three most frequent cities of PROBABLE rows
+    that aren't documented. The first two look at the five most frequent values. Words are held against each other in lower
+    case; an owner without an entry has no signals.
+    """
+    none = F.array().cast("array<string>")
+    lower = lambda c: F.transform(F.filter(F.coalesce(c, none), lambda x: F.coalesce(x, F.lit("")) != ""), F.lower)
+    known = registry.select(F.col("slug").alias("entity_slug"), *[lower(F.col(c)).alias(f"__{c}") for c in ("employers", "strong_employers", "negative_employers", "cities")], F.coalesce("strong_zips", none).alias("__zips"))
+    rows = tables.join(known, "entity_slug", "left").withColumns({c: F.coalesce(c, none) for c in known.columns if c != "entity_slug"})
+    value = F.btrim("value")
+    low = F.lower(value)
+    within = lambda c: F.exists(c, lambda s: F.contains(low, s))
+    employer = (F.col("section") == "probable_by_employer") & (value != "") & (F.col("n") >= least)
+    kind = (
+        F.when(employer & (F.col("rank") <= 5) & within("__employers") & ~within("__strong_employers"), "promote_employer")
+        .when(employer & ~within("__employers") & ~within("__strong_employers") & ~within("__negative_employers") & ~low.isin(*GENERIC_EMPLOYERS), "review_employer")
+        .when((F.col("section") == "confirmed_by_zip") & (F.col("rank") <= 5) & (F.col("n") >= least) & ~F.array_contains("__zips", value), "add_zip")
+    )
+    first = rows.select("entity_slug", kind.alias("suggestion"), value.alias("value"), "n").where("suggestion IS NOT NULL")
+    places = rows.where("section = 'probable_by_employer'").select("entity_slug", "n", "__cities", F.explode(F.array_distinct(F.transform(F.split("cities", ","), lambda c: F.lower(F.btrim(c))))).alias("value"))
+    places = places.where(~F.array_contains("__cities", F.col("value")) & (F.col("value") != "")).groupBy("entity_slug", "value").agg(F.sum("n").alias("n"))
+    top = top_per_group(places, ["entity_slug"], [F.desc("n"), F.col("value")], 3).where(F.col("n") >= least)
+    return first.unionByName(top.select("entity_slug", F.lit("check_city").alias("suggestion"), "value", "n"))
+
+
 def sampled(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows at random, the same for the same seed: those of the smallest seeded hashes of the key."""
     return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

@@ -79,6 +79,19 @@ def export_payload(sections: dict[str, DataFrame], root: str, about: dict[str, s
     spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{root}/_meta")
 
 
+NEUTRAL = "Sourced facts only: the days between gift and vote are arithmetic and claim no cause."
+
+
+def export_report(rows: DataFrame, root: str, order: list[Column], about: dict[str, str]) -> None:
+    """A report as CSV and as JSON lines, both in order and both with the same rows, and `_meta` with what it is about and the number of its rows."""
+    seen = Observation(f"export-{uuid.uuid4().hex}")
+    # counted above the sort: below it, rows that its ranges are sampled from are seen twice
+    rows.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(f"{root}/json")
+    export_csv(rows.sparkSession.read.schema(rows.schema).json(f"{root}/json"), f"{root}/csv", order)
+    meta = [*about.items(), ("n_rows", str(seen.get["rows"])), ("neutrality_note", NEUTRAL)]
+    rows.sparkSession.createDataFrame(meta, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{root}/_meta")
+
+
 #: Columns of an entity's export, in their order.
 ALL_COLUMNS = (
     "transaction_id", "entity_slug", "entity_kind", "parent_owner_slug", "status", "status_reason", "signals_matched", "contributor_name_raw", "contributor_employer_raw", "contributor_occupation_raw", "contributor_city", "contributor_state", "contributor_zip",

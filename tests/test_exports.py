@@ -45,3 +45,15 @@ def test_a_payload_is_one_scan(spark, tmp_path):
     assert (home.members, home.recipients, home.cycles) == (1, 6, 2) and home.n == sum(1 for r in rows if r[0] != "e2")
     assert got["recipient", None, None, None, "_unknown"].n == 10 and got["recipient", None, None, None, "C1"].owners == 2
     assert reports.payload(spark.read.parquet(f"{tmp_path}/gifts").limit(0)).count() == 0
+
+
+def test_a_report_is_written_in_order_with_its_meta(spark, tmp_path):
+    root = f"file://{tmp_path}/report"
+    rows = spark.createDataFrame([(1.0, "=cmd"), (3.0, "b"), (2.0, None)], "amount double, note string")
+    sinks.export_report(rows, root, [F.desc("amount")], {"bills": "b1,b2"})
+    meta = {r["name"]: r.value for r in spark.read.json(f"{root}/_meta").collect()}
+    assert meta["n_rows"] == "3" and meta["bills"] == "b1,b2" and "cause" in meta["neutrality_note"]
+    lines = [x for p in sorted((tmp_path / "report" / "csv").glob("*.csv")) for x in p.read_text().splitlines() if x != "amount,note"]
+    assert [x.split(",")[0] for x in lines] == ["3.0", "2.0", "1.0"] and lines[2].split(",")[1].strip('"').startswith("'=")
+    sinks.export_report(rows.where("false"), root, [F.desc("amount")], {})
+    assert {r["name"]: r.value for r in spark.read.json(f"{root}/_meta").collect()}["n_rows"] == "0"
