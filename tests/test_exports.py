@@ -17,7 +17,8 @@ def test_an_export_is_held_against_its_manifest_and_the_table(spark, tmp_path):
     assert {r.part: r.same for r in checks.exports_agree(df, back, "part", "amount").collect()} == {"a": True, "b": True}
     later = df.union(spark.createDataFrame([(900, "a", 1)], "id long, part string, amount int").withColumn("amount", F.col("amount").cast("decimal(18,2)"))).union(df.limit(1).withColumn("part", F.lit("new")))
     assert {r.part: r.same for r in checks.exports_agree(later, back, "part", "amount").collect()} == {"a": False, "b": True, "new": False}
-    for f in list((tmp_path / "out/data/part=a").glob("part-*"))[:1]:
+    for f in sorted((tmp_path / "out/data/part=a").glob("part-*"))[:1]:
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)  # else the change is seen by the checksum already
         f.write_text(f.read_text().replace('"id":0,', '"id":7,', 1) if '"id":0,' in f.read_text() else "")
     spark.catalog.clearCache()
     assert not sinks.whole(spark, root, df.schema, "amount")
