@@ -936,3 +936,28 @@ def test_line_dedup_matches_brute_force(spark):
     clean = linededup.drop_boilerplate(docs)
     assert clean.columns == docs.columns and sorted(map(str, (x.text for x in clean.collect()))) == sorted(str(w[1]) for w in want)
     assert linededup.report(docs.limit(0)).count() == 0
+
+
+def test_benchmark_items_over_several_blocks_match_brute_force(spark):
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(4000)}"
+    items = {f"i{k}": [word() for _ in range(n)] for k, n in enumerate((9, 40, 64, 65, 130, 200))}
+    items["same"] = items["i4"]
+    items |= {f"shared{k}": items["i1"][:20] + [word() for _ in range(3)] for k in range(40)}  # one passage in many items
+    texts = []
+    for k in range(60):
+        v = list(items[r.choice(list(items))])
+        for j in r.sample(range(len(v)), int(len(v) * r.choice((0, 0.1, 0.2, 0.25)))):
+            v[j] = word()
+        cut = r.choice((0, 0, len(v) // 10))
+        texts.append([word() for _ in range(r.choice((0, 1, 63, 64, 300)) if not cut else 0)] + v[cut:] + [word() for _ in range(r.choice((0, 70)))])
+    texts.append(texts[0])
+    want = set()
+    for d, w in enumerate(texts):
+        for i, v in items.items():
+            found = [(-sum(w[s + j] == x for j, x in enumerate(v) if 0 <= s + j < len(w)), s) for s in range(-len(v) + 1, len(w))]
+            if found and -min(found)[0] >= len(v) * 0.8:
+                want.add((d, i, -min(found)[0], min(found)[1]))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(v)) for i, v in items.items()], "item_id string, text string")
+    assert want and {(x.doc_id, x.item_id, x.matched, x.start) for x in decontaminate.report(docs, bench).collect()} == want
