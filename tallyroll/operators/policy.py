@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .rollup import dollars, tier_measures
 
+#: Copies of a list of bills, so that the donations that get the same list go to as many tasks.
+SALTS = 16
+
 
 def single_candidate(designation: Column, candidate_ids: Column) -> Column:
     """Whether a committee is a principal or authorised one of exactly one candidate; candidate_ids is a JSON array."""
@@ -41,13 +44,24 @@ def with_sponsors(resolved: DataFrame, sponsors: DataFrame) -> DataFrame:
 def with_committees(resolved: DataFrame, memberships: DataFrame, bill_committees: DataFrame) -> DataFrame:
     """A row per donation, member and committee, with the sorted list of the bills that were referred to it in a congress of the membership.
 
-    Bills are listed once a seat, before they meet the donations; seats of one member in several congresses are one row with the
-    bills of all of them.
+    Seats of one member in several congresses are one row with the bills of all of them. A list grows with the bills, so there
+    is one for each committee and set of congresses, not for each member; it meets the donations last, in a merge join over
+    SALTS copies of it, and is never broadcast.
     """
-    bills = bill_committees.groupBy("thomas_id", "congress").agg(F.collect_set("bill_id").alias("__bills"))
-    seats = memberships.select("bioguide", "thomas_id", "congress").distinct().join(bills, ["thomas_id", "congress"])
-    listed = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__bills")))), ",")
-    return resolved.join(seats.groupBy("bioguide", "thomas_id").agg(listed.alias("bill_ids")), "bioguide")
+    held = bill_committees.select("thomas_id", "congress").distinct()
+    seats = memberships.select("bioguide", "thomas_id", "congress").distinct().join(held, ["thomas_id", "congress"], "left_semi")
+    seats = seats.groupBy("bioguide", "thomas_id").agg(F.array_sort(F.collect_set("congress")).alias("__terms"))
+    terms = seats.select("thomas_id", "__terms").distinct()
+    asked = terms.select("thomas_id", "__terms", F.explode("__terms").alias("congress")).join(bill_committees, ["thomas_id", "congress"])
+    lists = asked.groupBy("thomas_id", "__terms").agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    lists = lists.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = resolved.join(seats, "bioguide").withColumn("__salt", F.pmod(F.xxhash64(*[c for c, kind in resolved.dtypes if "map<" not in kind]), F.lit(SALTS)).cast("int"))
+    return rows.join(lists.hint("merge"), ["thomas_id", "__terms", "__salt"]).select(*_first("bioguide", resolved.columns), "thomas_id", "bill_ids")
+
+
+def _first(key: str, columns: list[str]) -> list[str]:
+    """Columns in the order in which a join by the key gives them."""
+    return [key, *[c for c in columns if c != key]]
 
 
 def vote_rollup(votes: DataFrame, by: str) -> DataFrame:

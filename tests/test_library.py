@@ -274,3 +274,15 @@ def test_landed_bills_and_filings(spark, tmp_path):
     (tmp_path / "filing.json").write_text(json.dumps({"response": {"results": [{"file_number": 12, "is_amended": True, "amendment_chain": [1, 2], "cycle": 0, "election_year": 2020}, {"file_number": 13}]}}))
     rows = {r.file_number: r for r in federal.filing_rows(federal.read_pages(spark, str(tmp_path / "filing.json"), federal.FILING)).collect()}
     assert (rows["12"].cycle, rows["12"].is_amended, rows["12"].amendment_chain, rows["13"].is_amended, rows["13"].amendment_chain) == (2020, True, '["1","2"]', False, "[]")
+
+
+def test_lists_of_bills_are_never_broadcast(spark):
+    gifts = spark.createDataFrame([(f"T{i}", f"B{i % 3}") for i in range(30)], "txn string, bioguide string")
+    seats = spark.createDataFrame([("B0", "C", 1), ("B1", "C", 1), ("B1", "C", 2), ("B2", "C", 3)], "bioguide string, thomas_id string, congress int")
+    bills = spark.createDataFrame([(f"b{i:03}", "C", 1 + i % 2) for i in range(500)], "bill_id string, thomas_id string, congress int")
+    out = policy.with_committees(gifts, seats, bills)
+    assert out.columns == ["bioguide", "txn", "thomas_id", "bill_ids"]
+    odd = ",".join(f"b{i:03}" for i in range(0, 500, 2))
+    every = ",".join(f"b{i:03}" for i in range(500))
+    assert sorted((r.txn, r.bill_ids) for r in out.collect()) == sorted((f"T{i}", odd if i % 3 == 0 else every) for i in range(30) if i % 3 < 2)
+    assert "strategy=merge" in out._jdf.queryExecution().optimizedPlan().toString()
