@@ -1,8 +1,8 @@
 """The confidence classifier: who a record belongs to, how surely, and by which signals.
 
 Records meet a registry of entities by the forms of their names, an equi-join on exploded name forms; everything else is
-column expressions. The registry is small but not assumed so: Spark broadcasts it only under its own size limit. Its names
-and signals are normalised once, on its own side of the join.
+column expressions. The registry is small but not assumed so: it is broadcast up to BROADCAST_ROWS entities, beyond which keys
+are salted. Its names and signals are normalised once, on its own side of the join.
 
 Registry columns: slug, kind, parent_slug (null for owners), position (among the relatives of an owner), name_variants,
 cities, states, employers, occupations, strong_employers, strong_zips, negative_employers (arrays of strings), mrs_is_self,
@@ -11,13 +11,15 @@ lone_city_state_is_weak (booleans). An owner and those whose parent_slug names i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import full_name, initials_compatible, norm, starts_token, with_name_parts, zip_matches
 
 REGISTRY = "slug string, kind string, parent_slug string, position int, name_variants array<string>, cities array<string>, states array<string>, employers array<string>, occupations array<string>, strong_employers array<string>, strong_zips array<string>, negative_employers array<string>, mrs_is_self boolean, lone_city_state_is_weak boolean"
 NEEDLES = ("employers", "occupations", "strong_employers", "negative_employers")
+#: Entities of a registry that is broadcast, and copies of one that isn't.
+BROADCAST_ROWS, SALTS = 10_000, 16
 SPLIT_NAME = ("contributor_first_name", "contributor_middle_name", "contributor_last_name", "contributor_suffix")
 
 
@@ -25,8 +27,8 @@ def _list(col: str) -> Column:
     return F.coalesce(F.col(col), F.array().cast("array<string>"))
 
 
-def _variants(registry: DataFrame) -> DataFrame:
-    """A row per form of each name variant, with the entity's signals normalised: __form, __v (name parts), __at (which variant), __entity."""
+def _entities(registry: DataFrame) -> DataFrame:
+    """A row per entity, with its signals normalised: __id (a hash of all of it), __entity, __list (its name variants)."""
     signals = {c: F.transform(_list(c), lambda x: F.struct(x.alias("raw"), norm(x).alias("needle"))) for c in NEEDLES}
     entity = F.struct(
         "slug", "kind", "parent_slug", F.coalesce("position", F.lit(0)).alias("position"),
@@ -34,9 +36,15 @@ def _variants(registry: DataFrame) -> DataFrame:
         F.transform(_list("cities"), norm).alias("cities"), F.transform(_list("states"), lambda s: F.upper(F.btrim(s))).alias("states"), _list("strong_zips").alias("strong_zips"),
         F.coalesce("mrs_is_self", F.lit(False)).alias("mrs_is_self"), F.coalesce("lone_city_state_is_weak", F.lit(False)).alias("lone_city_state_is_weak"),
     )
-    rows = registry.select(entity.alias("__entity"), _list("name_variants").alias("__list")).select("__entity", F.posexplode("__list").alias("__at", "__variant"))
+    return registry.select(F.xxhash64(F.to_json(F.struct(*registry.columns), {"ignoreNullFields": "false"})).alias("__id"), entity.alias("__entity"), _list("name_variants").alias("__list"))
+
+
+def _variants(entities: DataFrame) -> DataFrame:
+    """A row per form of each name variant: __form, __v (name parts), __at (which variant), and of the entity __id, __slug, __house, __owner (it is one) and __position."""
+    of = [F.col("__entity.slug").alias("__slug"), F.coalesce("__entity.parent_slug", "__entity.slug").alias("__house"), F.col("__entity.parent_slug").isNull().alias("__owner"), F.col("__entity.position").alias("__position")]
+    rows = entities.select("__id", *of, F.posexplode("__list").alias("__at", "__variant"))
     rows = with_name_parts(rows, "__variant", "__v")
-    return rows.select("__entity", "__at", "__variant", "__v", F.explode("__v.forms").alias("__form"))
+    return rows.select("__id", "__slug", "__house", "__owner", "__position", "__at", "__v", F.explode("__v.forms").alias("__form"))
 
 
 def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True) -> DataFrame:
@@ -48,26 +56,40 @@ def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id",
     `related`, records that fit a relative are left out. Records without a name, and those that fit nobody, are left out.
     Records that share a key (or have none) but differ are records each; those that are equal in all columns are one.
     """
-    own = F.struct(*[F.col(f"`{c}`") for c in records.columns])
     plain = [F.col(f"`{f.name}`") for f in records.schema.fields if "map<" not in f.dataType.simpleString()]
-    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(own.alias("__record"), F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(*plain).alias("h")).alias("__key"), F.col("contributor_name").alias("__name"))
-    rows = with_name_parts(rows, "__name", "__n")
+    # a record is named by 128 bits of hash; the second half knows which columns are null, since nulls leave a hash as it is
+    ids = [F.xxhash64(*plain).alias("__a"), F.xxhash64(F.lit(1), F.col(f"`{key}`"), *[c.isNull() for c in plain], *plain).alias("__b")]
+    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("__record"), *ids)
+    # what finds the entity goes without the record and the entity, so that little is sorted; both are joined to the answer
+    names = with_name_parts(rows.withColumn("__name", F.col("__record.contributor_name")), "__name", "__n")
     tries = [F.struct(F.lit(0).alias("source"), F.col("__n").alias("n"))]
     if all(c in records.columns for c in SPLIT_NAME):
-        rows = with_name_parts(rows.withColumn("__name", full_name(*[F.col("__record")[c] for c in SPLIT_NAME])), "__name", "__y")
+        names = with_name_parts(names.withColumn("__name", full_name(*[F.col("__record")[c] for c in SPLIT_NAME])), "__name", "__y")
         tries.append(F.struct(F.lit(1).alias("source"), F.col("__y").alias("n")))
-    rows = rows.select("__record", "__key", F.explode(F.array(*tries)).alias("__try"))
-    rows = rows.select("__record", "__key", "__try", F.explode("__try.n.forms").alias("__form"))
-    both = rows.join(_variants(registry), "__form").where(initials_compatible(F.col("__try.n.initials"), F.col("__v.initials")))
+    names = names.select("__a", "__b", F.explode(F.array(*tries)).alias("__try"))
+    names = names.select("__a", "__b", "__try", F.explode("__try.n.forms").alias("__form"))
+    entities = _entities(registry)
+    small = len(registry.select(F.lit(1)).limit(BROADCAST_ROWS + 1).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
+    both = _looked_up(names, _variants(entities), "__form", small).where(initials_compatible(F.col("__try.n.initials"), F.col("__v.initials")))
     suffix_ok = F.col("__try.n.suffix") == F.col("__v.suffix")
-    both = both.select("__key", "__record", "__entity", "__variant", suffix_ok.alias("__suffix_ok"), F.struct(F.col("__try.source").alias("s"), (~suffix_ok).alias("x"), F.col("__at").alias("a")).alias("__rank"))
-    household = F.coalesce("__entity.parent_slug", "__entity.slug")
-    kept = F.struct("__record", "__entity", "__variant", "__suffix_ok")
-    one = both.groupBy("__key", household.alias("__household"), F.col("__entity.slug").alias("__slug")).agg(F.min_by(kept, F.col("__rank")).alias("b"))
-    one = one.where(F.col("b.__entity.parent_slug").isNull() | F.col("b.__suffix_ok"))
-    order = F.struct(F.col("b.__entity.parent_slug").isNull().alias("o"), F.col("b.__entity.position").alias("p"), F.col("__slug").alias("s"))
-    best = one.groupBy("__key", "__household").agg(F.min_by("b", order).alias("b")).select("b.*")
-    return best if related else best.where(F.col("__entity.parent_slug").isNull())
+    both = both.select("__a", "__b", "__id", "__house", "__slug", "__owner", "__position", "__at", suffix_ok.alias("__suffix_ok"), F.struct(F.col("__try.source").alias("s"), (~suffix_ok).alias("x"), F.col("__at").alias("a"), F.col("__id").alias("i")).alias("__rank"))
+    both = both.repartition("__a", "__b")
+    one = both.groupBy("__a", "__b", "__house", "__slug").agg(F.min_by(F.struct("__id", "__at", "__owner", "__position", "__suffix_ok"), F.col("__rank")).alias("m")).where("m.__owner OR m.__suffix_ok")
+    order = F.struct(F.col("m.__owner").alias("o"), F.col("m.__position").alias("p"), F.col("__slug").alias("s"))
+    best = one.groupBy("__a", "__b", "__house").agg(F.min_by("m", order).alias("m")).select("__a", "__b", "m.__id", "m.__at", "m.__owner", "m.__suffix_ok")
+    best = best if related else best.where("__owner")
+    again = F.lag("__a").over(Window.partitionBy("__a", "__b").orderBy("__a")).isNotNull()
+    found = rows.withColumn("__again", again).where("NOT __again").join(best, ["__a", "__b"])
+    entity = entities.select("__id", "__entity", "__list").dropDuplicates(["__id"])
+    return _looked_up(found, entity, "__id", small).select("__record", "__entity", F.get("__list", F.col("__at")).alias("__variant"), F.col("__suffix_ok"))
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, small: bool) -> DataFrame:
+    """rows (with __a) joined with what is known of the registry: broadcast where that is small, else by salted keys, since few names may have most rows."""
+    if small:
+        return rows.join(F.broadcast(table), key)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.pmod("__a", F.lit(SALTS)).cast("int")).join(salted, [key, "__salt"]).drop("__salt")
 
 
 def _hits(hay: str, needles: str) -> Column:

@@ -286,3 +286,18 @@ def test_lists_of_bills_are_never_broadcast(spark):
     every = ",".join(f"b{i:03}" for i in range(500))
     assert sorted((r.txn, r.bill_ids) for r in out.collect()) == sorted((f"T{i}", odd if i % 3 == 0 else every) for i in range(30) if i % 3 < 2)
     assert "strategy=merge" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_records_that_differ_in_what_is_null(spark, monkeypatch):
+    from tallyroll.operators import classify
+
+    fields = cases.records(spark).drop("case_id")
+    rows = cases.records(spark).where("case_id = 1").withColumn("case_id", F.lit(7))
+    moved = rows.withColumns({"contributor_city": F.lit("x"), "contributor_state": F.lit(None).cast("string")}).union(rows.withColumns({"contributor_city": F.lit(None).cast("string"), "contributor_state": F.lit("x")}))
+    for bound in (classify.BROADCAST_ROWS, 0):  # broadcast and salted
+        monkeypatch.setattr(classify, "BROADCAST_ROWS", bound)
+        assert classify.classify(moved.union(moved), cases.registry(spark), "case_id").count() == 2
+        got = classify.classify(cases.records(spark), cases.registry(spark), "case_id").select("case_id", "entity_slug", "status", F.array_join("signals", ",").alias("signals"))
+        assert sorted(map(tuple, got.collect())) == sorted((i, *x) for i, c in enumerate(cases.CASES) for x in c[-1])
+    plan = classify.candidates(fields.withColumn("k", F.lit(1)), cases.registry(spark), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Aggregate" in line and "contributor_city" in line for line in plan.split("\n"))  # records aren't sorted with the names
