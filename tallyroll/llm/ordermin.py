@@ -9,8 +9,8 @@ of SIMILAR leaves: the similarity is m / (a + b - m), with m aligned shingles of
 Equal word sequences are one node. In each bucket of equal sketches every node is held against one hub (a star, in
 proportion to the bucket), verified links give classes, and then only nodes of one bucket that are still in different
 classes are paired, if their sets of labelled shingles are similar enough: no alignment is more similar than those sets. A
-node brings its LEAST smallest shingles, which are the whole set of most texts. In buckets of more than CROWDED nodes, only
-nodes that also share a second sketch meet.
+node brings its LEAST smallest shingles, which are the whole set of most texts. Buckets of more than CROWDED nodes give the same
+pairs by another way: their nodes meet under the rarest of their shingles (a prefix filter, which loses no pair that similar).
 
 Defined cases: a null text has no copies; texts without words are copies of equal texts only; texts of fewer than five words
 have one shingle of all of them; whole texts are read; rows with equal ids or texts are nodes' members each; a class is
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import digest, in_small_batches, lookup_join, stored
@@ -34,7 +34,7 @@ from .common import digest, in_small_batches, lookup_join, stored
 WORDS, SIMILAR = 5, 0.8
 #: Sketches as (how many, of so many shingles each); documents of at most SHORT shingles have the second kind too.
 SKETCHES, SHORT_SKETCHES, SHORT = (32, 5), (24, 3), 48
-#: Nodes of a bucket that are compared at a time; the nodes of buckets of more than CROWDED meet anew under a second sketch.
+#: Nodes of a bucket that are compared at a time; the nodes of buckets of more than CROWDED meet under their rarest shingles, with the same result.
 PAIRED, CROWDED = 512, 4096
 #: Smallest shingles that stand for a text; texts of more have their similarity estimated, to be SLACK (4 deviations) under the limit at most.
 LEAST = 512
@@ -204,10 +204,10 @@ def _alike(group: list[tuple], similar: float) -> list[tuple[bytes, bytes]]:
 def _paired(rows: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
     """Pairs (a < b) of nodes of different roots under one key whose sets of shingles may be similar.
 
-    rows: key, second, node, root, where key is a sketch, second another one or null; nodes: node, size, least. Keys of many
-    nodes are cut into blocks of about PAIRED nodes, and pairs of blocks are compared.
+    rows: key, node, root; nodes: node, size, least. Keys of many nodes are cut into blocks of about PAIRED nodes, and pairs of
+    blocks are compared.
     """
-    rows = stored(rows.select(F.xxhash64("key", "second").alias("id"), "node", "root"), "rooted")
+    rows = stored(rows.select(F.col("key").alias("id"), "node", "root"), "rooted")
     mixed = rows.groupBy("id").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n")).where("r <> s").select("id", F.ceil(F.col("n") / PAIRED).cast("int").alias("blocks"))
     some = rows.join(mixed, "id").join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     some = some.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
@@ -232,6 +232,32 @@ def _paired(rows: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
     return some.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _crowded_pairs(crowded: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of nodes (node, root) that _paired() gives under shared sketches, without holding all nodes of a sketch against each other.
+
+    Of two nodes that _alike() pairs, each has at least `least` of its n smallest shingles in common with the other's. So they
+    share one of the first n - least + 1 in any order that is the same for all nodes; the rarest come first here.
+    """
+    schema = "node binary, n int, shingle long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, least in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(least, np.uint32)
+                found = np.unique(own).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([node] * len(found), pa.binary()), pa.array(np.full(len(found), len(own), np.int32)), pa.array(found)], names=["node", "n", "shingle"])
+
+    own = stored(in_small_batches(nodes.select("node", "least").join(crowded.select("node"), "node", "left_semi")).mapInArrow(run, schema), "shingles")
+    # two values of 32 bits may be one by chance: one more stands in for them
+    first = F.col("n") - F.ceil((similar - SLACK) * F.col("n")) + 2
+    rare = Window.partitionBy("node").orderBy("times", "shingle")
+    rows = own.join(own.groupBy("shingle").agg(F.count("*").alias("times")), "shingle").withColumn("r", F.row_number().over(rare)).where(F.col("r") <= first)
+    rows = rows.where("times > 1").select(F.col("shingle").alias("key"), "node").join(crowded, "node")
+    pairs = stored(_paired(rows, nodes.select("node", "size", "least"), similar), "crowded")
+    keys = lambda x: nodes.select(F.col("node").alias(x), F.col("keys").alias(f"keys_{x}"))
+    return pairs.join(keys("a"), "a").join(keys("b"), "b").where(F.arrays_overlap("keys_a", "keys_b")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are similar."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -296,11 +322,10 @@ def links(docs: DataFrame, members: DataFrame, text: str = "text", similar: floa
     rooted = _with_roots(entries.select("key", "node", "n"), components(found))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
     rooted = stored(rooted.join(mixed, "key", "left_semi"), "rooted")
-    # the nodes of a crowded bucket meet anew under each second sketch: two that agree in more than one share one
-    crowded = rooted.where(F.col("n") > CROWDED).join(nodes.select("node", "keys"), "node")
-    crowded = crowded.select("key", F.explode(F.array_remove("keys", F.col("key"))).alias("second"), "node", "root")
-    rooted = rooted.where(F.col("n") <= CROWDED).select("key", F.lit(None).cast("long").alias("second"), "node", "root").union(crowded)
-    pairs = _paired(rooted, nodes.select("node", "size", "least"), similar)
+    pairs = _paired(rooted.where(F.col("n") <= CROWDED).select("key", "node", "root"), nodes.select("node", "size", "least"), similar)
+    crowded = rooted.where(F.col("n") > CROWDED).select("node", "root").distinct()
+    if not crowded.isEmpty():
+        pairs = pairs.union(_crowded_pairs(crowded, nodes, similar)).distinct()
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     return found.union(stored(_verified(pairs, texts), "links"))

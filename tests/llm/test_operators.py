@@ -961,3 +961,17 @@ def test_benchmark_items_over_several_blocks_match_brute_force(spark):
     docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(v)) for i, v in items.items()], "item_id string, text string")
     assert want and {(x.doc_id, x.item_id, x.matched, x.start) for x in decontaminate.report(docs, bench).collect()} == want
+
+
+def test_near_duplicates_of_crowded_buckets(spark, monkeypatch):
+    """Nodes that share a single sketch find each other in a bucket of any size."""
+    monkeypatch.setattr(ordermin, "all_sketches", lambda kmers: np.array([7], np.uint64))
+    r = random.Random(21)
+    rows, want = [], {}
+    for n in range(8):
+        base = _words(r, 120)
+        rows += [(2 * n, " ".join(base), "a"), (2 * n + 1, " ".join([*base, "more"]), "a")]
+        want |= {2 * n: 2 * n, 2 * n + 1: 2 * n}
+    for crowded in (1000, 3):
+        monkeypatch.setattr(ordermin, "CROWDED", crowded)
+        assert {x.doc_id: x.class_id for x in ordermin.classes(_frame(spark, rows)).collect()} == want
