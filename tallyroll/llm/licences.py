@@ -249,14 +249,10 @@ class Model:
         best = int(p.argmax())
         if best == len(CLASSES) - 1:
             return None
-        kin = p[[i for i, c in enumerate(CLASSES[:-1]) if BASE[c] == BASE[CLASSES[best]]]].sum()
-        if kin < SURE:
+        kin = KIN[BASE[CLASSES[best]]]
+        if p[kin].sum() < SURE:
             return None
-        for i in np.argsort(-p, kind="stable")[:6]:
-            c = CLASSES[i]
-            if c != UNKNOWN and BASE[c] == BASE[CLASSES[best]] and confirmed(c, w):
-                return c
-        return None
+        return next((CLASSES[i] for i in sorted(kin, key=lambda i: -p[i]) if confirmed(CLASSES[i], w)), None)
 
     def _bare(self, w: list[str]) -> str | None:
         """The family one of whose names these words are."""
@@ -273,7 +269,7 @@ class Model:
         found = {whole} if whole else set()
         cut = PARTS.split(paragraph)
         denied = False
-        for part in cut if 1 < len(cut) <= 40 else ():
+        for part in cut if len(cut) > 1 else ():
             v = words(part)
             if (q := self.probabilities(v)) is not None and not (denied and whole is None):
                 # beside a licence, a part that is nothing but a name is another one
@@ -286,6 +282,8 @@ class Model:
 #: The family that a versioned one belongs to: its name without the version.
 BASE = {k: re.sub(r"-[0-9.]+(-Clause)?$", "", k) for k in [*NAMES, "Proprietary"]}
 CLASSES = [*BASE, UNKNOWN]
+#: The versions of each such family, as numbers of classes.
+KIN = {b: [i for i, c in enumerate(CLASSES[:-1]) if BASE[c] == b] for b in BASE.values()}
 #: Families without a version of which there are versions.
 VERSIONED = frozenset(k for k in BASE if any(BASE[o] == k != o for o in BASE))
 

@@ -975,3 +975,9 @@ def test_near_duplicates_of_crowded_buckets(spark, monkeypatch):
     for crowded in (1000, 3):
         monkeypatch.setattr(ordermin, "CROWDED", crowded)
         assert {x.doc_id: x.class_id for x in ordermin.classes(_frame(spark, rows)).collect()} == want
+
+
+def test_licences_of_long_lists():
+    model = licences.trained()
+    filler = ", ".join(f"module{i}" for i in range(60))
+    assert set(model.families(f"Licensed under the MIT License, {filler} and the Apache License 2.0")) == {"MIT", "Apache-2.0"}
