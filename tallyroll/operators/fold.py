@@ -115,7 +115,7 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     """The groups that a batch touches, a row each: entity_slug, grp, live and old (arrays of rows of current's columns) and events.
 
     incoming has current's columns but those that the state adds (record_uid, superseded_by, superseded_reason); order puts
-    it in sequence, rows that tie go by their contents. Use it through `state_after` and `events_of`; persist it to use both.
+    it in sequence, rows that tie go by their contents. Use it through `state_after` and `events_of`; it is a stored table.
     """
     columns, at = current.columns, at.cast("string")
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
@@ -128,7 +128,9 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     edges = new.unionByName(by_uid.select(*keys)).unionByName(by_txn.select(*keys)).distinct()
     groups = components(edges, "entity_slug", "record_uid", "transaction_id")
     stored_rows = live.join(groups, keys).select("entity_slug", "grp", F.struct(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "record_uid", "transaction_id", *_decisive()).alias("v"))
-    both = _versions(rows.join(groups, keys)).join(stored_rows.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list("v"), asc=True).alias("mine")), ["entity_slug", "grp"], "left")
+    # a batch of versions that are much alike is small when compressed: as many tasks as a shuffle has, not as few as its bytes ask for
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = _versions(rows.join(groups, keys).repartition(tasks, "entity_slug", "grp")).join(stored_rows.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list("v"), asc=True).alias("mine")), ["entity_slug", "grp"], "left")
 
     exact = rows.schema["exact"].dataType.simpleString()
     live_type = f"array<struct<uid:string,txn:string,sub:string,plain:array<string>,exact:{exact},at:int>>"
@@ -149,13 +151,15 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
         x = F.get(F.col("versions"), i)
         return F.struct(x["place"].alias("place"), x["v"]["record_uid"].alias("record_uid"), x["v"]["transaction_id"].alias("transaction_id"), e["outcome"].alias("outcome"), _reason(e).alias("reason"), e["adopted"].alias("adopted"), x["repeats"].alias("repeats"))
 
-    return done.select(
+    # all that follows reads the groups several times: they are folded once
+    out = done.select(
         "entity_slug",
         "grp",
         F.transform("s.live", lambda l: let(row(l["at"]), lambda r: F.when(r["record_uid"] == l["uid"], r).otherwise(r.withField("record_uid", l["uid"]).withField("sub_id", l["sub"])))).alias("live"),
         F.array_compact(F.transform("s.events", archived)).alias("old"),
         F.transform("s.events", event).alias("events"),
     )
+    return stored(out, "folded")
 
 
 def _reason(e: Column) -> Column:

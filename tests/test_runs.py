@@ -221,3 +221,13 @@ def test_household_is_replaced_in_its_buckets(spark, tmp_path):
     assert counted["N1"] is False and counted["N2"] is True and all(v for k, v in counted.items() if k != "N1")
     back = runs.households_replaced(spark, root, 2, slugs, _frame(spark, []))
     assert set(back) <= set(read) and runs.state(spark, root).count() == 54
+
+
+def test_groups_are_folded_once(spark):
+    from tallyroll.plans import runs as made
+
+    current = made._stored(spark, "/root/testdata/sf0.001")
+    done = fold.folded(current, made._versions(spark, "/root/testdata/sf0.001"), [F.col("n")], F.lit("t"))
+    after = fold.state_after(current, done)
+    plan = after._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "folded-" in str(done.inputFiles())
