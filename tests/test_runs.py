@@ -224,6 +224,7 @@ def test_household_is_replaced_in_its_buckets(spark, tmp_path):
 
 
 def test_groups_are_folded_once(spark):
+    from tallyroll.plans import queries  # noqa: F401  registers the queries of runs
     from tallyroll.plans import runs as made
 
     current = made._stored(spark, "/root/testdata/sf0.001")
