@@ -1,8 +1,9 @@
 """The confidence classifier: who a record belongs to, how surely, and by which signals.
 
-Records meet a registry of entities by the forms of their names, an equi-join on exploded name forms; everything else is
-column expressions. The registry is small but not assumed so: it is broadcast up to BROADCAST_ROWS entities, beyond which keys
-are salted. Its names and signals are normalised once, on its own side of the join.
+The distinct names of records meet a registry of entities by the forms of their names, an equi-join on exploded name forms, and
+records meet the names that fit anybody; everything else is column expressions. Neither the registry nor these names are assumed to
+be few: up to BROADCAST_ROWS of them are broadcast, beyond which keys are salted. Names and signals of the registry are normalised
+once, on its own side of the join.
 
 Registry columns: slug, kind, parent_slug (null for owners), position (among the relatives of an owner), name_variants,
 cities, states, employers, occupations, strong_employers, strong_zips, negative_employers (arrays of strings), mrs_is_self,
@@ -15,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import full_name, initials_compatible, norm, starts_token, with_name_parts, zip_matches
+from .shared import stored
 
 REGISTRY = "slug string, kind string, parent_slug string, position int, name_variants array<string>, cities array<string>, states array<string>, employers array<string>, occupations array<string>, strong_employers array<string>, strong_zips array<string>, negative_employers array<string>, mrs_is_self boolean, lone_city_state_is_weak boolean"
 NEEDLES = ("employers", "occupations", "strong_employers", "negative_employers")
-#: Entities of a registry that is broadcast, and copies of one that isn't.
+#: Entities of a registry (or names) that are broadcast, and copies of one that isn't.
 BROADCAST_ROWS, SALTS = 10_000, 16
 SPLIT_NAME = ("contributor_first_name", "contributor_middle_name", "contributor_last_name", "contributor_suffix")
 
@@ -47,49 +49,66 @@ def _variants(entities: DataFrame) -> DataFrame:
     return rows.select("__id", "__slug", "__house", "__owner", "__position", "__at", "__v", F.explode("__v.forms").alias("__form"))
 
 
-def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True) -> DataFrame:
+def candidates(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True, unique: bool = False) -> DataFrame:
     """Each record beside one entity of each household that its name fits: __record, __entity, __variant and __suffix_ok.
 
     A variant fits if it shares a form of the name and the middle initials don't exclude each other; the first that also has
     the same suffix is taken, else the first. The name as filed comes first; for entities that it doesn't fit, the name made
     of the split fields is tried. Relatives, in their order, come before the owner but need the same suffix; without
     `related`, records that fit a relative are left out. Records without a name, and those that fit nobody, are left out.
-    Records that share a key (or have none) but differ are records each; those that are equal in all columns are one.
+    Records that share a key (or have none) but differ are records each; those that are equal in all columns are one. With
+    `unique` there are none of these (or it doesn't matter), and no record is shuffled to look for them.
     """
+    split = all(c in records.columns for c in SPLIT_NAME)
+    full = full_name(*[F.col(c) for c in SPLIT_NAME]) if split else F.lit("")
     plain = [F.col(f"`{f.name}`") for f in records.schema.fields if "map<" not in f.dataType.simpleString()]
     # a record is named by 128 bits of hash; the second half knows which columns are null, since nulls leave a hash as it is
     ids = [F.xxhash64(*plain).alias("__a"), F.xxhash64(F.lit(1), F.col(f"`{key}`"), *[c.isNull() for c in plain], *plain).alias("__b")]
-    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("__record"), *ids)
-    # what finds the entity goes without the record and the entity, so that little is sorted; both are joined to the answer
-    names = with_name_parts(rows.withColumn("__name", F.col("__record.contributor_name")), "__name", "__n")
+    rows = records.where(F.coalesce(F.col("contributor_name"), F.lit("")) != "").select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("__record"), F.col("contributor_name").alias("__name"), full.alias("__full"), *ids)
+    entities = _entities(registry)
+    small = few(registry)
+    # whom a name fits is found once a name, and stored; records meet the answers where they are
+    best = stored(_fits(rows.select("__name", "__full").distinct(), entities, split, small, related), "names")
+    found = looked_up(rows, best, ["__name", "__full"], few(best)).drop("__name", "__full")
+    if not unique:
+        again = F.lag("__a").over(Window.partitionBy("__a", "__b", "__id").orderBy("__a")).isNotNull()
+        found = found.withColumn("__again", again).where("NOT __again")
+    entity = entities.select("__id", "__entity", "__list").dropDuplicates(["__id"])
+    return looked_up(found, entity, ["__id"], small).select("__record", "__entity", F.get("__list", F.col("__at")).alias("__variant"), F.col("__suffix_ok"))
+
+
+def _fits(names: DataFrame, entities: DataFrame, split: bool, small: bool, related: bool) -> DataFrame:
+    """Of each name (__name as filed, __full of split fields), the entity of each household that it fits: __id, __at and __suffix_ok."""
+    names = with_name_parts(names.withColumn("__a", F.xxhash64("__name", "__full")), "__name", "__n")
     tries = [F.struct(F.lit(0).alias("source"), F.col("__n").alias("n"))]
-    if all(c in records.columns for c in SPLIT_NAME):
-        names = with_name_parts(names.withColumn("__name", full_name(*[F.col("__record")[c] for c in SPLIT_NAME])), "__name", "__y")
+    if split:
+        names = with_name_parts(names, "__full", "__y")
         tries.append(F.struct(F.lit(1).alias("source"), F.col("__y").alias("n")))
-    names = names.select("__a", "__b", F.explode(F.array(*tries)).alias("__try"))
-    names = names.select("__a", "__b", "__try", F.explode("__try.n.forms").alias("__form"))
-    entities = _entities(registry)
-    small = len(registry.select(F.lit(1)).limit(BROADCAST_ROWS + 1).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
-    both = _looked_up(names, _variants(entities), "__form", small).where(initials_compatible(F.col("__try.n.initials"), F.col("__v.initials")))
+    keys = ["__name", "__full"]
+    names = names.select("__a", *keys, F.explode(F.array(*tries)).alias("__try"))
+    names = names.select("__a", *keys, "__try", F.explode("__try.n.forms").alias("__form"))
+    both = looked_up(names, _variants(entities), ["__form"], small).where(initials_compatible(F.col("__try.n.initials"), F.col("__v.initials")))
     suffix_ok = F.col("__try.n.suffix") == F.col("__v.suffix")
-    both = both.select("__a", "__b", "__id", "__house", "__slug", "__owner", "__position", "__at", suffix_ok.alias("__suffix_ok"), F.struct(F.col("__try.source").alias("s"), (~suffix_ok).alias("x"), F.col("__at").alias("a"), F.col("__id").alias("i")).alias("__rank"))
-    both = both.repartition("__a", "__b")
-    one = both.groupBy("__a", "__b", "__house", "__slug").agg(F.min_by(F.struct("__id", "__at", "__owner", "__position", "__suffix_ok"), F.col("__rank")).alias("m")).where("m.__owner OR m.__suffix_ok")
+    rank = F.struct(F.col("__try.source").alias("s"), (~suffix_ok).alias("x"), F.col("__at").alias("a"), F.col("__id").alias("i"))
+    both = both.select(*keys, "__id", "__house", "__slug", "__owner", "__position", "__at", suffix_ok.alias("__suffix_ok"), rank.alias("__rank"))
+    one = both.groupBy(*keys, "__house", "__slug").agg(F.min_by(F.struct("__id", "__at", "__owner", "__position", "__suffix_ok"), F.col("__rank")).alias("m")).where("m.__owner OR m.__suffix_ok")
     order = F.struct(F.col("m.__owner").alias("o"), F.col("m.__position").alias("p"), F.col("__slug").alias("s"))
-    best = one.groupBy("__a", "__b", "__house").agg(F.min_by("m", order).alias("m")).select("__a", "__b", "m.__id", "m.__at", "m.__owner", "m.__suffix_ok")
-    best = best if related else best.where("__owner")
-    again = F.lag("__a").over(Window.partitionBy("__a", "__b").orderBy("__a")).isNotNull()
-    found = rows.withColumn("__again", again).where("NOT __again").join(best, ["__a", "__b"])
-    entity = entities.select("__id", "__entity", "__list").dropDuplicates(["__id"])
-    return _looked_up(found, entity, "__id", small).select("__record", "__entity", F.get("__list", F.col("__at")).alias("__variant"), F.col("__suffix_ok"))
+    best = one.groupBy(*keys, "__house").agg(F.min_by("m", order).alias("m"))
+    best = best if related else best.where("m.__owner")
+    return best.select(*keys, "m.__id", "m.__at", "m.__suffix_ok")
+
+
+def few(table: DataFrame) -> bool:
+    """Whether a table is small enough to be broadcast."""
+    return len(table.select(F.lit(1)).limit(BROADCAST_ROWS + 1).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, key: str, small: bool) -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], small: bool) -> DataFrame:
     """rows (with __a) joined with what is known of the registry: broadcast where that is small, else by salted keys, since few names may have most rows."""
     if small:
-        return rows.join(F.broadcast(table), key)
+        return rows.join(F.broadcast(table), keys)
     salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("__salt", F.pmod("__a", F.lit(SALTS)).cast("int")).join(salted, [key, "__salt"]).drop("__salt")
+    return rows.withColumn("__salt", F.pmod("__a", F.lit(SALTS)).cast("int")).join(salted, [*keys, "__salt"]).drop("__salt")
 
 
 def _hits(hay: str, needles: str) -> Column:
@@ -152,10 +171,10 @@ def _chain(steps: list[tuple[Column, Column | str]], other: Column) -> Column:
 ADDED = ("entity_slug", "entity_kind", "parent_owner_slug", "matched_variant", "status", "status_reason", "signals")
 
 
-def classify(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True) -> DataFrame:
+def classify(records: DataFrame, registry: DataFrame, key: str = "record_id", related: bool = True, unique: bool = False) -> DataFrame:
     """Every record that fits an entity, a row a household: its own columns, and the entity's slug, kind and owner, the variant that matched, status, status_reason and signals.
 
-    Columns of records must not have the names of those that are added.
+    Columns of records must not have the names of those that are added. related and unique: as for candidates().
     """
-    done = tiers(candidates(records, registry, key, related))
+    done = tiers(candidates(records, registry, key, related, unique))
     return done.select(*[F.col("__record")[c].alias(c) for c in records.columns], F.col("__entity.slug").alias("entity_slug"), F.col("__entity.kind").alias("entity_kind"), F.col("__entity.parent_slug").alias("parent_owner_slug"), F.col("__variant").alias("matched_variant"), "status", "status_reason", "signals")

@@ -19,17 +19,17 @@ def best_row_per_key(df: DataFrame, keys: list[str], rank: list[Column]) -> Data
     return best.select(*keys, "best.*").select(*df.columns)
 
 
-def first_row_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row that comes first in an explicit order."""
+def first_row_per_key(df: DataFrame, keys: list[str], order: list[Column], few: bool = False) -> DataFrame:
+    """The row that comes first in an explicit order. `few`: keys have few rows each, which are dealt out first, so that no task sorts all that it reads."""
     others = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(order)], *_tie(df, others))).alias("best"))
+    best = (df.repartition(*keys) if few else df).groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(order)], *_tie(df, others))).alias("best"))
     return best.select(*keys, "best.*").select(*df.columns)
 
 
-def first_by_native_id(df: DataFrame, key: str, order: list[Column], blank: str = "keep") -> DataFrame:
-    """The first row of each native id. blank: what becomes of rows without one: keep each, collapse them into one, or drop them."""
+def first_by_native_id(df: DataFrame, key: str, order: list[Column], blank: str = "keep", few: bool = False) -> DataFrame:
+    """The first row of each native id. blank: what becomes of rows without one: keep each, collapse them into one, or drop them. few: as for first_row_per_key()."""
     has = F.coalesce(F.btrim(F.col(key).cast("string")), F.lit("")) != ""
-    named = first_row_per_key(df.where(has), [key], order)
+    named = first_row_per_key(df.where(has), [key], order, few)
     if blank == "drop":
         return named
     blanks = df.where(~has)

@@ -301,3 +301,26 @@ def test_records_that_differ_in_what_is_null(spark, monkeypatch):
         assert sorted(map(tuple, got.collect())) == sorted((i, *x) for i, c in enumerate(cases.CASES) for x in c[-1])
     plan = classify.candidates(fields.withColumn("k", F.lit(1)), cases.registry(spark), "k")._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Aggregate" in line and "contributor_city" in line for line in plan.split("\n"))  # records aren't sorted with the names
+
+
+def test_records_that_are_unique_stay_where_they_are(spark):
+    """Only their names are searched: no record is shuffled, sorted or compared with others, and the answers are the same."""
+    rows = cases.records(spark)
+    done = classify.classify(rows, cases.registry(spark), "case_id", unique=True)
+    assert "hashpartitioning(__" not in done.drop("contributor_zip")._jdf.queryExecution().executedPlan().toString().replace("hashpartitioning(__id", "")
+    got = done.select("case_id", "entity_slug", "status", F.array_join("signals", ",").alias("signals"))
+    assert sorted(map(tuple, got.collect())) == sorted((i, *x) for i, c in enumerate(cases.CASES) for x in c[-1])
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_legs_of_review_items_are_found_once(spark):
+    queue = spark.createDataFrame([("T", "stone", "name only", None)], "transaction_id string, entity_slug string, reason string, resolution string")
+    fields = ("occupation", "city", "state", "zip")
+    raw = spark.createDataFrame([("T", f"S{i}", "stone", "10", "Ann Stone", e, *[""] * 4) for i, e in enumerate(("Acme", "Acme", ""))], "transaction_id string, sub_id string, entity_slug string, amount string, contributor_name string, contributor_employer string, " + ", ".join(f"contributor_{c} string" for c in fields))
+    live = spark.createDataFrame([("S0", None)], "record_uid string, superseded_by string")
+    out = attribution.burndown(queue, queue.select("transaction_id", "entity_slug").where("false"), raw.union(raw), cases.registry(spark), live)
+    assert "/legs-" in str(out.inputFiles()) and "min_by" not in _optimized(out)
+    assert [(r.disposition, r.legs, r.attributable, float(r.promoted_amount)) for r in out.collect()] == [("HOLD", 3, 2, 10.0)]
