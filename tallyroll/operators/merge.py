@@ -107,21 +107,21 @@ def in_sequence(current: DataFrame, incoming: DataFrame, key: str, substance: di
     """
     columns, named = current.columns, [o.alias(f"o{i}") for i, o in enumerate(order)]
     plain = [c for c, t in current.dtypes if "map<" not in t]
-    rows = current.where("superseded_by IS NULL").join(incoming.select(key).distinct(), key, "left_semi").select(*columns).withColumn("__place", F.struct(F.lit(0).alias("phase"), F.lit(None).cast(incoming.select(F.struct(*named)).schema[0].dataType).alias("o"), F.lit(0).cast("long").alias("tie")))
+    rows = current.where("superseded_by IS NULL").select(*columns).withColumn("__place", F.struct(F.lit(0).alias("phase"), F.lit(None).cast(incoming.select(F.struct(*named)).schema[0].dataType).alias("o"), F.lit(0).cast("long").alias("tie")))
     rows = rows.unionByName(incoming.select(*columns, F.struct(F.lit(1).alias("phase"), F.struct(*named).alias("o"), F.xxhash64(*plain).alias("tie")).alias("__place")))
     own = Window.partitionBy(key).orderBy("__place")
     same = F.array(*[F.coalesce((_cents(F.col(c)) if kind == "money" else F.col(c)).cast("string"), F.lit("")) for c, kind in substance.items()])
-    rows = rows.withColumn("__plain", same).withColumn("__before", F.lag("__plain").over(own))
+    rows = rows.withColumn("__plain", same).withColumns({"__before": F.lag("__plain").over(own), "__arrives": F.max(F.col("__place.phase")).over(Window.partitionBy(key)) == 1})
     rows = rows.withColumn("outcome", F.when(F.col("__place.phase") == 0, "stored").when(F.col("__before").isNull(), "inserted").when(F.col("__before") == F.col("__plain"), "unchanged").otherwise("superseded"))
     events = rows.where("outcome <> 'stored'").select(*columns, "outcome")
     kept = rows.where("outcome <> 'unchanged'").withColumns({"__after": F.lead("__plain").over(own), "__number": F.row_number().over(own)})
     differs = F.array_join(F.filter(F.array(*map(F.lit, substance)), lambda n, i: F.get("__plain", i) != F.get("__after", i)), ", ")
-    gone = F.col("__after").isNotNull()
+    # stored rows of other keys go along, which is less than to find them by joins; they come out as they are
+    gone = F.col("__after").isNotNull() & F.col("__arrives")
     name = F.concat(F.col(key), F.lit("~superseded~"), at.cast("string"), F.when(F.col("__number") > 1, F.concat(F.lit("~"), F.col("__number").cast("string"))).otherwise(""))
     after = {"superseded_by": F.when(gone, F.col(key)), "superseded_reason": F.when(gone, F.concat(F.lit(prefix), differs)), "status": F.when(gone, F.lit("SUPERSEDED")).otherwise(F.col("status")), key: F.when(gone, name).otherwise(F.col(key))}
     new = kept.select(*[after.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
-    stay = current.where("superseded_by IS NOT NULL").unionByName(current.where("superseded_by IS NULL").join(incoming.select(key).distinct(), key, "left_anti").select(*columns))
-    return stay.unionByName(new), events
+    return current.where("superseded_by IS NOT NULL").unionByName(new), events
 
 
 def carried(current: DataFrame, incoming: DataFrame, keys: list[str], curated: list[str]) -> DataFrame:

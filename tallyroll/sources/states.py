@@ -132,7 +132,7 @@ class Source:
             keys = {f"__k{i}": k for i, k in enumerate(self.content(c))}
             rank = self.rank(c) if self.rank else [numeric_rank(self.filing_id(c)), self.filing_id(c), self.tran_id(c)]
             return best_row_per_key(rows.withColumns(keys), list(keys), rank).drop(*keys)
-        return first_by_native_id(rows.withColumn("__own", self.tran_id(c)), "__own", place, self.blank_ids).drop("__own")
+        return first_by_native_id(rows.withColumn("__own", self.tran_id(c)), "__own", place, self.blank_ids, few=True).drop("__own")
 
     def project(self, rows: DataFrame, *more: str) -> DataFrame:
         """The canonical record of each row, and the columns `more` of the row itself."""
@@ -168,11 +168,17 @@ class Source:
 
     def candidates(self, rows: DataFrame, registry: DataFrame) -> DataFrame:
         """Raw rows beside the slug of each owner one of whose surnames is in the contributor's last name: a coarse funnel, wider than the classifier."""
+        from ..operators.classify import few, looked_up
         from ..operators.lookup import names_within
+        from ..operators.shared import stored
 
         names = registry.where("parent_slug IS NULL").select(F.col("slug").alias("owner_slug"), F.explode("name_variants").alias("v")).select("owner_slug", text.surname(F.col("v")).alias("__surname")).distinct()
         last = self.last_name(getter(rows, self.null_word)) if self.last_name else self.person["last"](getter(rows, self.null_word))
-        return names_within(rows, last, names, "__surname").drop("__surname").distinct()
+        own = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+        keyed = rows.withColumns({"__last": F.lower(F.coalesce(last, F.lit(""))), "__a": F.xxhash64(*own)})
+        # owners are found once a last name; the rows go neither through that search nor through a sort for those found by two surnames
+        shown = stored(names_within(keyed.select("__last").distinct(), F.col("__last"), names, "__surname").select("__last", "owner_slug").distinct(), "shown")
+        return looked_up(keyed, shown, ["__last"], few(shown)).select(*rows.columns, "owner_slug")
 
 
 CONTRIBUTOR = ("employer", "occupation", "city", "state", "zip")

@@ -10,6 +10,7 @@ from ..operators.attribution import PUBLISHED, gated, household, state_overrides
 from ..operators.classify import classify
 from ..operators.dedup import best_row_per_key
 from ..operators.merge import in_sequence, upsert
+from ..operators.shared import stored
 from ..sources.states import PLACE, Source
 from .runs import BUCKETS, INDEX_BUCKETS
 from .store import Write, bucket_of, commit, parts, read
@@ -23,7 +24,7 @@ NO_DATE, NO_AMOUNT = "unparseable contribution date", "unparseable contribution
 
 def asked(source: Source, rows: DataFrame, recipients: DataFrame | None, registry: DataFrame, opt_outs: DataFrame) -> DataFrame:
     """Canonical records of raw rows beside each owner whom they are shown to (owner_slug), with __place: owners who opted out of the jurisdiction are shown none."""
-    unique = source.unique(source.prepared(rows))
+    unique = stored(source.unique(source.prepared(rows)), "rows")
     place = F.struct(*[F.col(p) for p in PLACE if p in unique.columns] or [F.lit(0).alias("at")])
     out = opt_outs.where(F.col("jurisdiction") == source.jurisdiction).select("owner_slug").distinct()
     shown = source.candidates(unique, registry).join(out, "owner_slug", "left_anti").withColumn("__place", place)
@@ -38,7 +39,7 @@ def attributed(source: Source, records: DataFrame, registry: DataFrame, override
     """
     hidden = [f"contributor_{k}" for k in source.hidden]
     seen = records.withColumn("__hidden", F.struct(*hidden)) if hidden else records
-    found = classify(source.for_classifier(seen), registry, KEY).where(household() == F.col("owner_slug"))
+    found = classify(source.for_classifier(seen), registry, KEY, unique=True).where(household() == F.col("owner_slug"))
     found = found.withColumns({c: F.col("__hidden")[c] for c in hidden}).drop("__hidden") if hidden else found
     rows = gated(state_overrides(found, overrides, KEY, excluded=True))
     raw = {"contributor_name": "contributor_name_raw", "contributor_employer": "contributor_employer_raw", "contributor_occupation": "contributor_occupation_raw"}

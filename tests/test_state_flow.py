@@ -109,3 +109,15 @@ def test_a_state_run_keeps_what_it_cannot_store_for_review(spark, tmp_path):
     run(2, rows.where("false"))
     assert state_flow.donations(spark, root).count() == 5
     assert {r.scanned for r in store.read(spark, root, state_flow.LEDGER).where("run = 2").collect()} == {0}
+
+
+def test_wide_rows_are_neither_joined_nor_made_distinct(spark):
+    """What a run's rows meet is found by names and keys: the rows themselves go through one window and no other shuffle."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    have, batch = spark.createDataFrame([], ROW), spark.createDataFrame([], f"n int, {ROW}")
+    after, _ = in_sequence(have, batch, "k", SUBSTANCE, [F.col("n")], F.lit("t"), "again: ")
+    assert "Join" not in plan(after)
+    registry = spark.createDataFrame([_entity("two", None, ["Ann Gray", "Ann Grayson"])], classify.REGISTRY)
+    rows = _rows(spark, ("Grayson, Ann", "Tampa", "FL", "", "F", "C", "2020-01-05", "1", "g", "r"))
+    shown = SOURCES["MD"].candidates(rows, registry)
+    assert "Aggregate" not in plan(shown) and [r.owner_slug for r in shown.collect()] == ["two"]
