@@ -111,6 +111,21 @@ def _step(state: Column, version: Column) -> Column:
     return let(old, decide)
 
 
+def _under_one(keys: DataFrame) -> bool:
+    """Whether each identity of an entity has one transaction id only."""
+    own = ["entity_slug", "record_uid"]
+    return keys.repartition(*own).distinct().groupBy(*own).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def _groups(rows: DataFrame, live: DataFrame, keys: list[str]) -> DataFrame:
+    """The group of each identity and transaction id of an entity that a batch touches."""
+    new = rows.select(*keys).distinct()
+    by_uid = live.join(new.select("entity_slug", "record_uid").distinct(), ["entity_slug", "record_uid"], "left_semi")
+    by_txn = live.where(F.col("record_uid") == F.col("transaction_id")).join(new.select("entity_slug", "transaction_id").distinct(), ["entity_slug", "transaction_id"], "left_semi")
+    edges = new.unionByName(by_uid.select(*keys)).unionByName(by_txn.select(*keys)).distinct()
+    return components(edges, "entity_slug", "record_uid", "transaction_id")
+
+
 def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Column) -> DataFrame:
     """The groups that a batch touches, a row each: entity_slug, grp, live and old (arrays of rows of current's columns) and events.
 
@@ -121,23 +136,29 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
     place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     rows = _rows(with_identity(incoming.withColumn("__order", place), current, "__order").where(_named()), columns)
     keys = ["entity_slug", "record_uid", "transaction_id"]
-    new = rows.select(*keys).distinct()
     live = current.where("superseded_by IS NULL")
-    by_uid = live.join(new.select("entity_slug", "record_uid").distinct(), ["entity_slug", "record_uid"], "left_semi")
-    by_txn = live.where(F.col("record_uid") == F.col("transaction_id")).join(new.select("entity_slug", "transaction_id").distinct(), ["entity_slug", "transaction_id"], "left_semi")
-    edges = new.unionByName(by_uid.select(*keys)).unionByName(by_txn.select(*keys)).distinct()
-    groups = components(edges, "entity_slug", "record_uid", "transaction_id")
-    stored_rows = live.join(groups, keys).select("entity_slug", "grp", F.struct(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "record_uid", "transaction_id", *_decisive()).alias("v"))
-    # a batch of versions that are much alike is small when compressed: as many tasks as a shuffle has, not as few as its bytes ask for
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = _versions(rows.join(groups, keys).repartition(tasks, "entity_slug", "grp")).join(stored_rows.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list("v"), asc=True).alias("mine")), ["entity_slug", "grp"], "left")
+    mine = lambda x: x.select("entity_slug", "grp", F.struct(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "record_uid", "transaction_id", *_decisive()).alias("v"))
+    if _under_one(rows.select(*keys).unionByName(live.select(*keys))):
+        # no identity has two transaction ids: these are the groups, and nothing is joined to find them
+        grouped = rows.withColumn("grp", F.col("transaction_id"))
+        stored_rows = mine(live.withColumn("grp", F.col("transaction_id"))).join(grouped.select("entity_slug", "grp").distinct(), ["entity_slug", "grp"], "left_semi")
+    else:
+        groups = _groups(rows, live, keys)
+        grouped, stored_rows = rows.join(groups, keys), mine(live.join(groups, keys))
+    # a batch of versions that are much alike is small when compressed: as many tasks as a shuffle has, not as few as its bytes ask for
+    both = _versions(grouped.repartition(tasks, "entity_slug", "grp")).join(stored_rows.groupBy("entity_slug", "grp").agg(F.sort_array(F.collect_list("v"), asc=True).alias("mine")), ["entity_slug", "grp"], "left")
 
     exact = rows.schema["exact"].dataType.simpleString()
     live_type = f"array<struct<uid:string,txn:string,sub:string,plain:array<string>,exact:{exact},at:int>>"
     event_type = "array<struct<outcome:string,differs:array<string>,adopted:boolean,old:int,old_sub:string,number:int>>"
     narrow = lambda v, i: F.struct(v["record_uid"].alias("uid"), v["transaction_id"].alias("txn"), v["sub"].alias("sub"), v["plain"].alias("plain"), v["exact"].alias("exact"), i.cast("int").alias("at"))
     begin = F.struct(F.coalesce(F.transform("mine", lambda v, i: narrow(v, -1 - i)), F.array()).cast(live_type).alias("live"), F.array().cast(event_type).alias("events"), F.lit(0).alias("gone"))
-    done = both.withColumn("s", F.aggregate(F.transform("versions", lambda x, i: narrow(x["v"], i)), begin, _step))
+    taken = F.aggregate(F.transform("versions", lambda x, i: narrow(x["v"], i)), begin, _step)
+    # most groups are one row that nothing is stored of: it is inserted
+    event = F.struct(F.lit("inserted").alias("outcome"), F.lit(None).alias("differs"), F.lit(False).alias("adopted"), F.lit(None).alias("old"), F.lit(None).alias("old_sub"), F.lit(0).alias("number"))
+    lone = F.struct(F.array(narrow(F.get("versions", F.lit(0))["v"], F.lit(0))).cast(live_type).alias("live"), F.array(event).cast(event_type).alias("events"), F.lit(0).alias("gone"))
+    done = both.withColumn("s", F.when(F.col("mine").isNull() & (F.size("versions") == 1), lone).otherwise(taken))
 
     def row(at: Column) -> Column:
         return F.when(at < 0, F.get(F.col("mine"), -1 - at)["row"]).otherwise(F.get(F.col("versions"), at)["v"]["row"])
@@ -147,7 +168,7 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
         name = F.concat(txn, F.lit("~superseded~"), at, F.when(e["number"] > 1, F.concat(F.lit("~"), e["number"].cast("string"))).otherwise(""))
         return F.when(e["outcome"] == "superseded", row(e["old"]).withField("transaction_id", name).withField("record_uid", name).withField("sub_id", e["old_sub"]).withField("status", F.lit("SUPERSEDED")).withField("superseded_by", txn).withField("superseded_reason", _reason(e)))
 
-    def event(e: Column, i: Column) -> Column:
+    def shown(e: Column, i: Column) -> Column:
         x = F.get(F.col("versions"), i)
         return F.struct(x["place"].alias("place"), x["v"]["record_uid"].alias("record_uid"), x["v"]["transaction_id"].alias("transaction_id"), e["outcome"].alias("outcome"), _reason(e).alias("reason"), e["adopted"].alias("adopted"), x["repeats"].alias("repeats"))
 
@@ -157,7 +178,7 @@ def folded(current: DataFrame, incoming: DataFrame, order: list[Column], at: Col
         "grp",
         F.transform("s.live", lambda l: let(row(l["at"]), lambda r: F.when(r["record_uid"] == l["uid"], r).otherwise(r.withField("record_uid", l["uid"]).withField("sub_id", l["sub"])))).alias("live"),
         F.array_compact(F.transform("s.events", archived)).alias("old"),
-        F.transform("s.events", event).alias("events"),
+        F.transform("s.events", shown).alias("events"),
     )
     return stored(out, "folded")
 
@@ -177,6 +198,11 @@ def _named() -> Column:
     return F.col("record_uid").isNotNull() & F.col("transaction_id").isNotNull() & F.col("entity_slug").isNotNull()
 
 
+def moved_by(done: DataFrame) -> DataFrame:
+    """The rows of the next state that the fold has had in hand, live and superseded."""
+    return done.select(F.explode(F.concat("live", "old")).alias("r")).select("r.*")
+
+
 def state_after(current: DataFrame, done: DataFrame) -> DataFrame:
     """The next state: the rows of groups that weren't touched, and those of the fold, live and superseded."""
     was = done.select("entity_slug", F.explode("live").alias("r")).select("r.*")

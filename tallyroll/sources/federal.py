@@ -32,7 +32,7 @@ def read_pages(spark: SparkSession, path: str, schema: str, cells: str = "respon
 def contributions(pages: DataFrame) -> DataFrame:
     """Each record once, by its identity: the first by path and place. Records without an identity are kept each."""
     rows = pages.withColumn("_id", record_uid(F.col("sub_id"), F.col("transaction_id")))
-    return first_by_native_id(rows, "_id", [F.col("_path"), F.col("_at")], "keep")
+    return first_by_native_id(rows, "_id", [F.col("_path"), F.col("_at")], "keep", few=True)
 
 
 def text(name: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blank_to_null
 from ..operators.attribution import PUBLISHED, federal_overrides, queued
 from ..operators.classify import classify
+from ..operators.shared import stored
 from ..sources import federal
 from .runs import INDEX_BUCKETS, commit_run
 from .store import Write
@@ -24,8 +25,9 @@ def _gate(rows: DataFrame) -> Column:
 def attributed(pages: DataFrame, registry: DataFrame, overrides: DataFrame, at: Column) -> DataFrame:
     """Landed records as rows of the table of donations, each once, with `gate`: what the classifier and, over its head, the overrides make of them."""
     key = F.coalesce(blank_to_null(F.col("transaction_id")), blank_to_null(F.col("sub_id")))
-    records = federal.contributions(pages).withColumn("_txn", key)
-    found = federal_overrides(records, classify(records, registry, "_txn"), overrides.withColumnRenamed("transaction_id", "_txn"), "_txn")
+    # read for their names, by the classifier and by the overrides: each record is found once
+    records = stored(federal.contributions(pages).withColumn("_txn", key), "records")
+    found = federal_overrides(records, classify(records, registry, "_txn", unique=True), overrides.withColumnRenamed("transaction_id", "_txn"), "_txn")
     rows = federal.donation_row(found, at)
     return rows.withColumn("gate", _gate(rows))
 

@@ -232,3 +232,12 @@ def test_groups_are_folded_once(spark):
     after = fold.state_after(current, done)
     plan = after._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "folded-" in str(done.inputFiles())
+
+
+def test_groups_are_joined_only_where_an_identity_has_two_transaction_ids(spark, monkeypatch):
+    one = _frame(spark, [_row("T", "S"), _row("U")], True)
+    real, asked = fold._groups, []
+    monkeypatch.setattr(fold, "_groups", lambda *a: asked.append(1) or real(*a))
+    for rows, times in ((one, 0), (_frame(spark, [_row("T", "S"), _row("U", "S")], True), 1)):
+        done = fold.folded(_frame(spark, [_row("T", record_uid="T"), _row("V", record_uid="V")]), rows, [F.col("n")], F.lit("t"))
+        assert len(asked) == times and fold.state_after(_frame(spark, [_row("T", record_uid="T"), _row("V", record_uid="V")]), done).where("transaction_id = 'V'").count() == 1
