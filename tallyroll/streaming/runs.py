@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.attribution import household
 from ..operators.dedup import counted_flag
-from ..operators.fold import events_of, folded, state_after, with_identity
+from ..operators.fold import events_of, folded, moved_by, state_after, with_identity
 from .incremental import watermarks_after
 from .store import Part, Step, Write, bucket_of, commit, parts, read
 
@@ -79,8 +79,10 @@ def commit_run(spark: SparkSession, root: str, version: int, schema: DataFrame,
     writes[STATE] = Write(_with_txn(after), STATE_KEYS, "replace", buckets, files, tuple(sorted(touched)))
     writes[EVENTS] = Write(events_of(records, done).withColumn("run", F.lit(version).cast("long")), ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
     writes[IDENTITIES] = Write(fresh, ("entity_slug", "record_uid"), "append", INDEX_BUCKETS)
-    places = after.select(household().alias("household"), bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets).alias("place")).distinct()
-    if (old := read(spark, root, PLACES, named=named)) is not None:
+    # rows that weren't touched lie where they lay
+    moved = after if (old := read(spark, root, PLACES, named=named)) is None else moved_by(done)
+    places = moved.select(household().alias("household"), bucket_of(["entity_slug", F.coalesce("superseded_by", "transaction_id")], buckets).alias("place")).distinct()
+    if old is not None:
         places = places.join(old, ["household", "place"], "left_anti")
     writes[PLACES] = Write(places, ("household",), "append", INDEX_BUCKETS)
     if queue is not None:

@@ -4,7 +4,8 @@ A commit writes the parts of its tables under a version of its own and then one
 table; the manifest's success marker publishes all of them at once. Readers follow the newest finished manifest, so a run
 that fails between any two writes leaves nothing that anybody reads, and running it again overwrites its own version.
 
-A table is cut into buckets by a hash of its keys, a bucket into files by a second hash. Three kinds of writes: `replace`
+A table is cut into buckets by a hash of its keys, a bucket into files by a second hash if so many are asked for, else by its
+size, so that few large buckets don't leave the writing to few tasks. Three kinds of writes: `replace`
 (the buckets that are written take the place of the old ones), `append` (parts are added to their buckets) and `whole` (all
 old parts go). A part remembers with how many migration steps it was written; reading applies the later ones. `prune`
 removes what no manifest that is kept names.
@@ -118,10 +119,14 @@ def read(spark: SparkSession, root: str, table: str, buckets: Iterable[int] | No
 def _written(spark: SparkSession, root: str, table: str, version: int, write: Write) -> list[int]:
     """Writes a table's parts; the buckets that have any."""
     path = f"{root}/data/{table}/v={version}"
-    split = F.pmod(F.xxhash64(F.lit(1), *write.rows.columns), F.lit(write.files)).cast("int")
-    rows = write.rows.withColumns({"bucket": bucket_of(write.keys, write.buckets), "__file": split})
-    tasks = max(1, (len(write.touched) or write.buckets) * write.files)
-    rows.repartition(tasks, "bucket", "__file").drop("__file").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    rows = write.rows.withColumn("bucket", bucket_of(write.keys, write.buckets))
+    if write.files > FILES:
+        split = F.pmod(F.xxhash64(F.lit(1), *write.rows.columns), F.lit(write.files)).cast("int")
+        tasks = max(1, (len(write.touched) or write.buckets) * write.files)
+        rows = rows.withColumn("__file", split).repartition(tasks, "bucket", "__file").drop("__file")
+    else:
+        rows = rows.hint("rebalance", "bucket")
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
     return sorted(int(n.removeprefix("bucket=")) for n in _names(spark, path) if n.startswith("bucket="))
 
 

@@ -241,3 +241,14 @@ def test_groups_are_joined_only_where_an_identity_has_two_transaction_ids(spark,
     for rows, times in ((one, 0), (_frame(spark, [_row("T", "S"), _row("U", "S")], True), 1)):
         done = fold.folded(_frame(spark, [_row("T", record_uid="T"), _row("V", record_uid="V")]), rows, [F.col("n")], F.lit("t"))
         assert len(asked) == times and fold.state_after(_frame(spark, [_row("T", record_uid="T"), _row("V", record_uid="V")]), done).where("transaction_id = 'V'").count() == 1
+
+
+def test_a_large_bucket_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    root, rows = f"file://{tmp_path}/store", spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        store.commit(spark, root, 0, {"t": store.Write(rows, ("id",), buckets=2)})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    out = store.read(spark, root, "t")
+    assert len(out.inputFiles()) > 2 and out.count() == 60_000
