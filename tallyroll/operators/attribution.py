@@ -88,7 +88,7 @@ def reclassified_in_place(donations: DataFrame, registry: DataFrame, overrides:
     live = live.withColumn("__row", F.concat_ws("\0", key, household()))
     scored = classify(stored_records(live, "__row").withColumn("__house", F.element_at(F.split("__row", "\0"), -1)), registry, "__row", unique=True)
     scored = scored.where(F.col("__house") == household()).select("__row", F.struct("status", "status_reason", "signals").alias("__new"))
-    rows = live.join(scored.groupBy("__row").agg(F.min("__new").alias("__new")), "__row", "left")
+    rows = live.join(scored.repartition("__row").groupBy("__row").agg(F.min("__new").alias("__new")), "__row", "left")
     settled = _verdicts(overrides, txn)
     rows = rows.join(settled, (F.col(txn) == F.col("__key")) & (household() == F.col("__owner")), "left")
     discarded = resolutions.where("resolution = 'DISCARDED'").select(F.col(txn).alias("__txn"), F.col("entity_slug").alias("__slug"), F.lit(True).alias("__discarded")).distinct()

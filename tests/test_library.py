@@ -316,6 +316,15 @@ def _optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_scored_again_are_dealt_out_before_they_are_sorted(spark):
+    from tallyroll.plans import ingest
+
+    stored = ingest._stored(spark, SF)
+    none = spark.createDataFrame([], "transaction_id string, entity_slug string, verdict string, resolution string")
+    plan = _optimized(attribution.reclassified_in_place(stored, cases.registry(spark), none, none))
+    assert "RepartitionByExpression [__row" in plan and "Window" not in plan
+
+
 def test_legs_of_review_items_are_found_once(spark):
     queue = spark.createDataFrame([("T", "stone", "name only", None)], "transaction_id string, entity_slug string, reason string, resolution string")
     fields = ("occupation", "city", "state", "zip")
