@@ -9,7 +9,7 @@ import pytest
 pytest.importorskip("tallyroll.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
-from tallyroll.llm import bpe, cotrain, decontaminate, licences, linededup, ordermin, pii, sharding, topk, warc  # noqa: E402
+from tallyroll.llm import bpe, common, cotrain, decontaminate, licences, linededup, ordermin, pii, sharding, topk, warc  # noqa: E402
 from tallyroll.llm.queries import tokenizer_path  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -212,6 +212,15 @@ def test_decontamination_of_short_items_matches_brute_force(spark):
     assert {x.doc_id for x in decontaminate.decontaminated(docs, bench, shortest=1).collect()} == set(range(len(texts))) - {x[0] for x in want}
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_copies_of_a_large_lookup_table_are_not_broadcast(spark, how):
+    left = spark.range(2000).select((F.col("id") % 300).alias("k"), F.col("id").alias("v"))
+    right = common.stored(spark.range(0, 400, 3).select(F.col("id").alias("k"), (-F.col("id")).alias("w")), "lookup")
+    joined = common.lookup_join(left, right, ["k"], how, ["v"], bound=10)
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, left.join(right, "k", how).collect()), key=str)
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quality_learns_from_both_views(spark):
     r = random.Random(2)
     good = lambda: " ".join(_words(r, r.randrange(5, 90)))
