@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rollup import dollars, tier_measures
 
 #: Copies of a list of bills, so that the donations that get the same list go to as many tasks.
 SALTS = 16
+#: Bills of a list that are gathered at once.
+PIECE = 1000
+#: Parquet's writer holds 100 rows before it first looks at their size, and writes a long string that rows share once for each of
+#: them: 100 lists of a megabyte don't fit a task. Rows are looked at after 8, a dictionary may have 32 MB, and lists aren't compared
+#: byte by byte for a least and a largest one.
+LONG_ROWS = {"parquet.page.size.row.check.min": "8", "parquet.dictionary.page.size": str(32 << 20), "parquet.column.statistics.enabled#bill_ids": "false"}
 
 
 def single_candidate(designation: Column, candidate_ids: Column) -> Column:
@@ -46,19 +52,37 @@ def with_committees(resolved: DataFrame, memberships: DataFrame, bill_committees
 
     Seats of one member in several congresses are one row with the bills of all of them. A list grows with the bills, so there
     is one for each committee and set of congresses, not for each member; it meets the donations last, in a merge join over
-    SALTS copies of it, and is never broadcast.
+    SALTS copies of it, and is never broadcast, nor are the bills. The session writes Parquet by LONG_ROWS from then on, where it has no other
+    values for them, so that files hold a list once and not once a row.
     """
+    conf = resolved.sparkSession.conf
+    for k, v in LONG_ROWS.items():
+        conf.set(k, conf.get(k, v))
     held = bill_committees.select("thomas_id", "congress").distinct()
     seats = memberships.select("bioguide", "thomas_id", "congress").distinct().join(held, ["thomas_id", "congress"], "left_semi")
     seats = seats.groupBy("bioguide", "thomas_id").agg(F.array_sort(F.collect_set("congress")).alias("__terms"))
     terms = seats.select("thomas_id", "__terms").distinct()
-    asked = terms.select("thomas_id", "__terms", F.explode("__terms").alias("congress")).join(bill_committees, ["thomas_id", "congress"])
-    lists = asked.groupBy("thomas_id", "__terms").agg(F.array_join(F.array_sort(F.collect_set("bill_id")), ",").alias("bill_ids"))
+    asked = terms.select("thomas_id", "__terms", F.explode("__terms").alias("congress")).join(bill_committees.hint("merge"), ["thomas_id", "congress"])
+    lists = _listed(asked, ["thomas_id", "__terms"], "bill_id", "bill_ids")
     lists = lists.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = resolved.join(seats, "bioguide").withColumn("__salt", F.pmod(F.xxhash64(*[c for c, kind in resolved.dtypes if "map<" not in kind]), F.lit(SALTS)).cast("int"))
     return rows.join(lists.hint("merge"), ["thomas_id", "__terms", "__salt"]).select(*_first("bioguide", resolved.columns), "thomas_id", "bill_ids")
 
 
+def _listed(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """keys and `name`, the sorted distinct values of each of them, joined by commas.
+
+    Values are sorted as rows, which can spill, in as many tasks as a shuffle has, and joined by pieces of PIECE; no set of all
+    values of a key is held. A null adds nothing to a list but keeps its key.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first(value)))
+    rows = rows.select(*keys, value).distinct().repartition(n, *keys).withColumn("__piece", F.floor((place - 1) / PIECE))
+    pieces = rows.groupBy(*keys, "__piece").agg(F.array_join(F.array_sort(F.collect_list(value)), ",").alias("__values"))
+    inner = F.array_sort(F.collect_list(F.struct("__piece", "__values")))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(inner, lambda x: x["__values"]), ",").alias(name))
+
+
 def _first(key: str, columns: list[str]) -> list[str]:
     """Columns in the order in which a join by the key gives them."""
     return [key, *[c for c in columns if c != key]]

@@ -288,6 +288,23 @@ def test_lists_of_bills_are_never_broadcast(spark):
     assert "strategy=merge" in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_long_lists_are_sorted_by_pieces_and_written_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(policy, "PIECE", 7)
+    for k in policy.LONG_ROWS:
+        spark.conf.unset(k)
+    gifts = spark.createDataFrame([(f"T{i}", "B0" if i % 4 else "B1") for i in range(400)], "txn string, bioguide string").repartition(1)
+    seats = spark.createDataFrame([("B0", "C", 1), ("B0", "C", 2), ("B1", "D", 1)], "bioguide string, thomas_id string, congress int")
+    ids = [f"b{i:05}-{'x' * 40}" for i in range(30000)]
+    bills = spark.createDataFrame([(x, "C", 1 + i % 2) for i, x in enumerate(ids)] + [(ids[0], "C", 2), (None, "C", 1), (None, "D", 1)], "bill_id string, thomas_id string, congress int")
+    out = policy.with_committees(gifts, seats, bills)
+    out.write.parquet(str(tmp_path / "out"))
+    found = {(r.thomas_id, r.bill_ids): r.n for r in spark.read.parquet(str(tmp_path / "out")).groupBy("thomas_id", "bill_ids").agg(F.count("*").alias("n")).collect()}
+    assert found == {("C", ",".join(ids)): 300, ("D", ""): 100}
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 16 * len(",".join(ids))  # a list of 1.4 MB for each of 300 rows
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") == 2 and "collect_set(bill_id" not in plan
+
+
 def test_records_that_differ_in_what_is_null(spark, monkeypatch):
     from tallyroll.operators import classify
 
