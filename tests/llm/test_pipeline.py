@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("tallyroll.llm")
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from tallyroll.llm import cotrain, linededup  # noqa: E402
+from tallyroll.llm import common, cotrain, linededup  # noqa: E402
 from tallyroll.llm.common import table  # noqa: E402
 from tallyroll.llm.queries import tokenizer_path  # noqa: E402
 
@@ -122,3 +122,18 @@ def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, corpus, name).limit(0).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_first_stage_with_more_labels_than_are_broadcast(spark, corpus, monkeypatch):
+    docs, plans, keep = table(spark, corpus, "documents"), {}, common.stored
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    few = rows(corpus_pipeline.quality(spark, docs, corpus))
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(common, "small", lambda *a: False)
+    monkeypatch.setattr(cotrain, "stored", seen)
+    assert rows(corpus_pipeline.quality(spark, docs, corpus)) == few
+    assert "LeftAnti" in plans["unlabelled"] and "Broadcast" not in plans["unlabelled"]
